@@ -157,44 +157,110 @@ def probe_sessions(charges: DataFrame, *, min_count: int = 3, gap_seconds: int =
 def impossible_travel(transactions: DataFrame, *, within_seconds: int = 600, copies: int = 4) -> DataFrame:
     """Transactions preceded, on the same card and within the interval, by one in a different city.
 
-    One function for batch and stream; a stream needs a watermark on ``event_time`` and gives out a
-    flagged row when its slice has closed.
-
-    A sliding window of two slices pairs each slice (its second half) with the one before. For every
-    city seen there, the first other city in the slice and the last other city in the slice before
-    tell from when, and until when, a row in that city is flagged. The list that is collected holds
-    one entry per city of one card in one such window, never one per row.
+    Time is cut into slices as long as the interval. A row is flagged if its slice has an earlier
+    row in another city, or the slice before has one recent enough. So per card, slice and city it
+    is enough to know the first other city in the slice (rows after it are flagged) and the last
+    other city in the slice before (rows up to one interval after it are flagged). Only cities with
+    a flagged row are kept to meet the rows.
+
+    A stream needs a watermark on ``event_time``; there, a flagged row comes out when its slice has
+    closed.
     """
-    span = F.window("event_time", f"{2 * int(within_seconds)} seconds", f"{int(within_seconds)} seconds")
-    middle = F.col("span.start") + _seconds(within_seconds)
+    complete = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
+    travel = _streamed_bounds if transactions.isStreaming else _batch_bounds
+    rows, bounds = travel(complete, int(within_seconds))
+    verdicts = (
+        bounds.withColumn("_until", F.col("_until") + _seconds(within_seconds))
+        .where((F.col("last_own") > F.col("_after")) | (F.col("first_own") <= F.col("_until")))
+        .select("card_id", "span", "city", "_after", "_until")
+    )
     instant = F.col("event_time")
-    placed = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull()).withColumn(
-        "span", span
+    return (
+        join_spread(rows, verdicts, ["card_id", "span", "city"], _SPREAD, copies)
+        .where((instant > F.col("_after")) | (instant <= F.col("_until")))
+        .select(*transactions.columns)
+    )
+
+
+def _batch_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their slice, and per card, slice and city the bounds set by the other cities."""
+    rows = transactions.where(F.col("event_time").isNotNull()).withColumn(
+        "span", F.window("event_time", f"{seconds} seconds")["start"]
+    )
+    visits = rows.groupBy("card_id", "span", "city").agg(
+        F.min("event_time").alias("first_own"), F.max("event_time").alias("last_own")
+    )
+    # Each visit counts in its own slice, and as the past of the next one.
+    never = F.lit(None).cast(visits.schema["last_own"].dataType)
+    own = F.struct("span", "first_own", "last_own", never.alias("last_before"))
+    past = F.struct(
+        (F.col("span") + _seconds(seconds)).alias("span"),
+        never.alias("first_own"),
+        never.alias("last_own"),
+        F.col("last_own").alias("last_before"),
     )
-    own = instant >= middle
+    both = visits.select("card_id", "city", F.inline(F.array(own, past)))
+    # One partition here is the cities of one card in two slices.
+    slice_ = Window.partitionBy("card_id", "span")
+    city = F.col("city")
+
+    def when_present(field: str, value: Column) -> Column:
+        return F.when(F.col(field).isNotNull(), value)
+
+    nearest = both.withColumns(
+        {
+            "first": F.min(when_present("first_own", F.struct("first_own", "city"))).over(slice_),
+            "last": F.max(when_present("last_before", F.struct("last_before", "city"))).over(slice_),
+        }
+    ).withColumns(
+        {
+            "second": F.min(F.when(city != F.col("first.city"), F.col("first_own"))).over(slice_),
+            "second_last": F.max(F.when(city != F.col("last.city"), F.col("last_before"))).over(slice_),
+        }
+    )
+    bounds = nearest.where(F.col("first_own").isNotNull()).select(
+        "card_id",
+        "span",
+        "city",
+        "first_own",
+        "last_own",
+        F.when(city != F.col("first.city"), F.col("first.first_own")).otherwise(F.col("second")).alias("_after"),
+        F.when(city != F.col("last.city"), F.col("last.last_before")).otherwise(F.col("second_last")).alias("_until"),
+    )
+    return rows, bounds
+
+
+def _streamed_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, DataFrame]:
+    """The same for a stream, where a watermark has to reach every step.
 
+    A sliding window of two slices pairs each slice (its second half) with the one before, so that
+    both steps group by a window. The list holds one entry per city of one card in one window.
+    """
+    instant = F.col("event_time")
+    span = F.window(instant, f"{2 * seconds} seconds", f"{seconds} seconds")
+    placed = transactions.withColumn("span", span)
+    own = instant >= F.col("span.start") + _seconds(seconds)
     visits = placed.groupBy("card_id", "span", "city").agg(
         F.min(F.when(own, instant)).alias("first_own"),
         F.max(F.when(own, instant)).alias("last_own"),
         F.max(F.when(~own, instant)).alias("last_before"),
     )
-    by_slice = visits.groupBy("card_id", "span").agg(
+    by_span = visits.groupBy("card_id", "span").agg(
         F.collect_list(F.struct("city", "first_own", "last_own", "last_before")).alias("visits")
     )
 
-    def ranked(field: str, descending: bool) -> Column:
+    def ranked(field: str) -> Column:
         entries = F.transform("visits", lambda v: F.struct(v[field].alias("at"), v["city"].alias("city")))
-        present = F.filter(entries, lambda e: e["at"].isNotNull())
-        return F.reverse(F.array_sort(present)) if descending else F.array_sort(present)
+        return F.array_sort(F.filter(entries, lambda e: e["at"].isNotNull()))
 
-    def best_elsewhere(entries: str) -> Column:
-        """The best entry of another city: the first one, or the second if the first is this city."""
+    def elsewhere(entries: str) -> Column:
+        """The first entry of another city: the very first, or the second if that is this city."""
         top, second = F.get(entries, F.lit(0)), F.get(entries, F.lit(1))
         return F.when(top["city"] != F.col("visit.city"), top["at"]).otherwise(second["at"])
 
-    verdicts = (
-        by_slice.where(F.size("visits") > 1)
-        .withColumns({"firsts": ranked("first_own", False), "lasts": ranked("last_before", True)})
+    bounds = (
+        by_span.where(F.size("visits") > 1)
+        .withColumns({"firsts": ranked("first_own"), "lasts": F.reverse(ranked("last_before"))})
         .withColumn("visit", F.explode("visits"))
         .select(
             "card_id",
@@ -202,19 +268,13 @@ def impossible_travel(transactions: DataFrame, *, within_seconds: int = 600, cop
             F.col("visit.city").alias("city"),
             F.col("visit.first_own").alias("first_own"),
             F.col("visit.last_own").alias("last_own"),
-            best_elsewhere("firsts").alias("_after"),
-            (best_elsewhere("lasts") + _seconds(within_seconds)).alias("_until"),
+            elsewhere("firsts").alias("_after"),
+            elsewhere("lasts").alias("_until"),
         )
-        .where((F.col("last_own") > F.col("_after")) | (F.col("first_own") <= F.col("_until")))
-        .select("card_id", "span", "city", "_after", "_until")
-    )
-    # In a stream the join may know one event time per side only, and that has to be the window.
-    candidates = placed.where(own).withColumn("event_time", instant + _seconds(0))
-    return (
-        join_spread(candidates, verdicts, ["card_id", "span", "city"], _SPREAD, copies)
-        .where((instant > F.col("_after")) | (instant <= F.col("_until")))
-        .select(*transactions.columns)
     )
+    # The join may know one event time per side only, and that has to be the window.
+    rows = placed.where(own).withColumn("event_time", instant + _seconds(0))
+    return rows, bounds
 
 
 # -- profiles and scoring ----------------------------------------------------------------------

@@ -16,8 +16,10 @@ def _nth(names: tuple[str, ...], index: Column) -> Column:
 
 def as_transactions(events: DataFrame) -> DataFrame:
     """Events -> transactions, by built-in expressions only, so a scan reads just what is used."""
-    # k is read off the text once, in its own projection; everything else is derived from it.
-    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    # props is always the flat object {"k": n}: a pattern finds n several times faster than a JSON
+    # parser. It is read once, in its own projection; everything else is derived from it.
+    digits = F.regexp_extract("props", r'"k"\s*:\s*(\d+)', 1)
+    keyed = events.withColumn("k", digits.try_cast("int"))
     user, k, event_type = F.col("user_id"), F.col("k"), F.col("event_type")
     user_text = user.cast("string")
     label = F.lit(None).cast("string")

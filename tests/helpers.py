@@ -1,0 +1,70 @@
+"""Rows by hand, and files for streams."""
+
+from __future__ import annotations
+
+import json
+import os
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cardtide.schema import BRONZE, GOLD
+
+DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def at(clock: str) -> datetime:
+    """An instant of 2024-01-01, UTC, from ``HH:MM:SS`` with an optional fraction."""
+    hours, minutes, seconds = clock.split(":")
+    return DAY + timedelta(hours=int(hours), minutes=int(minutes), seconds=float(seconds))
+
+
+def transactions(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    defaults = dict.fromkeys(BRONZE.fieldNames())
+    numbered = [
+        {**defaults, "transaction_id": str(i), "card_id": "card_0000", "is_fraud": False, **row}
+        for i, row in enumerate(rows)
+    ]
+    return spark.createDataFrame([tuple(r[c] for c in BRONZE.fieldNames()) for r in numbered], BRONZE)
+
+
+def gold_rows(spark: SparkSession, rows: list[tuple[str, int, float]]) -> DataFrame:
+    """(window start, transactions, total) -> Gold with no frauds."""
+    return spark.createDataFrame(
+        [
+            (at(start), at(start) + timedelta(minutes=1), n, total, total / n if n else None, 0, 0, 0, 0)
+            for start, n, total in rows
+        ],
+        GOLD,
+    )
+
+
+def utc(value: datetime | None) -> datetime | None:
+    """Collected timestamps are naive local times; give them back their zone."""
+    return None if value is None else value.astimezone(timezone.utc)
+
+
+def event(clock: str, **fields) -> str:
+    body = {
+        "transaction_id": clock,
+        "card_id": "card_0001",
+        "amount": 10.0,
+        "merchant": "m",
+        "category": "fuel",
+        "city": "Recife",
+        "timestamp": at(clock).isoformat(),
+        "is_fraud": False,
+        "fraud_type": None,
+        **fields,
+    }
+    return json.dumps(body)
+
+
+def drop_file(folder: str, number: int, lines: list[str]) -> None:
+    """Put a file into a watched folder at once; files are taken in the order of their numbers."""
+    os.makedirs(folder, exist_ok=True)
+    hidden = os.path.join(folder, f".{number:04d}.tmp")
+    with open(hidden, "w") as out:
+        out.write("".join(line + "\n" for line in lines))
+    os.utime(hidden, (1_700_000_000 + 10 * number,) * 2)
+    os.rename(hidden, os.path.join(folder, f"{number:04d}.txt"))

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import functions as F
+
+from cardtide.functions.codec import decode_payload, encode_payload, iso_text, rejected
+from cardtide.operators.gold import windowed_gold
+from cardtide.schema import BRONZE, PAYLOAD
+from tests.helpers import at, event, transactions, utc
+
+
+def decoded(spark, *values):
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n INT, value STRING")
+    rows = decode_payload(frame.repartition(1).sortWithinPartitions("n")).collect()
+    assert len(rows) == len(values)
+    return rows
+
+
+def test_full_object(spark):
+    (row,) = decoded(spark, event("00:00:07.179575", is_fraud=True, fraud_type="high_amount"))
+    assert utc(row.event_time) == at("00:00:07.179575")
+    assert row.timestamp == "2024-01-01T00:00:07.179575+00:00"
+    assert (row.amount, row.is_fraud, row.fraud_type) == (10.0, True, "high_amount")
+
+
+def test_schema_is_payload_and_event_time(spark):
+    frame = spark.createDataFrame([("{}",)], "value STRING")
+    assert decode_payload(frame).schema == BRONZE
+
+
+def test_timestamp_forms(spark):
+    whole, shifted, garbage = decoded(
+        spark,
+        event("00:00:07"),
+        event("00:00:07", timestamp="2024-01-01T00:00:07.5-03:00"),
+        event("00:00:07", timestamp="garbage"),
+    )
+    assert utc(whole.event_time) == at("00:00:07")
+    assert utc(shifted.event_time) == at("03:00:07.5")
+    assert garbage.event_time is None and garbage.amount == 10.0
+
+
+def test_malformed_objects_become_rows_of_nulls(spark):
+    for row in decoded(spark, "not json", "", None):
+        assert all(value is None for value in row)
+
+
+def test_malformed_fields_become_nulls(spark):
+    amount, flag, extra = decoded(
+        spark,
+        event("00:00:07", amount="oops"),
+        event("00:00:08", is_fraud="true"),
+        event("00:00:09", more=1),
+    )
+    assert amount.amount is None and amount.city == "Recife"
+    assert flag.is_fraud is None and flag.amount == 10.0
+    assert extra.transaction_id == "00:00:09"
+
+
+def test_bad_rows_are_in_no_window_but_can_be_listed(spark):
+    values = [event("00:00:07"), "not json", event("00:00:08", timestamp="garbage")]
+    rows = decode_payload(spark.createDataFrame([(v,) for v in values], "value STRING"))
+    assert [r.tx_count for r in windowed_gold(rows).collect()] == [1]
+    assert rejected(rows).count() == 2
+
+
+def test_bytes_decode_like_text(spark):
+    text = spark.createDataFrame([(event("00:00:07"),)], "value STRING")
+    as_bytes = text.withColumn("value", F.col("value").cast("binary"))
+    assert decode_payload(as_bytes).collect() == decode_payload(text).collect()
+
+
+def test_iso_text_equals_isoformat(spark):
+    instants = [
+        datetime(2024, 2, 29, 23, 59, 59, tzinfo=timezone.utc) + timedelta(microseconds=us)
+        for us in (0, 1, 100_000, 999_999)
+    ]
+    rows = spark.createDataFrame([(i,) for i in instants], "t TIMESTAMP").select("t", iso_text("t").alias("s"))
+    for row in rows.collect():
+        assert row.s == utc(row.t).isoformat()
+
+
+def test_encoding_writes_nulls_and_keys_by_card(spark):
+    frame = transactions(spark, [{"event_time": at("00:00:07"), "amount": 1.5}])
+    row = encode_payload(frame).collect()[0]
+    body = json.loads(bytes(row.value))
+    assert bytes(row.key) == b"card_0000"
+    assert list(body) == PAYLOAD.fieldNames()
+    assert body["fraud_type"] is None and body["amount"] == 1.5
+
+
+def test_round_trip(spark):
+    frame = transactions(
+        spark,
+        [
+            {"event_time": at("00:00:07.25"), "amount": 0.1, "is_fraud": True, "fraud_type": "card_testing"},
+            {"event_time": at("00:00:08"), "amount": None, "city": 'quote " and \\ and ü'},
+            {"event_time": None, "amount": 1e300},
+        ],
+    )
+    back = decode_payload(encode_payload(frame)).drop("timestamp")
+    assert sorted(map(str, back.collect())) == sorted(map(str, frame.drop("timestamp").collect()))
