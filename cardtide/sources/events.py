@@ -46,14 +46,15 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_TABLE).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str, max_bytes: str | None = None) -> DataFrame:
+def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
     """The same table as a stream, whether it is one file or a folder of part files.
 
-    ``max_bytes`` limits one micro-batch (for example ``"500g"``), which a long backlog needs.
+    ``max_bytes`` limits one micro-batch. Files are taken by age, so set it only where that is the
+    order of their events too; otherwise later files may count as late.
     """
     reader = spark.readStream.schema(EVENTS_TABLE)
     if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     table = f"{sf_dir}/events.parquet"
     files = read_events(spark, sf_dir).inputFiles()
     if len(files) == 1 and files[0].endswith("/events.parquet"):

@@ -1,0 +1,225 @@
+from __future__ import annotations
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardtide.operators import detectors
+from cardtide.operators.gold import with_watermark
+from cardtide.session import scratch_dir, settings
+from cardtide.streaming.sinks import append_to_table, finish
+from tests.helpers import DAY, at, transactions, utc
+
+
+def ids(frame):
+    found = [int(r.transaction_id) for r in frame.select("transaction_id").collect()]
+    assert len(found) == len(set(found)), "a transaction was flagged twice"
+    return set(found)
+
+
+def random_rows(seed, n, cards, cities, seconds, hot=0.0):
+    """Rows on whole seconds, so ties and exact interval ends occur; ``hot`` is the share of card 0."""
+    draw = random.Random(seed)
+    return [
+        {
+            "card_id": f"card_{0 if draw.random() < hot else draw.randrange(cards):04d}",
+            "city": f"city {draw.randrange(cities)}",
+            "amount": draw.choice([1.0, 5.0, 5.01, 50.0]),
+            "event_time": DAY + timedelta(seconds=draw.randrange(seconds)),
+        }
+        for _ in range(n)
+    ]
+
+
+def as_is(rows):
+    for i, r in enumerate(rows):
+        yield i, r["card_id"], r["city"], r["event_time"], r["amount"]
+
+
+def brute_card_testing(rows, max_amount, n, seconds):
+    small = [(i, card, t) for i, card, _, t, amount in as_is(rows) if amount <= max_amount]
+    span = timedelta(seconds=seconds)
+    return {
+        i for i, card, t in small if sum(c == card and t - span <= u <= t for _, c, u in small) >= n
+    }
+
+
+def brute_travel(rows, seconds):
+    span = timedelta(seconds=seconds)
+    every = list(as_is(rows))
+    return {
+        i
+        for i, card, city, t, _ in every
+        if any(c == card and o != city and u < t <= u + span for _, c, o, u, _ in every)
+    }
+
+
+@pytest.mark.parametrize("seed, n, cards, seconds, hot", [
+    (1, 300, 5, 2000, 0.0), (2, 300, 2, 300, 0.4), (3, 300, 40, 5000, 0.3), (4, 200, 1, 30, 1.0), (5, 250, 3, 900, 0.3),
+])
+def test_card_testing_against_brute_force(spark, seed, n, cards, seconds, hot):
+    rows = random_rows(seed, n, cards, 3, seconds, hot)
+    frame = transactions(spark, rows)
+    for min_count, within in ((1, 10), (2, 10), (3, 60), (5, 60)):
+        found = detectors.card_testing(frame, min_count=min_count, within_seconds=within)
+        assert ids(found) == brute_card_testing(rows, 5.0, min_count, within), (min_count, within)
+
+
+@pytest.mark.parametrize("seed, n, cards, cities, seconds, hot", [
+    (1, 300, 5, 3, 3000, 0.0), (2, 300, 2, 2, 400, 0.4), (3, 300, 40, 10, 5000, 0.3),
+    (4, 200, 1, 4, 40, 1.0), (5, 250, 3, 1, 900, 0.3), (6, 250, 4, 2, 6000, 0.3),
+])
+def test_impossible_travel_against_brute_force(spark, seed, n, cards, cities, seconds, hot):
+    rows = random_rows(seed, n, cards, cities, seconds, hot)
+    frame = transactions(spark, rows)
+    for within in (10, 60, 600):
+        assert ids(detectors.impossible_travel(frame, within_seconds=within)) == brute_travel(rows, within), within
+
+
+def test_travel_on_a_stream_against_brute_force(spark, tmp_path):
+    rows = random_rows(7, 300, 4, 3, 2500, 0.3)
+    frame = transactions(spark, rows)
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = with_watermark(spark.readStream.schema(frame.schema).parquet(str(tmp_path / "in")))
+    flagged = detectors.impossible_travel(stream, within_seconds=60)
+    finish(
+        append_to_table(
+            flagged, str(tmp_path / "t"), str(tmp_path / "cp"), "travel", available_now=True, state_partitions=3
+        )
+    )
+    newest = max(r["event_time"] for r in rows) - timedelta(minutes=2)
+    closed = {
+        i for i in brute_travel(rows, 60)
+        if rows[i]["event_time"].replace(second=0) + timedelta(minutes=1) <= newest
+    }
+    assert ids(spark.read.schema(flagged.schema).parquet(str(tmp_path / "t"))) == closed
+
+
+def test_rows_without_card_city_or_time_are_never_flagged(spark):
+    rows = [
+        {"event_time": at("00:00:01"), "city": "a", "amount": 1.0},
+        {"event_time": at("00:00:02"), "city": None, "amount": 1.0},
+        {"event_time": None, "city": "b", "amount": 1.0},
+        {"event_time": at("00:00:03"), "city": "b", "amount": 1.0, "card_id": None},
+        {"event_time": at("00:00:04"), "city": "a", "amount": 1.0},
+    ]
+    frame = transactions(spark, rows)
+    assert ids(detectors.impossible_travel(frame)) == set()
+    assert ids(detectors.card_testing(frame, min_count=2)) == {1, 4}
+
+
+def norms_of(spark, history, **options):
+    return detectors.save_norms(detectors.category_norms(history, **options), scratch_dir(spark, "norms"))
+
+
+def test_norms(spark):
+    frame = transactions(
+        spark,
+        [{"category": c, "amount": a} for c, a in [("fuel", 40.1), ("fuel", 60.2), ("fuel", 5.0), ("fuel", None),
+                                                   ("fuel", float("nan")), ("fuel", float("inf")), (None, 7.0)]],
+    )
+    rows = {r.category: r for r in detectors.category_norms(frame).collect()}
+    fuel = rows["fuel"]
+    assert (fuel.n, fuel.sum_amount, fuel.min_amount, fuel.max_amount) == (2, 100.3, 40.1, 60.2)
+    assert rows[None].n == 1
+
+
+def test_high_amount_limit_is_exact(spark):
+    """The mean is 10/3: factor 3 puts the limit at exactly 10, factor 2 between 6.66 and 6.67."""
+    history = transactions(spark, [{"category": "fuel", "amount": a} for a in (2.0, 3.0, 5.0)])
+    norms = norms_of(spark, history, min_amount=0.0)
+    probe = transactions(spark, [{"category": "fuel", "amount": a} for a in (10.0, 10.01, 6.66, 6.67, 1e300)])
+    assert ids(detectors.high_amounts(probe, norms, 3.0)) == {1, 4}
+    assert ids(detectors.high_amounts(probe, norms, 2.0)) == {0, 1, 3, 4}
+
+
+def test_high_amount_without_broadcast_gives_the_same(spark):
+    draw = random.Random(3)
+    frame = transactions(
+        spark, [{"category": draw.choice("aaab"), "amount": round(draw.uniform(1, 1000), 2)} for _ in range(300)]
+    )
+    norms = norms_of(spark, frame)
+    wanted = ids(detectors.high_amounts(frame, norms, 1.5))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert ids(detectors.high_amounts(frame, norms, 1.5)) == wanted != set()
+
+
+def simulated(seed=11):
+    """Legitimate rows and the three patterns, drawn from the ranges of the fixtures."""
+    draw = random.Random(seed)
+    ranges = {"groceries": (10, 120), "electronics": (100, 2000), "travel": (200, 3000), "entertainment": (20, 250)}
+    rows = []
+    for second in range(600):
+        category = draw.choice(list(ranges))
+        rows.append({
+            "card_id": f"card_{second % 100:04d}", "category": category, "city": f"city {second % 100 % 10}",
+            "amount": round(draw.uniform(*ranges[category]), 2), "event_time": DAY + timedelta(seconds=second),
+        })
+    late = DAY + timedelta(hours=2)
+    rows.append({"card_id": "card_0900", "category": "fuel", "city": "city 1", "amount": 9000.0, "event_time": late,
+                 "is_fraud": True, "fraud_type": "high_amount"})
+    rows += [{"category": "fuel", "card_id": "card_0901", "city": "city 1", "amount": 60.0, "event_time": late}] * 20
+    rows += [
+        {"card_id": "card_0902", "category": "entertainment", "city": f"city {draw.randrange(10)}",
+         "amount": round(draw.uniform(0.5, 5.0), 2), "event_time": late + timedelta(milliseconds=100 * i),
+         "is_fraud": True, "fraud_type": "card_testing"}
+        for i in range(8)
+    ]
+    for card, gap in (("card_0903", timedelta(minutes=3)), ("card_0904", timedelta(hours=3))):
+        rows.append({"card_id": card, "category": "groceries", "city": "city 3", "amount": 50.0, "event_time": late})
+        rows.append({"card_id": card, "category": "groceries", "city": "city 9", "amount": 50.0,
+                     "event_time": late + gap, "is_fraud": True, "fraud_type": "impossible_travel"})
+    return rows
+
+
+def test_detectors_find_their_patterns(spark):
+    rows = simulated()
+    frame = transactions(spark, rows)
+    of_type = {name: {i for i, r in enumerate(rows) if r.get("fraud_type") == name}
+               for name in ("high_amount", "card_testing", "impossible_travel")}
+
+    assert ids(detectors.high_amounts(frame, norms_of(spark, frame))) >= of_type["high_amount"]
+    # The first two of a burst cannot be told yet.
+    assert ids(detectors.card_testing(frame)) == set(sorted(of_type["card_testing"])[2:])
+    travel = ids(detectors.impossible_travel(frame))
+    near, far = sorted(of_type["impossible_travel"])
+    assert near in travel and far not in travel
+
+
+def test_probe_sessions_on_a_stream(spark, tmp_path):
+    frame = transactions(spark, simulated() + [{"amount": 1.0, "event_time": at("09:00:00")}])
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frame.schema).parquet(str(tmp_path / "in"))
+    sessions = detectors.probe_sessions(with_watermark(detectors.small_charges(stream)))
+    finish(append_to_table(sessions, str(tmp_path / "t"), str(tmp_path / "cp"), "probes", available_now=True))
+    (row,) = spark.read.schema(sessions.schema).parquet(str(tmp_path / "t")).collect()
+    assert (row.card_id, row.n_charges) == ("card_0902", 8)
+    assert utc(row.session_start) == DAY + timedelta(hours=2)
+    assert utc(row.session_end) == DAY + timedelta(hours=2, seconds=60.7)
+
+
+def test_home_city_ties_go_by_name(spark):
+    rows = [{"card_id": c, "city": city} for c, city in
+            [("a", "Recife"), ("a", "Manaus"), ("b", "Recife"), ("b", "Recife"), ("b", "Manaus"), ("b", None), ("c", None)]]
+    found = {r.card_id: (r.home_city, r.n) for r in detectors.card_home_city(transactions(spark, rows)).collect()}
+    assert found == {"a": ("Manaus", 1), "b": ("Recife", 2)}
+
+
+def test_confusion(spark):
+    labels = ["high_amount", "high_amount", "card_testing", None, None, None]
+    frame = transactions(spark, [{"fraud_type": t, "is_fraud": t is not None} for t in labels])
+    flagged = {
+        "high_amount": frame.where(F.col("transaction_id").isin("0", "2", "3")),
+        "impossible_travel": frame.where("false"),
+    }
+    rows = {r.detector: r.asDict() for r in detectors.detector_confusion(frame, flagged).collect()}
+    assert rows["high_amount"] == {
+        "detector": "high_amount", "tp": 1, "fp": 2, "fn": 1, "tn": 2,
+        "any_tp": 2, "any_fp": 1, "any_fn": 1, "any_tn": 2,
+    }
+    assert rows["impossible_travel"] == {
+        "detector": "impossible_travel", "tp": 0, "fp": 0, "fn": 0, "tn": 6,
+        "any_tp": 0, "any_fp": 0, "any_fn": 3, "any_tn": 3,
+    }

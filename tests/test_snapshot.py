@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import os
+from datetime import timedelta
+
+import pandas as pd
+import pytest
+
+from cardtide.operators.gold import windowed_gold
+from cardtide.operators.snapshot import one_per_window, snapshot, union_by_name
+from cardtide.schema import GOLD
+from cardtide.session import scratch_dir
+from cardtide.sources.events import as_transactions, read_events
+from cardtide.sources.gold import load_gold, scan_gold
+from cardtide.streaming.sinks import export_snapshot
+from tests.conftest import TESTDATA
+from tests.helpers import at, gold_rows, utc
+
+A = [("00:01:00", 5, 50.0), ("00:00:00", 3, 30.0)]
+
+
+def store(spark, path, rows):
+    gold_rows(spark, rows).coalesce(1).write.mode("append").parquet(str(path))
+
+
+def spoil(path):
+    with open(os.path.join(str(path), "part-bad.parquet"), "wb") as out:
+        out.write(b"PAR1 this is no parquet file")
+
+
+def summary(frame):
+    return [(utc(r.window_start), r.tx_count) for r in frame.collect()]
+
+
+def test_union_fills_missing_columns(spark):
+    full = gold_rows(spark, A)
+    both = union_by_name(full, full.drop("fraud_total"), full.select("window_start"))
+    assert both.count() == 6 and both.where("fraud_total IS NULL").count() == 4
+
+
+def test_equal_copies_become_one(spark):
+    gold = gold_rows(spark, A)
+    assert summary(snapshot(gold.union(gold))) == [(at("00:00:00"), 3), (at("00:01:00"), 5)]
+
+
+def test_the_fullest_copy_stays_whatever_the_order(spark):
+    low, high = gold_rows(spark, [("00:00:00", 3, 99.0)]), gold_rows(spark, [("00:00:00", 4, 10.0)])
+    for frame in (low.union(high), high.union(low)):
+        assert one_per_window(frame).first().tx_count == 4
+    more = gold_rows(spark, [("00:00:00", 4, 11.0)])
+    assert one_per_window(high.union(more).union(low)).first().total_amount == 11.0
+
+
+def test_copies_are_judged_by_start_and_end(spark):
+    gold = gold_rows(spark, [("00:00:00", 3, 30.0)])
+    longer = gold.withColumn("window_end", gold.window_end + timedelta(minutes=1))
+    assert one_per_window(gold.union(longer)).count() == 2
+
+
+def test_snapshot_of_doubled_gold_is_the_same(spark):
+    gold = windowed_gold(as_transactions(read_events(spark, f"{TESTDATA}/sf0.001")), minor_units=100)
+    assert snapshot(gold.union(gold)).collect() == snapshot(gold).collect()
+
+
+def test_load_prefers_the_live_folder(spark, tmp_path):
+    store(spark, tmp_path / "gold", A)
+    store(spark, tmp_path / "sample", [("00:09:00", 1, 1.0)])
+    rows = load_gold(spark, str(tmp_path / "gold"), str(tmp_path / "sample"))
+    assert summary(rows) == [(at("00:00:00"), 3), (at("00:01:00"), 5)]
+
+
+def test_load_falls_back_to_the_sample_then_to_nothing(spark, tmp_path):
+    store(spark, tmp_path / "sample", [("00:09:00", 1, 1.0)])
+    missing = str(tmp_path / "none")
+    assert summary(load_gold(spark, missing, str(tmp_path / "sample"))) == [(at("00:09:00"), 1)]
+    os.makedirs(tmp_path / "hollow")
+    assert summary(load_gold(spark, str(tmp_path / "hollow"), str(tmp_path / "sample"))) == [(at("00:09:00"), 1)]
+    for empty in (load_gold(spark, missing), load_gold(spark, missing, str(tmp_path / "none2"))):
+        assert empty.isEmpty() and empty.schema == GOLD
+
+
+def test_load_skips_unreadable_files(spark, tmp_path):
+    store(spark, tmp_path / "gold", A)
+    spoil(tmp_path / "gold")
+    assert len(summary(load_gold(spark, str(tmp_path / "gold")))) == 2
+
+
+def test_only_unreadable_files_mean_the_sample(spark, tmp_path):
+    os.makedirs(tmp_path / "gold")
+    spoil(tmp_path / "gold")
+    store(spark, tmp_path / "sample", [("00:09:00", 1, 1.0)])
+    assert len(summary(load_gold(spark, str(tmp_path / "gold"), str(tmp_path / "sample")))) == 1
+
+
+def test_a_folder_without_windows_yet_is_empty_gold(spark, tmp_path):
+    store(spark, tmp_path / "gold", [])
+    spoil(tmp_path / "gold")
+    store(spark, tmp_path / "sample", [("00:09:00", 1, 1.0)])
+    assert load_gold(spark, str(tmp_path / "gold"), str(tmp_path / "sample")).isEmpty()
+
+
+def test_a_sample_written_by_pandas(spark, tmp_path):
+    path = str(tmp_path / "windows.parquet")
+    start = pd.to_datetime(["2024-01-01 00:00:00.000001", "2024-01-01 00:01:00"], format="ISO8601").astype("datetime64[ns]")
+    frame = pd.DataFrame(
+        {
+            "window_start": start,
+            "window_end": start + pd.Timedelta(minutes=1),
+            "tx_count": [3, 5],
+            "total_amount": [30.0, 50.0],
+            "avg_amount": [10.0, 10.0],
+            "fraud_high_amount": [0, 0],
+            "fraud_card_testing": [0, 1],
+            "fraud_impossible_travel": [0, 0],
+            "fraud_total": [0, 1],
+        }
+    )
+    frame.to_parquet(path, index=False)
+    rows = load_gold(spark, str(tmp_path / "none"), path)
+    assert rows.schema == GOLD
+    assert summary(rows) == [(at("00:00:00.000001"), 3), (at("00:01:00"), 5)]
+
+
+def test_export_writes_one_sorted_file(spark, tmp_path):
+    for rows in (A, A, [("00:02:00", 7, 70.0)]):
+        store(spark, tmp_path / "gold", rows)
+    out = tmp_path / "sample"
+    for _ in range(2):  # the second run overwrites
+        report = export_snapshot(spark, str(tmp_path / "gold"), str(out))
+    files = [f for f in os.listdir(out) if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert report == {"windows": 3, "bytes": os.path.getsize(out / files[0])}
+    assert pd.read_parquet(out / files[0])["tx_count"].tolist() == [3, 5, 7]
+
+
+def test_export_beyond_the_limit_writes_every_window(spark, tmp_path):
+    rows = [(f"00:{i:02d}:00", i + 1, 1.0) for i in range(60)]
+    store(spark, tmp_path / "gold", rows)
+    report = export_snapshot(spark, str(tmp_path / "gold"), str(tmp_path / "out"), rows_per_file=20)
+    files = [f for f in os.listdir(tmp_path / "out") if f.endswith(".parquet")]
+    assert report["windows"] == 60 and len(files) == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 60
+
+
+def test_export_needs_gold(spark, tmp_path):
+    os.makedirs(tmp_path / "hollow")
+    for folder in ("none", "hollow"):
+        with pytest.raises(ValueError, match="no Gold data files"):
+            export_snapshot(spark, str(tmp_path / folder), str(tmp_path / "out"))
+
+
+def test_export_fails_on_unreadable_files(spark, tmp_path):
+    store(spark, tmp_path / "gold", A)
+    spoil(tmp_path / "gold")
+    with pytest.raises(Exception, match="part-bad"):
+        export_snapshot(spark, str(tmp_path / "gold"), str(tmp_path / "out"))
+
+
+def test_uncommitted_files_of_a_sink_are_not_read(spark, tmp_path):
+    source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
+    gold_rows(spark, A).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(GOLD).parquet(source)
+    query = (
+        stream.writeStream.format("parquet").option("path", sink)
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    extra = str(tmp_path / "extra")
+    gold_rows(spark, [("00:08:00", 1, 1.0)]).coalesce(1).write.parquet(extra)
+    part = next(f for f in os.listdir(extra) if f.endswith(".parquet"))
+    with open(os.path.join(extra, part), "rb") as f, open(os.path.join(sink, part), "wb") as out:
+        out.write(f.read())
+    assert scan_gold(spark, sink).count() == 2
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second
