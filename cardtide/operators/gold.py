@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from cardtide.functions.money import money_sum
 from cardtide.schema import FRAUD_TYPES, GOLD, WATERMARK, WINDOW
 
+# The payload fields that Gold is made of.
+GOLD_INPUT = ("amount", "timestamp", "is_fraud", "fraud_type")
+
 
 def with_watermark(transactions: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return transactions.withWatermark("event_time", delay)

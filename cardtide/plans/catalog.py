@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardtide.functions.codec import decode_payload, encode_payload
 from cardtide.operators import detectors, panels
-from cardtide.operators.gold import windowed_gold, with_watermark
+from cardtide.operators.gold import GOLD_INPUT, windowed_gold, with_watermark
 from cardtide.operators.snapshot import union_by_name
 from cardtide.schema import BRONZE, FRAUD_TYPES, GOLD, PAYLOAD
 from cardtide.session import configure, scratch_dir, settings
@@ -79,11 +79,12 @@ def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = encode_payload(_transactions(spark, sf_dir))
-    text = events.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    fields = {name: F.get_json_object("value", f"$.{name}") for name in PAYLOAD.fieldNames()}
+    names = PAYLOAD.fieldNames()
+    fields = F.json_tuple(F.col("value").cast("string"), *names).alias(*names)
     # Text of a DOUBLE is not portable, its value is.
-    fields["amount"] = fields["amount"].cast("double")
-    return text.select("key", *[column.alias(name) for name, column in fields.items()])
+    return events.select(F.col("key").cast("string").alias("key"), fields).withColumn(
+        "amount", F.col("amount").cast("double")
+    )
 
 
 def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +96,7 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_gold_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "gold")
-    transactions = decode_payload(encode_payload(_stream(spark, sf_dir)))
+    transactions = decode_payload(encode_payload(_stream(spark, sf_dir)), GOLD_INPUT)
     finish(
         start_gold(
             windowed_gold(with_watermark(transactions), minor_units=CENTS),

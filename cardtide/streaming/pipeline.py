@@ -1,4 +1,4 @@
-"""The whole stream job: decode once in the plan, land Bronze and Gold as independent queries."""
+"""The whole stream job: Bronze and Gold as independent queries over one event log."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cardtide.functions.codec import decode_payload
-from cardtide.operators.gold import windowed_gold, with_watermark
+from cardtide.operators.gold import GOLD_INPUT, windowed_gold, with_watermark
 from cardtide.schema import WATERMARK, WINDOW
 from cardtide.session import configure
 from cardtide.sources.transactions import FolderSource, KafkaSource, read_transactions
@@ -33,12 +33,13 @@ def run_pipeline(
     per open window, which is why few state partitions do; size them once, before the first start.
     """
     configure(spark)
-    transactions = decode_payload(read_transactions(spark, source))
-    gold = windowed_gold(with_watermark(transactions, delay), window, minor_units=minor_units)
+    events = read_transactions(spark, source)
+    timed = with_watermark(decode_payload(events, GOLD_INPUT), delay)
+    gold = windowed_gold(timed, window, minor_units=minor_units)
     root = data_dir.rstrip("/")
     queries = [
         start_bronze(
-            transactions,
+            decode_payload(events),
             f"{root}/bronze",
             f"{root}/_checkpoints/bronze",
             available_now=available_now,

@@ -102,3 +102,17 @@ def test_round_trip(spark):
     )
     back = decode_payload(encode_payload(frame)).drop("timestamp")
     assert sorted(map(str, back.collect())) == sorted(map(str, frame.drop("timestamp").collect()))
+
+
+def test_fewer_fields_are_the_same_fields(spark):
+    values = [event("00:00:07"), "not json", event("00:00:08", amount="oops"), None, '{"amount": 1, "timest']
+    frame = spark.createDataFrame([(v,) for v in values], "value STRING")
+    few = decode_payload(frame, ("amount", "timestamp"))
+    assert few.columns == ["amount", "timestamp", "event_time"]
+    assert few.collect() == decode_payload(frame).select(*few.columns).collect()
+
+
+def test_an_object_is_parsed_once(spark):
+    frame = spark.createDataFrame([(event("00:00:07"),)], "value STRING")
+    gold = windowed_gold(decode_payload(frame))
+    assert gold._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
