@@ -154,7 +154,7 @@ def probe_sessions(charges: DataFrame, *, min_count: int = 3, gap_seconds: int =
 # -- impossible travel -------------------------------------------------------------------------
 
 
-def impossible_travel(transactions: DataFrame, *, within_seconds: int = 600, copies: int = 4) -> DataFrame:
+def impossible_travel(transactions: DataFrame, *, within_seconds: int = 600) -> DataFrame:
     """Transactions preceded, on the same card and within the interval, by one in a different city.
 
     Time is cut into slices as long as the interval. A row is flagged if its slice has an earlier
@@ -167,14 +167,16 @@ def impossible_travel(transactions: DataFrame, *, within_seconds: int = 600, cop
     closed.
     """
     complete = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
-    travel = _streamed_bounds if transactions.isStreaming else _batch_bounds
-    rows, bounds = travel(complete, int(within_seconds))
+    streaming = transactions.isStreaming
+    rows, bounds = (_streamed_bounds if streaming else _batch_bounds)(complete, int(within_seconds))
     verdicts = (
         bounds.withColumn("_until", F.col("_until") + _seconds(within_seconds))
         .where((F.col("last_own") > F.col("_after")) | (F.col("first_own") <= F.col("_until")))
         .select("card_id", "span", "city", "_after", "_until")
     )
     instant = F.col("event_time")
+    # Nothing splits a hot key of a stream any further, so it is spread wider from the start.
+    copies = 16 if streaming else 4
     return (
         join_spread(rows, verdicts, ["card_id", "span", "city"], _SPREAD, copies)
         .where((instant > F.col("_after")) | (instant <= F.col("_until")))

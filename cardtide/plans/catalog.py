@@ -12,7 +12,7 @@ from cardtide.operators import detectors, panels
 from cardtide.operators.gold import GOLD_INPUT, windowed_gold, with_watermark
 from cardtide.operators.snapshot import union_by_name
 from cardtide.schema import BRONZE, FRAUD_TYPES, GOLD, PAYLOAD
-from cardtide.session import configure, scratch_dir, settings
+from cardtide.session import configure, scratch_dir
 from cardtide.sources.events import as_transactions, read_events, stream_events
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource
@@ -54,7 +54,7 @@ def _state_partitions(spark: SparkSession) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
 
 
-def _landed(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+def _landed(spark: SparkSession, rows: DataFrame, name: str, rocksdb: bool = False) -> DataFrame:
     """Run a bounded stream into a table of its own and read the table."""
     root = scratch_dir(spark, name)
     finish(
@@ -65,6 +65,7 @@ def _landed(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
             name,
             available_now=True,
             state_partitions=_state_partitions(spark),
+            rocksdb=rocksdb,
         )
     )
     return _plain(spark.read.schema(rows.schema).parquet(f"{root}/table"))
@@ -250,15 +251,13 @@ def stream_probe_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = detectors.probe_sessions(
         charges, min_count=CARD_TESTING["min_count"], gap_seconds=CARD_TESTING["within_seconds"]
     )
-    # Sessions of one card are merged within each task before they are shuffled.
-    merge_early = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
-    with settings(spark, merge_early):
-        return _landed(spark, sessions, "stream_probe_sessions")
+    return _landed(spark, sessions, "stream_probe_sessions")
 
 
 def stream_impossible_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = detectors.impossible_travel(with_watermark(_stream(spark, sf_dir)), **TRAVEL)
-    return _landed(spark, rows.select(*DETECTED), "stream_impossible_travel")
+    # This state holds rows until their slice closes, so it has to be able to leave the heap.
+    return _landed(spark, rows.select(*DETECTED), "stream_impossible_travel", rocksdb=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -56,8 +56,8 @@ def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int | None = None
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     table = f"{sf_dir}/events.parquet"
-    files = read_events(spark, sf_dir).inputFiles()
-    if len(files) == 1 and files[0].endswith("/events.parquet"):
+    file = read_events(spark, sf_dir).select("_metadata.file_path").first()
+    if file is not None and file[0].endswith("/events.parquet"):
         # A file stream watches folders, so a single file is picked out of its parent.
         events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     else:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -11,6 +11,16 @@ from cardtide.operators.snapshot import snapshot
 from cardtide.schema import GOLD
 
 
+def _scan(reader: DataFrameReader, path: str) -> DataFrame | None:
+    try:
+        return reader.parquet(path)
+    except AnalysisException as missing:
+        # Missing altogether, or (when the schema comes from the files) nothing readable in it.
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def scan_gold(spark: SparkSession, gold_dir: str, *, skip_unreadable: bool = False) -> DataFrame | None:
     """All rows of a Gold folder, or None when it is missing or holds no data files.
 
@@ -18,23 +28,23 @@ def scan_gold(spark: SparkSession, gold_dir: str, *, skip_unreadable: bool = Fal
     and leaves out files of a failed batch.
     """
     reader = spark.read.schema(GOLD).option("ignoreCorruptFiles", str(skip_unreadable).lower())
-    try:
-        rows = reader.parquet(gold_dir)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return rows if rows.inputFiles() else None
+    rows = _scan(reader, gold_dir)
+    if rows is None or (rows.isEmpty() and not rows.inputFiles()):
+        return None
+    return rows
+
+
+def _any_readable(spark: SparkSession, gold_dir: str) -> bool:
+    """Whether at least one file has a readable footer; the footers are read by a Spark job."""
+    reader = spark.read.options(mergeSchema="true", ignoreCorruptFiles="true")
+    return _scan(reader, gold_dir) is not None
 
 
 def scan_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     """A snapshot file or folder written by Spark or by pandas, or None when there is none."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    rows = _scan(spark.read, path)
+    if rows is None:
+        return None
     columns = []
     for wanted in GOLD:
         if wanted.name not in rows.columns:
@@ -48,14 +58,6 @@ def scan_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     return rows.select(*columns)
 
 
-def _readable(spark: SparkSession, file: str) -> bool:
-    try:
-        spark.read.parquet(file)
-    except Exception:  # whatever is wrong with the file, it does not count
-        return False
-    return True
-
-
 def load_gold(spark: SparkSession, gold_dir: str, sample_path: str | None = None) -> DataFrame:
     """Gold for monitoring: the live folder, else the snapshot, else an empty table.
 
@@ -63,9 +65,7 @@ def load_gold(spark: SparkSession, gold_dir: str, sample_path: str | None = None
     read; a folder that merely has no windows yet is an empty Gold.
     """
     live = scan_gold(spark, gold_dir, skip_unreadable=True)
-    if live is not None and (
-        not live.isEmpty() or any(_readable(spark, file) for file in live.inputFiles())
-    ):
+    if live is not None and (not live.isEmpty() or _any_readable(spark, gold_dir)):
         return snapshot(live)
     sample = None if sample_path is None else scan_snapshot(spark, sample_path)
     if sample is not None:

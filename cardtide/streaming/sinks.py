@@ -24,11 +24,14 @@ def _started(
     rocksdb: bool,
 ) -> StreamingQuery:
     """Start with the state settings a query keeps for life (they go into its checkpoint)."""
-    values = {}
+    # Sessions of one key are merged within each task before they are shuffled.
+    values = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
     if state_partitions is not None:
         values["spark.sql.shuffle.partitions"] = str(state_partitions)
     if rocksdb:
         values["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+        # Write the changes of a batch, not a copy of the whole state.
+        values["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     if available_now:
         writer = writer.trigger(availableNow=True)
     with settings(spark, values):

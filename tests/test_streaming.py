@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from cardtide.functions.codec import decode_payload
@@ -14,7 +14,7 @@ from cardtide.sources.events import as_transactions, read_events, stream_events
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource, KafkaSource, read_transactions
 from cardtide.streaming.pipeline import run_pipeline
-from cardtide.streaming.sinks import append_to_table, finish, start_console, start_gold
+from cardtide.streaming.sinks import append_to_table, finish, publish, start_console, start_gold
 from tests.conftest import TESTDATA
 from tests.helpers import at, drop_file, event, utc
 
@@ -226,6 +226,14 @@ def test_kafka_options():
     }
 
 
+def test_publishing_goes_to_the_broker_connector(spark):
+    """The connector is not installed here, so this only shows that it is what is asked for."""
+    with pytest.raises(AnalysisException, match="kafka"):
+        publish(as_transactions(read_events(spark, f"{TESTDATA}/sf0.001")), "host:9092")
+    with pytest.raises(AnalysisException, match="kafka"):
+        read_transactions(spark, KafkaSource("host:9092"))
+
+
 def test_console_needs_no_checkpoint(spark, tmp_path):
     drop_file(tmp_path / "log", 0, [event("00:00:10"), event("00:05:00")])
     rows = decode_payload(read_transactions(spark, FolderSource(str(tmp_path / "log"), "text")))
