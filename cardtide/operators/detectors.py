@@ -1,9 +1,10 @@
 """Behavioural detectors for the three fraud patterns. None of them looks at the labels.
 
 Every detector returns the flagged transactions, one row each, with all their columns. Amounts are
-money with two decimals. No detector gathers all rows of a card, or pairs rows with each other:
-what decides about a row is first reduced to a summary of fixed size per card and time slice, by
-aggregates that combine map-side, and the rows then meet that summary in a spread join.
+money with two decimals. Rows are never paired with each other. Cards with few rows are looked at in
+time order, one shuffle in all. Cards with more than ``heavy`` rows are never gathered in one task:
+for them, what decides about a row is first reduced to a summary of fixed size per card and time
+slice, by aggregates that combine map-side, and the rows then meet that summary in a spread join.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardtide.functions.money import money_sum
-from cardtide.operators.joins import join_spread
+from cardtide.operators.skew import join_spread, split_heavy
+
+# Rows of one card that one task may be asked to put in order.
+HEAVY = 1_000_000
 
 _CENTS = 100
 _SPREAD = ("transaction_id", "event_time")
@@ -75,25 +79,46 @@ def high_amounts(transactions: DataFrame, norms: DataFrame, factor: float = 2.0)
 
 
 def card_testing(
-    transactions: DataFrame, *, max_amount: float = 5.0, min_count: int = 3, within_seconds: int = 60
+    transactions: DataFrame,
+    *,
+    max_amount: float = 5.0,
+    min_count: int = 3,
+    within_seconds: int = 60,
+    heavy: int = HEAVY,
 ) -> DataFrame:
-    """Small charges that are at least the ``min_count``-th on their card within the trailing interval.
+    """Small charges that are at least the ``min_count``-th on their card within the trailing interval."""
+    placed = small_charges(transactions, max_amount).where(
+        F.col("card_id").isNotNull() & F.col("event_time").isNotNull()
+    )
+    light_rows, heavy_rows = split_heavy(placed, "card_id", heavy)
+    found = _reaching(light_rows, ["card_id"], min_count, within_seconds).select(*transactions.columns)
+    if heavy_rows is not None:
+        busy = _reaching_by_slice(heavy_rows, min_count, within_seconds)
+        found = found.unionByName(busy.select(*transactions.columns))
+    return found
+
+
+def _reaching(rows: DataFrame, key: list[str], min_count: int, seconds: int) -> DataFrame:
+    """Rows with at least ``min_count - 1`` others of their key in the interval up to their instant."""
+    in_order = Window.partitionBy(*key).orderBy("event_time")
+    reached = F.lag("event_time", min_count - 1).over(in_order) >= F.col("event_time") - _seconds(seconds)
+    # Rows of one instant share a verdict: that of the last of them.
+    shared = F.max("_reached").over(Window.partitionBy(*key, "event_time"))
+    return rows.withColumn("_reached", reached).withColumn("_shared", shared).where(F.col("_shared"))
+
 
-    Time is cut into slices as long as the interval. From the ``min_count``-th small charge of a
-    slice on, all are flagged; only the few before it have to look back, and they only ever need the
-    last few of the slice before. So each card and slice is first reduced to its ``min_count``
-    earliest and ``min_count - 1`` latest instants (a ranked limit, applied before the shuffle too).
+def _reaching_by_slice(rows: DataFrame, min_count: int, seconds: int) -> DataFrame:
+    """The same for cards of any size.
+
+    Time is cut into slices as long as the interval. From the ``min_count``-th row of a slice on, all
+    are flagged; only the few before it have to look back, and they only ever need the last few of
+    the slice before. So each card and slice is first reduced to its ``min_count`` earliest and
+    ``min_count - 1`` latest instants (a ranked limit, applied before the shuffle too).
     """
-    instant = F.col("event_time")
-    slices = F.window(instant, f"{int(within_seconds)} seconds")["start"]
-    small = (
-        small_charges(transactions, max_amount)
-        .where(F.col("card_id").isNotNull() & instant.isNotNull())
-        .withColumn("_slice", slices)
-    )
     key = ["card_id", "_slice"]
-
-    points = small.select(*key, "event_time")
+    instant = F.col("event_time")
+    sliced = rows.withColumn("_slice", F.window("event_time", f"{int(seconds)} seconds")["start"])
+    points = sliced.select(*key, "event_time")
     early = Window.partitionBy(*key).orderBy("event_time")
     late = Window.partitionBy(*key).orderBy(F.desc("event_time"))
     edges = points.withColumn("rank", F.row_number().over(early)).where(F.col("rank") <= min_count)
@@ -101,17 +126,12 @@ def card_testing(
         tails = (
             points.withColumn("rank", F.row_number().over(late))
             .where(F.col("rank") < min_count)
-            .select("card_id", (F.col("_slice") + _seconds(within_seconds)).alias("_slice"), "event_time")
+            .select("card_id", (F.col("_slice") + _seconds(seconds)).alias("_slice"), "event_time")
         )
         edges = edges.unionByName(tails, allowMissingColumns=True)
-
-    # Rows of one instant share a verdict: that of the last of them.
-    reached = F.lag("event_time", min_count - 1).over(early) >= instant - _seconds(within_seconds)
-    flagged = F.max("reached").over(Window.partitionBy(*key, "event_time"))
     verdicts = (
-        edges.withColumn("reached", reached)
-        .withColumn("flagged", flagged)
-        .where(F.col("flagged") & F.col("rank").isNotNull())
+        _reaching(edges, key, min_count, seconds)
+        .where(F.col("rank").isNotNull())
         .groupBy(*key)
         .agg(
             F.min(F.when(F.col("rank") == min_count, instant)).alias("_all_from"),
@@ -119,10 +139,8 @@ def card_testing(
             F.collect_set(F.when(F.col("rank") < min_count, instant)).alias("_single"),
         )
     )
-    return (
-        join_spread(small, verdicts, key, _SPREAD)
-        .where((instant >= F.col("_all_from")) | F.array_contains("_single", instant))
-        .select(*transactions.columns)
+    return join_spread(sliced, verdicts, key, _SPREAD).where(
+        (instant >= F.col("_all_from")) | F.array_contains("_single", instant)
     )
 
 
@@ -154,41 +172,72 @@ def probe_sessions(charges: DataFrame, *, min_count: int = 3, gap_seconds: int =
 # -- impossible travel -------------------------------------------------------------------------
 
 
-def impossible_travel(transactions: DataFrame, *, within_seconds: int = 600) -> DataFrame:
+def impossible_travel(
+    transactions: DataFrame, *, within_seconds: int = 600, heavy: int = HEAVY
+) -> DataFrame:
     """Transactions preceded, on the same card and within the interval, by one in a different city.
 
-    Time is cut into slices as long as the interval. A row is flagged if its slice has an earlier
-    row in another city, or the slice before has one recent enough. So per card, slice and city it
-    is enough to know the first other city in the slice (rows after it are flagged) and the last
-    other city in the slice before (rows up to one interval after it are flagged). Only cities with
-    a flagged row are kept to meet the rows.
-
-    A stream needs a watermark on ``event_time``; there, a flagged row comes out when its slice has
-    closed.
+    A stream needs a watermark on ``event_time``; there, a flagged row comes out when the time slice
+    it is in has closed, and ``heavy`` has no meaning.
     """
+    seconds = int(within_seconds)
     complete = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
-    streaming = transactions.isStreaming
-    rows, bounds = (_streamed_bounds if streaming else _batch_bounds)(complete, int(within_seconds))
+    if transactions.isStreaming:
+        # Nothing splits a hot key of a stream any further, so it is spread wider from the start.
+        found = _meet(*_streamed_bounds(complete, seconds), seconds, copies=16)
+        return found.select(*transactions.columns)
+    timed = complete.where(F.col("event_time").isNotNull())
+    light_rows, heavy_rows = split_heavy(timed, "card_id", heavy)
+    found = _moved(light_rows, seconds).select(*transactions.columns)
+    if heavy_rows is not None:
+        busy = _meet(*_batch_bounds(heavy_rows, seconds), seconds, copies=4)
+        found = found.unionByName(busy.select(*transactions.columns))
+    return found
+
+
+def _moved(rows: DataFrame, seconds: int) -> DataFrame:
+    """Rows whose card was in another city within the interval, found in one pass in time order."""
+    in_order = Window.partitionBy("card_id").orderBy("event_time", "city")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_front = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    instant, city, before = F.col("event_time"), F.col("city"), F.col("_before")
+    # When the card was last elsewhere, at each change of city.
+    left = F.when(before["city"] != city, before["event_time"])
+    # What the first row of an instant sees in front of it holds for all rows of that instant,
+    # so that rows of one instant do not count against each other.
+    first = before["event_time"].isNull() | (before["event_time"] < instant)
+    seen = F.struct(before["event_time"].alias("at"), before["city"].alias("city"), "_left_before")
+    elsewhere = F.when(F.col("_seen.city") != city, F.col("_seen.at")).otherwise(F.col("_seen._left_before"))
+    return (
+        rows.withColumn("_before", F.lag(F.struct("event_time", "city")).over(in_order))
+        .withColumn("_left_before", F.last(left, ignorenulls=True).over(in_front))
+        .withColumn("_seen", F.last(F.when(first, seen), ignorenulls=True).over(so_far))
+        .where(elsewhere >= instant - _seconds(seconds))
+    )
+
+
+def _meet(rows: DataFrame, bounds: DataFrame, seconds: int, copies: int) -> DataFrame:
+    """Rows flagged by the bounds of their card, slice and city.
+
+    Time is cut into slices as long as the interval. A row is flagged if its slice has an earlier
+    row in another city, or the slice before has one recent enough. So it is enough to know the first
+    other city in the slice (rows after it are flagged) and the last other city in the slice before
+    (rows up to one interval after it are flagged). Only cities with a flagged row meet the rows.
+    """
     verdicts = (
-        bounds.withColumn("_until", F.col("_until") + _seconds(within_seconds))
+        bounds.withColumn("_until", F.col("_until") + _seconds(seconds))
         .where((F.col("last_own") > F.col("_after")) | (F.col("first_own") <= F.col("_until")))
         .select("card_id", "span", "city", "_after", "_until")
     )
     instant = F.col("event_time")
-    # Nothing splits a hot key of a stream any further, so it is spread wider from the start.
-    copies = 16 if streaming else 4
-    return (
-        join_spread(rows, verdicts, ["card_id", "span", "city"], _SPREAD, copies)
-        .where((instant > F.col("_after")) | (instant <= F.col("_until")))
-        .select(*transactions.columns)
+    return join_spread(rows, verdicts, ["card_id", "span", "city"], _SPREAD, copies).where(
+        (instant > F.col("_after")) | (instant <= F.col("_until"))
     )
 
 
 def _batch_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their slice, and per card, slice and city the bounds set by the other cities."""
-    rows = transactions.where(F.col("event_time").isNotNull()).withColumn(
-        "span", F.window("event_time", f"{seconds} seconds")["start"]
-    )
+    rows = transactions.withColumn("span", F.window("event_time", f"{seconds} seconds")["start"])
     visits = rows.groupBy("card_id", "span", "city").agg(
         F.min("event_time").alias("first_own"), F.max("event_time").alias("last_own")
     )

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of all rows."""
+"""Work that stays balanced when one key holds a large share of all rows."""
 
 from __future__ import annotations
 
@@ -7,6 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardtide.session import scratch_dir
+
+
+def split_heavy(rows: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of keys with at most ``limit`` rows, and the others (None when there are none).
+
+    Counting combines map-side. There can be no more heavy keys than rows divided by ``limit``; they
+    are written as a table, so the planner knows their size when it joins with them.
+    """
+    heavy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(key)
+    path = scratch_dir(rows.sparkSession, "heavy-keys")
+    heavy.write.parquet(path)
+    keys = rows.sparkSession.read.schema(heavy.schema).parquet(path)
+    if keys.isEmpty():
+        return rows, None
+    return rows.join(keys, key, "left_anti"), rows.join(keys, key, "left_semi")
+
 
 def join_spread(
     rows: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Sequence[str], copies: int = 4

@@ -156,15 +156,13 @@ def gold_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold written twice into one folder, consolidated, and read back through the fallback."""
+    """A Gold folder holding every window twice, consolidated and read back through the fallback."""
     root = scratch_dir(spark, "snapshot")
     gold = gold_1m(spark, sf_dir)
     stored = gold.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")})
-    stored.write.mode("append").parquet(f"{root}/gold")
-    # The second copy is the first one's files read and appended again.
-    first = spark.read.schema(GOLD).parquet(f"{root}/gold")
-    first.write.parquet(f"{root}/copy")
-    spark.read.schema(GOLD).parquet(f"{root}/copy").write.mode("append").parquet(f"{root}/gold")
+    stored.write.parquet(f"{root}/once")
+    once = spark.read.schema(GOLD).parquet(f"{root}/once")
+    once.unionByName(once).write.parquet(f"{root}/gold")
     export_snapshot(spark, f"{root}/gold", f"{root}/sample")
     return _plain(load_gold(spark, f"{root}/none", f"{root}/sample"))
 

@@ -59,11 +59,12 @@ def brute_travel(rows, seconds):
 @pytest.mark.parametrize("seed, n, cards, seconds, hot", [
     (1, 300, 5, 2000, 0.0), (2, 300, 2, 300, 0.4), (3, 300, 40, 5000, 0.3), (4, 200, 1, 30, 1.0), (5, 250, 3, 900, 0.3),
 ])
-def test_card_testing_against_brute_force(spark, seed, n, cards, seconds, hot):
+@pytest.mark.parametrize("heavy", [0, 60, 1_000_000])
+def test_card_testing_against_brute_force(spark, seed, n, cards, seconds, hot, heavy):
     rows = random_rows(seed, n, cards, 3, seconds, hot)
     frame = transactions(spark, rows)
     for min_count, within in ((1, 10), (2, 10), (3, 60), (5, 60)):
-        found = detectors.card_testing(frame, min_count=min_count, within_seconds=within)
+        found = detectors.card_testing(frame, min_count=min_count, within_seconds=within, heavy=heavy)
         assert ids(found) == brute_card_testing(rows, 5.0, min_count, within), (min_count, within)
 
 
@@ -71,11 +72,13 @@ def test_card_testing_against_brute_force(spark, seed, n, cards, seconds, hot):
     (1, 300, 5, 3, 3000, 0.0), (2, 300, 2, 2, 400, 0.4), (3, 300, 40, 10, 5000, 0.3),
     (4, 200, 1, 4, 40, 1.0), (5, 250, 3, 1, 900, 0.3), (6, 250, 4, 2, 6000, 0.3),
 ])
-def test_impossible_travel_against_brute_force(spark, seed, n, cards, cities, seconds, hot):
+@pytest.mark.parametrize("heavy", [0, 60, 1_000_000])
+def test_impossible_travel_against_brute_force(spark, seed, n, cards, cities, seconds, hot, heavy):
     rows = random_rows(seed, n, cards, cities, seconds, hot)
     frame = transactions(spark, rows)
     for within in (10, 60, 600):
-        assert ids(detectors.impossible_travel(frame, within_seconds=within)) == brute_travel(rows, within), within
+        found = detectors.impossible_travel(frame, within_seconds=within, heavy=heavy)
+        assert ids(found) == brute_travel(rows, within), within
 
 
 def test_travel_on_a_stream_against_brute_force(spark, tmp_path):

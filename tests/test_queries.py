@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cardtide.operators import detectors
 from cardtide.operators.gold import windowed_gold
 from cardtide.session import settings
 from cardtide.sources.events import as_transactions, read_events
@@ -97,20 +98,35 @@ def test_small_norms_are_broadcast_by_their_known_size(spark):
         assert "SortMergeJoin" in plan(entry.queries()["detect_high_amount"](spark, SF))
 
 
+def test_light_cards_take_one_shuffle(spark):
+    for key in ("detect_card_testing", "detect_impossible_travel"):
+        text = plan(entry.queries()[key](spark, SF))
+        assert text.count("Exchange") == 1 and "Join" not in text
+
+
+# Every card counts as heavy.
+HEAVY = {
+    "card_testing": lambda tx: detectors.card_testing(tx, min_count=2, heavy=0),
+    "impossible_travel": lambda tx: detectors.impossible_travel(tx, heavy=0),
+}
+
+
 def test_card_testing_limits_groups_before_the_shuffle(spark):
-    text = plan(entry.queries()["detect_card_testing"](spark, SF))
+    text = plan(HEAVY["card_testing"](as_transactions(read_events(spark, SF))))
     assert text.count("row_number(), 2, Partial") == 1 and text.count("row_number(), 1, Partial") == 1
     assert "LessThanOrEqual(value,5.0)" in text
 
 
-@pytest.mark.parametrize("key", ["detect_card_testing", "detect_impossible_travel"])
-def test_a_hot_key_can_be_split_by_adaptive_execution(spark, key):
+@pytest.mark.parametrize("name", HEAVY)
+def test_a_hot_key_can_be_split_by_adaptive_execution(spark, name):
     """Both sides of the join must be an exchange and a sort, nothing else."""
+    tx = as_transactions(read_events(spark, SF))
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        lines = plan(entry.queries()[key](spark, SF)).splitlines()
-    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
-    depth = lines[join].index("SortMergeJoin")
-    children = [i for i in range(join + 1, len(lines)) if lines[i][depth : depth + 3] in (":- ", "+- ")][:2]
+        lines = plan(HEAVY[name](tx)).splitlines()
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line and "_part" in line]
+    assert len(joins) == 1
+    depth = lines[joins[0]].index("SortMergeJoin")
+    children = [i for i in range(joins[0] + 1, len(lines)) if lines[i][depth : depth + 3] in (":- ", "+- ")][:2]
     for child in children:
         assert "Sort [card_id" in lines[child]
         assert "Exchange hashpartitioning(card_id" in lines[child + 1] and "_part" in lines[child + 1]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cardtide.operators import detectors
 from cardtide.operators.gold import windowed_gold
+from cardtide.operators.skew import join_spread
 from cardtide.session import settings
 from cardtide.sources.events import as_transactions, read_events
 from tests.conftest import TESTDATA
@@ -17,10 +18,11 @@ N_COPIES = 12
 
 # Small thresholds make these few rows look to the planner as terabytes do to the default ones.
 AS_IF_LARGE = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "8k",  # room for the list of heavy cards, no more
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.shuffle.partitions": "16",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
 }
 
@@ -50,20 +52,37 @@ def as_written(frame, path):
     return f"SELECT transaction_id FROM '{path}/*.parquet'"
 
 
-def was_split(frame):
-    """Whether a join of the plan that wrote the frame was split; the plan is final after the write."""
+def joins_on_parts(frame):
+    """The joins of rows with summaries in the plan that ran; it is final after an action."""
     summed = frame.agg(F.sum(F.xxhash64(*frame.columns).cast("decimal(38,0)")))
     summed.collect()
-    return "SortMergeJoin(skew=true)" in summed._jdf.queryExecution().executedPlan().toString()
+    final = summed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "_part" in line and "Join" in line]
+
+
+def assert_balanced(frame):
+    """No task has to read all rows of the hot card: split, or read where they lie."""
+    (join,) = joins_on_parts(frame)
+    assert "SortMergeJoin(skew=true)" in join or "BroadcastHashJoin" in join
+
+
+def test_hot_key_of_a_spread_join_is_split(spark, hot):
+    rows = as_transactions(read_events(spark, hot))
+    lookup = rows.groupBy("card_id").agg(F.max("amount").alias("most"))
+    with settings(spark, {**AS_IF_LARGE, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        joined = join_spread(rows, lookup, ["card_id"], ["transaction_id"])
+        assert joined.count() == 10_000 * N_COPIES
+        (join,) = joins_on_parts(joined)
+        assert "SortMergeJoin(skew=true)" in join
 
 
 def test_hot_card_in_card_testing(spark, hot, tmp_path):
     with settings(spark, AS_IF_LARGE):
         found = detectors.card_testing(
-            as_transactions(read_events(spark, hot)), min_count=3, within_seconds=3600
+            as_transactions(read_events(spark, hot)), min_count=3, within_seconds=3600, heavy=1000
         )
         out = as_written(found, str(tmp_path / "o"))
-        assert was_split(found)
+        assert_balanced(found)
     wanted = f"""
         SELECT transaction_id FROM (
             SELECT CAST(event_id AS VARCHAR) AS transaction_id, COUNT(*) OVER (
@@ -77,9 +96,9 @@ def test_hot_card_in_card_testing(spark, hot, tmp_path):
 def test_hot_card_in_impossible_travel(spark, hot, tmp_path):
     tx = as_transactions(read_events(spark, hot))
     with settings(spark, AS_IF_LARGE):
-        found = detectors.impossible_travel(tx, within_seconds=600)
+        found = detectors.impossible_travel(tx, within_seconds=600, heavy=1000)
         out = as_written(found, str(tmp_path / "o"))
-        assert was_split(found)
+        assert_balanced(found)
     places = str(tmp_path / "places")
     tx.select("transaction_id", "card_id", "city", "event_time").write.parquet(places)
     # Latest earlier instant in another city, by one ordered pass per city.
