@@ -59,7 +59,7 @@ def brute_travel(rows, seconds):
 @pytest.mark.parametrize("seed, n, cards, seconds, hot", [
     (1, 300, 5, 2000, 0.0), (2, 300, 2, 300, 0.4), (3, 300, 40, 5000, 0.3), (4, 200, 1, 30, 1.0), (5, 250, 3, 900, 0.3),
 ])
-@pytest.mark.parametrize("heavy", [0, 60, 1_000_000])
+@pytest.mark.parametrize("heavy", [0, 60])
 def test_card_testing_against_brute_force(spark, seed, n, cards, seconds, hot, heavy):
     rows = random_rows(seed, n, cards, 3, seconds, hot)
     frame = transactions(spark, rows)
@@ -72,7 +72,7 @@ def test_card_testing_against_brute_force(spark, seed, n, cards, seconds, hot, h
     (1, 300, 5, 3, 3000, 0.0), (2, 300, 2, 2, 400, 0.4), (3, 300, 40, 10, 5000, 0.3),
     (4, 200, 1, 4, 40, 1.0), (5, 250, 3, 1, 900, 0.3), (6, 250, 4, 2, 6000, 0.3),
 ])
-@pytest.mark.parametrize("heavy", [0, 60, 1_000_000])
+@pytest.mark.parametrize("heavy", [0, 60])
 def test_impossible_travel_against_brute_force(spark, seed, n, cards, cities, seconds, hot, heavy):
     rows = random_rows(seed, n, cards, cities, seconds, hot)
     frame = transactions(spark, rows)
