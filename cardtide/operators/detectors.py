@@ -66,8 +66,10 @@ def high_amounts(transactions: DataFrame, norms: DataFrame, factor: float = 2.0)
     cents = F.rint(F.col("sum_amount") * _CENTS).try_cast("decimal(30,0)")
     scaled = cents * F.lit(Decimal(str(factor)))
     exact = F.call_function("div", scaled, F.col("n").cast("decimal(20,0)")) / F.lit(float(_CENTS))
+    # Beyond what whole cents can hold, a limit is as good as the doubles it comes from.
     rough = F.col("sum_amount") / F.col("n") * F.lit(float(factor))
-    limits = norms.select("category", F.coalesce(exact, rough).alias("_limit"))
+    limit = F.coalesce(F.when(rough < 9e16, exact), rough)
+    limits = norms.select("category", limit.alias("_limit"))
     return (
         transactions.join(limits, "category")
         .where(F.col("amount") > F.col("_limit"))

@@ -13,7 +13,7 @@ from cardtide.session import scratch_dir
 def split_heavy(rows: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
     """The rows of keys with at most ``limit`` rows, and the others (None when there are none).
 
-    Counting combines map-side. There can be no more heavy keys than rows divided by ``limit``; they
+    Runs a job that counts, reading the key alone and combining map-side. There can be no more heavy keys than rows divided by ``limit``; they
     are written as a table, so the planner knows their size when it joins with them.
     """
     heavy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(key)

@@ -138,6 +138,13 @@ def test_high_amount_limit_is_exact(spark):
     assert ids(detectors.high_amounts(probe, norms, 2.0)) == {0, 1, 3, 4}
 
 
+@pytest.mark.parametrize("absurd", [1e17, 1e20, 1e300])
+def test_absurd_amounts_do_not_stop_the_norms(spark, absurd):
+    frame = transactions(spark, [{"category": c, "amount": a} for c, a in
+                                 [("fuel", absurd), ("fuel", 10.0), ("travel", 10.0), ("travel", 300.0), ("travel", 20.0)]])
+    assert ids(detectors.high_amounts(frame, norms_of(spark, frame), 1.5)) == {0, 3}
+
+
 def test_high_amount_without_broadcast_gives_the_same(spark):
     draw = random.Random(3)
     frame = transactions(
