@@ -8,15 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardtide.llm.common import table
+from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeated_bytes(docs).select(
+        "doc_id",
+        F.col(N_BYTES).alias("n_bytes"),
+        F.col(N_REMOVED).alias("n_removed"),
+        F.col(N_SPANS).alias("n_spans"),
+        F.sha2(KEPT, 256).alias("kept_sha256"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_groups(docs).select("doc_id", hex_fingerprint().alias("fingerprint"), F.col(GROUP).alias("component_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
