@@ -9,9 +9,21 @@ from pyspark.sql import functions as F
 
 from cardtide.llm.common import table
 from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes
+from cardtide.llm.sentencepieces import IDS, PARITY, ROUND_TRIP, encoded, read_model
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded(docs, read_model()).select(
+        "doc_id",
+        F.size(IDS).cast("long").alias("n_tokens"),
+        F.xxhash64(IDS).alias("ids_hash"),
+        F.col(ROUND_TRIP).alias("round_trip"),
+        F.col(PARITY).alias("parity"),
+    )
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeated_bytes(docs).select(
@@ -29,6 +41,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
