@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardtide.llm.common import table
+from cardtide.llm.pivots import nearest
 from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes
 from cardtide.llm.sentencepieces import IDS, PARITY, ROUND_TRIP, encoded, read_model
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
@@ -35,6 +36,10 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_groups(docs).select("doc_id", hex_fingerprint().alias("fingerprint"), F.col(GROUP).alias("component_id"))
@@ -43,6 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
