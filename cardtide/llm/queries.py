@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardtide.llm.common import table
+from cardtide.llm.common import landed, not_held_out, table
+from cardtide.llm.mixing import COPIES, RATE, mixed_rates, repeated
 from cardtide.llm.pivots import nearest
 from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes
 from cardtide.llm.sentencepieces import IDS, PARITY, ROUND_TRIP, encoded, read_model
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
+from cardtide.llm.subwords import ACCEPTED, LABEL, POSTERIOR, SCORE, TOKENS, Subwords, classified, fitted
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,37 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learned_language(docs: DataFrame) -> Subwords:
+    """The language classifier of the queries: text and lang of rows that are not held out, by hash of the id."""
+    return fitted(docs.where(not_held_out(F.col("doc_id"))), "text", "lang", F.col("doc_id"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return classified(docs.select("doc_id", "text"), learned_language(docs)).select(
+        "doc_id",
+        (~not_held_out(F.col("doc_id"))).alias("held_out"),
+        F.col(LABEL).alias("lang_pred"),
+        F.col(SCORE).alias("score"),
+        F.col(ACCEPTED).alias("accepted"),
+    )
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages as domains: rates that move their shares of words to the present ones to the power 0.7."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learned_language(docs)
+    rows = landed(classified(docs.select("doc_id", "text"), model).select("doc_id", LABEL, POSTERIOR, TOKENS), "posteriors")
+    return repeated(mixed_rates(rows, model.labels), "doc_id").select(
+        "doc_id",
+        F.col(LABEL).alias("domain"),
+        F.col(TOKENS).alias("n_tokens"),
+        F.col(POSTERIOR).alias("posterior"),
+        F.col(RATE).alias("rate"),
+        F.col(COPIES).alias("copies"),
+    )
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeated_bytes(docs).select(
@@ -47,7 +80,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_language_id": op2_language_id,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_source_mixing": op7_source_mixing,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
