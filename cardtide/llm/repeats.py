@@ -47,37 +47,63 @@ def runs_by_anchor(
     equal anchors wherever they are. Gives, per run: first window, number of windows, document, and a 48-bit
     key of the anchor.
     """
-    n = len(data)
     none = np.zeros(0, np.int64)
-    if n < length:
-        return none, none, none, none.astype(np.uint64)
-    words = words_at(data)
-    mixed = np.zeros(n - gram + 1, np.uint64)
-    for at in [*range(0, gram - 7, 8), *([gram - 8] if gram % 8 else [])]:
-        mixed ^= words[at : at + len(mixed)]
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(32)
-    del words
-    bits = np.uint64(int(n).bit_length())
-    least = (mixed >> bits << bits) | np.arange(len(mixed), dtype=np.uint64)
-    span, width = length - gram + 1, 1
-    while 2 * width <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-    anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     sizes = np.diff(offsets)
-    begins = np.repeat(offsets[:-1], np.maximum(sizes - length + 1, 0))
     counts = np.maximum(sizes - length + 1, 0)
-    doc = np.repeat(np.arange(len(sizes)), counts)
-    window = begins + np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
-    anchor = anchor[window]
-    first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])[: len(doc)])
-    number = np.diff(np.concatenate([first, [len(doc)]]))
-    return window[first], number, doc[first], mixed[anchor[first]] >> np.uint64(64 - _KEY_BITS)
+    if not counts.any():
+        return none, none, none, none.astype(np.uint64)
+    anchor = _anchors(data, length, gram)
+    cuts = np.zeros(len(anchor) + 1, bool)
+    cuts[1:-1] = anchor[1:] != anchor[:-1]
+    cuts[offsets[:-1][counts > 0]] = True
+    cuts[(offsets[:-1] + counts)[counts > 0]] = True
+    first = np.flatnonzero(cuts)
+    doc = np.searchsorted(offsets, first, "right") - 1
+    number = np.diff(np.concatenate([first, [len(anchor)]]))
+    inside = first + length <= offsets[doc + 1]
+    first, number, doc = first[inside], number[inside], doc[inside]
+    places = [*range(0, gram - 7, 8), *([gram - 8] if gram % 8 else [])]
+    words = words_at(data)
+    key = _mixed([words[anchor[first] + p] for p in places])
+    return first, number, doc, key >> np.uint64(64 - _KEY_BITS)
+
+
+def _mixed(parts: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of some words in place of the first of them."""
+    out = parts[0].copy()
+    for i, part in enumerate(parts):
+        if i:
+            out ^= part
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(32)
+    return out
+
+
+def _anchors(data: np.ndarray, length: int, gram: int, block: int = 1 << 15) -> np.ndarray:
+    """For every window of ``length`` bytes of ``data`` the place of its anchor, found a block in cache at a time."""
+    n = len(data) - length + 1
+    out = np.empty(n, np.int32)
+    span = length - gram + 1
+    places = [*range(0, gram - 7, 8), *([gram - 8] if gram % 8 else [])]
+    bits = np.uint64((block + length).bit_length())
+    for at in range(0, n, block):
+        windows = min(block, n - at)
+        grams = windows + span - 1
+        words = words_at(data[at : at + windows + length - 1])
+        least = _mixed([words[p : p + grams] for p in places])
+        least >>= bits
+        least <<= bits
+        least |= np.arange(grams, dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < span:
+            least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+        out[at : at + windows] = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int32) + at
+    return out
 
 
 def repeated_bytes(
@@ -95,8 +121,8 @@ def repeated_bytes(
     text of a smaller id; matches never cross texts and are judged on the input as it is.
 
     * Texts are laid out once in shards of about ``shard_bytes``. Every window of ``length`` bytes has an anchor
-      of ``gram`` bytes. Sorted runs of anchors of all shards meet, by key range, and are searched in each
-      other's union; only anchors of several texts go on.
+      of ``gram`` bytes. Sorted runs of anchors of all shards meet, by key range; only anchors of
+      several texts go on.
     * Runs of windows at such anchors are sent by anchor to content shards, equal runs of a shard once.
       There a suffix array (Larsson-Sadakane) and common prefixes (Kasai) decide each window exactly. A
       content shard that is too large is cut into several arrays that are merged by binary search.
@@ -145,14 +171,18 @@ def repeated_bytes(
             sorted_runs.append(wide.view("<u8").ravel())
             weights.append(weight)
         union = np.concatenate(sorted_runs)
+        weight = np.concatenate(weights)
         by = np.argsort(union)
         union = union[by]
-        times = np.concatenate([[0.0], np.cumsum(np.exp2((np.concatenate(weights) & 127).astype(float))[by])])
-        out = []
-        for run, weight in zip(sorted_runs, weights, strict=True):
-            low, high = np.searchsorted(union, run), np.searchsorted(union, run, "right")
-            shared = (high - low > 1) | (weight >= 128)
-            out.append(np.packbits(np.concatenate([shared, shared & (times[high] - times[low] > hot)])).tobytes())
+        first = np.flatnonzero(np.concatenate([[True], union[1:] != union[:-1]]))
+        times = np.add.reduceat(np.exp2((weight & 127).astype(np.float32))[by], first)
+        sizes = np.diff(np.concatenate([first, [len(union)]]))
+        shared = (sizes > 1) | (np.maximum.reduceat(weight[by], first) >= 128)
+        answer = np.empty((2, len(union)), bool)
+        answer[0, by] = np.repeat(shared, sizes)
+        answer[1, by] = np.repeat(shared & (times > hot), sizes)
+        ends = np.cumsum([0, *map(len, sorted_runs)])
+        out = [np.packbits(answer[:, i:j].ravel()).tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)]
         return pa.table([part.column("shard"), part.column("range"), pa.array(out, pa.binary())], _BITS.names)
 
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -235,13 +265,17 @@ def _dealt(
     """The runs of one shard at shared anchors, per content shard, equal ones together."""
     data, offsets = packed_text(texts.column(text_col))
     first, number, doc, key = runs_by_anchor(data, offsets, length, gram)
-    kinds = np.unique(key)
+    by = np.argsort(key)
+    kinds = key[by]
+    new = np.concatenate([[True], kinds[1:] != kinds[:-1]])[: len(kinds)]
+    kind = np.empty(len(key), np.int64)
+    kind[by] = np.cumsum(new) - 1
+    kinds = kinds[new]
     shared, heavy = np.zeros((2, len(kinds)), bool)
     for part, value in zip(bits.column("range").to_pylist(), bits.column("bits"), strict=True):
         i, j = np.searchsorted(kinds, [(part << _KEY_BITS) // ranges, ((part + 1) << _KEY_BITS) // ranges])
         both = np.unpackbits(np.frombuffer(value.as_buffer(), np.uint8)).astype(bool)
         shared[i:j], heavy[i:j] = both[: j - i], both[j - i : 2 * (j - i)]
-    kind = np.searchsorted(kinds, key)
     kept = shared[kind]
     first, number, doc, key, heavy = first[kept], number[kept], doc[kept], key[kept], heavy[kind[kept]]
     # Hot runs become single windows.
@@ -297,9 +331,7 @@ def _flagged(shards: list[int], values: pa.ChunkedArray, length: int, shard_byte
     np.minimum.at(low, unit, owner)
     first = np.cumsum(sizes + (length - 1)) - sizes - (length - 1)
     window_of = np.cumsum(sizes) - sizes
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    starts = first[of] + np.arange(len(of)) - window_of[of]
-    least = least_owner(data, starts, low[of], length, shard_bytes)
+    least = least_owner(data, first, sizes, low, length, shard_bytes)
     times = sizes[unit]
     row = np.repeat(np.arange(len(unit)), times)
     step = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)

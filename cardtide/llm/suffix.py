@@ -19,21 +19,21 @@ def suffix_array(words: np.ndarray, n: int) -> np.ndarray:
     one are never touched again. A suffix that ends is smaller than one that goes on.
     """
     key = words[:n].byteswap()
-    order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)
     key = key[order]
     new = np.ones(n, bool)
     new[1:] = key[1:] != key[:-1]
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    group = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), np.int32(0)))
+    rank = np.empty(n, np.int32)
     rank[order] = group
     slots = _open(new)
     h = 8
     while slots.size:
         place = order[slots]
-        beyond = place + h - n
+        beyond = place.astype(np.int64) + (h - n)
         # Past the end the shorter suffix is the smaller one.
-        minor = np.where(beyond < 0, rank[np.minimum(place + h, n - 1)], -1 - beyond)
-        key = group[slots] * (n + h) + minor + h
+        minor = np.where(beyond < 0, rank[np.minimum(beyond, -1)], -1 - beyond)
+        key = group[slots] * np.int64(n + h) + (minor + h)
         by = np.argsort(key)
         key, place = key[by], place[by]
         order[slots] = place
@@ -52,70 +52,86 @@ def _open(new: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~(new & np.concatenate([new[1:], [True]]))) if len(new) else np.zeros(0, np.int64)
 
 
-def common_prefixes(words: np.ndarray, order: np.ndarray, cap: int, stride: int = 256) -> np.ndarray:
-    """For every slot the bytes its suffix shares with the suffix of the slot before, ``cap`` at most.
+def common_prefixes(words: np.ndarray, n: int, order: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, cap: int) -> np.ndarray:
+    """For every slot of ``order`` the bytes its suffix shares with that of the slot before, ``cap`` at most.
 
-    Kasai: going through the text, the length at a place is at least that of the place before, less
-    one. The text is gone through in many lanes of ``stride`` places at once.
+    ``order`` holds the places firsts[i] .. firsts[i] + sizes[i] - 1 of runs i, in the order of their suffixes.
+    Kasai: if p follows q in ``order`` and shares l bytes with it, then p + 1 shares at least l - 1 with what it
+    follows, provided that q + 1 is one of the places too. All runs are gone through side by side.
     """
-    n = len(order)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n + 1, -1, np.int32)
     before[order[1:]] = order[:-1]
-    shared = np.zeros(n, np.int64)
-    lanes = np.arange(0, n, stride)
+    goes_on = np.ones(n, bool)
+    goes_on[firsts + sizes - 1] = False
+    shared = np.zeros(n, np.int32)
+    by_size = np.argsort(-sizes, kind="stable")
+    lanes, sizes = firsts[by_size], sizes[by_size]
     length = np.zeros(len(lanes), np.int64)
-    for step in range(min(stride, n)):
-        here = lanes + step
-        here = here[here < n]
-        other = before[here]
-        length = np.where(other >= 0, np.maximum(length[: len(here)] - 1, 0), 0)
+    for step in range(int(sizes[0]) if len(sizes) else 0):
+        count = int(np.searchsorted(-sizes, -step))
+        here = lanes[:count] + step
+        other = before[here].astype(np.int64)
+        if step:
+            last = before[here - 1]
+            length = np.where((last >= 0) & goes_on[last], np.maximum(length[:count] - 1, 0), 0)
+        length = np.where(other >= 0, length[:count], 0)
         live = np.flatnonzero((other >= 0) & (length < cap))
         while live.size:
             a, b = here[live] + length[live], other[live] + length[live]
+            end = n - np.maximum(a, b)
             differ = words[a] ^ words[b]
             equal = np.where(differ == 0, 8, np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3)
-            length[live] += np.minimum(equal, n - np.maximum(a, b))
-            live = live[(equal == 8) & (length[live] < cap) & (np.maximum(a, b) + 8 < n)]
+            length[live] += np.minimum(equal, end)
+            live = live[(equal == 8) & (length[live] < cap) & (end > 8)]
         shared[here] = np.minimum(length, cap)
     return shared[order]
 
 
-def least_owner(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int, shard: int) -> np.ndarray:
+def least_owner(
+    data: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, owners: np.ndarray, length: int, shard: int
+) -> np.ndarray:
     """For each window of ``length`` bytes the least owner of any equal window.
 
-    ``starts`` ascend. Windows are dealt into shards of about ``shard`` bytes, each with a suffix array
-    of its own; runs of equal windows are found by their common prefixes. Windows of different shards
-    meet by binary search of one shard's sorted distinct windows in the other's.
+    Run i has the ``sizes[i]`` windows from ``firsts[i]`` on, and ``owners[i]``; runs ascend and do not share
+    windows. They are dealt into shards of about ``shard`` bytes, each with a suffix array of its own;
+    equal windows are found by their common prefixes. Windows of different shards meet by binary
+    search of one shard's sorted distinct windows in the other's.
     """
-    least = owners.copy()
+    least = np.repeat(owners, sizes)
+    total = np.concatenate([[0], np.cumsum(sizes)])
     found = []
     begin = 0
-    while begin < len(starts):
-        end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + shard)))
-        base, stop = int(starts[begin]), int(starts[end - 1]) + length
+    while begin < len(firsts):
+        end = max(begin + 1, int(np.searchsorted(firsts, firsts[begin] + shard)))
+        base, stop = int(firsts[begin]), int(firsts[end - 1] + sizes[end - 1]) + length - 1
+        own, number = firsts[begin:end] - base, sizes[begin:end]
         words = words_at(data[base:stop])
-        order = suffix_array(words, stop - base)
-        run = np.cumsum(common_prefixes(words, order, length) < length)
-        index = np.full(stop - base, -1, np.int64)
-        index[starts[begin:end] - base] = np.arange(begin, end)
-        sorted_windows = index[order]
-        used = sorted_windows >= 0
-        sorted_windows, run = sorted_windows[used], run[used]
-        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        low = np.minimum.reduceat(owners[sorted_windows], first)
-        sizes = np.diff(np.concatenate([first, [len(run)]]))
-        found.append((sorted_windows, first, sizes, low, _keys(words, starts[sorted_windows[first]] - base, length)))
+        of = np.repeat(np.arange(end - begin), number)
+        starts = own[of] + np.arange(len(of)) - (total[begin:end] - total[begin])[of]
+        index = np.full(stop - base, -1, np.int32)
+        index[starts] = np.arange(len(starts), dtype=np.int32)
+        windows = index[suffix_array(words, stop - base)]
+        windows = windows[windows >= 0]
+        run_ends = common_prefixes(words, stop - base, starts[windows], own, number, length) < length
+        run_ends[0] = True
+        first = np.flatnonzero(run_ends)
+        low = np.minimum.reduceat(owners[begin:end][of[windows]], first)
+        times = np.diff(np.concatenate([first, [len(windows)]]))
+        keys = None
+        if begin or end < len(firsts):
+            keys = _keys(words, starts[windows[first]], length)
+        found.append((windows + total[begin], times, low, keys))
         begin = end
-    for i, (_, _, _, low, keys) in enumerate(found):
-        for _, _, _, other_low, other_keys in found[i + 1 :]:
+    for i, (_, _, low, keys) in enumerate(found):
+        for _, _, other_low, other_keys in found[i + 1 :]:
             at = _lower_bound(other_keys, keys)
             hit = np.flatnonzero(at < len(other_low))
             hit = hit[(other_keys[at[hit]] == keys[hit]).all(1)]
             both = np.minimum(low[hit], other_low[at[hit]])
             low[hit] = both
             other_low[at[hit]] = both
-    for windows, _, sizes, low, _ in found:
-        least[windows] = np.repeat(low, sizes)
+    for windows, times, low, _ in found:
+        least[windows] = np.repeat(low, times)
     return least
 
 
