@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardtide.llm.common import landed, not_held_out, table
+from cardtide.llm.kneser_ney import TOXICITY, learned, scored
 from cardtide.llm.mixing import COPIES, RATE, mixed_rates, repeated
 from cardtide.llm.pivots import nearest
 from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes
@@ -15,6 +17,9 @@ from cardtide.llm.sentencepieces import IDS, PARITY, ROUND_TRIP, encoded, read_m
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
 from cardtide.llm.subwords import ACCEPTED, LABEL, POSTERIOR, SCORE, TOKENS, Subwords, classified, fitted
 
+#: The least score of a document that counts as toxic.
+TOXIC_FROM = 0.3
+
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,6 +63,23 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learned_toxicity(spark: SparkSession, sf_dir: str) -> Broadcast[tuple]:
+    """The toxicity model of the queries: texts with a label, of rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(not_held_out(F.col("doc_id")))
+    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    return learned(docs.join(labels, "doc_id"), "text", "toxic", F.col("doc_id"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scored(docs, learned_toxicity(spark, sf_dir)).select(
+        "doc_id",
+        (~not_held_out(F.col("doc_id"))).alias("held_out"),
+        F.col(TOXICITY).alias("score"),
+        (F.col(TOXICITY) >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeated_bytes(docs).select(
@@ -81,6 +103,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
+    "op5_toxicity": op5_toxicity,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op9_exact_top_k": op9_exact_top_k,
