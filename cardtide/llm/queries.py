@@ -8,11 +8,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardtide.llm.common import landed, not_held_out, table
+from cardtide.llm.common import HIDDEN, landed, not_held_out, table
 from cardtide.llm.kneser_ney import TOXICITY, learned, scored
 from cardtide.llm.mixing import COPIES, RATE, mixed_rates, repeated
+from cardtide.llm.oracle import ORACLE
+from cardtide.llm.perspectives import rotated
 from cardtide.llm.pivots import nearest
 from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes
+from cardtide.llm.reputation import HOST, PATH, RULE, VERDICT, UrlRule, judged_urls, url_parts
+from cardtide.llm.rules import BASE, COUNTS, FURTHER, KEPT as RULES_KEPT, cascaded, ordered, sampled
 from cardtide.llm.sentencepieces import IDS, PARITY, ROUND_TRIP, encoded, read_model
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
 from cardtide.llm.subwords import ACCEPTED, LABEL, POSTERIOR, SCORE, TOKENS, Subwords, classified, fitted
@@ -63,6 +67,36 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = ordered([*BASE, *FURTHER], sampled(docs, "text", F.col("doc_id")))
+    counts = {c: F.col(HIDDEN + c) for c in COUNTS}
+    failed = (counts["n_words"] < 10) | (100 * counts["n_repeat_words"] > 20 * counts["n_words"])
+    return cascaded(docs, rules, counts=COUNTS).select(
+        "doc_id", *(column.alias(c) for c, column in counts.items()), failed.alias("base_failed"), F.col(RULES_KEPT).alias("kept")
+    )
+
+
+#: The rules that the query is given.
+URL_RULES = (
+    UrlRule("allow", "com", "/"),
+    UrlRule("block", "example.com", "/en/"),
+    UrlRule("allow", "www.example.com", "/en/"),
+    UrlRule("block", "net", "/es/"),
+    UrlRule("block", "net", "/fr/"),
+)
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of the same number."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max("quality").alias("good"))
+    outcomes = pages.join(labels, "page_id", "left").select(url_parts(F.col("url"))[0].alias("host"), "good")
+    return judged_urls(pages, outcomes, URL_RULES).select(
+        "page_id", F.col(HOST).alias("host"), F.col(PATH).alias("path"), F.col(RULE).alias("rule"), F.col(VERDICT).alias("verdict")
+    )
+
+
 def learned_toxicity(spark: SparkSession, sf_dir: str) -> Broadcast[tuple]:
     """The toxicity model of the queries: texts with a label, of rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(not_held_out(F.col("doc_id")))
@@ -91,6 +125,10 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated(table(spark, sf_dir, "conversations"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -103,11 +141,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_url_filters": op4_url_filters,
     "op5_toxicity": op5_toxicity,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_source_mixing": op7_source_mixing,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

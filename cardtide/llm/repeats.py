@@ -11,7 +11,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from cardtide.llm.common import HIDDEN, landed, packed_text, pieces
 from cardtide.llm.suffix import least_owner, words_at
@@ -114,8 +114,9 @@ def repeated_bytes(
     shard_bytes: int = 4 << 20,
     gram: int = 24,
     hot: int = 4096,
+    as_text: bool = False,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with N_BYTES, N_REMOVED, N_SPANS (long) and KEPT (binary).
+    """All rows and columns of ``docs`` with N_BYTES, N_REMOVED, N_SPANS (long) and KEPT (binary, or string ``as_text``).
 
     Removed is each byte of a text that is covered by a string of ``length`` bytes which also starts in a
     text of a smaller id; matches never cross texts and are judged on the input as it is.
@@ -129,7 +130,7 @@ def repeated_bytes(
     * The runs of an anchor found over ``hot`` times are cut into single windows that are dealt by their
       content, so that a passage many texts share is not one task's work.
 
-    A null text is empty; a null id counts as larger than any other; rows of equal id do not remove from each
+    ``as_text`` the other bytes of a character go too where a cut goes through it. A null text is empty; a null id counts as larger than any other; rows of equal id do not remove from each
     other. Texts shorter than ``length``, and empty tables, come back whole.
     """
     spark = docs.sparkSession
@@ -200,11 +201,11 @@ def repeated_bytes(
         return pa.table([pa.array(c, t) for c, t in zip(columns, _FLAGS.types, strict=True)], _FLAGS.names)
 
     schema = StructType(
-        [*docs.schema.fields, *(StructField(c, LongType()) for c in (N_BYTES, N_REMOVED, N_SPANS)), StructField(KEPT, BinaryType())]
+        [*docs.schema.fields, *(StructField(c, LongType()) for c in (N_BYTES, N_REMOVED, N_SPANS)), StructField(KEPT, StringType() if as_text else BinaryType())]
     )
 
     def cleaned(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [_cleaned(_row_table(p.as_buffer()), text_col, right, length) for p in left.column("payload")]
+        parts = [_cleaned(_row_table(p.as_buffer()), text_col, right, length, as_text) for p in left.column("payload")]
         if not parts:
             return pa.table([pa.array([], f.type) for f in empty], [f.name for f in empty])
         return pa.concat_tables(parts)
@@ -348,7 +349,7 @@ def _flagged(shards: list[int], values: pa.ChunkedArray, length: int, shard_byte
     return out
 
 
-def _cleaned(texts: pa.Table, text_col: str, flags: pa.Table, length: int) -> pa.Table:
+def _cleaned(texts: pa.Table, text_col: str, flags: pa.Table, length: int, as_text: bool) -> pa.Table:
     data, offsets = packed_text(texts.column(text_col))
     n = len(data)
     change = np.zeros(n + 1, np.int64)
@@ -365,17 +366,20 @@ def _cleaned(texts: pa.Table, text_col: str, flags: pa.Table, length: int) -> pa
     begins[inner] = gone[inner]
     spans = np.concatenate([[0], np.cumsum(begins)])
     removed = total[offsets[1:]] - total[offsets[:-1]]
+    if as_text and gone.any():
+        character = np.cumsum((data & 0xC0) != 0x80) - 1
+        gone = (np.bincount(character, gone) > 0)[character]
+        total = np.concatenate([[0], np.cumsum(gone)])
     kept = data[~gone]
     new_offsets = offsets - total[offsets]
-    whole = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(sizes), [None, pa.py_buffer(new_offsets.astype(np.int64)), pa.py_buffer(kept)]
-    )
+    kind = pa.large_string() if as_text else pa.large_binary()
+    whole = pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(new_offsets.astype(np.int64)), pa.py_buffer(kept)])
     out = texts
     for name, value in (
         (N_BYTES, pa.array(sizes)),
         (N_REMOVED, pa.array(removed)),
         (N_SPANS, pa.array(spans[offsets[1:]] - spans[offsets[:-1]])),
-        (KEPT, whole.cast(pa.binary())),
+        (KEPT, whole.cast(pa.string() if as_text else pa.binary())),
     ):
         out = out.append_column(name, value)
     return out
