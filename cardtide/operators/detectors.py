@@ -1,24 +1,21 @@
 """Behavioural detectors for the three fraud patterns. None of them looks at the labels.
 
-Every detector returns the flagged transactions, one row each, with all their columns. Amounts are
-money with two decimals. Rows are never paired with each other. Cards with few rows are looked at in
-time order, one shuffle in all. Cards with more than ``heavy`` rows are never gathered in one task:
-for them, what decides about a row is first reduced to a summary of fixed size per card and time
-slice, by aggregates that combine map-side, and the rows then meet that summary in a spread join.
+Every detector returns the flagged transactions, one row each, with all their columns. Rows are never paired
+with each other, and no card is ever gathered in one task: what decides about a row is first reduced to a
+summary of fixed size per card and time slice, by steps that combine map-side, and the rows then
+meet that summary in a spread join. Every card takes that way, however many rows it has.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardtide.functions.money import money_sum
-from cardtide.operators.skew import join_spread, split_heavy
-
-# Rows of one card that one task may be asked to put in order.
-HEAVY = 1_000_000
+from cardtide.operators.skew import join_spread
 
 _CENTS = 100
 _SPREAD = ("transaction_id", "event_time")
@@ -47,57 +44,74 @@ def category_norms(transactions: DataFrame, min_amount: float = 5.0) -> DataFram
 
 
 def save_norms(norms: DataFrame, path: str) -> DataFrame:
-    """Write the norms as a table and return its scan.
+    """Write the norms as a new table and return its scan; a table that is there is an error, as a stream may read it.
 
     A scan has a known size. The planner then broadcasts the norms while they are below its
     threshold, and otherwise shuffles and splits hot categories; nobody has to promise it anything.
     """
-    norms.write.mode("overwrite").parquet(path)
+    norms.write.parquet(path)
     return norms.sparkSession.read.schema(norms.schema).parquet(path)
 
 
 def high_amounts(transactions: DataFrame, norms: DataFrame, factor: float = 2.0) -> DataFrame:
     """Transactions above ``factor`` times the mean of their category.
 
-    Works on a batch and, with norms from history, on a stream. The limit is worked out once per
-    category, as the greatest number of whole cents not above it, in exact decimal arithmetic; each
-    row then needs one comparison.
+    Works on a batch and, with norms from history, on a stream. Rows are flagged by ``amount x n > factor x sum`` in exact
+    decimal arithmetic, so amounts finer than cents are judged as they are. Nearly all rows are far enough from
+    their limit for a comparison of doubles to be certain; only the others pay for decimals.
     """
-    cents = F.rint(F.col("sum_amount") * _CENTS).try_cast("decimal(30,0)")
-    scaled = cents * F.lit(Decimal(str(factor)))
-    exact = F.call_function("div", scaled, F.col("n").cast("decimal(20,0)")) / F.lit(float(_CENTS))
-    # Beyond what whole cents can hold, a limit is as good as the doubles it comes from.
+    met = transactions.join(amount_limits(norms, factor), "category")
+    return met.where(above_limit()).select(*transactions.columns)
+
+
+def amount_limits(norms: DataFrame, factor: float) -> DataFrame:
+    """Per category what ``above_limit`` compares amounts with."""
     rough = F.col("sum_amount") / F.col("n") * F.lit(float(factor))
-    limit = F.coalesce(F.when(rough < 9e16, exact), rough)
-    limits = norms.select("category", limit.alias("_limit"))
-    return (
-        transactions.join(limits, "category")
-        .where(F.col("amount") > F.col("_limit"))
-        .select(*transactions.columns)
+    slack = F.abs(rough) * 1e-9
+    cents = F.rint(F.col("sum_amount") * _CENTS).try_cast("decimal(28,0)")
+    return norms.select(
+        "category",
+        (rough - slack).alias("_low"),
+        (rough + slack).alias("_high"),
+        F.col("n").cast("decimal(18,0)").alias("_n"),
+        (cents * F.lit(Decimal(str(factor)))).alias("_scaled"),
     )
 
 
+def above_limit() -> Column:
+    """Whether the amount of a row that met its limit is above it."""
+    amount, low, high = F.col("amount"), F.col("_low"), F.col("_high")
+    exact = (amount * F.lit(float(_CENTS))).try_cast("decimal(20,6)") * F.col("_n") > F.col("_scaled")
+    # Without an exact form the limit itself is no more than a double.
+    return F.when(amount > high, True).when(amount < low, False).otherwise(F.coalesce(exact, amount > (low + high) / 2))
+
+
 # -- card testing ------------------------------------------------------------------------------
 
 
 def card_testing(
-    transactions: DataFrame,
-    *,
-    max_amount: float = 5.0,
-    min_count: int = 3,
-    within_seconds: int = 60,
-    heavy: int = HEAVY,
+    transactions: DataFrame, *, max_amount: float = 5.0, min_count: int = 3, within_seconds: int = 60
 ) -> DataFrame:
-    """Small charges that are at least the ``min_count``-th on their card within the trailing interval."""
+    """Small charges that are at least the ``min_count``-th on their card within the trailing interval.
+
+    Time is cut into slices as long as the interval. From the ``min_count``-th row of a slice on, all
+    are flagged; only the few before it have to look back, and they only ever need the last few of
+    the slice before. So each card and slice is first reduced to its earliest and latest
+    ``min_count`` instants (a ranked limit, applied before the shuffle too).
+    """
     placed = small_charges(transactions, max_amount).where(
         F.col("card_id").isNotNull() & F.col("event_time").isNotNull()
     )
-    light_rows, heavy_rows = split_heavy(placed, "card_id", heavy)
-    found = _reaching(light_rows, ["card_id"], min_count, within_seconds).select(*transactions.columns)
-    if heavy_rows is not None:
-        busy = _reaching_by_slice(heavy_rows, min_count, within_seconds)
-        found = found.unionByName(busy.select(*transactions.columns))
-    return found
+    sliced, verdicts = testing_verdicts(placed, min_count, within_seconds)
+    return (
+        join_spread(sliced, verdicts, ["card_id", "_slice"], _SPREAD).where(tested()).select(*transactions.columns)
+    )
+
+
+def tested() -> Column:
+    """Whether a row that met its verdict is flagged."""
+    instant = F.col("event_time")
+    return (instant >= F.col("_all_from")) | F.array_contains("_single", instant)
 
 
 def _reaching(rows: DataFrame, key: list[str], min_count: int, seconds: int) -> DataFrame:
@@ -109,28 +123,22 @@ def _reaching(rows: DataFrame, key: list[str], min_count: int, seconds: int) ->
     return rows.withColumn("_reached", reached).withColumn("_shared", shared).where(F.col("_shared"))
 
 
-def _reaching_by_slice(rows: DataFrame, min_count: int, seconds: int) -> DataFrame:
-    """The same for cards of any size.
-
-    Time is cut into slices as long as the interval. From the ``min_count``-th row of a slice on, all
-    are flagged; only the few before it have to look back, and they only ever need the last few of
-    the slice before. So each card and slice is first reduced to its ``min_count`` earliest and
-    ``min_count - 1`` latest instants (a ranked limit, applied before the shuffle too).
-    """
+def testing_verdicts(rows: DataFrame, min_count: int, seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their slice, and per card and slice what decides about its rows."""
     key = ["card_id", "_slice"]
     instant = F.col("event_time")
     sliced = rows.withColumn("_slice", F.window("event_time", f"{int(seconds)} seconds")["start"])
-    points = sliced.select(*key, "event_time")
-    early = Window.partitionBy(*key).orderBy("event_time")
-    late = Window.partitionBy(*key).orderBy(F.desc("event_time"))
-    edges = points.withColumn("rank", F.row_number().over(early)).where(F.col("rank") <= min_count)
-    if min_count > 1:
-        tails = (
-            points.withColumn("rank", F.row_number().over(late))
-            .where(F.col("rank") < min_count)
-            .select("card_id", (F.col("_slice") + _seconds(seconds)).alias("_slice"), "event_time")
-        )
-        edges = edges.unionByName(tails, allowMissingColumns=True)
+    # Each instant counts among the first of its own slice, and among the last for the next one.
+    never = F.lit(None).cast(sliced.schema["event_time"].dataType)
+    own = F.struct("_slice", instant.alias("early"), never.alias("late"))
+    past = F.struct((F.col("_slice") + _seconds(seconds)).alias("_slice"), never.alias("early"), instant.alias("late"))
+    points = sliced.select("card_id", F.inline(F.array(own, past)))
+    from_ends = Window.partitionBy(*key, F.col("early").isNull()).orderBy("early", F.desc("late"))
+    edges = (
+        points.withColumn("rank", F.row_number().over(from_ends))
+        .where(F.col("rank") <= min_count)
+        .select(*key, F.coalesce("early", "late").alias("event_time"), F.when(F.col("early").isNotNull(), F.col("rank")).alias("rank"))
+    )
     verdicts = (
         _reaching(edges, key, min_count, seconds)
         .where(F.col("rank").isNotNull())
@@ -141,9 +149,7 @@ def _reaching_by_slice(rows: DataFrame, min_count: int, seconds: int) -> DataFra
             F.collect_set(F.when(F.col("rank") < min_count, instant)).alias("_single"),
         )
     )
-    return join_spread(sliced, verdicts, key, _SPREAD).where(
-        (instant >= F.col("_all_from")) | F.array_contains("_single", instant)
-    )
+    return sliced, verdicts
 
 
 def small_charges(transactions: DataFrame, max_amount: float = 5.0) -> DataFrame:
@@ -175,66 +181,52 @@ def probe_sessions(charges: DataFrame, *, min_count: int = 3, gap_seconds: int =
 
 
 def impossible_travel(
-    transactions: DataFrame, *, within_seconds: int = 600, heavy: int = HEAVY
+    transactions: DataFrame, *, within_seconds: int = 600, copies: int | None = None
 ) -> DataFrame:
     """Transactions preceded, on the same card and within the interval, by one in a different city.
 
+    ``copies`` is the number of sub-keys over which the rows of one card, slice and city are spread in the join (by default 4, and
+    16 on a stream). In batch adaptive execution splits a sub-key that is still too large; on a stream nothing does,
+    so choose it by the share of rows the busiest card has there.
+
     A stream needs a watermark on ``event_time``; there, a flagged row comes out when the time slice
-    it is in has closed, and ``heavy`` has no meaning.
+    it is in has closed, and rows are held until then. What it holds at once therefore depends on how far one
+    micro-batch reaches ahead: limit the batches of a backlog, and read it in the order of time.
     """
     seconds = int(within_seconds)
     complete = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
     if transactions.isStreaming:
-        # Nothing splits a hot key of a stream any further, so it is spread wider from the start.
-        found = _meet(*_streamed_bounds(complete, seconds), seconds, copies=16)
-        return found.select(*transactions.columns)
-    timed = complete.where(F.col("event_time").isNotNull())
-    light_rows, heavy_rows = split_heavy(timed, "card_id", heavy)
-    found = _moved(light_rows, seconds).select(*transactions.columns)
-    if heavy_rows is not None:
-        busy = _meet(*_batch_bounds(heavy_rows, seconds), seconds, copies=4)
-        found = found.unionByName(busy.select(*transactions.columns))
-    return found
-
-
-def _moved(rows: DataFrame, seconds: int) -> DataFrame:
-    """Rows whose card was in another city within the interval, found in one pass in time order."""
-    in_order = Window.partitionBy("card_id").orderBy("event_time", "city")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    in_front = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    instant, city, before = F.col("event_time"), F.col("city"), F.col("_before")
-    # When the card was last elsewhere, at each change of city.
-    left = F.when(before["city"] != city, before["event_time"])
-    # What the first row of an instant sees in front of it holds for all rows of that instant,
-    # so that rows of one instant do not count against each other.
-    first = before["event_time"].isNull() | (before["event_time"] < instant)
-    seen = F.struct(before["event_time"].alias("at"), before["city"].alias("city"), "_left_before")
-    elsewhere = F.when(F.col("_seen.city") != city, F.col("_seen.at")).otherwise(F.col("_seen._left_before"))
-    return (
-        rows.withColumn("_before", F.lag(F.struct("event_time", "city")).over(in_order))
-        .withColumn("_left_before", F.last(left, ignorenulls=True).over(in_front))
-        .withColumn("_seen", F.last(F.when(first, seen), ignorenulls=True).over(so_far))
-        .where(elsewhere >= instant - _seconds(seconds))
-    )
+        found = _meet(*_streamed_bounds(complete, seconds), seconds, 16 if copies is None else copies)
+    else:
+        timed = complete.where(F.col("event_time").isNotNull())
+        found = _meet(*_batch_bounds(timed, seconds), seconds, 4 if copies is None else copies)
+    return found.select(*transactions.columns)
 
 
 def _meet(rows: DataFrame, bounds: DataFrame, seconds: int, copies: int) -> DataFrame:
-    """Rows flagged by the bounds of their card, slice and city.
+    """Rows flagged by the bounds of their card, slice and city."""
+    verdicts = _travel_verdicts(bounds, seconds)
+    return join_spread(rows, verdicts, ["card_id", "span", "city"], _SPREAD, copies).where(_travelled())
+
+
+def _travel_verdicts(bounds: DataFrame, seconds: int) -> DataFrame:
+    """Per card, slice and city with a flagged row: the instants that ``_travelled`` compares with.
 
     Time is cut into slices as long as the interval. A row is flagged if its slice has an earlier
     row in another city, or the slice before has one recent enough. So it is enough to know the first
     other city in the slice (rows after it are flagged) and the last other city in the slice before
-    (rows up to one interval after it are flagged). Only cities with a flagged row meet the rows.
+    (rows up to one interval after it are flagged).
     """
-    verdicts = (
+    return (
         bounds.withColumn("_until", F.col("_until") + _seconds(seconds))
         .where((F.col("last_own") > F.col("_after")) | (F.col("first_own") <= F.col("_until")))
         .select("card_id", "span", "city", "_after", "_until")
     )
+
+
+def _travelled() -> Column:
     instant = F.col("event_time")
-    return join_spread(rows, verdicts, ["card_id", "span", "city"], _SPREAD, copies).where(
-        (instant > F.col("_after")) | (instant <= F.col("_until"))
-    )
+    return (instant > F.col("_after")) | (instant <= F.col("_until"))
 
 
 def _batch_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, DataFrame]:
@@ -287,7 +279,8 @@ def _streamed_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame,
     """The same for a stream, where a watermark has to reach every step.
 
     A sliding window of two slices pairs each slice (its second half) with the one before, so that
-    both steps group by a window. The list holds one entry per city of one card in one window.
+    both steps group by a window. The list holds one entry per city of one card in one window; of its two orders only
+    the first two entries go on, so what is made per city does not grow with the number of cities.
     """
     instant = F.col("event_time")
     span = F.window(instant, f"{2 * seconds} seconds", f"{seconds} seconds")
@@ -304,7 +297,8 @@ def _streamed_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame,
 
     def ranked(field: str) -> Column:
         entries = F.transform("visits", lambda v: F.struct(v[field].alias("at"), v["city"].alias("city")))
-        return F.array_sort(F.filter(entries, lambda e: e["at"].isNotNull()))
+        known = F.array_sort(F.filter(entries, lambda e: e["at"].isNotNull()))
+        return F.slice(F.reverse(known) if field == "last_before" else known, 1, 2)
 
     def elsewhere(entries: str) -> Column:
         """The first entry of another city: the very first, or the second if that is this city."""
@@ -313,7 +307,7 @@ def _streamed_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame,
 
     bounds = (
         by_span.where(F.size("visits") > 1)
-        .withColumns({"firsts": ranked("first_own"), "lasts": F.reverse(ranked("last_before"))})
+        .withColumns({"firsts": ranked("first_own"), "lasts": ranked("last_before")})
         .withColumn("visit", F.explode("visits"))
         .select(
             "card_id",
@@ -334,61 +328,71 @@ def _streamed_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame,
 
 
 def card_home_city(transactions: DataFrame) -> DataFrame:
-    """The most frequent city of each card; ties go to the first by name."""
+    """The most frequent city of each card; ties go to the first by name. Rows without a card or city are left out."""
     counts = (
-        transactions.where(F.col("city").isNotNull())
+        transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
         .groupBy("card_id", "city")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_count = Window.partitionBy("card_id").orderBy(F.desc("n"), "city")
-    return (
-        counts.withColumn("rank", F.row_number().over(by_count))
-        .where(F.col("rank") == 1)
-        .select("card_id", F.col("city").alias("home_city"), "n")
-    )
+    best = counts.groupBy("card_id").agg(F.min(F.struct((-F.col("n")).alias("less"), "city")).alias("best"))
+    return best.select("card_id", F.col("best.city").alias("home_city"), (-F.col("best.less")).alias("n"))
 
 
-def detector_confusion(transactions: DataFrame, flagged: dict[str, DataFrame]) -> DataFrame:
-    """Score detectors against the labels: one row per fraud type in ``flagged``.
+def detector_flags(
+    transactions: DataFrame,
+    norms: DataFrame,
+    *,
+    factor: float = 2.0,
+    max_amount: float = 5.0,
+    min_count: int = 3,
+    testing_seconds: int = 60,
+    travel_seconds: int = 600,
+) -> DataFrame:
+    """All transactions (batch) with one BOOLEAN column per fraud type: the verdicts of the three detectors.
 
-    ``tp`` … ``tn`` compare with that very ``fraud_type``, ``any_tp`` … ``any_tn`` with ``is_fraud``.
-    Flagged rows bring their labels along, so counting them and counting all rows is enough: no
-    row has to be matched with itself again.
+    The rows are read once for themselves and once for each of the two summaries they meet, and never matched
+    with flagged copies of themselves.
     """
-    def counts(rows: DataFrame, name: str, prefix: str) -> DataFrame:
-        return rows.agg(
-            F.count(F.lit(1)).alias(f"{prefix}_rows"),
-            F.count_if(F.col("fraud_type") == name).alias(f"{prefix}_own"),
-            F.count_if("is_fraud").alias(f"{prefix}_any"),
-        ).withColumn("detector", F.lit(name))
-
-    totals = transactions.agg(
-        F.count(F.lit(1)).alias("all_rows"),
-        F.count_if("is_fraud").alias("all_any"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("detector"),
-                    F.count_if(F.col("fraud_type") == name).alias("all_own"),
-                )
-                for name in flagged
-            ]
-        ).alias("types"),
-    ).select("all_rows", "all_any", F.inline("types"))
-    parts = totals
-    for name, rows in flagged.items():
-        parts = parts.unionByName(counts(rows, name, "hit"), allowMissingColumns=True)
-    summed = parts.groupBy("detector").agg(
-        *[F.sum(c).alias(c) for c in ("all_rows", "all_own", "all_any", "hit_rows", "hit_own", "hit_any")]
-    )
-
-    def cells(kind: str, prefix: str) -> list[Column]:
-        hit, every = F.col(f"hit_{kind}"), F.col(f"all_{kind}")
+    keyed = F.col("card_id").isNotNull() & F.col("event_time").isNotNull()
+    placed = small_charges(transactions, max_amount).where(keyed)
+    _, tests = testing_verdicts(placed, min_count, testing_seconds)
+    _, bounds = _batch_bounds(transactions.where(keyed & F.col("city").isNotNull()), int(travel_seconds))
+    # A window leaves out rows without an event time; they stay here, and meet no verdict.
+    kind = transactions.schema["event_time"].dataType
+    some = F.coalesce("event_time", F.lit("1970-01-01 00:00:00").cast(kind))
+    rows = transactions.join(amount_limits(norms, factor), "category", "left")
+    rows = rows.withColumn("_slice", F.window(some, f"{int(testing_seconds)} seconds")["start"])
+    rows = rows.withColumn("span", F.window(some, f"{int(travel_seconds)} seconds")["start"])
+    rows = join_spread(rows, tests, ["card_id", "_slice"], _SPREAD, how="left")
+    rows = join_spread(rows, _travel_verdicts(bounds, int(travel_seconds)), ["card_id", "span", "city"], _SPREAD, how="left")
+    flags = {
+        "high_amount": above_limit(),
+        "card_testing": (F.col("amount") <= max_amount) & tested(),
+        "impossible_travel": _travelled(),
+    }
+    return rows.select(*transactions.columns, *[F.coalesce(f, F.lit(False)).alias(n) for n, f in flags.items()])
+
+
+def detector_confusion(flagged: DataFrame, detectors: Sequence[str]) -> DataFrame:
+    """Score detectors against the labels: one row for each of ``detectors``, in one pass over the rows.
+
+    ``flagged`` are transactions with a BOOLEAN column per detector, named like the fraud type it looks for. ``tp`` … ``tn``
+    compare with that very ``fraud_type``, ``any_tp`` … ``any_tn`` with ``is_fraud``.
+    """
+    def cells(hit: Column, true: Column, prefix: str) -> list[Column]:
         return [
-            hit.alias(f"{prefix}tp"),
-            (F.col("hit_rows") - hit).alias(f"{prefix}fp"),
-            (every - hit).alias(f"{prefix}fn"),
-            (F.col("all_rows") - F.col("hit_rows") - every + hit).alias(f"{prefix}tn"),
+            F.count_if(hit & true).alias(f"{prefix}tp"),
+            F.count_if(hit & ~true).alias(f"{prefix}fp"),
+            F.count_if(~hit & true).alias(f"{prefix}fn"),
+            F.count_if(~hit & ~true).alias(f"{prefix}tn"),
         ]
 
-    return summed.select("detector", *cells("own", ""), *cells("any", "any_"))
+    rows = [
+        F.struct(
+            F.lit(name).alias("detector"),
+            *cells(F.col(name), F.coalesce(F.col("fraud_type") == name, F.lit(False)), ""),
+            *cells(F.col(name), F.coalesce("is_fraud", F.lit(False)), "any_"),
+        )
+        for name in detectors
+    ]
+    return flagged.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))

@@ -7,28 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardtide.session import scratch_dir
-
-
-def split_heavy(rows: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of keys with at most ``limit`` rows, and the others (None when there are none).
-
-    Runs a job that counts, reading the key alone and combining map-side. There can be no more heavy keys than rows divided by ``limit``; they
-    are written as a table, so the planner knows their size when it joins with them.
-    """
-    heavy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(key)
-    path = scratch_dir(rows.sparkSession, "heavy-keys")
-    heavy.write.parquet(path)
-    keys = rows.sparkSession.read.schema(heavy.schema).parquet(path)
-    if keys.isEmpty():
-        return rows, None
-    return rows.join(keys, key, "left_anti"), rows.join(keys, key, "left_semi")
+_SUB_KEY = "__cardtide_sub_key"
 
 
 def join_spread(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Sequence[str], copies: int = 4
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    copies: int = 4,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of many ``rows`` per key with at most one ``lookup`` row per key.
+    """Join (``inner`` or ``left``) of many ``rows`` per key with at most one ``lookup`` row per key.
 
     Rows of one key are spread over ``copies`` sub-keys, and each lookup row is repeated for every
     one of them. In batch that also gives both sides an exchange of their own right below the join,
@@ -36,5 +26,5 @@ def join_spread(
     a lookup that is itself an aggregate on the keys would switch that splitting off.
     """
     part = F.pmod(F.xxhash64(*spread_by), F.lit(copies)).cast("int")
-    repeated = lookup.withColumn("_part", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
-    return rows.withColumn("_part", part).join(repeated, [*keys, "_part"]).drop("_part")
+    repeated = lookup.withColumn(_SUB_KEY, F.explode(F.array(*[F.lit(i) for i in range(copies)])))
+    return rows.withColumn(_SUB_KEY, part).join(repeated, [*keys, _SUB_KEY], how).drop(_SUB_KEY)
