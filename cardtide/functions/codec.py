@@ -44,12 +44,16 @@ def iso_text(instant: str | Column) -> Column:
 def encode_payload(transactions: DataFrame) -> DataFrame:
     """Transactions -> ``key`` and ``value`` bytes, the shape a keyed event log takes.
 
-    The card is the key, so one card stays in one log partition and keeps its order. The text
-    ``timestamp`` is made from ``event_time``. NULL fields are written as JSON nulls.
+    The card is the key, so one card stays in one log partition and keeps its order. A text
+    ``timestamp`` that the rows carry is sent as it is, readable or not; only rows without one get theirs
+    from ``event_time``. NULL fields are written as JSON nulls.
     """
+    sent = F.lit(None).cast("string")
+    if "timestamp" in transactions.columns:
+        sent = F.col("timestamp")
+    made = iso_text(F.col("event_time").cast("timestamp"))
     fields = [
-        iso_text(F.col("event_time").cast("timestamp")).alias(name) if name == "timestamp" else F.col(name)
-        for name in PAYLOAD.fieldNames()
+        F.coalesce(sent, made).alias(name) if name == "timestamp" else F.col(name) for name in PAYLOAD.fieldNames()
     ]
     body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return transactions.select(

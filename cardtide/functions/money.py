@@ -6,19 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Amounts below this have their minor units in 18 decimal digits.
+_EXACT_BELOW = 1e14
+
+
 def money_sum(amount: str | Column, minor_units: int | None = None) -> Column:
     """Sum of a DOUBLE amount; NULL when there is no amount at all.
 
     Adding doubles gives last-digit differences that depend on the order of addition, and so on
-    the partitioning. With ``minor_units`` (100 for cents) whole minor units are added instead:
-    integers in a DOUBLE add up exactly to 2^53, so the result is the same for any partitioning
-    and after any retry. That sum stays in whole-stage codegen, unlike one over wide decimals, and
-    an absurd amount cannot overflow it. Amounts finer than the minor unit are rounded to it.
+    the partitioning. With ``minor_units`` (100 for cents) whole minor units are added instead, as
+    decimals: exactly, whatever the number of rows, the order and the partitioning, and after any
+    retry. The result becomes a DOUBLE once, at the end. Amounts finer than the minor unit are rounded to it.
+
+    Absurd amounts (of 1e14 and more, infinite, or not a number) do not fit; they are added as doubles and
+    then to the exact sum, so that none is left out and none stops the job.
     """
     column = F.col(amount) if isinstance(amount, str) else amount
     if minor_units is None:
         return F.sum(column)
-    return F.sum(F.rint(column * F.lit(float(minor_units)))) / F.lit(float(minor_units))
+    fits = F.abs(column) < _EXACT_BELOW
+    units = F.when(fits, F.rint(column * F.lit(float(minor_units)))).cast("decimal(18,0)")
+    exact = F.sum(units).cast("double") / F.lit(float(minor_units))
+    rest = F.sum(F.when(~fits, column))
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def round_half_even(value: str | Column, digits: int = 2) -> Column:

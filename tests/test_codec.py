@@ -104,6 +104,19 @@ def test_round_trip(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, frame.drop("timestamp").collect()))
 
 
+def test_decoded_events_are_republished_as_sent(spark):
+    """The text of the timestamp too, in any zone, readable or not; rejected rows stay what they are."""
+    values = [
+        event("09:00:00", timestamp="2024-01-01T09:00:00-03:00"), event("09:00:00", timestamp="soon"), event("09:00:00", timestamp=None),
+        event("09:00:00.5", timestamp="2024-01-01 09:00:00.500000"), event("00:00:08", amount="oops"), "not json", None,
+    ]
+    once = decode_payload(spark.createDataFrame([(v,) for v in values], "value STRING"))
+    twice = decode_payload(encode_payload(once))
+    assert twice.columns == once.columns
+    assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect()))
+    assert twice.where("timestamp = '2024-01-01T09:00:00-03:00'").count() == 1
+
+
 def test_fewer_fields_are_the_same_fields(spark):
     values = [event("00:00:07"), "not json", event("00:00:08", amount="oops"), None, '{"amount": 1, "timest']
     frame = spark.createDataFrame([(v,) for v in values], "value STRING")

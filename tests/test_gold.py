@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from cardtide.functions.money import money_sum
 from cardtide.operators.gold import windowed_gold
 from cardtide.schema import GOLD
 from cardtide.sources.events import as_transactions, read_events
@@ -92,3 +94,18 @@ def test_counts_add_up(spark):
     for duration, windows in (("1 minute", 8961), ("1 hour", 720), ("1 day", 30)):
         row = windowed_gold(tx, duration).agg(F.sum("tx_count").alias("n"), F.count("*").alias("w")).first()
         assert (row.n, row.w) == (10_000, windows)
+
+
+@pytest.mark.parametrize("big", [1e12, 9.1e13])
+def test_exact_sums_do_not_depend_on_the_order(spark, big):
+    """Beyond 2^53 cents in all, and with an amount that does not fit the exact form."""
+    amounts = [big + i / 100 for i in range(1000)] + [0.01] * 1000
+    exact = float(sum(Decimal(str(round(a, 2))) for a in amounts))
+    for order in (amounts, amounts[::-1], sorted(amounts, key=lambda a: a % 7)):
+        rows = spark.createDataFrame([(a,) for a in order], "amount double").repartition(7)
+        assert rows.agg(money_sum("amount", 100)).first()[0] == exact
+    with_absurd = spark.createDataFrame([(1e300,), (1.25,), (None,)], "amount double")
+    assert with_absurd.agg(money_sum("amount", 100)).first()[0] == 1e300
+    assert spark.createDataFrame([(None,)], "amount double").agg(money_sum("amount", 100)).first()[0] is None
+    odd = spark.createDataFrame([(float("inf"),), (1.0,)], "amount double")
+    assert odd.agg(money_sum("amount", 100)).first()[0] == float("inf")
