@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from cardtide.operators import panels
-from cardtide.schema import TOPIC, WATERMARK, WINDOW
+from cardtide.schema import GOLD_DIR, SAMPLE_DIR, TOPIC, WATERMARK, WINDOW
 from cardtide.session import configure
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource, KafkaSource
@@ -22,6 +22,8 @@ def _options(pairs: list[str]) -> dict[str, str]:
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Land Bronze and Gold until a query ends, or until the input present now is read."""
     options = _options(args.option)
+    if args.batch_limit:
+        options.setdefault("maxBytesPerTrigger" if args.folder else "maxOffsetsPerTrigger", args.batch_limit)
     if args.folder:
         source = FolderSource(args.folder, args.format, options)
     else:
@@ -37,6 +39,7 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         available_now=args.once,
         bronze_by_date=args.bronze_by_date,
         rocksdb=args.rocksdb,
+        minor_units=args.minor_units,
     )
     if args.once:
         finish(*queries)
@@ -47,16 +50,18 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 def export(spark: SparkSession, args: argparse.Namespace) -> None:
     """Consolidate Gold into the snapshot folder."""
     root = args.data_dir.rstrip("/")
-    report = export_snapshot(spark, f"{root}/gold", f"{root}/gold_sample")
-    print(f"{report['windows']} windows, {report['bytes'] / 1024:.1f} KB in {root}/gold_sample")
+    sample = f"{root}/{SAMPLE_DIR}"
+    report = export_snapshot(spark, f"{root}/{GOLD_DIR}", sample, files=args.files)
+    print(f"{report['windows']} windows, {report['bytes'] / 1024:.1f} KB in {sample}")
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Headline figures, latest windows and their alert levels."""
     root = args.data_dir.rstrip("/")
-    gold = load_gold(spark, f"{root}/gold", f"{root}/gold_sample")
+    # Used by three actions: read and deduplicated once.
+    gold = load_gold(spark, f"{root}/{GOLD_DIR}", f"{root}/{SAMPLE_DIR}").persist()
     recent = panels.recent_windows(gold)
-    panels.display_kpis(panels.kpi_summary(gold)).show(truncate=False)
+    panels.display_kpis(panels.kpi_summary(gold, minor_units=args.minor_units)).show(truncate=False)
     panels.display_recent(recent).show(truncate=False)
     panels.window_alerts(recent).where("severity <> ''").show(truncate=False)
 
@@ -79,10 +84,14 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--once", action="store_true", help="read what is there now, then end")
     run.add_argument("--bronze-by-date", action="store_true")
     run.add_argument("--rocksdb", action="store_true")
+    run.add_argument("--minor-units", type=int, metavar="N", help="add amounts exactly, in N parts of the unit (100: cents)")
+    run.add_argument("--batch-limit", metavar="N", help="most that one micro-batch reads: offsets of a topic, or bytes of files")
     run.set_defaults(run=stream)
 
     for action in (export, report):
         commands.add_parser(action.__name__, help=action.__doc__).set_defaults(run=action)
+    commands.choices["export"].add_argument("--files", type=int, help="number of files; left to Spark by default")
+    commands.choices["report"].add_argument("--minor-units", type=int, metavar="N")
     for command in commands.choices.values():
         command.add_argument("--data-dir", required=True)
     return parser

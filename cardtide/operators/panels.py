@@ -12,10 +12,7 @@ from cardtide.functions.money import (
     money_sum,
     round_half_even,
 )
-from cardtide.schema import AMBER_AT, RECENT_HEADINGS, RECENT_WINDOWS, RED_AT
-
-# Order of the stacked series.
-_STACKED = ("card_testing", "high_amount", "impossible_travel")
+from cardtide.schema import AMBER_AT, RECENT_HEADINGS, RECENT_WINDOWS, RED_AT, STACKED
 
 
 def kpi_summary(gold: DataFrame, *, minor_units: int | None = None) -> DataFrame:
@@ -55,9 +52,9 @@ def fraud_by_type(gold: DataFrame) -> DataFrame:
     A consumer that needs an order sorts for itself; the rows of one window stay together.
     """
     series = gold.select(
-        "window_start", *[F.col(f"fraud_{label}").alias(label) for label in _STACKED]
+        "window_start", *[F.col(f"fraud_{label}").alias(label) for label in STACKED]
     )
-    return series.unpivot("window_start", list(_STACKED), "fraud_type", "n")
+    return series.unpivot("window_start", list(STACKED), "fraud_type", "n")
 
 
 def recent_windows(gold: DataFrame, n: int = RECENT_WINDOWS) -> DataFrame:

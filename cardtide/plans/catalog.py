@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardtide.functions.codec import decode_payload, encode_payload
 from cardtide.operators import detectors, panels
 from cardtide.operators.gold import GOLD_INPUT, windowed_gold, with_watermark
 from cardtide.operators.snapshot import union_by_name
-from cardtide.schema import BRONZE, FRAUD_TYPES, GOLD, PAYLOAD
+from cardtide.schema import BRONZE, FRAUD_TYPES, GOLD, GOLD_DIR, PAYLOAD
 from cardtide.session import configure, scratch_dir
-from cardtide.sources.events import as_transactions, read_events, stream_events
+from cardtide.sources.events import as_transactions, read_events, stage_batches, stream_batches
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource
 from cardtide.streaming.pipeline import run_pipeline
@@ -33,8 +33,12 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(read_events(configure(spark), sf_dir))
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_transactions(stream_events(configure(spark), sf_dir))
+def _stream(spark: SparkSession, sf_dir: str, late: Column | None = None) -> DataFrame:
+    """The table as a stream of several micro-batches, each of a stretch of time (see ``stage_batches``)."""
+    configure(spark)
+    folder = scratch_dir(spark, "batches")
+    files = stage_batches(read_events(spark, sf_dir), folder, late=late)
+    return as_transactions(stream_batches(spark, folder, files))
 
 
 def _gold(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
@@ -49,9 +53,8 @@ def _plain(rows: DataFrame) -> DataFrame:
 
 
 def _state_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partitions, but no more than there are cores to run them."""
-    cores = max(4, spark.sparkContext.defaultParallelism)
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    """State of the registered streams is fixed for their one run: as many partitions as the session shuffles to."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _landed(spark: SparkSession, rows: DataFrame, name: str, rocksdb: bool = False) -> DataFrame:
@@ -124,7 +127,13 @@ def replayed_gold_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
             minor_units=CENTS,
         )
     )
-    return _plain(load_gold(spark, f"{root}/data/gold"))
+    return _plain(load_gold(spark, f"{root}/data/{GOLD_DIR}"))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a stream whose last batch brings every 50th row, most of them behind the watermark by then."""
+    transactions = _stream(spark, sf_dir, late=F.col("event_id") % 50 == 0)
+    return _landed(spark, windowed_gold(with_watermark(transactions), minor_units=CENTS), "stream_late_rows")
 
 
 # -- Gold and what is read from it -------------------------------------------------------------
@@ -167,8 +176,28 @@ def gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(load_gold(spark, f"{root}/none", f"{root}/sample"))
 
 
+def _stored_gold(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
+    """Gold as the panels meet it: stored, and loaded from its folder. Written once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, duration)
+    if key not in _STORED:
+        path = scratch_dir(spark, "stored-gold")
+        gold = _gold(spark, sf_dir, duration)
+        gold.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")}).write.parquet(path)
+        _STORED[key] = path
+    return _plain(load_gold(configure(spark), _STORED[key]))
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def gold_1m_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default sums, of doubles, whose last digits depend on the order: rounded here, as in the SQL."""
+    gold = windowed_gold(_transactions(spark, sf_dir))
+    return gold.withColumns({c: F.round(F.col(c), 7) for c in ("total_amount", "avg_amount")})
+
+
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.kpi_summary(gold_1m(spark, sf_dir), minor_units=CENTS)
+    return panels.kpi_summary(_stored_gold(spark, sf_dir, "1 minute"), minor_units=CENTS)
 
 
 def kpi_display(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,15 +205,15 @@ def kpi_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def throughput_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.throughput_series(gold_1m(spark, sf_dir))
+    return panels.throughput_series(_stored_gold(spark, sf_dir, "1 minute"))
 
 
 def fraud_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.fraud_by_type(gold_1h(spark, sf_dir))
+    return panels.fraud_by_type(_stored_gold(spark, sf_dir, "1 hour"))
 
 
 def recent_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.recent_windows(gold_1h(spark, sf_dir))
+    return panels.recent_windows(_stored_gold(spark, sf_dir, "1 hour"))
 
 
 def recent_display(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +221,7 @@ def recent_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.window_alerts(gold_1d(spark, sf_dir))
+    return panels.window_alerts(_stored_gold(spark, sf_dir, "1 day"))
 
 
 # -- detectors ---------------------------------------------------------------------------------
@@ -230,12 +259,15 @@ def card_home_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detector_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = _transactions(spark, sf_dir)
-    flagged = (
-        _high_amounts(spark, transactions, _norms(spark, transactions)),
-        detectors.card_testing(transactions, **CARD_TESTING),
-        detectors.impossible_travel(transactions, **TRAVEL),
+    flagged = detectors.detector_flags(
+        transactions,
+        _norms(spark, transactions),
+        factor=HIGH_AMOUNT["factor"],
+        min_count=CARD_TESTING["min_count"],
+        testing_seconds=CARD_TESTING["within_seconds"],
+        travel_seconds=TRAVEL["within_seconds"],
     )
-    return detectors.detector_confusion(transactions, dict(zip(FRAUD_TYPES, flagged)))
+    return detectors.detector_confusion(flagged, FRAUD_TYPES)
 
 
 def stream_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_1d": gold_1d,
     "stream_gold_1m": stream_gold_1m,
     "replayed_gold_1m": replayed_gold_1m,
+    "stream_late_rows": stream_late_rows,
+    "gold_1m_doubles": gold_1m_doubles,
     "gold_union": gold_union,
     "gold_snapshot": gold_snapshot,
     "kpi_summary": kpi_summary,

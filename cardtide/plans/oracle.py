@@ -164,6 +164,25 @@ ORACLE: dict[str, str] = {
     "gold_1d": _over_gold("day", "SELECT * FROM gold"),
     "stream_gold_1m": _over_gold("minute", f"SELECT * FROM gold {_CLOSED}"),
     "replayed_gold_1m": _over_gold("minute", f"SELECT * FROM gold {_CLOSED}"),
+    # The last batch is late; by then the watermark stands where the batch before the last one left it.
+    "stream_late_rows": f"""WITH {TX},
+        bounds AS (
+            SELECT min(epoch_us(event_time)) AS first, max(epoch_us(event_time)) AS last, max(event_time) AS newest FROM tx
+        ),
+        placed AS (
+            SELECT *, CAST(transaction_id AS BIGINT) % 50 = 0 AS late,
+                   least(floor((epoch_us(event_time) - first) * 4 / greatest(last - first, 1)), 3) AS batch
+            FROM tx, bounds
+        ),
+        kept AS (
+            SELECT * FROM placed
+            WHERE NOT late OR date_trunc('minute', event_time) + INTERVAL 1 MINUTE
+                  > (SELECT max(event_time) FROM placed WHERE NOT late AND batch <= 2) - INTERVAL 2 MINUTE
+        ),
+        {_gold("minute").replace("FROM tx", "FROM kept")}
+        SELECT * FROM gold WHERE window_end <= (SELECT max(event_time) FROM kept) - INTERVAL 2 MINUTE""",
+    "gold_1m_doubles": _over_gold("minute", """
+        SELECT * REPLACE (round(total_amount, 7) AS total_amount, round(avg_amount, 7) AS avg_amount) FROM gold"""),
     "gold_union": _over_gold("minute", """
         SELECT * FROM gold WHERE window_start >= TIMESTAMP '2024-01-16'
         UNION ALL BY NAME

@@ -73,6 +73,18 @@ RECENT_HEADINGS = {
     "fraud_total": "Frauds",
 }
 
+# Order of the stacked series.
+STACKED = ("card_testing", "high_amount", "impossible_travel")
+
+# Names of the running queries, and of the folders below the data folder.
+BRONZE_QUERY = "bronze_raw"
+GOLD_QUERY = "gold_windows"
+CONSOLE_QUERY = "gold_console"
+BRONZE_DIR = "bronze"
+GOLD_DIR = "gold"
+CHECKPOINTS_DIR = "_checkpoints"
+SAMPLE_DIR = "gold_sample"
+
 # ---- End of fixed values ----
 
 # Bronze keeps the payload as sent and adds the parsed instant.

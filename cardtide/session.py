@@ -35,12 +35,17 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the shared folder of ``spark.checkpoint.dir``.
+    """A new folder name below the shared folder: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
+    What is written there belongs to whoever set that folder, who also clears it when the session has ended; tables that
+    a returned DataFrame still reads must not go before.
     Only a local master may fall back to a folder of this machine: on a cluster the executors
     could not see it, and it would be lost with its host.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        shared = given.get() if given.isDefined() else None
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")

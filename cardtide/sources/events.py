@@ -46,6 +46,38 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_TABLE).parquet(f"{sf_dir}/events.parquet")
 
 
+def stage_batches(
+    events: DataFrame, folder: str, batches: int = 4, files: int = 2, late: Column | None = None
+) -> int:
+    """Lay a table out as a stream's backlog: ``batches`` stretches of time, one after the other; returns files per batch.
+
+    A file stream takes files by age and a watermark moves between batches only, so a backlog has to be read in
+    batches that follow time: else all of it is one batch, and all its windows and rows are state at once. Choose
+    ``batches`` so that one stretch of time fits into the state. All rows go out, those without a time in the first stretch;
+    rows where ``late`` is true make one more batch at the end.
+    """
+    spark = events.sparkSession
+    ends = events.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    first, last = (0, 0) if ends[0] is None else ends
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - first
+    number = F.coalesce(F.least(F.floor(micros * batches / max(last - first, 1)), F.lit(batches - 1)), F.lit(0))
+    staged = f"{folder}/staged"
+    placed = events.withColumn("batch", (number if late is None else F.when(late, batches).otherwise(number)).cast("int"))
+    placed.repartition("batch", F.pmod(F.xxhash64("event_id"), F.lit(files))).write.partitionBy("batch").parquet(staged)
+    for i in range(batches + (late is not None)):
+        part = spark.read.schema(placed.schema).parquet(staged).where(F.col("batch") == i).drop("batch")
+        # As many files each time, empty ones too, so that a limit in files is a limit in batches.
+        part.repartition(files).write.mode("append").parquet(f"{folder}/backlog")
+    return files
+
+
+def stream_batches(spark: SparkSession, folder: str, files: int) -> DataFrame:
+    """What ``stage_batches`` has laid out, a batch of files at a time."""
+    reader = spark.readStream.schema(EVENTS_TABLE).option("maxFilesPerTrigger", files)
+    # Only TIMESTAMP columns can carry a watermark.
+    return reader.parquet(f"{folder}/backlog").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
     """The same table as a stream, whether it is one file or a folder of part files.
 

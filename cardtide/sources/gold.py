@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cardtide.operators.snapshot import snapshot
+from cardtide.operators.snapshot import one_per_window
 from cardtide.schema import GOLD
 
 
@@ -62,12 +62,13 @@ def load_gold(spark: SparkSession, gold_dir: str, sample_path: str | None = None
     """Gold for monitoring: the live folder, else the snapshot, else an empty table.
 
     Unreadable files are left out. The snapshot takes over only when no file of the folder can be
-    read; a folder that merely has no windows yet is an empty Gold.
+    read; a folder that merely has no windows yet is an empty Gold. One row per window, in no order: who needs
+    one sorts, and figures that do not are spared it.
     """
     live = scan_gold(spark, gold_dir, skip_unreadable=True)
     if live is not None and (not live.isEmpty() or _any_readable(spark, gold_dir)):
-        return snapshot(live)
+        return one_per_window(live)
     sample = None if sample_path is None else scan_snapshot(spark, sample_path)
     if sample is not None:
-        return snapshot(sample)
+        return one_per_window(sample)
     return spark.createDataFrame([], GOLD)

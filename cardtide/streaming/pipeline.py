@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardtide.functions.codec import decode_payload
 from cardtide.operators.gold import GOLD_INPUT, windowed_gold, with_watermark
-from cardtide.schema import WATERMARK, WINDOW
+from cardtide.schema import BRONZE_DIR, CHECKPOINTS_DIR, GOLD_DIR, WATERMARK, WINDOW
 from cardtide.session import configure
 from cardtide.sources.transactions import FolderSource, KafkaSource, read_transactions
 from cardtide.streaming.sinks import start_bronze, start_console, start_gold
@@ -40,15 +40,15 @@ def run_pipeline(
     queries = [
         start_bronze(
             decode_payload(events),
-            f"{root}/bronze",
-            f"{root}/_checkpoints/bronze",
+            f"{root}/{BRONZE_DIR}",
+            f"{root}/{CHECKPOINTS_DIR}/bronze",
             available_now=available_now,
             by_date=bronze_by_date,
         ),
         start_gold(
             gold,
-            f"{root}/gold",
-            f"{root}/_checkpoints/gold",
+            f"{root}/{GOLD_DIR}",
+            f"{root}/{CHECKPOINTS_DIR}/gold",
             available_now=available_now,
             state_partitions=state_partitions,
             rocksdb=rocksdb,

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from cardtide.functions.codec import encode_payload
 from cardtide.operators.snapshot import one_per_window
-from cardtide.schema import TOPIC
+from cardtide.schema import BRONZE_QUERY, CONSOLE_QUERY, GOLD_QUERY, TOPIC
 from cardtide.session import settings
 from cardtide.sources.gold import scan_gold
 
@@ -85,7 +85,7 @@ def start_bronze(
         transactions,
         path,
         checkpoint,
-        "bronze_raw",
+        BRONZE_QUERY,
         available_now=available_now,
         partition_by="event_date" if by_date else None,
     )
@@ -105,7 +105,7 @@ def start_gold(
         gold,
         path,
         checkpoint,
-        "gold_windows",
+        GOLD_QUERY,
         available_now=available_now,
         state_partitions=state_partitions,
         rocksdb=rocksdb,
@@ -120,7 +120,7 @@ def start_console(
         gold.writeStream.format("console")
         .option("truncate", "false")
         .outputMode("append")
-        .queryName("gold_console")
+        .queryName(CONSOLE_QUERY)
     )
     return _started(gold.sparkSession, writer, available_now, state_partitions, False)
 
@@ -143,23 +143,22 @@ def publish(transactions: DataFrame, bootstrap_servers: str, topic: str = TOPIC)
 
 
 def export_snapshot(
-    spark: SparkSession, gold_dir: str, out_dir: str, *, rows_per_file: int = 5_000_000
+    spark: SparkSession, gold_dir: str, out_dir: str, *, files: int | None = None
 ) -> dict[str, int]:
-    """Consolidate Gold into one compact sorted Parquet file; returns ``windows`` and ``bytes``.
+    """Consolidate Gold into compact sorted Parquet; returns ``windows`` and ``bytes``.
 
-    An empty Gold or an unreadable file is an error here. Gold grows with time, not with traffic,
-    and the default limit is nine years of minutes; a Gold beyond it is written whole as several
-    files, each a range of windows, so no task ever has to take more than the limit.
+    An empty Gold or an unreadable file is an error here. The files are ranges of windows in order: one file for as long as
+    adaptive execution holds that one task can take it all (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), then
+    more. ``files`` asks for a number instead; 1 makes one task sort and write all of Gold.
     """
     gold = scan_gold(spark, gold_dir)
     if gold is None:
         raise ValueError(f"no Gold data files in {gold_dir}: run the stream first")
-    windows = gold.select("window_start", "window_end").distinct().count()
-    unique = one_per_window(gold)
-    files = max(1, -(-windows // rows_per_file))
-    ranged = unique.repartition(1) if files == 1 else unique.repartitionByRange(files, "window_start")
+    written = Observation()
+    ranged = one_per_window(gold).repartitionByRange(*([] if files is None else [files]), "window_start")
+    # Counted behind the exchange, whose input is also sampled for its ranges.
+    ranged = ranged.observe(written, F.count(F.lit(1)).alias("windows"))
     ranged.sortWithinPartitions("window_start").write.mode("overwrite").parquet(out_dir)
     # Only the listing is read here, never the content of the files.
-    written = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(out_dir)
-    size = written.agg(F.sum("length")).first()[0]
-    return {"windows": windows, "bytes": size}
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(out_dir)
+    return {"windows": written.get["windows"], "bytes": listing.agg(F.sum("length")).first()[0]}

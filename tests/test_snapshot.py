@@ -133,10 +133,10 @@ def test_export_writes_one_sorted_file(spark, tmp_path):
     assert pd.read_parquet(out / files[0])["tx_count"].tolist() == [3, 5, 7]
 
 
-def test_export_beyond_the_limit_writes_every_window(spark, tmp_path):
+def test_export_in_a_number_of_files_writes_every_window(spark, tmp_path):
     rows = [(f"00:{i:02d}:00", i + 1, 1.0) for i in range(60)]
     store(spark, tmp_path / "gold", rows)
-    report = export_snapshot(spark, str(tmp_path / "gold"), str(tmp_path / "out"), rows_per_file=20)
+    report = export_snapshot(spark, str(tmp_path / "gold"), str(tmp_path / "out"), files=3)
     files = [f for f in os.listdir(tmp_path / "out") if f.endswith(".parquet")]
     assert report["windows"] == 60 and len(files) == 3
     assert spark.read.parquet(str(tmp_path / "out")).count() == 60

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from cardtide.functions.codec import decode_payload
 from cardtide.operators import detectors
 from cardtide.operators.gold import windowed_gold, with_watermark
-from cardtide.schema import BRONZE, GOLD
-from cardtide.sources.events import as_transactions, read_events, stream_events
+from cardtide.schema import BRONZE, GOLD, EVENTS_TABLE
+from cardtide.sources.events import as_transactions, read_events, stage_batches, stream_batches, stream_events
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource, KafkaSource, read_transactions
 from cardtide.streaming.pipeline import run_pipeline
@@ -195,6 +195,41 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_path, files):
     assert streamed.exceptAll(wanted).isEmpty()
 
 
+def test_a_backlog_in_batches_keeps_little_state(spark, tmp_path):
+    """Twelve batches in the order of time: no state operator ever holds more than a part of the rows."""
+    table = read_events(spark, f"{TESTDATA}/sf0.001")
+    folder = str(tmp_path / "backlog")
+    files = stage_batches(table, folder, batches=12)
+    stream = with_watermark(as_transactions(stream_batches(spark, folder, files)))
+    flagged = detectors.impossible_travel(stream, within_seconds=7200)
+    query = append_to_table(
+        flagged, str(tmp_path / "t"), str(tmp_path / "cp"), "bounded", available_now=True, state_partitions=2, rocksdb=True
+    )
+    finish(query)
+    progress = query.recentProgress
+    assert sum(p["numInputRows"] > 0 for p in progress) == 12
+    held = [max((int(o["numRowsTotal"]) for o in p["stateOperators"]), default=0) for p in progress]
+    assert 0 < max(held) < 0.4 * table.count()
+    batch = as_transactions(table).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    wanted = detectors.impossible_travel(batch, within_seconds=7200)
+    wanted = wanted.where(F.window("event_time", "2 hours")["end"] <= closed(batch))
+    assert spark.read.schema(flagged.schema).parquet(str(tmp_path / "t")).count() == wanted.count()
+
+
+def test_batches_hold_every_row_in_the_order_of_time(spark, tmp_path):
+    table = read_events(spark, f"{TESTDATA}/sf0.001").withColumn("ts", F.when(F.col("event_id") != 7, F.col("ts")))
+    files = stage_batches(table, str(tmp_path / "b"), batches=3, files=2, late=F.col("event_id") % 50 == 0)
+    stored = spark.read.schema(EVENTS_TABLE).parquet(str(tmp_path / "b/backlog"))
+    assert files == 2 and sorted(map(str, stored.collect())) == sorted(map(str, table.collect()))
+    listed = stored.select("_metadata.file_path", "_metadata.file_modification_time", "ts", "event_id")
+    last = {r.event_id for r in listed.collect() if r.event_id % 50 == 0}
+    parts = listed.where("event_id % 50 <> 0").groupBy("file_path", "file_modification_time").agg(F.min("ts"), F.max("ts")).collect()
+    by_age = sorted(parts, key=lambda r: r[1])
+    assert len(last) == 20 and len(parts) == 6
+    for i in (2, 4):
+        assert max(r[3] for r in by_age[:i]) <= min(r[2] for r in by_age[i:])
+
+
 def test_events_stream_from_a_folder_of_part_files(spark, tmp_path):
     table = read_events(spark, f"{TESTDATA}/sf0.001")
     table.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
