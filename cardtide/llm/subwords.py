@@ -81,7 +81,7 @@ def fitted(
     text: str,
     label: str,
     order: Column,
-    per_label: int = 1500,
+    per_label: int = 1000,
     max_bytes: int = 20_000,
     count: int = 1 << 16,
     width: int = 16,
@@ -118,23 +118,23 @@ def train(sample: pa.Table, labels: list[str], count: int, width: int, epochs: i
     data, offsets = packed_text(sample.column("text"))
     wanted = np.searchsorted(labels, sample.column("label").to_pylist())
     check = np.abs(sample.column("place").to_numpy()) % 5 == 4
-    grams = [bucket for _, bucket in buckets(data, count)]
+    # What the driver holds: a few bytes for each different subword of each text of the bounded sample.
     bags = []
     for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        parts = [g[i : max(i, j - o + 1)] for o, g in zip(_ORDERS, grams, strict=True)]
-        bags.append(np.unique(np.concatenate(parts), return_counts=True))
+        parts = [bucket[: max(0, j - i - order + 1)] for order, bucket in buckets(data[i:j], count)]
+        bucket, times = np.unique(np.concatenate(parts), return_counts=True)
+        bags.append((bucket.astype(np.int32), (times / max(times.sum(), 1)).astype(np.float32)))
     embeddings = rng.uniform(-1 / width, 1 / width, (count, width)).astype(np.float32)
     weights, bias = np.zeros((width, len(labels))), np.zeros(len(labels))
     learn = np.flatnonzero(~check)
     steps, done = max(1, epochs * len(learn)), 0
     for _ in range(epochs):
         for i in rng.permutation(learn):
-            bucket, times = bags[i]
+            bucket, share = bags[i]
             rate = 0.5 * (1 - done / steps)
             done += 1
             if not len(bucket):
                 continue
-            share = (times / times.sum()).astype(np.float32)
             hidden = share @ embeddings[bucket]
             error = _softmax(hidden @ weights + bias)
             error[wanted[i]] -= 1
