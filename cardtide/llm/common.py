@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,18 @@ from cardtide.session import scratch_dir
 HIDDEN = "__cardtide_"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Set what the queries of this package rely on: Arrow batches small enough for whole texts.
+
+    The default of 10,000 rows would hold that many texts several times over, in the JVM and in each Python worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def landed(rows: DataFrame, purpose: str) -> DataFrame:
@@ -31,6 +42,18 @@ def not_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 != 2, F.lit(True))
 
 
+def hashed_sample(rows: DataFrame, order: Column, salt: str, n: int) -> DataFrame:
+    """At most ``n`` rows, those with the least hashes of ``order``: the same rows on every run.
+
+    Rows are counted first, so that each task only gives those below a hash that about 2 n rows are below of, and what reaches the
+    driver does not grow with the number of tasks. Null keys have hashes too; rows of equal hash are taken as they come.
+    """
+    total = rows.count()
+    place = F.pmod(F.xxhash64(order, F.lit(salt)), F.lit(1 << 40))
+    below = int(min(1.0, (2 * n + 100) / max(total, 1)) * (1 << 40))
+    return rows.withColumn(f"{HIDDEN}place", place).where(F.col(f"{HIDDEN}place") < below).orderBy(f"{HIDDEN}place").limit(n)
+
+
 def packed_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column one after another, and n + 1 offsets; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -69,6 +92,25 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator
         yield _joined(held)
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over a partition, and its memory given back when the partition is done."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return wrapped
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks, and share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: nothing to call
+
+
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     if len(held) == 1:
         return held[0]

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,28 +11,6 @@ from cardtide.operators.skew import join_spread
 EDGE = "a long, b long"
 
 
-def _forest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Edges of one batch contracted to stars around the least node; connects the same nodes."""
-    for part in parts:
-        parent: dict[int, int] = {}
-
-        def root(x: int, parent: dict[int, int] = parent) -> int:
-            top = x
-            while parent.get(top, top) != top:
-                top = parent[top]
-            while parent.get(x, x) != top:
-                parent[x], x = top, parent[x]
-            return top
-
-        for a, b in zip(part["a"].tolist(), part["b"].tolist(), strict=True):
-            x, y = root(a), root(b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                parent.setdefault(min(x, y), min(x, y))
-        rows = [(root(x), x) for x in parent if root(x) != x]
-        yield pd.DataFrame({"a": [a for a, _ in rows], "b": [b for _, b in rows]}, dtype="int64")
-
-
 def _least(directed: DataFrame) -> DataFrame:
     return directed.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
 
@@ -48,10 +23,8 @@ def components(edges: DataFrame, copies: int = 8) -> DataFrame:
     neighbours is nobody's single task. Each round is written to the shared folder; the loop ends
     when a round changes nothing. Null ends and loops are ignored; no edges give no rows.
     """
-    now = landed(
-        edges.where("a is not null and b is not null and a <> b").select("a", "b").mapInPandas(_forest, EDGE).distinct(),
-        "edges",
-    )
+    ends = [f("a", "b").alias(name) for f, name in ((F.least, "a"), (F.greatest, "b"))]
+    now = landed(edges.where("a is not null and b is not null and a <> b").select(*ends).distinct(), "edges")
     before = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, landed, packed_text, pieces
+from cardtide.llm.common import HIDDEN, landed, packed_text, pieces, releasing
 
 TOXICITY = f"{HIDDEN}toxicity"
 
@@ -43,26 +43,25 @@ def sequences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return key, offsets
 
 
-def counted(rows: DataFrame, text: str, positive: str, batch_bytes: int = 4 << 20) -> DataFrame:
+def counted(rows: DataFrame, text: str, positive: str, batch_bytes: int = 1 << 20) -> DataFrame:
     """(key, hot, cold: long): how often each sequence of ``_ORDER`` bytes is in texts where ``positive`` is true, and else."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, times = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in pieces(batches, text, batch_bytes):
             data, offsets = packed_text(batch.column(text))
             if not len(data):
                 continue
-            key, _ = sequences(data, offsets)
             hot = np.repeat(np.asarray(batch.column(positive).fill_null(False)).astype(bool), np.diff(offsets))
-            keys, times = _summed(
-                np.concatenate([keys, key]), np.concatenate([times, np.stack([hot, ~hot], 1).astype(np.int64)])
-            )
-            if len(keys) > 1 << 20:
-                yield _counts(keys, times)
-                keys, times = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
-        yield _counts(keys, times)
-
-    found = rows.select(text, positive).mapInArrow(run, "key long, hot long, cold long")
+            held.append(_summed(sequences(data, offsets)[0], np.stack([hot, ~hot], 1).astype(np.int32)))
+            if sum(len(keys) for keys, _ in held) > 1 << 21:
+                held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                if len(held[0][0]) > 1 << 20:
+                    yield _counts(*held.pop())
+        if held:
+            yield _counts(*_summed(*map(np.concatenate, zip(*held, strict=True))))
+
+    found = rows.select(text, positive).mapInArrow(releasing(run), "key long, hot long, cold long")
     return found.groupBy("key").agg(F.sum("hot").alias("hot"), F.sum("cold").alias("cold"))
 
 
@@ -74,7 +73,8 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _counts(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times[:, 0].copy()), pa.array(times[:, 1].copy())], ["key", "hot", "cold"])
+    hot, cold = times.astype(np.int64).T.copy()
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(hot), pa.array(cold)], ["key", "hot", "cold"])
 
 
 def model_rows(counts: DataFrame, discount: float) -> tuple[DataFrame, DataFrame]:
@@ -204,7 +204,7 @@ def learned(
     positive: str,
     order: Column,
     discount: float = 0.75,
-    bits: int = 23,
+    bits: int = 22,
     calibration_rows: int = 4000,
 ) -> Broadcast[tuple]:
     """The two models, from all labelled rows, and their calibration, from a bounded sample.
@@ -221,7 +221,7 @@ def learned(
     counts = landed(counted(usable.where(place % 8 != 0), text, positive), "sequence-counts")
     seen, contexts = model_rows(counts, discount)
     size = 1 << bits
-    checks, gains, taken = np.zeros(size, np.uint16), np.full(size, _EMPTY), np.zeros(size, np.int64)
+    checks, gains, taken = np.zeros(size, np.uint16), np.full(size, _EMPTY), np.zeros(size, np.int32)
     for part, context in ((seen, False), (contexts, True)):
 
         def slotted(batches: Iterator[pa.RecordBatch], context: bool = context) -> Iterator[pa.RecordBatch]:
@@ -236,9 +236,9 @@ def learned(
                     )
 
         best = (
-            part.mapInArrow(slotted, "slot int, check short, n long, gain double")
+            part.mapInArrow(releasing(slotted), "slot int, check short, n long, gain double")
             .groupBy("slot").agg(F.max(F.struct("n", "check", "gain")).alias("best"))
-            .select("slot", F.col("best.n").alias("n"), F.col("best.check").alias("check"), F.col("best.gain").cast("float").alias("gain"))
+            .select("slot", F.least(F.col("best.n"), F.lit((1 << 31) - 1)).cast("int").alias("n"), F.col("best.check").alias("check"), F.col("best.gain").cast("float").alias("gain"))
         )
         found = best.toArrow()
         slot, n = found.column("slot").to_numpy(), found.column("n").to_numpy()
@@ -261,10 +261,10 @@ def learned(
             found = model.signs(*packed_text(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*map(pa.array, found.T.copy()), batch.column(positive)], [*"abcd", "label"])
 
-    table = sample.select(text, positive).mapInArrow(signs, "a double, b double, c double, d double, label boolean").orderBy(*"abcd").toArrow()
+    table = sample.select(text, positive).mapInArrow(releasing(signs), "a double, b double, c double, d double, label boolean").orderBy(*"abcd").toArrow()
     x = np.stack([table.column(c).to_numpy() for c in "abcd"], 1)
     fitted = _logistic(x, np.asarray(table.column("label")).astype(float))
-    shared.unpersist()
+    shared.destroy()
     return spark.sparkContext.broadcast((checks, gains, bits, fitted))
 
 
@@ -303,4 +303,4 @@ def scored(docs: DataFrame, model: Broadcast[tuple], text_col: str = "text", bat
             data, offsets = packed_text(batch.column(at))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(gains.scores(data, offsets))], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN
+from cardtide.llm.common import HIDDEN, releasing
 from cardtide.llm.subwords import POSTERIOR, TOKENS
 
 RATE, COPIES = f"{HIDDEN}rate", f"{HIDDEN}copies"
@@ -75,7 +75,7 @@ def mixed_rates(
                 [pa.array(np.arange(k + k * k), pa.int32()), pa.array(np.concatenate([total, gram.ravel()]))], ["i", "x"]
             )
 
-        found = rows.select(POSTERIOR, TOKENS).mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
+        found = rows.select(POSTERIOR, TOKENS).mapInArrow(releasing(run), "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
         out = np.zeros(k + k * k)
         for i, x in found.collect():
             out[i] = x
@@ -109,7 +109,7 @@ def mixed_rates(
             rate = _replayed(_arrays(batch, k)[0], history, step, pull, least)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], schema.names)
 
-    return rows.mapInArrow(rated, schema)
+    return rows.mapInArrow(releasing(rated), schema)
 
 
 def repeated(rows: DataFrame, *seed: str) -> DataFrame:

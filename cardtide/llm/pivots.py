@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardtide.llm.common import landed
+from cardtide.llm.common import hashed_sample, landed, releasing
 
 _INDEX = "block long, cell int, low double, high double, ids binary, radii binary, vectors binary"
 _QUERIES = "part long, cell int, low double, high double, body binary"
@@ -94,10 +94,10 @@ def nearest(
             if len(vectors):
                 yield pa.RecordBatch.from_arrays([pa.array([(vectors**2).sum(1).max()])], ["most"])
 
-    most = base.mapInArrow(squares, "most double").agg(F.max("most")).first()[0]
+    most = base.mapInArrow(releasing(squares), "most double").agg(F.max("most")).first()[0]
     if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    some = base.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow().combine_chunks()
+    some = hashed_sample(base, F.col("id"), "pivots", sample).select("id", "vector").toArrow().combine_chunks()
     _, fitted = scaled(some.column(0).combine_chunks(), some.column(1).combine_chunks(), width, scale)
     centres = _pivots(fitted if len(fitted) else np.zeros((1, width)), most, pivots)
 
@@ -143,10 +143,10 @@ def nearest(
             yield _block(held, number)
 
     index = landed(
-        base.mapInArrow(keyed, "cell int, radius double, id long, vector binary")
+        base.mapInArrow(releasing(keyed), "cell int, radius double, id long, vector binary")
         .repartitionByRange("cell", "radius", "id")
         .sortWithinPartitions("cell", "radius", "id")
-        .mapInArrow(blocked, _INDEX),
+        .mapInArrow(releasing(blocked), _INDEX),
         "pivot-index",
     )
 
@@ -191,7 +191,7 @@ def nearest(
             ["part", "cell", "low", "high", "body"],
         )
 
-    queries = landed(index.select("ids", "vectors").mapInArrow(asked, _QUERIES), "pivot-queries")
+    queries = landed(index.select("ids", "vectors").mapInArrow(releasing(asked), _QUERIES), "pivot-queries")
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +207,7 @@ def nearest(
         .join(queries.where("cell < 0").select("part", "body"), "part")
         .join(index.select("block", "cell", "ids", "radii", "vectors"), "block")
         .select("cell", "ids", "radii", "vectors", "body")
-        .mapInArrow(opened, _HITS)
+        .mapInArrow(releasing(opened), _HITS)
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, landed, packed_text, pieces
+from cardtide.llm.common import HIDDEN, landed, packed_text, pieces, release_memory, releasing
 from cardtide.llm.suffix import least_owner, words_at
 
 N_BYTES, N_REMOVED, N_SPANS, KEPT = (f"{HIDDEN}{x}" for x in ("n_bytes", "n_removed", "n_spans", "kept"))
 
 _LAST = np.iinfo(np.int64).max
 _KEY_BITS = 48
+_LEVEL = 5
 
 
 def _packed(value: object) -> bytes:
-    return zstandard.ZstdCompressor(3).compress(pickle.dumps(value, 5))
+    return zstandard.ZstdCompressor(_LEVEL).compress(pickle.dumps(value, 5))
 
 
 def _unpacked(value: bytes) -> tuple:
@@ -193,11 +194,13 @@ def repeated_bytes(
                 texts = _row_table(payload.as_buffer())
                 rows += _dealt(shard, texts, text_col, _owners(texts.column(id_col)), right, length, gram, ranges, targets)
         columns = zip(*rows, strict=True) if rows else [[], [], []]
+        release_memory()
         return pa.table([pa.array(c, t) for c, t in zip(columns, _SENT.types, strict=True)], _SENT.names)
 
     def decided(part: pa.Table) -> pa.Table:
         found = _flagged(part.column("shard").to_pylist(), part.column("runs"), length, shard_bytes)
         columns = zip(*found, strict=True) if found else [[], []]
+        release_memory()
         return pa.table([pa.array(c, t) for c, t in zip(columns, _FLAGS.types, strict=True)], _FLAGS.names)
 
     schema = StructType(
@@ -213,7 +216,7 @@ def repeated_bytes(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     empty = to_arrow_schema(schema)
-    keys = shards.select("shard", "payload").mapInArrow(keys_of, "range long, shard long, keys binary, weights binary")
+    keys = shards.select("shard", "payload").mapInArrow(releasing(keys_of), "range long, shard long, keys binary, weights binary")
     bits = keys.groupBy("range").applyInArrow(met, "shard long, range long, bits binary")
     runs = (
         shards.groupBy("shard").cogroup(bits.groupBy("shard"))
@@ -238,9 +241,11 @@ def _laid_out(docs: DataFrame, text_col: str, shard_bytes: int) -> DataFrame:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
+        # Written once and shuffled twice: worth more than the fastest compression.
+        codec = pa.Codec("zstd", compression_level=_LEVEL)
         for number, batch in enumerate(pieces(batches, text_col, shard_bytes)):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
                 out.write_batch(batch)
             size = int(packed_text(batch.column(text_col))[1][-1])
             payload = sink.getvalue().to_pybytes()
@@ -249,7 +254,7 @@ def _laid_out(docs: DataFrame, text_col: str, shard_bytes: int) -> DataFrame:
                 ["shard", "n_bytes", "payload"],
             )
 
-    return docs.mapInArrow(layer, "shard long, n_bytes long, payload binary")
+    return docs.mapInArrow(releasing(layer), "shard long, n_bytes long, payload binary")
 
 
 def _dealt(

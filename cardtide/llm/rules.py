@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN
+from cardtide.llm.common import HIDDEN, hashed_sample, releasing
 
 KEPT, REJECTED_BY, EVALUATED = (f"{HIDDEN}{x}" for x in ("kept", "rejected_by", "evaluated"))
 
@@ -122,8 +122,7 @@ def ordered(rules: Sequence[Rule], texts: Sequence[str | None], clock: Callable[
 def sampled(docs: DataFrame, text_col: str, order: Column, rows: int = 400, max_bytes: int = 200_000) -> list[str | None]:
     """At most ``rows`` texts, by hash of ``order``, for timing rules; longer texts than ``max_bytes`` are left out here alone."""
     usable = docs.where(F.coalesce(F.octet_length(text_col), F.lit(0)) <= max_bytes)
-    keyed = usable.select(F.xxhash64(order, F.lit("rules")).alias("place"), F.col(text_col).alias("text"))
-    return [r["text"] for r in keyed.orderBy("place", "text").limit(rows).collect()]
+    return [r[text_col] for r in hashed_sample(usable, order, "rules", rows).select(text_col).collect()]
 
 
 def cascaded(
@@ -168,4 +167,4 @@ def cascaded(
                     schema.names,
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

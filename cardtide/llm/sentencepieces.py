@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
-from cardtide.llm.common import HIDDEN, pieces
+from cardtide.llm.common import HIDDEN, pieces, releasing
 
 IDS, ROUND_TRIP, PARITY, DECODED = (f"{HIDDEN}{x}" for x in ("ids", "round_trip", "parity", "decoded"))
 
@@ -153,7 +153,7 @@ class Encoder:
     not give are noted: whole texts, or words where texts are encoded by word.
     """
 
-    def __init__(self, data: bytes, verify: bool = False, memory: int = 400_000) -> None:
+    def __init__(self, data: bytes, verify: bool = False, memory: int = 300_000) -> None:
         model = parse(data)
         self.whole = rebuild(model)
         self.by_word = (
@@ -294,23 +294,26 @@ def encoded(
         _threads(threads)
         gc.disable()  # millions of small objects without cycles are not worth going through
         encoder, decoder = Encoder(model, verify), Decoder(model)
-        for batch in pieces(batches, text_col, batch_bytes):
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            ids, same = encoder.encode(texts)
-            ends = np.cumsum([0, *map(len, ids)]) // 4
-            values = np.frombuffer(b"".join(ids), "<i4")
-            back = decoder.decode([values[i:j].tolist() for i, j in zip(ends[:-1], ends[1:], strict=True)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
-                    pa.array([a == b for a, b in zip(back, texts, strict=True)], pa.bool_()),
-                    pa.array(same, pa.bool_()),
-                ],
-                schema.names,
-            )
-
-    return docs.mapInArrow(run, schema)
+        try:
+            for batch in pieces(batches, text_col, batch_bytes):
+                texts = [t or "" for t in batch.column(at).to_pylist()]
+                ids, same = encoder.encode(texts)
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                values = np.frombuffer(b"".join(ids), "<i4")
+                back = decoder.decode([values[i:j].tolist() for i, j in zip(ends[:-1], ends[1:], strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.columns,
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
+                        pa.array([a == b for a, b in zip(back, texts, strict=True)], pa.bool_()),
+                        pa.array(same, pa.bool_()),
+                    ],
+                    schema.names,
+                )
+        finally:
+            gc.enable()
+
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def decoded(rows: DataFrame, model: bytes, ids_col: str = IDS, threads: int = 2) -> DataFrame:
@@ -327,4 +330,4 @@ def decoded(rows: DataFrame, model: bytes, ids_col: str = IDS, threads: int = 2)
             texts = [None if x is None else t for x, t in zip(ids, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)

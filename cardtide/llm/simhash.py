@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, landed
+from cardtide.llm.common import HIDDEN, landed, releasing
 from cardtide.llm.components import EDGE, components
 from cardtide.operators.skew import join_spread
 
@@ -220,10 +220,10 @@ def near_pairs(codes: DataFrame, distance: int = 3) -> DataFrame:
 
     return (
         codes.select("code")
-        .mapInArrow(dealt, "kind byte, place long")
+        .mapInArrow(releasing(dealt), "kind byte, place long")
         .repartition("kind", F.shiftrightunsigned("place", 64 - _SHARED))
         .sortWithinPartitions("kind", "place")
-        .mapInArrow(joined, EDGE)
+        .mapInArrow(releasing(joined), EDGE)
     )
 
 
@@ -246,7 +246,7 @@ def simhash_groups(
             codes = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column(at)], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes.view(np.int64))], [f.name for f in schema])
 
-    rows = landed(docs.mapInArrow(marked, schema).withColumn(ROW, F.monotonically_increasing_id()), "fingerprints")
+    rows = landed(docs.mapInArrow(releasing(marked), schema).withColumn(ROW, F.monotonically_increasing_id()), "fingerprints")
     classes = rows.groupBy(F.col(FINGERPRINT).alias("code")).agg(F.min(id_col).alias("least"))
     linked = landed(components(near_pairs(classes, distance)), "groups")
     least = (

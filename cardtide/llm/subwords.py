@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, packed_text, pieces
+from cardtide.llm.common import HIDDEN, packed_text, pieces, releasing
 from cardtide.llm.suffix import words_at
 
 LABEL, SCORE, ACCEPTED, POSTERIOR, TOKENS = (f"{HIDDEN}{x}" for x in ("label", "score", "accepted", "posterior", "tokens"))
@@ -201,7 +201,7 @@ def classified(docs: DataFrame, model: Subwords, text_col: str = "text", batch_b
                 schema.names,
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def word_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
