@@ -120,3 +120,11 @@ def test_empty_tables(spark):
     assert repeated_bytes(messy_docs(spark, [])).count() == 0
     short = messy_docs(spark, [None, "", "short"])
     assert [r[2] for r in fast(short)] == [0] * 5
+
+
+def test_anchor_keys_spread_evenly():
+    """Key ranges are dealt to tasks, so no tenth of the range may hold much more than a tenth of the anchors."""
+    data = np.random.default_rng(0).integers(97, 123, 200_000, dtype=np.uint8)
+    key = runs_by_anchor(data, np.array([0, len(data)]), 50, 24)[3]
+    tenths = np.bincount((key >> np.uint64(38)).astype(np.int64) * 10 >> 10, minlength=10) / len(key)
+    assert 0.09 < tenths.min() and tenths.max() < 0.11
