@@ -22,7 +22,10 @@ _ORDER = 6
 _SHARED = 3
 #: Bytes of a passage that is compared by itself.
 _PASSAGE = 16
-_EMPTY = np.float16(np.nan)
+#: Spreads the bytes before a byte over the model's order, 2^24 places.
+_SPREAD = 0x9E3779B1
+#: Keys that the driver fetches at a time.
+_FETCHED = 1 << 20
 
 
 def sequences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,26 +134,110 @@ def model_rows(counts: DataFrame, discount: float) -> tuple[DataFrame, DataFrame
 
 
 def _slot(key: np.ndarray, length: int, context: bool, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check value of keys of one kind."""
-    mixed = (key.view(np.uint64) ^ np.uint64((2 * length + context) << 56)) * np.uint64(0x9E3779B97F4A7C15)
+    """First slot of keys of one kind, and what tells them from all others: the whole key, and the kind above its 48 bits."""
+    whole = key | ((2 * length + context) << 56)
+    return _first_slot(whole, bits), whole
+
+
+def _first_slot(whole: np.ndarray, bits: int) -> np.ndarray:
+    mixed = whole.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64), (mixed & np.uint64(0xFFFF)).astype(np.uint16)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _tabled(whole: np.ndarray, gains: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys and gains in slots, all of them: a key whose first slot is taken stands in the next free one."""
+    bits = max(4, int(np.ceil(np.log2(1.5 * len(whole) + 1))))
+    first = _first_slot(whole, bits)
+    by = np.argsort(first, kind="stable")
+    at = np.arange(len(by))
+    slot = at + np.maximum.accumulate(first[by] - at)
+    # The last slot stays empty, so that no search goes past it.
+    size = max(1 << bits, int(slot[-1]) + 1 if len(slot) else 0) + 1
+    checks, found = np.zeros(size, np.int64), np.full(size, np.nan, np.float32)
+    checks[slot], found[slot] = whole[by], gains[by]
+    return checks, found, bits
+
+
+def _places(key: np.ndarray) -> np.ndarray:
+    """Where in the model's order all lookups of a byte are: a hash of the 3 bytes before it, which all its lengths share."""
+    return (((key >> 8) & 0xFFFFFF) * _SPREAD & 0xFFFFFFFF) >> 8
 
 
 @dataclass(frozen=True)
 class Gains:
-    """Log ratios of sequences and contexts in a table of a fixed number of slots, and the calibration."""
+    """Log ratios of sequences and contexts, one block of them in a table of slots, and the calibration."""
 
     checks: np.ndarray
     gains: np.ndarray
     bits: int
-    calibration: tuple[float, ...]
+    calibration: tuple[float, ...] = ()
 
     def _found(self, key: np.ndarray, length: int, context: bool) -> tuple[np.ndarray, np.ndarray]:
         slot, check = _slot(key, length, context, self.bits)
-        gain = self.gains[slot]
-        return (self.checks[slot] == check) & ~np.isnan(gain), gain.astype(np.float32)
+        check = check.astype(self.checks.dtype)
+        gain = self.gains[slot].astype(np.float32)
+        known = (self.checks[slot] == check) & ~np.isnan(gain)
+        # Slots taken by other keys: the next ones, up to an empty one.
+        left = np.flatnonzero(~known & ~np.isnan(gain))
+        while len(left):
+            slot[left] = (slot[left] + 1) % len(self.gains)
+            here = self.gains[slot[left]].astype(np.float32)
+            taken = ~np.isnan(here)
+            same = taken & (self.checks[slot[left]] == check[left])
+            known[left[same]], gain[left[same]] = True, here[same]
+            left = left[taken & ~same]
+        return known, gain
+
+    def _gains(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The log ratio of the classes' probabilities of every byte, given the bytes before it."""
+        key, _ = sequences(data, offsets)
+        return self.of_keys(key)
+
+    def of_keys(self, key: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(key), np.float32)
+        left = np.arange(len(key))
+        for length in range(_ORDER, _SHARED, -1):
+            here = key[left] & ((1 << (8 * length)) - 1)
+            known, gain = self._found(here, length, False)
+            total[left[known]] += gain[known]
+            left, here = left[~known], here[~known]
+            if not len(left):
+                break
+            # Not seen: the classes back off, each with its own weight.
+            known, gain = self._found(here >> 8, length, True)
+            total[left[known]] += gain[known]
+        return total
+
+
+@dataclass(frozen=True)
+class Model:
+    """All gains, in blocks by place, each of which a task holds at a time; the places at which blocks after the first begin; the calibration."""
+
+    blocks: list[Broadcast[tuple]]
+    begins: np.ndarray
+    calibration: tuple[float, ...] = ()
+
+    def gains(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        key, _ = sequences(data, offsets)
+        if len(self.blocks) == 1:
+            return Gains(*self.blocks[0].value).of_keys(key)
+        total = np.zeros(len(key), np.float32)
+        block = np.searchsorted(self.begins, _places(key), "right").astype(np.int32)
+        by = np.argsort(block, kind="stable")
+        edges = np.searchsorted(block[by], np.arange(len(self.blocks) + 1))
+        for one, begin, end in zip(self.blocks, edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if begin < end:
+                mine = by[begin:end]
+                total[mine] = Gains(*one.value).of_keys(key[mine])
+                # The next use reads the block's file again: a task holds one block, however many there are.
+                vars(one).pop("_value", None)
+        return total
+
+    def batch_bytes(self, least: int) -> int:
+        """Larger pieces of text where many blocks are read for each."""
+        return least * min(4, max(1, len(self.blocks) // 4))
 
     def signs(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """What the calibration weighs of each text: its log likelihood as toxic less that as ordinary, normalised.
@@ -165,7 +252,7 @@ class Gains:
         some = np.flatnonzero(sizes)
         if not len(some):
             return out
-        total = self._gains(data, offsets)
+        total = self.gains(data, offsets)
         edges = np.stack([offsets[some], offsets[some + 1]], 1).ravel()
         ratio = np.add.reduceat(np.append(total, 0), edges, dtype=np.float64)[::2]
         out[some, 0], out[some, 1] = 100 * ratio / size[some], ratio / np.sqrt(size[some])
@@ -176,23 +263,6 @@ class Gains:
         out[some, 2] = np.where(sizes[some] < _PASSAGE, ratio, best)
         return out
 
-    def _gains(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """The log ratio of the classes' probabilities of every byte, given the bytes before it."""
-        key, _ = sequences(data, offsets)
-        total = np.zeros(len(key), np.float32)
-        left = np.arange(len(key))
-        for length in range(_ORDER, _SHARED, -1):
-            here = key[left] & ((1 << (8 * length)) - 1)
-            known, gain = self._found(here, length, False)
-            total[left[known]] += gain[known]
-            left, here = left[~known], here[~known]
-            if not len(left):
-                break
-            # Not seen: the classes back off, each with its own weight.
-            known, gain = self._found(here >> 8, length, True)
-            total[left[known]] += gain[known]
-        return total
-
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         bias, *weights = self.calibration
         return 1 / (1 + np.exp(-np.clip(bias + self.signs(data, offsets) @ np.array(weights), -30, 30)))
@@ -206,66 +276,71 @@ def learned(
     discount: float = 0.75,
     bits: int = 22,
     calibration_rows: int = 4000,
-) -> Broadcast[tuple]:
+) -> Model:
     """The two models, from all labelled rows, and their calibration, from a bounded sample.
 
     Counts cover every row of ``rows`` whose ``positive`` (boolean) is not null, but for every eighth by hash of ``order``, kept back for
-    calibration. What a scoring task gets is a table of 2^bits slots of 4 bytes, whatever the size of the input:
-    sequences and contexts go to slots by hash, the commoner first, and one that finds its slot taken counts as not seen.
+    calibration. All sequences and contexts that were counted are kept, with their whole keys: the model is cut into blocks of
+    at most 2^(bits - 2) of them, as many as it takes, and a scoring task holds one block at a time.
     Calibration is a logistic regression on the length-normalised ratios of at most about ``calibration_rows`` of the
     rows kept back.
     """
-    spark = rows.sparkSession
     usable = rows.where(F.col(positive).isNotNull() & F.col(text).isNotNull())
     place = F.pmod(F.xxhash64(order, F.lit("calibration")), F.lit(1 << 30))
     counts = landed(counted(usable.where(place % 8 != 0), text, positive), "sequence-counts")
-    seen, contexts = model_rows(counts, discount)
-    size = 1 << bits
-    checks, gains, taken = np.zeros(size, np.uint16), np.full(size, _EMPTY), np.zeros(size, np.int32)
-    for part, context in ((seen, False), (contexts, True)):
-
-        def slotted(batches: Iterator[pa.RecordBatch], context: bool = context) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                length, key = batch.column("length").to_numpy(), batch.column("key").to_numpy()
-                for one in np.unique(length):
-                    mine = length == one
-                    slot, check = _slot(key[mine], int(one), context, bits)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(slot.astype(np.int32)), pa.array(check.view(np.int16)), batch.column("n").filter(pa.array(mine)), batch.column("gain").filter(pa.array(mine))],
-                        ["slot", "check", "n", "gain"],
-                    )
-
-        best = (
-            part.mapInArrow(releasing(slotted), "slot int, check short, n long, gain double")
-            .groupBy("slot").agg(F.max(F.struct("n", "check", "gain")).alias("best"))
-            .select("slot", F.least(F.col("best.n"), F.lit((1 << 31) - 1)).cast("int").alias("n"), F.col("best.check").alias("check"), F.col("best.gain").cast("float").alias("gain"))
-        )
-        found = best.toArrow()
-        slot, n = found.column("slot").to_numpy(), found.column("n").to_numpy()
-        better = n > taken[slot]
-        slot = slot[better]
-        taken[slot] = n[better]
-        checks[slot] = found.column("check").to_numpy()[better].view(np.uint16)
-        gains[slot] = found.column("gain").to_numpy()[better].astype(np.float16)
-        del found
+    blocks, begins = _blocks(*model_rows(counts, discount), 1 << max(0, bits - 2))
     held = usable.where(place % 8 == 0)
     n = held.select(positive).count()
     share = min(1.0, calibration_rows / n) if n else 1.0
     sample = held.where(F.pmod(F.xxhash64(order, F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # Plain arrays: executors need not have this package to read a broadcast.
-    shared = spark.sparkContext.broadcast((checks, gains, bits, ()))
 
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Gains(*shared.value)
-        for batch in pieces(batches, text, 1 << 20):
+        model = Model(blocks, begins)
+        for batch in pieces(batches, text, model.batch_bytes(1 << 20)):
             found = model.signs(*packed_text(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*map(pa.array, found.T.copy()), batch.column(positive)], [*"abcd", "label"])
 
     table = sample.select(text, positive).mapInArrow(releasing(signs), "a double, b double, c double, d double, label boolean").orderBy(*"abcd").toArrow()
     x = np.stack([table.column(c).to_numpy() for c in "abcd"], 1)
-    fitted = _logistic(x, np.asarray(table.column("label")).astype(float))
-    shared.destroy()
-    return spark.sparkContext.broadcast((checks, gains, bits, fitted))
+    return Model(blocks, begins, _logistic(x, np.asarray(table.column("label")).astype(float)))
+
+
+def _blocks(seen: DataFrame, contexts: DataFrame, most: int) -> tuple[list[Broadcast[tuple]], np.ndarray]:
+    """The gains in blocks of at most ``most`` keys (or of one place), and the places at which blocks after the first begin."""
+    spark = seen.sparkSession
+
+    def entries(part: DataFrame, context: int) -> DataFrame:
+        before = part["key"] if context else F.shiftright("key", 8)
+        place = F.shiftright((before.bitwiseAND(0xFFFFFF) * F.lit(_SPREAD).cast("long")).bitwiseAND((1 << 32) - 1), 8)
+        kind = F.shiftleft((2 * F.col("length") + context).cast("long"), 56)
+        return part.select(place.cast("int").alias("place"), F.col("key").bitwiseOR(kind).alias("whole"), F.col("gain").cast("float").alias("gain"))
+
+    gains = landed(entries(seen, 0).unionAll(entries(contexts, 1)), "gains")
+    fetches = max(1, -(-gains.count() // _FETCHED))
+    if fetches > 1:
+        gains = landed(gains.repartitionByRange("place"), "gains-by-place")
+    blocks, begins = [], []
+    # Plain arrays: executors need not have this package to read a broadcast.
+    for i in range(fetches):
+        begin, end = (j * (1 << 24) // fetches for j in (i, i + 1))
+        found = (gains.where((F.col("place") >= begin) & (F.col("place") < end)) if fetches > 1 else gains).toArrow()
+        places, whole, gain = (found.column(c).to_numpy() for c in ("place", "whole", "gain"))
+        del found
+        by = np.argsort(places, kind="stable")
+        places, whole, gain = places[by], whole[by], gain[by]
+        at = 0
+        while at < len(places):
+            to = min(at + most, len(places))
+            if to < len(places):
+                whole_places = int(np.searchsorted(places, places[to]))
+                to = whole_places if whole_places > at else int(np.searchsorted(places, places[at], "right"))
+            if blocks:
+                begins.append(int(places[at]))
+            blocks.append(spark.sparkContext.broadcast(_tabled(whole[at:to], gain[at:to])))
+            at = to
+    if not blocks:
+        blocks.append(spark.sparkContext.broadcast(_tabled(np.zeros(0, np.int64), np.zeros(0, np.float32))))
+    return blocks, np.array(begins, np.int64)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> tuple[float, ...]:
@@ -288,7 +363,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 5
     return tuple(float(v) for v in w / scale)
 
 
-def scored(docs: DataFrame, model: Broadcast[tuple], text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
+def scored(docs: DataFrame, model: Model, text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
     """All rows and columns of ``docs`` with TOXICITY, from 0 to 1; whole texts are read.
 
     A null text counts as empty; an empty text has the score of the calibration's bias. Repeated rows score alike;
@@ -298,9 +373,8 @@ def scored(docs: DataFrame, model: Broadcast[tuple], text_col: str = "text", bat
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gains = Gains(*model.value)
-        for batch in pieces(batches, text_col, batch_bytes):
+        for batch in pieces(batches, text_col, model.batch_bytes(batch_bytes)):
             data, offsets = packed_text(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(gains.scores(data, offsets))], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(data, offsets))], schema.names)
 
     return docs.mapInArrow(releasing(run), schema)

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardtide.llm.common import HIDDEN, landed, not_held_out, table
-from cardtide.llm.kneser_ney import TOXICITY, learned, scored
+from cardtide.llm.kneser_ney import TOXICITY, Model, learned, scored
 from cardtide.llm.mixing import COPIES, RATE, mixed_rates, repeated
 from cardtide.llm.oracle import ORACLE
 from cardtide.llm.perspectives import rotated
@@ -97,7 +96,7 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def learned_toxicity(spark: SparkSession, sf_dir: str) -> Broadcast[tuple]:
+def learned_toxicity(spark: SparkSession, sf_dir: str) -> Model:
     """The toxicity model of the queries: texts with a label, of rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(not_held_out(F.col("doc_id")))
     labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))

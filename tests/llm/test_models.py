@@ -251,6 +251,23 @@ def test_a_full_table_backs_off(spark):
     assert all(0 <= r[TOXICITY] <= 1 for r in scored(rows, model).collect())
 
 
+def test_every_sequence_keeps_its_gain(spark):
+    """However small the blocks, each counted sequence and context is found with its own gain, and no other is."""
+    rows = _insults(spark, 100)
+    seen, contexts = model_rows(counted(rows, "text", "bad"), 0.75)
+    blocks, begins = kn._blocks(seen, contexts, 1 << 10)
+    assert len(blocks) > 4 and len(begins) == len(blocks) - 1
+    entries = [(r["key"], r["length"], context, r["gain"]) for part, context in ((seen, False), (contexts, True)) for r in part.collect()]
+    assert sum((~np.isnan(b.value[1])).sum() for b in blocks) == len(entries)
+    for key, length, context, gain in entries:
+        key = np.array([key])
+        block = int(np.searchsorted(begins, kn._places(key << 8 if context else key), "right")[0])
+        known, found = Gains(*blocks[block].value)._found(key, length, context)
+        assert known[0] and abs(found[0] - gain) < 1e-5
+    one, two = ([r[TOXICITY] for r in scored(rows.orderBy("doc_id"), learned(rows, "text", "bad", F.col("doc_id"), bits=b)).collect()] for b in (12, 22))
+    assert np.allclose(one, two, atol=1e-6)
+
+
 def test_one_class_or_none(spark):
     rows = _insults(spark, 100)
     for some in (rows.where("bad"), rows.where("not bad"), rows.limit(0), rows.withColumn("bad", F.lit(None).cast("boolean"))):
