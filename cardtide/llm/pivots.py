@@ -30,7 +30,8 @@ def scaled(ids: pa.Array, vectors: pa.Array, width: int, scale: float) -> tuple[
     out = np.zeros((n, width))
     out[row, column] = values[np.repeat(offsets[:-1], sizes) + column] if len(row) else 0.0
     good = ~missing & np.isfinite(out).all(1)
-    return ids.fill_null(0).to_numpy(zero_copy_only=False)[good].astype(np.int64), np.floor(scale * out[good])
+    # Adding 0 makes -0 and 0 the same bytes.
+    return ids.fill_null(0).to_numpy(zero_copy_only=False)[good].astype(np.int64), np.floor(scale * out[good]) + 0.0
 
 
 def _pivots(sample: np.ndarray, most: float, count: int) -> np.ndarray:
@@ -101,22 +102,26 @@ def nearest(
     _, fitted = scaled(some.column(0).combine_chunks(), some.column(1).combine_chunks(), width, scale)
     centres = _pivots(fitted if len(fitted) else np.zeros((1, width)), most, pivots)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, block):
                 part = batch.slice(at, block)
                 ids, vectors = scaled(part.column(0), part.column(1), width, scale)
-                gaps = _gaps(_lifted(vectors, most), centres)
-                cell = gaps.argmin(1)
                 raw = vectors.astype("<f8").tobytes()
                 size = 8 * width
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(cell, pa.int32()),
-                        pa.array(gaps[np.arange(len(ids)), cell]),
-                        pa.array(ids),
-                        pa.array([raw[i * size : (i + 1) * size] for i in range(len(ids))], pa.binary()),
-                    ],
+                    [pa.array(ids), pa.array([raw[i * size : (i + 1) * size] for i in range(len(ids))], pa.binary())], ["id", "vector"]
+                )
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                vectors = np.frombuffer(b"".join(part.column("vector").to_pylist()), "<f8").reshape(-1, width)
+                gaps = _gaps(_lifted(vectors, most), centres)
+                cell = gaps.argmin(1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell, pa.int32()), pa.array(gaps[np.arange(len(cell)), cell]), part.column("id"), part.column("vector")],
                     ["cell", "radius", "id", "vector"],
                 )
 
@@ -143,7 +148,8 @@ def nearest(
             yield _block(held, number)
 
     index = landed(
-        base.mapInArrow(releasing(keyed), "cell int, radius double, id long, vector binary")
+        base.mapInArrow(releasing(floored), "id long, vector binary").distinct()
+        .mapInArrow(releasing(keyed), "cell int, radius double, id long, vector binary")
         .repartitionByRange("cell", "radius", "id")
         .sortWithinPartitions("cell", "radius", "id")
         .mapInArrow(releasing(blocked), _INDEX),
@@ -163,10 +169,7 @@ def nearest(
                     continue
                 scores = vectors[mine] @ vectors.T
                 scores[ids[mine][:, None] == ids] = -np.inf
-                bound = np.full(len(mine), -np.inf)
-                if len(ids) > k:
-                    bound = np.partition(scores, len(ids) - k, 1)[:, len(ids) - k]
-                held.append((ids[mine], vectors[mine], bound))
+                held.append((ids[mine], vectors[mine], _bounds(scores, ids, k)))
                 if sum(len(h[0]) for h in held) >= 256:
                     yield needs(held, number)
                     held, number = [], number + 1
@@ -216,6 +219,25 @@ def nearest(
     )
 
 
+def _bounds(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Per query the ``k``-th best of a block's different (id, score); -inf where it has fewer."""
+    bound = np.full(len(scores), -np.inf)
+    if len(ids) <= k:
+        return bound
+    if len(np.unique(ids)) == len(ids):
+        return np.partition(scores, len(ids) - k, 1)[:, len(ids) - k]
+    # Different vectors of one id may have one score.
+    for i, mine in enumerate(scores):
+        order = np.lexsort((ids, -mine))
+        ranked, who = mine[order], ids[order]
+        new = np.isfinite(ranked)
+        new[1:] &= (ranked[1:] != ranked[:-1]) | (who[1:] != who[:-1])
+        places = np.flatnonzero(new)
+        if len(places) >= k:
+            bound[i] = ranked[places[k - 1]]
+    return bound
+
+
 def _reach(queries: np.ndarray, bound: np.ndarray, most: float) -> np.ndarray:
     """The distance in the lifted space at which the inner product is ``bound``, rounded up."""
     square = (queries**2).sum(1) + most - 2 * bound
@@ -240,7 +262,7 @@ def _block(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
 
 
 def _hits(row: dict, width: int, centres: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query of a block of queries the best ``k`` of one block of the index that reach its bound."""
+    """Per query of a block of queries the best ``k`` different (id, score) of one block of the index that reach its bound."""
     ids, radii = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["radii"], "<f8")
     vectors = np.frombuffer(row["vectors"], "<f8").reshape(-1, width)
     n = len(row["body"]) // (8 * (width + 3))
@@ -258,6 +280,10 @@ def _hits(row: dict, width: int, centres: np.ndarray, k: int) -> tuple[np.ndarra
     query, place = np.nonzero(kept)
     score, found = scores[query, place], ids[begin:end][place]
     order = np.lexsort((found, -score, query))
+    ranked = np.stack([query[order], found[order]], 1), score[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (ranked[0][1:] != ranked[0][:-1]).any(1) | (ranked[1][1:] != ranked[1][:-1])
+    order = order[new]
     query = query[order]
     rank = np.arange(len(query)) - np.searchsorted(query, query)
     order = order[rank < k]

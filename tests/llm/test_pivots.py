@@ -58,6 +58,22 @@ def test_messy_rows(spark):
     assert fast(table, every=20, k=7, block=32, pivots=4) == slow(padded, 7, 20)
 
 
+@pytest.mark.parametrize("block", [16, 4096])
+def test_every_row_several_times(spark, block):
+    rows = _rows(5, 300, 6, 0.3)
+    table = spark.createDataFrame(rows * 3, SCHEMA).repartition(4)
+    assert fast(table, every=10, k=5, block=block, pivots=8, sample=100) == slow(rows, 5, 10)
+
+
+def test_one_score_of_several_vectors(spark):
+    """Ten vectors of an id that differ only where the queries are 0 are one result to them."""
+    rows = [(i, [1.0, 0.0, 0.001 * i], 1, "") for i in range(0, 40, 10)]
+    rows += [(1 + 10 * i, [2.0 - i / 64, j / 8, 0.0], 1, "") for i in range(12) for j in range(10)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for block in (16, 4096):
+        assert fast(table, every=10, k=5, block=block, pivots=4) == slow(rows, 5, 10)
+
+
 def test_few_and_no_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0], 1, ""), (1, [3.0, -1.0], 1, ""), (2, [0.0, 0.0], 1, "")], SCHEMA)
     assert fast(few, every=1) == slow([tuple(r) for r in few.collect()], 10, 1)
