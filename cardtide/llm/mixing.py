@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import warnings
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,11 @@ from cardtide.llm.subwords import POSTERIOR, TOKENS
 
 RATE, COPIES = f"{HIDDEN}rate", f"{HIDDEN}copies"
 
+#: Targets count as out of reach when the residual, once past its height, has not fallen by a hundredth from so many passes to as many after.
+_PATIENCE = 10
+#: A guard against rounding that neither settles nor stalls; what is left then is told like any residual.
+_PASSES = 500
+
 
 def _replayed(chance: np.ndarray, history: list[np.ndarray], step: float, pull: float, least: float) -> np.ndarray:
     """The rates after the steps so far: each step is a function of the rate before and of a few numbers."""
@@ -37,6 +43,35 @@ def targets_for(shares: np.ndarray, weights: Mapping[str, float] | None, labels:
     return wanted / wanted.sum()
 
 
+def _priced(
+    sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, float]], goal: np.ndarray, scale: np.ndarray, pull: float, tolerance: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Prices at which the totals are ``goal``, or as near as they come, and the totals."""
+    price = np.zeros(len(goal))
+    now, gram, dual = sums(price)
+    best, errors = (price, now), []
+    while True:
+        errors.append(float(np.abs((now - goal) / scale).max()))
+        if errors[-1] <= min(errors):
+            best = price, now
+        if errors[-1] <= tolerance or len(errors) >= _PASSES:
+            return best
+        falling = errors[int(np.argmax(errors)) :]
+        if len(falling) >= 2 * _PATIENCE and min(falling[-_PATIENCE:]) >= 0.99 * min(falling[-2 * _PATIENCE : -_PATIENCE]):
+            return best
+        pull = max(pull / 10, 1e-9)
+        move = np.linalg.solve(gram + np.diag(pull * scale), now - goal)
+        slope, size = float((goal - now) @ move), 1.0
+        value = dual + float(goal @ price)
+        while True:
+            at = price + size * move
+            now, gram, dual = sums(at)
+            if dual + float(goal @ at) <= value + 1e-4 * size * slope + 1e-12 * abs(value) or size < 1e-4:
+                break
+            size /= 4
+        price = at
+
+
 def mixed_rates(
     rows: DataFrame,
     labels: list[str],
@@ -45,16 +80,21 @@ def mixed_rates(
     least: float = 0.0,
     pull: float = 1e-3,
     tolerance: float = 1e-3,
-    steps: int = 60,
+    steps: int | None = None,
 ) -> DataFrame:
     """All rows and columns with RATE: how often a row is to be taken, ``least`` or more.
 
-    ``rows`` carry POSTERIOR (one probability per label) and TOKENS, and are read once per step: pass a written table. The rates
-    minimise the sum over domains of squared relative differences between expected tokens (rate x tokens x
-    posterior) and target totals, by projected gradient steps; ``pull`` draws rates towards 1, which makes them
-    unique. A step needs the totals of the domains alone: they are summed where the rows are, and a row's rate follows from
-    the totals of all steps, so no rate is gathered or stored between steps. It ends when all totals are within
-    ``tolerance`` of their targets, or after ``steps``.
+    ``rows`` carry POSTERIOR (one probability per label) and TOKENS, and are read once per pass: pass a written table. The rates
+    are those nearest to 1 (squares weighed by tokens) at which the expected tokens (rate x tokens x posterior) of the domains are
+    their target totals. Such rates are max(least, 1 - posterior . price) for one price per domain, found by Newton's
+    method on the dual problem: a pass sums the domains' totals, and their products over the rows that ``least``
+    does not hold, where the rows are, and no rate is gathered or stored. ``pull`` times the targets, less from pass to pass, is added to
+    the products' diagonal, so that a domain that other domains contain has a step too. It ends when all totals are within ``tolerance`` of their
+    targets, or when the residual falls no further: then the targets are out of reach. With ``steps``, instead, so many
+    projected gradient steps are taken at most, with ``pull`` drawing rates towards 1.
+
+    RATE's metadata give what is left: ``residuals`` by label, relative to the target (to all tokens where that is 0), and
+    ``reached``. Where that is false a warning says so.
 
     Targets are ``weights`` by label (0 for others), or the present shares to ``power``. They add up to the present tokens,
     and with a ``least`` of 1 or more to the smallest total that leaves no domain with less than ``least`` times its present one.
@@ -62,31 +102,42 @@ def mixed_rates(
     """
     k = len(labels)
 
-    def sums(history: list[np.ndarray], step: float) -> np.ndarray:
+    def rates(chance: np.ndarray, history: list[np.ndarray], step: float, price: np.ndarray | None) -> np.ndarray:
+        if price is None:
+            return _replayed(chance, history, step, pull, least)
+        return np.maximum(1 - chance @ price, least)
+
+    def sums(history: list[np.ndarray], step: float, price: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+        """Totals of the domains; their products, at a price without the rows that ``least`` holds; the dual's sum over the rows."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, gram = np.zeros(k), np.zeros((k, k))
+            total, gram, dual = np.zeros(k), np.zeros((k, k)), 0.0
             for batch in batches:
                 chance, tokens = _arrays(batch, k)
-                rate = _replayed(chance, history, step, pull, least)
+                rate = rates(chance, history, step, price)
                 total += (rate * tokens) @ chance
+                if price is not None:
+                    # Its derivative by chance @ price is -rate.
+                    dual += tokens @ np.where(rate > least, rate**2 / 2, least * (1 - chance @ price) - least**2 / 2)
                 if not history:
-                    gram += (chance * tokens[:, None]).T @ chance
+                    active = tokens if price is None else tokens * (1 - chance @ price >= least)
+                    gram += (chance * active[:, None]).T @ chance
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(k + k * k), pa.int32()), pa.array(np.concatenate([total, gram.ravel()]))], ["i", "x"]
+                [pa.array(np.arange(k + k * k + 1), pa.int32()), pa.array(np.concatenate([total, gram.ravel(), [dual]]))], ["i", "x"]
             )
 
         found = rows.select(POSTERIOR, TOKENS).mapInArrow(releasing(run), "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
-        out = np.zeros(k + k * k)
+        out = np.zeros(k + k * k + 1)
         for i, x in found.collect():
             out[i] = x
-        return out
+        return out[:k], out[k:-1].reshape(k, k), float(out[-1])
 
-    first = sums([], 0.0)
     start = max(1.0, least)
-    now, gram = first[:k], first[k:].reshape(k, k)
+    now, gram, _ = sums([], 0.0)
     present = now / start
     history: list[np.ndarray] = []
-    step = 0.0
+    step, price = 0.0, None
+    left, reached = dict.fromkeys(labels, 0.0), True
     if now.sum() > 0:
         share = targets_for(present / present.sum(), weights, labels, power)
         total = present.sum()
@@ -95,18 +146,26 @@ def mixed_rates(
             total = (least * present[asked] / share[asked]).max()
         goal = total * share
         scale = np.where(goal > 0, goal, total)
-        step = 1 / (np.abs(np.linalg.eigvals(gram / scale[:, None])).max() + pull)
-        for _ in range(steps):
-            error = (now - goal) / scale
-            if np.abs(error).max() <= tolerance:
-                break
-            history.append(error)
-            now = sums(history, step)[:k]
-    schema = StructType([*rows.schema.fields, StructField(RATE, DoubleType())])
+        if steps is None:
+            price, now = _priced(lambda at: sums([], 0.0, at), goal, scale, pull, tolerance)
+        else:
+            step = 1 / (np.abs(np.linalg.eigvals(gram / scale[:, None])).max() + pull)
+            for _ in range(steps):
+                error = (now - goal) / scale
+                if np.abs(error).max() <= tolerance:
+                    break
+                history.append(error)
+                now = sums(history, step)[0]
+        left = dict(zip(labels, ((now - goal) / scale).tolist(), strict=True))
+        worst = max(left, key=lambda label: abs(left[label]))
+        reached = abs(left[worst]) <= tolerance
+        if not reached:
+            warnings.warn(f"mixing targets are not reached: {worst!r} is {left[worst]:+.4f} of its target away", stacklevel=2)
+    schema = StructType([*rows.schema.fields, StructField(RATE, DoubleType(), metadata={"residuals": left, "reached": reached})])
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate = _replayed(_arrays(batch, k)[0], history, step, pull, least)
+            rate = rates(_arrays(batch, k)[0], history, step, price)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], schema.names)
 
     return rows.mapInArrow(releasing(rated), schema)

@@ -137,6 +137,39 @@ def test_steps_are_those_of_projected_gradient(spark):
     assert np.allclose([found[r["doc_id"], tuple(r[POSTERIOR])] for r in plain], rate)
 
 
+@pytest.mark.parametrize(("share", "weights", "least"), [(0.01, {"a": 1, "b": 1}, 0.0), (1e-4, None, 0.0), (0.01, {"a": 1, "b": 1}, 1.0), (0.3, {"a": 1, "b": 9}, 0.0)])
+def test_skewed_domains_reach_their_targets(spark, share, weights, least):
+    """A rare domain that is to be common, by the defaults of the queries."""
+    rng = np.random.default_rng(2)
+    n = 20_000
+    rare = np.arange(n) < share * n
+    sure = rng.uniform(0.9999, 1, n) if least else rng.uniform(0.98, 1, n)
+    chance = np.stack([np.where(rare, 1 - sure, sure), np.where(rare, sure, 1 - sure)], 1)
+    if share < 0.01:
+        chance = np.stack([~rare, rare], 1).astype(float)
+    rows = spark.createDataFrame([(100, [float(x) for x in p]) for p in chance], f"{TOKENS} long, {POSTERIOR} array<double>").repartition(3)
+    rated = mixed_rates(rows, ["a", "b"], weights, least=least)
+    found = rated.collect()
+    present = 100 * chance.sum(0)
+    wanted = np.array([float(weights.get(x, 0.0)) for x in "ab"]) if weights else (present / present.sum()) ** 0.7
+    wanted = wanted / wanted.sum()
+    goal = wanted * ((least * present / wanted).max() if least else present.sum())
+    left = (_totals([r.asDict() | {TOKENS: r[TOKENS]} for r in found], RATE) - goal) / np.where(goal > 0, goal, present.sum())
+    told = rated.schema[RATE].metadata
+    assert np.allclose([told["residuals"][x] for x in "ab"], left, atol=1e-9) and told["reached"] == (abs(left).max() <= 1e-3)
+    assert min(r[RATE] for r in found) >= least
+    # A least rate of 1 keeps the common domain where it is, and what rare rows hold of it comes on top.
+    assert abs(left).max() <= (5e-3 if least else 1e-3)
+
+
+def test_unreachable_targets_are_told(spark):
+    rows = spark.createDataFrame([(10, [0.6, 0.4]), (20, [0.7, 0.3])], f"{TOKENS} long, {POSTERIOR} array<double>")
+    with pytest.warns(UserWarning, match="not reached"):
+        rated = mixed_rates(rows, ["a", "b"], {"b": 1})
+    assert not rated.schema[RATE].metadata["reached"] and rated.schema[RATE].metadata["residuals"]["b"] < -0.1
+    assert all(0 <= r[RATE] < 100 for r in rated.collect())
+
+
 def test_copies_follow_the_rates(spark):
     rows = spark.range(4000).withColumn(RATE, F.lit(1.3))
     found = repeated(rows, "id").agg(F.avg(COPIES), F.min(COPIES), F.max(COPIES)).first()
