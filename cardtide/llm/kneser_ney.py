@@ -279,20 +279,18 @@ def learned(
 ) -> Model:
     """The two models, from all labelled rows, and their calibration, from a bounded sample.
 
-    Counts cover every row of ``rows`` whose ``positive`` (boolean) is not null, but for every eighth by hash of ``order``, kept back for
-    calibration. All sequences and contexts that were counted are kept, with their whole keys: the model is cut into blocks of
+    Counts cover every row of ``rows`` whose ``positive`` (boolean) is not null, but for those that the calibration reads: about
+    ``calibration_rows`` by hash of ``order``, and an eighth at most. All sequences and contexts that were counted are kept, with their whole keys: the model is cut into blocks of
     at most 2^(bits - 2) of them, as many as it takes, and a scoring task holds one block at a time.
-    Calibration is a logistic regression on the length-normalised ratios of at most about ``calibration_rows`` of the
-    rows kept back.
+    Calibration is a logistic regression on the length-normalised ratios of the rows kept back.
     """
     usable = rows.where(F.col(positive).isNotNull() & F.col(text).isNotNull())
-    place = F.pmod(F.xxhash64(order, F.lit("calibration")), F.lit(1 << 30))
-    counts = landed(counted(usable.where(place % 8 != 0), text, positive), "sequence-counts")
+    n = usable.select(positive).count()
+    share = min(1 / 8, calibration_rows / n) if n else 1 / 8
+    # Null ids have a hash too.
+    kept_back = F.pmod(F.xxhash64(order, F.lit("calibration")), F.lit(1 << 30)) < int(share * (1 << 30))
+    counts = landed(counted(usable.where(~kept_back), text, positive), "sequence-counts")
     blocks, begins = _blocks(*model_rows(counts, discount), 1 << max(0, bits - 2))
-    held = usable.where(place % 8 == 0)
-    n = held.select(positive).count()
-    share = min(1.0, calibration_rows / n) if n else 1.0
-    sample = held.where(F.pmod(F.xxhash64(order, F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(blocks, begins)
@@ -300,7 +298,7 @@ def learned(
             found = model.signs(*packed_text(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*map(pa.array, found.T.copy()), batch.column(positive)], [*"abcd", "label"])
 
-    table = sample.select(text, positive).mapInArrow(releasing(signs), "a double, b double, c double, d double, label boolean").orderBy(*"abcd").toArrow()
+    table = usable.where(kept_back).select(text, positive).mapInArrow(releasing(signs), "a double, b double, c double, d double, label boolean").orderBy(*"abcd").toArrow()
     x = np.stack([table.column(c).to_numpy() for c in "abcd"], 1)
     return Model(blocks, begins, _logistic(x, np.asarray(table.column("label")).astype(float)))
 

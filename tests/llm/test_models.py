@@ -301,6 +301,14 @@ def test_every_sequence_keeps_its_gain(spark):
     assert np.allclose(one, two, atol=1e-6)
 
 
+def test_only_the_calibration_sample_is_kept_back(spark, monkeypatch):
+    rows, read = _insults(spark), []
+    monkeypatch.setattr(kn, "counted", lambda some, *a: read.append(some.count()) or counted(some, *a))
+    learned(rows, "text", "bad", F.col("doc_id"), calibration_rows=20)
+    learned(rows, "text", "bad", F.col("doc_id"))
+    assert read[0] >= 560 and 480 <= read[1] <= 560
+
+
 def test_one_class_or_none(spark):
     rows = _insults(spark, 100)
     for some in (rows.where("bad"), rows.where("not bad"), rows.limit(0), rows.withColumn("bad", F.lit(None).cast("boolean"))):
