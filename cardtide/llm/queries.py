@@ -19,6 +19,7 @@ from cardtide.llm.rules import BASE, COUNTS, FURTHER, KEPT as RULES_KEPT, cascad
 from cardtide.llm.sentencepieces import IDS, PARITY, ROUND_TRIP, encoded, read_model
 from cardtide.llm.simhash import GROUP, hex_fingerprint, simhash_groups
 from cardtide.llm.subwords import ACCEPTED, LABEL, POSTERIOR, SCORE, TOKENS, Subwords, classified, fitted
+from cardtide.llm.tokencounts import N_BYTES as TEXT_BYTES, N_TOKENS, read_tokenizer, token_counts
 
 #: The least score of a document that counts as toxic.
 TOXIC_FROM = 0.3
@@ -137,6 +138,20 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs).select("doc_id", hex_fingerprint().alias("fingerprint"), F.col(GROUP).alias("component_id"))
 
 
+#: Documents of more tokens do not fit into a window.
+TOKEN_LIMIT = 512
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, read_tokenizer()).select(
+        "doc_id",
+        F.col(TEXT_BYTES).alias("n_bytes"),
+        F.col(N_TOKENS).alias("n_tokens"),
+        (F.col(N_TOKENS) > TOKEN_LIMIT).alias("over_limit"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
@@ -148,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_token_counts": op11_token_counts,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
