@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardtide.llm import merkle
 from cardtide.llm.common import HIDDEN, landed, not_held_out, table
+from cardtide.llm.divergence import divergences
 from cardtide.llm.kneser_ney import TOXICITY, Model, learned, scored
 from cardtide.llm.mixing import COPIES, RATE, mixed_rates, repeated
 from cardtide.llm.oracle import ORACLE
@@ -152,6 +155,27 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every fifth id by hash are tampered with: their texts lose their capital letters."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    other = merkle.leaf_hash([lowered if c == "text" else F.col(c) for c in fields])
+    found = merkle.manifest(docs, fields, altered=F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, other))
+    return found.select(
+        F.col(merkle.ID).alias("doc_id"),
+        F.col(merkle.LEAF).alias("leaf"),
+        F.col(merkle.SUBROOT).alias("subroot"),
+        F.col(merkle.ROOT).alias("root"),
+        merkle.proof_hash(F.col(merkle.PROOF)).alias("proof_sha256"),
+        merkle.folded(F.coalesce(merkle.ALTERED, merkle.LEAF), F.col(merkle.PROOF)).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
@@ -164,6 +188,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_token_counts": op11_token_counts,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
