@@ -61,7 +61,7 @@ class Resync:
     them is no stop of a chunk that sees the whole of it.
     """
 
-    def __init__(self, tokenizer: str, chunk: int = 1 << 14, overlap: int = 256, memory: int = 1 << 17) -> None:
+    def __init__(self, tokenizer: str, chunk: int = 1 << 15, overlap: int = 256, memory: int = 1 << 19) -> None:
         told = json.loads(tokenizer)
         scan = told.get("pre_tokenizer") or {}
         plain = scan.get("type") == "ByteLevel" and scan.get("use_regex", True) and not scan.get("add_prefix_space")
@@ -73,8 +73,9 @@ class Resync:
         self.tokenizer.no_padding()
         # What the scan may look at behind a place: white space and one more, a contraction, or an added token.
         self.sight = 4 + max((len(a["content"]) for a in added), default=0)
-        # A segment that holds a space inside an added token would be cut in it.
-        self.by_segment = not any(" " in a["content"] for a in added)
+        # No segment begins with a byte that an added token holds, so none of those is cut.
+        self.free = np.ones(256, bool)
+        self.free[np.frombuffer("".join(a["content"] for a in added).encode(), np.uint8)] = False
         self.chunk, self.overlap = max(1, chunk), max(1, overlap)
         self.memory = memory
         self.known: dict[bytes, int] = {}
@@ -125,11 +126,7 @@ class Resync:
         small = np.flatnonzero(~huge & (sizes > 0))
         if not len(small):
             return out
-        if not self.by_segment:
-            texts = [data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in small]
-            out[small] = [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return out
-        begins = segment_begins(data, offsets)
+        begins = segment_begins(data, offsets, self.free)
         edges = np.searchsorted(begins, offsets)
         wanted = ~np.repeat(huge, np.diff(edges))
         total = np.zeros(len(begins) + 1, np.int64)
@@ -161,14 +158,19 @@ class Resync:
         return out
 
 
-def segment_begins(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Places at which a text, or a segment of it, begins: a space behind a visible ASCII character.
+def segment_begins(data: np.ndarray, offsets: np.ndarray, free: np.ndarray) -> np.ndarray:
+    """Places at which a text, or a segment of it, begins, where its first byte (or the line end before it) is ``free``.
 
-    No word of the scan holds a space behind another character, so a word begins there; and as a segment ends in a visible
-    character, its last word ends there whatever follows.
+    These are places where the scan of words stops whatever is around: before a space behind a visible ASCII character, before an ASCII
+    character behind an ASCII letter unless it is a letter too, and between a line end, alone behind a visible character, and a
+    letter. What a segment ends in has the same words with the text's end behind it.
     """
     begin = np.zeros(len(data), bool)
-    begin[1:] = (data[1:] == 32) & (data[:-1] > 32) & (data[:-1] < 127)
+    visible = (data > 32) & (data < 127)
+    letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+    begin[1:] = ((data[1:] == 32) & visible[:-1] | (data[1:] < 128) & ~letter[1:] & letter[:-1]) & free[data[1:]]
+    if free[10]:
+        begin[2:] |= letter[2:] & (data[1:-1] == 10) & visible[:-2]
     begin[offsets[:-1][np.diff(offsets) > 0]] = True
     return np.flatnonzero(begin)
 
@@ -177,10 +179,10 @@ def token_counts(
     docs: DataFrame,
     tokenizer: str,
     text_col: str = "text",
-    chunk: int = 1 << 14,
+    chunk: int = 1 << 15,
     overlap: int = 256,
     threads: int = 2,
-    batch_bytes: int = 1 << 20,
+    batch_bytes: int = 1 << 22,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with N_BYTES (of UTF-8) and N_TOKENS, both long.
 
