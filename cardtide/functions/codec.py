@@ -27,9 +27,13 @@ def decode_payload(events: DataFrame, fields: Sequence[str] | None = None) -> Da
     return unpacked.withColumn("event_time", F.try_to_timestamp("timestamp"))
 
 
+def is_rejected() -> Column:
+    return F.col("event_time").isNull()
+
+
 def rejected(transactions: DataFrame) -> DataFrame:
     """Rows that Bronze keeps but that can belong to no window."""
-    return transactions.where(F.col("event_time").isNull())
+    return transactions.where(is_rejected())
 
 
 def iso_text(instant: str | Column) -> Column:

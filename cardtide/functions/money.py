@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 #: Amounts below this have their minor units in 18 decimal digits.
-_EXACT_BELOW = 1e14
+EXACT_BELOW = 1e14
 
 
 def money_sum(amount: str | Column, minor_units: int | None = None) -> Column:
@@ -24,7 +24,7 @@ def money_sum(amount: str | Column, minor_units: int | None = None) -> Column:
     column = F.col(amount) if isinstance(amount, str) else amount
     if minor_units is None:
         return F.sum(column)
-    fits = F.abs(column) < _EXACT_BELOW
+    fits = F.abs(column) < EXACT_BELOW
     units = F.when(fits, F.rint(column * F.lit(float(minor_units)))).cast("decimal(18,0)")
     exact = F.sum(units).cast("double") / F.lit(float(minor_units))
     rest = F.sum(F.when(~fits, column))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardtide.functions.money import money_sum
+from cardtide.operators.asof import as_of
 from cardtide.operators.skew import join_spread
 
 _CENTS = 100
@@ -33,9 +34,14 @@ def category_norms(transactions: DataFrame, min_amount: float = 5.0) -> DataFram
 
     Small charges stay out because probing bursts would pull the mean of their category down.
     """
+    return category_norms_by(transactions, min_amount)
+
+
+def category_norms_by(transactions: DataFrame, min_amount: float, *keys: Column) -> DataFrame:
+    """The same for each category and ``keys``."""
     amount = F.col("amount")
     usual = transactions.where((amount > min_amount) & (amount < float("inf")))
-    return usual.groupBy("category").agg(
+    return usual.groupBy("category", *keys).agg(
         F.count(F.lit(1)).alias("n"),
         money_sum("amount", _CENTS).alias("sum_amount"),
         F.min("amount").alias("min_amount"),
@@ -64,13 +70,14 @@ def high_amounts(transactions: DataFrame, norms: DataFrame, factor: float = 2.0)
     return met.where(above_limit()).select(*transactions.columns)
 
 
-def amount_limits(norms: DataFrame, factor: float) -> DataFrame:
+def amount_limits(norms: DataFrame, factor: float, *keys: str) -> DataFrame:
     """Per category what ``above_limit`` compares amounts with."""
     rough = F.col("sum_amount") / F.col("n") * F.lit(float(factor))
     slack = F.abs(rough) * 1e-9
     cents = F.rint(F.col("sum_amount") * _CENTS).try_cast("decimal(28,0)")
     return norms.select(
         "category",
+        *keys,
         (rough - slack).alias("_low"),
         (rough + slack).alias("_high"),
         F.col("n").cast("decimal(18,0)").alias("_n"),
@@ -86,6 +93,38 @@ def above_limit() -> Column:
     return F.when(amount > high, True).when(amount < low, False).otherwise(F.coalesce(exact, amount > (low + high) / 2))
 
 
+def norm_versions(transactions: DataFrame, min_amount: float = 5.0) -> DataFrame:
+    """Norms as they were known: per category and day the number and sum of the amounts of all days before, from ``valid_from`` on.
+
+    Days are added up once each; the running sums go over days, not rows.
+    """
+    days = category_norms_by(transactions.where(F.col("event_time").isNotNull()), min_amount, F.to_date("event_time").alias("day"))
+    upto = Window.partitionBy("category").orderBy("day")
+    kind = transactions.schema["event_time"].dataType
+    return days.select(
+        "category",
+        F.date_add("day", 1).cast(kind).alias("valid_from"),
+        F.sum("n").over(upto).alias("n"),
+        F.sum("sum_amount").over(upto).alias("sum_amount"),
+    )
+
+
+def high_amounts_in_force(transactions: DataFrame, versions: DataFrame, factor: float = 2.0) -> DataFrame:
+    """Transactions above ``factor`` times the mean that was in force for their category at their time.
+
+    Rows before the first version of their category are never flagged: nothing was known then.
+    """
+    limits = amount_limits(versions, factor, "valid_from")
+    met = as_of(transactions, limits, ["category"])
+    return met.where(F.col("valid_from").isNotNull() & above_limit()).select(*transactions.columns)
+
+
+def amount_factors(transactions: DataFrame, norms: DataFrame) -> DataFrame:
+    """All transactions with ``factor``: their amount in means of their category; null without a norm or an amount."""
+    means = norms.select("category", (F.col("sum_amount") / F.col("n")).alias("_mean"))
+    return transactions.join(means, "category", "left").withColumn("factor", F.col("amount") / F.col("_mean")).drop("_mean")
+
+
 # -- card testing ------------------------------------------------------------------------------
 
 
@@ -185,8 +224,8 @@ def impossible_travel(
 ) -> DataFrame:
     """Transactions preceded, on the same card and within the interval, by one in a different city.
 
-    ``copies`` is the number of sub-keys over which the rows of one card, slice and city are spread in the join (by default 4, and
-    16 on a stream). In batch adaptive execution splits a sub-key that is still too large; on a stream nothing does,
+    ``copies`` is the number of sub-keys over which the rows of one card, slice and city (on a stream, of one card and slice) are spread
+    in a join (by default 4, and 16 on a stream). In batch adaptive execution splits a sub-key that is still too large; on a stream nothing does,
     so choose it by the share of rows the busiest card has there.
 
     A stream needs a watermark on ``event_time``; there, a flagged row comes out when the time slice
@@ -196,7 +235,7 @@ def impossible_travel(
     seconds = int(within_seconds)
     complete = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
     if transactions.isStreaming:
-        found = _meet(*_streamed_bounds(complete, seconds), seconds, 16 if copies is None else copies)
+        found = _streamed_travel(complete, seconds, 16 if copies is None else copies)
     else:
         timed = complete.where(F.col("event_time").isNotNull())
         found = _meet(*_batch_bounds(timed, seconds), seconds, 4 if copies is None else copies)
@@ -275,53 +314,44 @@ def _batch_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, Dat
     return rows, bounds
 
 
-def _streamed_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, DataFrame]:
-    """The same for a stream, where a watermark has to reach every step.
+def _streamed_travel(transactions: DataFrame, seconds: int, copies: int) -> DataFrame:
+    """The same for a stream, where a watermark has to reach every step and no step may hold more than a few values per card and slice.
 
-    A sliding window of two slices pairs each slice (its second half) with the one before, so that
-    both steps group by a window. The list holds one entry per city of one card in one window; of its two orders only
-    the first two entries go on, so what is made per city does not grow with the number of cities.
+    A sliding window of two slices pairs each slice (its second half) with the one before. Per card and window the first row of the
+    slice and the last of the slice before are the best of all cities. The best of all other cities cannot be found in the same pass,
+    as it depends on which city that is; so rows of windows with several cities meet those first two, and what is left of
+    them is reduced to the best once more. All four are values of fixed size, however many cities a card has.
     """
-    instant = F.col("event_time")
+    instant, city = F.col("event_time"), F.col("city")
+    key = ["card_id", "span"]
     span = F.window(instant, f"{2 * seconds} seconds", f"{seconds} seconds")
     placed = transactions.withColumn("span", span)
     own = instant >= F.col("span.start") + _seconds(seconds)
-    visits = placed.groupBy("card_id", "span", "city").agg(
-        F.min(F.when(own, instant)).alias("first_own"),
-        F.max(F.when(own, instant)).alias("last_own"),
-        F.max(F.when(~own, instant)).alias("last_before"),
+    at = F.struct(instant.alias("at"), city.alias("city"))
+    tops = (
+        placed.groupBy(*key)
+        .agg(F.min(F.when(own, at)).alias("first"), F.max(F.when(~own, at)).alias("last"), F.min("city").alias("low"), F.max("city").alias("high"))
+        .where((F.col("low") != F.col("high")) & F.col("first").isNotNull())
+        .select(*key, "first", "last")
     )
-    by_span = visits.groupBy("card_id", "span").agg(
-        F.collect_list(F.struct("city", "first_own", "last_own", "last_before")).alias("visits")
-    )
-
-    def ranked(field: str) -> Column:
-        entries = F.transform("visits", lambda v: F.struct(v[field].alias("at"), v["city"].alias("city")))
-        known = F.array_sort(F.filter(entries, lambda e: e["at"].isNotNull()))
-        return F.slice(F.reverse(known) if field == "last_before" else known, 1, 2)
-
-    def elsewhere(entries: str) -> Column:
-        """The first entry of another city: the very first, or the second if that is this city."""
-        top, second = F.get(entries, F.lit(0)), F.get(entries, F.lit(1))
-        return F.when(top["city"] != F.col("visit.city"), top["at"]).otherwise(second["at"])
-
+    # A join may know one event time per side only, and that has to be the window.
+    rows = placed.withColumn("event_time", instant + _seconds(0))
+    seen = rows.select(*key, "event_time", "city", "transaction_id")
     bounds = (
-        by_span.where(F.size("visits") > 1)
-        .withColumns({"firsts": ranked("first_own"), "lasts": ranked("last_before")})
-        .withColumn("visit", F.explode("visits"))
-        .select(
-            "card_id",
-            "span",
-            F.col("visit.city").alias("city"),
-            F.col("visit.first_own").alias("first_own"),
-            F.col("visit.last_own").alias("last_own"),
-            elsewhere("firsts").alias("_after"),
-            elsewhere("lasts").alias("_until"),
+        join_spread(seen, tops, key, _SPREAD, copies)
+        .groupBy(*key)
+        .agg(
+            # The same in all rows of a group.
+            F.max("first").alias("first"),
+            F.max("last").alias("last"),
+            F.min(F.when(own & (city != F.col("first.city")), instant)).alias("second"),
+            F.max(F.when(~own & (city != F.col("last.city")), instant)).alias("second_last"),
         )
     )
-    # The join may know one event time per side only, and that has to be the window.
-    rows = placed.where(own).withColumn("event_time", instant + _seconds(0))
-    return rows, bounds
+    after = F.when(city != F.col("first.city"), F.col("first.at")).otherwise(F.col("second"))
+    until = F.when(city != F.col("last.city"), F.col("last.at")).otherwise(F.col("second_last"))
+    met = join_spread(rows.where(own), bounds, key, _SPREAD, copies)
+    return met.where((instant > after) | (instant <= until + _seconds(seconds)))
 
 
 # -- profiles and scoring ----------------------------------------------------------------------

@@ -8,16 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardtide.functions.codec import decode_payload, encode_payload
-from cardtide.operators import detectors, panels
+from cardtide.operators import detectors, panels, quantiles, thresholds
 from cardtide.operators.gold import GOLD_INPUT, windowed_gold, with_watermark
-from cardtide.operators.snapshot import union_by_name
-from cardtide.schema import BRONZE, FRAUD_TYPES, GOLD, GOLD_DIR, PAYLOAD
+from cardtide.operators.rollup import refresh, roll_up
+from cardtide.operators.snapshot import one_per_window, union_by_name
+from cardtide.operators.statistics import STATISTICS, as_gold, window_statistics
+from cardtide.schema import BRONZE, FRAUD_TYPES, GOLD, GOLD_DIR, PAYLOAD, RECENT_WINDOWS
 from cardtide.session import configure, scratch_dir
+from cardtide.sources.dated import DATE, landed, latest, read_dates, with_date, write_by_date
 from cardtide.sources.events import as_transactions, read_events, stage_batches, stream_batches
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource
+from cardtide.streaming.accounts import accounts, counting_in, counting_out
 from cardtide.streaming.pipeline import run_pipeline
-from cardtide.streaming.sinks import append_to_table, export_snapshot, finish, start_bronze, start_gold
+from cardtide.streaming.reconcile import reconcile, stored_statistics
+from cardtide.streaming.sinks import append_to_table, export_changed, export_snapshot, finish, start_bronze, start_gold
 
 CENTS = 100
 
@@ -25,6 +30,7 @@ CENTS = 100
 HIGH_AMOUNT = {"min_amount": 0.0, "factor": 5.0}
 CARD_TESTING = {"min_count": 2, "within_seconds": 86_400}
 TRAVEL = {"within_seconds": 7_200}
+QUANTILES = (0.5, 0.9, 0.99)
 
 DETECTED = ("transaction_id", "card_id", "event_time", "amount", "category", "city")
 
@@ -34,10 +40,13 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, late: Column | None = None) -> DataFrame:
-    """The table as a stream of several micro-batches, each of a stretch of time (see ``stage_batches``)."""
+    """The table as a stream of several micro-batches, each of a stretch of time (see ``stage_batches``).
+
+    With late rows there are 4 batches and the late one, on which what is too late depends.
+    """
     configure(spark)
     folder = scratch_dir(spark, "batches")
-    files = stage_batches(read_events(spark, sf_dir), folder, late=late)
+    files = stage_batches(read_events(spark, sf_dir), folder, late=late, batches=None if late is None else 4)
     return as_transactions(stream_batches(spark, folder, files))
 
 
@@ -57,7 +66,7 @@ def _state_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _landed(spark: SparkSession, rows: DataFrame, name: str, rocksdb: bool = False) -> DataFrame:
+def _streamed(spark: SparkSession, rows: DataFrame, name: str, rocksdb: bool = False) -> DataFrame:
     """Run a bounded stream into a table of its own and read the table."""
     root = scratch_dir(spark, name)
     finish(
@@ -114,13 +123,13 @@ def stream_gold_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replayed_gold_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table recorded as keyed events in a folder, then the whole job over that folder."""
+    """The table recorded as keyed events in a folder, then the whole job over that folder, some files at a time."""
     root = scratch_dir(spark, "replay")
-    encode_payload(_transactions(spark, sf_dir)).write.parquet(f"{root}/log")
+    files = stage_batches(_transactions(spark, sf_dir), root, time="event_time", then=encode_payload)
     finish(
         *run_pipeline(
             spark,
-            FolderSource(f"{root}/log"),
+            FolderSource(f"{root}/backlog", options={"maxFilesPerTrigger": str(files)}),
             f"{root}/data",
             available_now=True,
             state_partitions=_state_partitions(spark),
@@ -133,7 +142,42 @@ def replayed_gold_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of a stream whose last batch brings every 50th row, most of them behind the watermark by then."""
     transactions = _stream(spark, sf_dir, late=F.col("event_id") % 50 == 0)
-    return _landed(spark, windowed_gold(with_watermark(transactions), minor_units=CENTS), "stream_late_rows")
+    return _streamed(spark, windowed_gold(with_watermark(transactions), minor_units=CENTS), "stream_late_rows")
+
+
+def late_rows_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same late rows, landed in Bronze, then put right: the stored windows with their corrections."""
+    root = scratch_dir(spark, "corrected")
+    configure(spark)
+    files = stage_batches(read_events(spark, sf_dir), root, late=F.col("event_id") % 50 == 0, batches=4)
+    transactions = decode_payload(encode_payload(as_transactions(stream_batches(spark, root, files))))
+    finish(
+        start_bronze(transactions, f"{root}/bronze", f"{root}/checkpoints/bronze", available_now=True, by_date=True),
+        append_to_table(
+            with_date(window_statistics(with_watermark(transactions))),
+            f"{root}/windows",
+            f"{root}/checkpoints/windows",
+            "late_rows_corrected",
+            available_now=True,
+            state_partitions=_state_partitions(spark),
+            partition_by=DATE,
+        ),
+    )
+    reconcile(spark, f"{root}/bronze", f"{root}/windows", f"{root}/corrections")
+    return _plain(as_gold(stored_statistics(spark, f"{root}/windows", f"{root}/corrections")))
+
+
+def stream_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches of ``stream_late_rows`` took in and gave out, added up."""
+    root = scratch_dir(spark, "accounts")
+    transactions = counting_in(_stream(spark, sf_dir, late=F.col("event_id") % 50 == 0))
+    gold = counting_out(windowed_gold(with_watermark(transactions), minor_units=CENTS))
+    query = append_to_table(
+        gold, f"{root}/table", f"{root}/checkpoint", "stream_accounts", available_now=True, state_partitions=_state_partitions(spark)
+    )
+    finish(query)
+    sums = landed(accounts(spark, query), "accounts").agg(*[F.sum(c).alias(c) for c in ("rows_in", "rejected", "windows_out", "rows_out")])
+    return sums.withColumn("late_or_open", F.col("rows_in") - F.col("rejected") - F.col("rows_out"))
 
 
 # -- Gold and what is read from it -------------------------------------------------------------
@@ -176,18 +220,61 @@ def gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(load_gold(spark, f"{root}/none", f"{root}/sample"))
 
 
-def _stored_gold(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
-    """Gold as the panels meet it: stored, and loaded from its folder. Written once per session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir, duration)
-    if key not in _STORED:
-        path = scratch_dir(spark, "stored-gold")
-        gold = _gold(spark, sf_dir, duration)
-        gold.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")}).write.parquet(path)
-        _STORED[key] = path
-    return _plain(load_gold(configure(spark), _STORED[key]))
+def _instants(gold: DataFrame) -> DataFrame:
+    return gold.withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")})
+
+
+def gold_1h_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours from stored minutes."""
+    return _plain(as_gold(_rolled(spark, sf_dir, "1 hour")))
+
+
+def gold_1d_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days from stored hours, which are made from stored minutes."""
+    return _plain(as_gold(_rolled(spark, sf_dir, "1 hour", "1 day")))
+
 
+def _rolled(spark: SparkSession, sf_dir: str, *durations: str) -> DataFrame:
+    root = scratch_dir(spark, "rolled")
+    write_by_date(window_statistics(_instant_rows(spark, sf_dir)), f"{root}/0")
+    for i, duration in enumerate(durations):
+        roll_up(spark, f"{root}/{i}", f"{root}/{i + 1}", duration)
+    return read_dates(spark, f"{root}/{len(durations)}", STATISTICS)
 
-_STORED: dict[tuple[str, str, str], str] = {}
+
+def _instant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _transactions(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+def gold_1h_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours rolled up without some rows of the first days, whose minutes are added then: only their hours are made again."""
+    root = scratch_dir(spark, "refreshed")
+    transactions = _instant_rows(spark, sf_dir)
+    later = (F.col("transaction_id").cast("long") % 50 == 0) & (F.col("event_time") < F.lit("2024-01-05").cast("timestamp"))
+    write_by_date(window_statistics(transactions.where(~later)), f"{root}/minutes")
+    roll_up(spark, f"{root}/minutes", f"{root}/hours", "1 hour")
+    added = landed(window_statistics(transactions.where(later)), "added")
+    write_by_date(added, f"{root}/minutes")
+    refresh(spark, f"{root}/minutes", f"{root}/hours", "1 hour", added)
+    return _plain(as_gold(read_dates(spark, f"{root}/hours", STATISTICS)))
+
+
+def gold_export_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot exported, and brought up to date after Gold has grown."""
+    root = scratch_dir(spark, "export")
+    gold = landed(_instants(gold_1m(spark, sf_dir)), "gold")
+    recent = F.col("window_start") >= F.lit("2024-01-25").cast("timestamp")
+    for part in (gold.where(~recent), gold.where(recent)):
+        write_by_date(part, f"{root}/gold")
+        export_changed(spark, f"{root}/gold", f"{root}/sample")
+    return _plain(load_gold(spark, f"{root}/none", f"{root}/sample"))
+
+
+def _stored_gold(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
+    """Gold as the panels meet it: stored, and loaded from its folder."""
+    path = scratch_dir(spark, "stored-gold")
+    _instants(_gold(spark, sf_dir, duration)).write.parquet(path)
+    return _plain(load_gold(configure(spark), path))
 
 
 def gold_1m_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +300,10 @@ def fraud_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.recent_windows(_stored_gold(spark, sf_dir, "1 hour"))
+    """Gold stored by date, of which only the newest folders are read."""
+    path = scratch_dir(spark, "dated-gold")
+    write_by_date(_instants(_gold(spark, sf_dir, "1 hour")), path)
+    return _plain(panels.recent_windows(one_per_window(latest(spark, path, GOLD, RECENT_WINDOWS))))
 
 
 def recent_display(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +335,29 @@ def detect_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _high_amounts(spark, transactions, _norms(spark, transactions)).select(*DETECTED)
 
 
+def detect_high_amount_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts judged by the norms that were known on their day: those of all days before it."""
+    transactions = _transactions(spark, sf_dir)
+    versions = landed(detectors.norm_versions(transactions, HIGH_AMOUNT["min_amount"]), "norm-versions")
+    return detectors.high_amounts_in_force(transactions, versions, HIGH_AMOUNT["factor"]).select(*DETECTED)
+
+
+def high_amount_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well each factor of the norm would find the rows that are labelled so."""
+    transactions = _transactions(spark, sf_dir)
+    scored = detectors.amount_factors(transactions, _norms(spark, transactions))
+    return thresholds.scores_by_threshold(scored.withColumn("hit", F.col("fraud_type") == "high_amount"), "factor", "hit")
+
+
+def category_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the amounts from sketches per category and day; and whether their ranks, counted exactly, are within the stated error."""
+    transactions = _transactions(spark, sf_dir)
+    sketches = landed(quantiles.quantile_sketches(transactions, HIGH_AMOUNT["min_amount"]), "sketches")
+    norms = landed(quantiles.quantile_norms(sketches, QUANTILES), "quantile-norms")
+    errors = quantiles.rank_errors(transactions, norms, HIGH_AMOUNT["min_amount"])
+    return errors.select("category", "n", "quantile", (F.col("error") <= quantiles.RANK_ERROR).alias("within"))
+
+
 def detect_card_testing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detectors.card_testing(_transactions(spark, sf_dir), **CARD_TESTING).select(*DETECTED)
 
@@ -273,7 +386,7 @@ def detector_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     norms = _norms(spark, _transactions(spark, sf_dir))
     rows = _high_amounts(spark, _stream(spark, sf_dir), norms).select(*DETECTED)
-    return _landed(spark, rows, "stream_high_amount")
+    return _streamed(spark, rows, "stream_high_amount")
 
 
 def stream_probe_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,13 +394,13 @@ def stream_probe_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = detectors.probe_sessions(
         charges, min_count=CARD_TESTING["min_count"], gap_seconds=CARD_TESTING["within_seconds"]
     )
-    return _landed(spark, sessions, "stream_probe_sessions")
+    return _streamed(spark, sessions, "stream_probe_sessions")
 
 
 def stream_impossible_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = detectors.impossible_travel(with_watermark(_stream(spark, sf_dir)), **TRAVEL)
     # This state holds rows until their slice closes, so it has to be able to leave the heap.
-    return _landed(spark, rows.select(*DETECTED), "stream_impossible_travel", rocksdb=True)
+    return _streamed(spark, rows.select(*DETECTED), "stream_impossible_travel", rocksdb=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -300,9 +413,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_gold_1m": stream_gold_1m,
     "replayed_gold_1m": replayed_gold_1m,
     "stream_late_rows": stream_late_rows,
+    "late_rows_corrected": late_rows_corrected,
+    "stream_accounts": stream_accounts,
+    "gold_1h_rolled": gold_1h_rolled,
+    "gold_1d_rolled": gold_1d_rolled,
+    "gold_1h_refreshed": gold_1h_refreshed,
     "gold_1m_doubles": gold_1m_doubles,
     "gold_union": gold_union,
     "gold_snapshot": gold_snapshot,
+    "gold_export_refreshed": gold_export_refreshed,
     "kpi_summary": kpi_summary,
     "kpi_display": kpi_display,
     "throughput_series": throughput_series,
@@ -311,7 +430,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_display": recent_display,
     "window_alerts": window_alerts,
     "category_norms": category_norms,
+    "category_quantiles": category_quantiles,
     "detect_high_amount": detect_high_amount,
+    "detect_high_amount_in_force": detect_high_amount_in_force,
+    "high_amount_thresholds": high_amount_thresholds,
     "detect_card_testing": detect_card_testing,
     "stream_probe_sessions": stream_probe_sessions,
     "detect_impossible_travel": detect_impossible_travel,

@@ -154,6 +154,24 @@ _SESSIONS = """
         FROM numbered GROUP BY card_id, run
     )"""
 
+# The last batch is late; by then the watermark stands where the batch before the last one left it.
+_LATE = f"""
+    bounds AS (
+        SELECT min(epoch_us(event_time)) AS first, max(epoch_us(event_time)) AS last, max(event_time) AS newest FROM tx
+    ),
+    placed AS (
+        SELECT *, CAST(transaction_id AS BIGINT) % 50 = 0 AS late,
+               least(floor((epoch_us(event_time) - first) * 4 / greatest(last - first, 1)), 3) AS batch
+        FROM tx, bounds
+    ),
+    kept AS (
+        SELECT * FROM placed
+        WHERE NOT late OR date_trunc('minute', event_time) + INTERVAL 1 MINUTE
+              > (SELECT max(event_time) FROM placed WHERE NOT late AND batch <= 2) - INTERVAL 2 MINUTE
+    ),
+    {_gold("minute").replace("FROM tx", "FROM kept")},
+    closed AS (SELECT * FROM gold WHERE window_end <= (SELECT max(event_time) FROM kept) - INTERVAL 2 MINUTE)"""
+
 ORACLE: dict[str, str] = {
     "decode_payload": _DECODED,
     "encode_payload": f"""WITH {TX}
@@ -164,23 +182,16 @@ ORACLE: dict[str, str] = {
     "gold_1d": _over_gold("day", "SELECT * FROM gold"),
     "stream_gold_1m": _over_gold("minute", f"SELECT * FROM gold {_CLOSED}"),
     "replayed_gold_1m": _over_gold("minute", f"SELECT * FROM gold {_CLOSED}"),
-    # The last batch is late; by then the watermark stands where the batch before the last one left it.
-    "stream_late_rows": f"""WITH {TX},
-        bounds AS (
-            SELECT min(epoch_us(event_time)) AS first, max(epoch_us(event_time)) AS last, max(event_time) AS newest FROM tx
-        ),
-        placed AS (
-            SELECT *, CAST(transaction_id AS BIGINT) % 50 = 0 AS late,
-                   least(floor((epoch_us(event_time) - first) * 4 / greatest(last - first, 1)), 3) AS batch
-            FROM tx, bounds
-        ),
-        kept AS (
-            SELECT * FROM placed
-            WHERE NOT late OR date_trunc('minute', event_time) + INTERVAL 1 MINUTE
-                  > (SELECT max(event_time) FROM placed WHERE NOT late AND batch <= 2) - INTERVAL 2 MINUTE
-        ),
-        {_gold("minute").replace("FROM tx", "FROM kept")}
-        SELECT * FROM gold WHERE window_end <= (SELECT max(event_time) FROM kept) - INTERVAL 2 MINUTE""",
+    "stream_late_rows": f"WITH {TX}, {_LATE} SELECT * FROM closed",
+    "late_rows_corrected": _over_gold("minute", "SELECT * FROM gold"),
+    "stream_accounts": f"""WITH {TX}, {_LATE}
+        SELECT rows_in, rejected, windows_out, rows_out, rows_in - rejected - rows_out AS late_or_open
+        FROM (SELECT count(*) AS rows_in, count(*) FILTER (WHERE event_time IS NULL) AS rejected FROM tx),
+             (SELECT count(*) AS windows_out, sum(tx_count)::BIGINT AS rows_out FROM closed)""",
+    "gold_1h_rolled": _over_gold("hour", "SELECT * FROM gold"),
+    "gold_1d_rolled": _over_gold("day", "SELECT * FROM gold"),
+    "gold_1h_refreshed": _over_gold("hour", "SELECT * FROM gold"),
+    "gold_export_refreshed": _over_gold("minute", "SELECT * FROM gold"),
     "gold_1m_doubles": _over_gold("minute", """
         SELECT * REPLACE (round(total_amount, 7) AS total_amount, round(avg_amount, 7) AS avg_amount) FROM gold"""),
     "gold_union": _over_gold("minute", """
@@ -214,6 +225,31 @@ ORACLE: dict[str, str] = {
     "category_norms": f"""WITH {TX}, {_NORMS}
         SELECT category, n, CAST(total AS DOUBLE) AS sum_amount, min_amount, max_amount FROM exact""",
     "detect_high_amount": f"WITH {TX}, {_HIGH} SELECT {_DETECTED} FROM high_amount",
+    "category_quantiles": f"""WITH {TX}, {_NORMS}
+        SELECT category, n, quantile, TRUE AS within FROM exact, (SELECT unnest([0.5, 0.9, 0.99]::DOUBLE[]) AS quantile)""",
+    "detect_high_amount_in_force": f"""WITH {TX},
+        days AS (
+            SELECT category, date_trunc('day', event_time) AS day, count(*) AS n, sum(CAST(amount AS DECIMAL(18, 2))) AS total
+            FROM tx WHERE amount > 0 GROUP BY ALL
+        ),
+        versions AS (
+            SELECT category, day + INTERVAL 1 DAY AS valid_from, CAST(sum(n) OVER upto AS BIGINT) AS n, sum(total) OVER upto AS total
+            FROM days WINDOW upto AS (PARTITION BY category ORDER BY day)
+        )
+        SELECT transaction_id, card_id, event_time, amount, tx.category, city
+        FROM tx ASOF JOIN versions v ON tx.category = v.category AND tx.event_time >= v.valid_from
+        WHERE CAST(amount AS DECIMAL(18, 2)) * v.n > 5 * v.total""",
+    "high_amount_thresholds": f"""WITH {TX}, {_NORMS},
+        scored AS (
+            SELECT amount / (CAST(total AS DOUBLE) / n) AS score, coalesce(fraud_type = 'high_amount', FALSE) AS hit
+            FROM tx LEFT JOIN exact USING (category)
+        ),
+        by_score AS (SELECT score, count(*) AS flagged, count(*) FILTER (WHERE hit) AS hits FROM scored WHERE score IS NOT NULL GROUP BY score),
+        summed AS (SELECT score, CAST(sum(flagged) OVER w AS BIGINT) AS n_flagged, CAST(sum(hits) OVER w AS BIGINT) AS n_hits
+                   FROM by_score WINDOW w AS (ORDER BY score DESC))
+        SELECT score, n_flagged, n_hits, CAST(n_hits AS DOUBLE) / n_flagged AS precision,
+               CAST(n_hits AS DOUBLE) / (SELECT count(*) FROM scored WHERE hit) AS recall
+        FROM summed""",
     "detect_card_testing": f"WITH {TX}, {_TESTING} SELECT {_DETECTED} FROM card_testing",
     "stream_probe_sessions": f"""WITH {TX}, {_SESSIONS}
         SELECT * FROM sessions

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -38,7 +38,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
     What is written there belongs to whoever set that folder, who also clears it when the session has ended; tables that
-    a returned DataFrame still reads must not go before.
+    a returned DataFrame still reads must not go before. A job that writes its results itself may clear it earlier (``scratch_made``).
     Only a local master may fall back to a folder of this machine: on a cluster the executors
     could not see it, and it would be lost with its host.
     """
@@ -50,4 +50,28 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         shared = tempfile.mkdtemp(prefix="cardtide-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for made in _MADE:
+        made.append(path)
+    return path
+
+
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """The folders that ``scratch_dir`` names within the block, so that whoever knows that nothing reads them any more can ``discard`` them."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE[:] = [m for m in _MADE if m is not made]
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders of ``scratch_dir`` by the file system they lie in; those that were never written are passed over."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time as clock
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,30 +50,68 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_batches(
-    events: DataFrame, folder: str, batches: int = 4, files: int = 2, late: Column | None = None
+    events: DataFrame,
+    folder: str,
+    *,
+    time: str = "ts",
+    batches: int | None = None,
+    files: int | None = None,
+    late: Column | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
+    rows_per_batch: int = 2_000_000,
+    rows_per_file: int = 10_000,
 ) -> int:
-    """Lay a table out as a stream's backlog: ``batches`` stretches of time, one after the other; returns files per batch.
-
-    A file stream takes files by age and a watermark moves between batches only, so a backlog has to be read in
-    batches that follow time: else all of it is one batch, and all its windows and rows are state at once. Choose
-    ``batches`` so that one stretch of time fits into the state. All rows go out, those without a time in the first stretch;
-    rows where ``late`` is true make one more batch at the end.
+    """Lay a table out as a stream's backlog in files that follow time, written once; returns files per batch.
+
+    A file stream takes files by age and a watermark moves between batches only, so a backlog has to be read in batches that follow
+    time: else all of it is one batch, and all its windows and rows are state at once. Every file is a stretch
+    of time of its own and is dated by it, so files may be taken in any number at a time. By default there are 4 batches, and more from
+    ``rows_per_batch`` rows each on, so the state of a batch does not grow with the table; and a batch has as many files as the
+    session has cores, fewer where they would hold less than ``rows_per_file`` rows. All rows go out, those without a time in the first stretch;
+    rows where ``late`` is true make one more batch at the end. ``then`` is applied to rows on their way into the files. The
+    folder has to be on a file system that keeps modification times.
     """
     spark = events.sparkSession
-    ends = events.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
-    first, last = (0, 0) if ends[0] is None else ends
-    micros = F.unix_micros(F.col("ts").cast("timestamp")) - first
-    number = F.coalesce(F.least(F.floor(micros * batches / max(last - first, 1)), F.lit(batches - 1)), F.lit(0))
-    staged = f"{folder}/staged"
-    placed = events.withColumn("batch", (number if late is None else F.when(late, batches).otherwise(number)).cast("int"))
-    placed.repartition("batch", F.pmod(F.xxhash64("event_id"), F.lit(files))).write.partitionBy("batch").parquet(staged)
-    for i in range(batches + (late is not None)):
-        part = spark.read.schema(placed.schema).parquet(staged).where(F.col("batch") == i).drop("batch")
-        # As many files each time, empty ones too, so that a limit in files is a limit in batches.
-        part.repartition(files).write.mode("append").parquet(f"{folder}/backlog")
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last, n = events.agg(F.min(micros), F.max(micros), F.count(F.lit(1))).first()
+    first, last = (0, 0) if first is None else (first, last)
+    batches = batches or max(4, -(-n // rows_per_batch))
+    files = files or max(1, min(spark.sparkContext.defaultParallelism, n // batches // rows_per_file))
+    stretches = batches * files
+    number = F.least(F.floor((micros - first) * F.lit(stretches).cast("decimal(20,0)") / max(last - first, 1)), F.lit(stretches - 1))
+    number = F.coalesce(number, F.lit(0)).cast("int")
+    backlog, dated = f"{folder}/backlog", []
+    for part, place, parts in [
+        (events if late is None else events.where(~F.coalesce(late, F.lit(False))), number, stretches),
+        *([] if late is None else [(events.where(late), F.pmod(F.xxhash64(time), F.lit(files)).cast("int"), files)]),
+    ]:
+        placed = part.withColumn("_stretch", place).repartitionById(parts, "_stretch").drop("_stretch")
+        (placed if then is None else then(placed)).write.mode("append").parquet(backlog)
+        dated += sorted(set(_data_files(spark, backlog)) - set(dated))
+    _date_files(spark, backlog, dated)
     return files
 
 
+def _folder(spark: SparkSession, path: str):
+    """A folder's file system and path, by which files are listed and dated; their content is never touched here."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    system, folder = _folder(spark, path)
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return [name for name in names if name.startswith("part-")]
+
+
+def _date_files(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Give the files ages in the order of their names here, a second apart, the last one dated now."""
+    system, folder = _folder(spark, path)
+    newest = int(clock.time() * 1000)
+    for i, name in enumerate(reversed(names)):
+        system.setTimes(spark._jvm.org.apache.hadoop.fs.Path(folder, name), newest - 1000 * i, -1)
+
+
 def stream_batches(spark: SparkSession, folder: str, files: int) -> DataFrame:
     """What ``stage_batches`` has laid out, a batch of files at a time."""
     reader = spark.readStream.schema(EVENTS_TABLE).option("maxFilesPerTrigger", files)

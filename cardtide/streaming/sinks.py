@@ -9,8 +9,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from cardtide.functions.codec import encode_payload
 from cardtide.operators.snapshot import one_per_window
-from cardtide.schema import BRONZE_QUERY, CONSOLE_QUERY, GOLD_QUERY, TOPIC
+from cardtide.schema import BRONZE_QUERY, CONSOLE_QUERY, GOLD, GOLD_QUERY, TOPIC
 from cardtide.session import settings
+from cardtide.sources.dated import DATE, dates_of, drop_dates, landed, read_dates, write_by_date
 from cardtide.sources.gold import scan_gold
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -162,3 +163,38 @@ def export_snapshot(
     # Only the listing is read here, never the content of the files.
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(out_dir)
     return {"windows": written.get["windows"], "bytes": listing.agg(F.sum("length")).first()[0]}
+
+
+def export_changed(spark: SparkSession, gold_dir: str, out_dir: str) -> list[str]:
+    """Bring a snapshot laid out by date up to date with a Gold folder laid out by date; returns the dates rewritten.
+
+    Which dates have changed is told by the listing of Gold alone: the names, sizes and times of a date's files, against what the last export has noted
+    of them. Only changed dates are read, consolidated and written, in the place of what the snapshot held of them; dates that Gold lost
+    are emptied. What was seen is noted last, so an export that failed does its dates again. The first export writes all.
+    An empty Gold is an error, as is an unreadable file of a date that is read.
+    """
+    if not dates_of(spark, gold_dir):
+        raise ValueError(f"no Gold data files in {gold_dir}: run the stream first")
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(gold_dir)
+    file = F.concat_ws("|", F.element_at(F.split("path", "/"), -1), "length", F.unix_micros("modificationTime"))
+    dated = listing.select(F.regexp_extract("path", f"/{DATE}=([^/]+)/", 1).alias("date"), F.xxhash64(file).cast("decimal(38,0)").alias("mark"))
+    # The sum does not depend on the order of files.
+    seen = landed(dated.where("date <> ''").groupBy("date").agg(F.count(F.lit(1)).alias("files"), F.sum("mark").cast("string").alias("mark")), "listing")
+    notes = f"{out_dir}{_NOTES}"
+    before = spark.createDataFrame([], seen.schema)
+    if dates_of(spark, out_dir):
+        before = spark.read.schema(seen.schema).parquet(notes)
+    same = seen.join(before.withColumnsRenamed({"files": "_files", "mark": "_mark"}), "date", "full")
+    changed = same.where(~(F.col("files").eqNullSafe(F.col("_files")) & F.col("mark").eqNullSafe(F.col("_mark"))))
+    # One value per date at most.
+    dates = sorted(r[0] for r in changed.select("date").collect())
+    if dates:
+        write_by_date(one_per_window(read_dates(spark, gold_dir, GOLD, dates)), out_dir, replace=True)
+        gone = sorted(set(dates) - set(dates_of(spark, gold_dir)))
+        drop_dates(spark, out_dir, gone)
+        landed(seen, "noted").write.mode("overwrite").parquet(notes)
+    return dates
+
+
+#: Beside the snapshot, what its last export saw.
+_NOTES = "_exported"

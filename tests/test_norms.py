@@ -1,0 +1,128 @@
+"""Norms over time, quantiles, and scores at every threshold, against plain Python."""
+
+from __future__ import annotations
+
+import bisect
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardtide.operators import detectors
+from cardtide.operators.asof import as_of
+from cardtide.operators.quantiles import RANK_ERROR, quantile_norms, quantile_sketches, rank_errors
+from cardtide.operators.thresholds import prefix_sums, scores_by_threshold
+from tests.helpers import DAY, transactions, utc
+
+
+def moments(n: int, seed: int, days: int = 6):
+    rng = random.Random(seed)
+    return [DAY + timedelta(seconds=rng.randrange(days * 86_400)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("slice_seconds", [3_600, 86_400, 10**7])
+def test_as_of_is_the_last_version_before(spark, slice_seconds):
+    """One key holds most rows; keys without versions, null keys and times, rows on and before the first version."""
+    rng = random.Random(4)
+    keys = ["hot"] * 6 + ["a", "b", "none", None]
+    rows = [(i, rng.choice(keys), t) for i, t in enumerate(moments(400, 2))] + [(400, "hot", None), (401, None, None)]
+    versions = [(k, t, i) for i, t in enumerate(moments(30, 3)) for k in ("hot", "a")] + [("b", DAY + timedelta(days=9), 99), (None, DAY, 7), ("a", None, 8)]
+    rows.append((402, "hot", versions[0][1]))
+    rows.append((403, "a", min(v[1] for v in versions if v[1] and v[0] == "a") - timedelta(microseconds=1)))
+    frame = spark.createDataFrame(rows, "i long, key string, event_time timestamp")
+    known = spark.createDataFrame([*versions, versions[4]], "key string, valid_from timestamp, v long")
+    found = {r.i: r.v for r in as_of(frame, known, ["key"], slice_seconds=slice_seconds).collect()}
+    assert len(found) == len(rows)
+    by_key = {k: sorted((t, v) for key, t, v in versions if key == k and t) for k in ("hot", "a", "b")}
+    for i, key, t in rows:
+        past = by_key.get(key, [])
+        at = bisect.bisect_right([p[0] for p in past], t) if t else 0
+        assert found[i] == (past[at - 1][1] if at else None), (i, key, t)
+
+
+def test_as_of_has_no_window_over_rows(spark, capsys):
+    rows = transactions(spark, [{"event_time": DAY, "category": "fuel", "amount": 1.0}])
+    versions = spark.createDataFrame([("fuel", DAY, 1)], "category string, valid_from timestamp, v long")
+    as_of(rows, versions, ["category"]).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Window [") == 1 and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_norms_are_those_known_on_the_day(spark):
+    rng = random.Random(8)
+    rows = [
+        {"event_time": t, "category": rng.choice(["fuel", "travel", None]), "amount": rng.choice([None, 1.0, 10.0, 50.0, 90.0, 0.5])}
+        for t in [*moments(300, 5), None]
+    ]
+    frame = transactions(spark, rows)
+    found = {r.transaction_id for r in detectors.high_amounts_in_force(frame, detectors.norm_versions(frame, 0.9), 2.0).collect()}
+    wanted = set()
+    for i, row in enumerate(rows):
+        if row["event_time"] is None or row["category"] is None or row["amount"] is None:
+            continue
+        day = row["event_time"].date()
+        past = [
+            r["amount"] for r in rows
+            if r["event_time"] and r["event_time"].date() < day and r["category"] == row["category"] and r["amount"] and r["amount"] > 0.9
+        ]
+        if past and row["amount"] * len(past) > 2 * sum(past):
+            wanted.add(str(i))
+    assert found == wanted and wanted
+
+
+def test_quantiles_within_the_stated_error(spark):
+    """Eight categories, one of them with a third of all rows; days merged as one or one by one."""
+    rows = spark.range(200_000, numPartitions=7).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 7).cast("string"))).alias("category"),
+        F.exp(F.rand(5) * 8).alias("amount"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 7).alias("event_time"),
+    ).cache()
+    sketches = quantile_sketches(rows).cache()
+    assert sketches.select(F.max(F.length("sketch"))).first()[0] < 40_000
+    assert sketches.count() == 8 * 17
+    errors = rank_errors(rows, quantile_norms(sketches, [0.01, 0.5, 0.9, 0.99, 0.999]))
+    worst = errors.agg(F.max("error"), F.count(F.lit(1)), F.min("n")).first()
+    assert worst[0] <= RANK_ERROR and worst[1] == 8 * 5 and worst[2] > 10_000
+    part = sketches.where("day = '2024-01-05'")
+    assert quantile_norms(part, [0.5]).agg(F.sum("n")).first()[0] == rows.where("to_date(event_time) = '2024-01-05' and amount > 5").count()
+
+
+def test_prefix_sums_over_ranges(spark):
+    rows = spark.range(5_000, numPartitions=6).select(((F.col("id") * 37) % 1_009).alias("k"), "id", F.lit(1).cast("long").alias("one"))
+    found = prefix_sums(rows, [F.desc("k"), F.col("id")], ["one", "id"]).orderBy(F.desc("k"), "id").collect()
+    total = 0
+    for i, r in enumerate(found):
+        total += r.id
+        assert (r.upto_one, r.upto_id) == (i + 1, total)
+    assert prefix_sums(rows.limit(0), [F.col("k")], ["one"]).isEmpty()
+
+
+def test_scores_at_every_threshold(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([None, 0.5, 1.0, 2.0, 3.5, float("inf")]), rng.choice([True, False, None])) for _ in range(500)]
+    frame = spark.createDataFrame(rows, "score double, hit boolean")
+    found = {r.score: tuple(r)[1:] for r in scores_by_threshold(frame, "score", "hit").collect()}
+    positives = sum(h is True for _, h in rows)
+    assert set(found) == {s for s, _ in rows if s is not None}
+    for score, (flagged, hits, precision, recall) in found.items():
+        over = [h for s, h in rows if s is not None and s >= score]
+        assert (flagged, hits) == (len(over), sum(h is True for h in over))
+        assert precision == hits / flagged and recall == hits / positives
+    alone = scores_by_threshold(frame.where("hit is null"), "score", "hit").first()
+    assert alone.recall is None and alone.precision == 0.0
+
+
+def test_no_window_covers_the_table(spark, capsys):
+    frame = spark.createDataFrame([(1.0, True)], "score double, hit boolean")
+    scores_by_threshold(frame, "score", "hit").explain()
+    plan = capsys.readouterr().out
+    # Only the ranges' own sums share one: the rows are in one window per range.
+    assert plan.count("SinglePartition") == 1 and plan.count("Window [") == 2
+    assert "windowspecdefinition(_range" in plan and "HashAggregate(keys=[_range" in plan
+
+
+def test_factors(spark):
+    frame = transactions(spark, [{"category": "fuel", "amount": 10.0}, {"category": "fuel", "amount": 30.0}, {"category": None, "amount": 4.0}, {"category": "fuel"}])
+    found = detectors.amount_factors(frame, detectors.category_norms(frame)).orderBy("transaction_id").collect()
+    assert [r.factor for r in found] == [0.5, 1.5, None, None] and utc(found[0].event_time) is None

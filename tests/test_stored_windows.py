@@ -1,0 +1,178 @@
+"""Stored windows: coarser ones, corrections, the newest ones, incremental exports."""
+
+from __future__ import annotations
+
+import os
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardtide.operators.gold import windowed_gold, with_watermark
+from cardtide.operators.panels import kpi_summary, recent_windows
+from cardtide.operators.rollup import refresh, roll_up
+from cardtide.operators.snapshot import one_per_window
+from cardtide.operators.statistics import STATISTICS, as_gold, differences, merged, window_statistics
+from cardtide.plans import catalog
+from cardtide.schema import EVENTS_TABLE, GOLD
+from cardtide.sources.dated import DATE, dates_of, latest, read_dates, with_date, write_by_date
+from cardtide.sources.events import as_transactions, read_events
+from cardtide.sources.gold import load_gold
+from cardtide.streaming.reconcile import reconcile, stored_statistics
+from cardtide.streaming.sinks import append_to_table, export_changed, export_snapshot, finish, start_bronze
+from tests.conftest import TESTDATA
+from tests.helpers import DAY, drop_file, event, transactions
+
+AMOUNTS = [None, 0.01, 19.99, 1e15, float("inf"), 5.0, -3.5, 0.005]
+
+
+def rows_of(spark, n: int, days: int = 3, seed: int = 1, amounts=AMOUNTS):
+    rng = random.Random(seed)
+    kinds = [None, "high_amount", "card_testing"]
+    return transactions(
+        spark,
+        [
+            {
+                "transaction_id": f"{seed}-{i}", "amount": rng.choice(amounts), "event_time": DAY + timedelta(seconds=rng.randrange(days * 86_400)),
+                "fraud_type": (kind := rng.choice(kinds)), "is_fraud": kind is not None,
+            }
+            for i in range(n)
+        ],
+    )
+
+
+def same(found, wanted) -> bool:
+    return sorted(map(repr, found.collect())) == sorted(map(repr, wanted.select(*found.columns).collect()))
+
+
+def files_of(folder: str) -> dict[str, float]:
+    return {
+        os.path.join(base, name): os.path.getmtime(os.path.join(base, name))
+        for base, _, names in os.walk(folder) for name in names if name.endswith(".parquet")
+    }
+
+
+@pytest.mark.parametrize("duration", ["1 minute", "1 hour", "1 day"])
+def test_statistics_are_gold(spark, duration):
+    rows = rows_of(spark, 500)
+    assert same(as_gold(window_statistics(rows, duration)), windowed_gold(rows, duration, minor_units=100))
+
+
+def test_windows_merge_upwards_without_the_rows(spark, tmp_path):
+    rows = rows_of(spark, 800)
+    write_by_date(window_statistics(rows), str(tmp_path / "minutes"))
+    roll_up(spark, str(tmp_path / "minutes"), str(tmp_path / "hours"), "1 hour")
+    roll_up(spark, str(tmp_path / "hours"), str(tmp_path / "days"), "1 day")
+    for folder, duration in (("hours", "1 hour"), ("days", "1 day")):
+        assert same(as_gold(read_dates(spark, str(tmp_path / folder), STATISTICS)), windowed_gold(rows, duration, minor_units=100))
+
+
+def test_only_changed_windows_are_made_again(spark, tmp_path):
+    minutes, hours = str(tmp_path / "minutes"), str(tmp_path / "hours")
+    rows, more = rows_of(spark, 600, days=5), rows_of(spark, 5, days=1, seed=2)
+    write_by_date(window_statistics(rows), minutes)
+    roll_up(spark, minutes, hours, "1 hour")
+    before = files_of(hours)
+    added = window_statistics(more)
+    write_by_date(added, minutes)
+    for _ in range(2):  # the second time after a failure, say
+        assert refresh(spark, minutes, hours, "1 hour", added) == ["2024-01-01"]
+        assert same(as_gold(read_dates(spark, hours, STATISTICS)), windowed_gold(rows.unionAll(more), "1 hour", minor_units=100))
+    after = files_of(hours)
+    untouched = {f for f in before if f"{DATE}=2024-01-01" not in f}
+    assert len(dates_of(spark, hours)) == 5 and untouched and all(after[f] == before[f] for f in untouched)
+    assert refresh(spark, minutes, hours, "1 hour", added.limit(0)) == []
+
+
+def test_differences_add_up(spark):
+    # Sums of doubles that do not fit depend on their order.
+    rows = rows_of(spark, 300, amounts=[a for a in AMOUNTS if a is None or abs(a) < 1e14])
+    stored = window_statistics(rows.where("transaction_id like '%1'"))
+    fresh = window_statistics(rows)
+    missing = differences(fresh, stored)
+    assert same(merged(stored.unionAll(missing)), fresh)
+    assert differences(fresh, fresh).isEmpty() and differences(stored, fresh).isEmpty()
+
+
+def _late_stream(spark, tmp_path):
+    """A stream whose last file brings rows of windows given out long before; and one row without a time."""
+    log = tmp_path / "log"
+    drop_file(log, 0, [event("00:00:10"), event("00:00:40"), event("00:30:00")])
+    drop_file(log, 1, [event("05:00:00"), event("23:59:30")])
+    drop_file(log, 2, [event("00:00:20", amount=None), event("00:30:30", amount=2.5), event("00:31:00"), event("23:59:40"), event("00:00:00", timestamp="?")])
+    from cardtide.functions.codec import decode_payload
+    from cardtide.sources.transactions import FolderSource, read_transactions
+
+    rows = decode_payload(read_transactions(spark, FolderSource(str(log), "text", {"maxFilesPerTrigger": "1"})))
+    windows = with_date(window_statistics(with_watermark(rows)))
+    finish(
+        start_bronze(rows, str(tmp_path / "bronze"), str(tmp_path / "cp1"), available_now=True, by_date=True),
+        append_to_table(windows, str(tmp_path / "windows"), str(tmp_path / "cp2"), "w", available_now=True, state_partitions=2, partition_by=DATE),
+    )
+    return tuple(str(tmp_path / name) for name in ("bronze", "windows", "corrections"))
+
+
+def test_late_rows_are_put_right(spark, tmp_path):
+    bronze, windows, corrections = _late_stream(spark, tmp_path)
+    wanted = windowed_gold(spark.read.parquet(bronze), minor_units=100)
+    assert as_gold(stored_statistics(spark, windows, corrections)).count() < wanted.count() == 5
+    kept = files_of(windows)
+    assert reconcile(spark, bronze, windows, corrections) == ["2024-01-01"]
+    assert same(as_gold(stored_statistics(spark, windows, corrections)), wanted)
+    # Nothing is written twice, and stored windows are never touched.
+    made = files_of(corrections)
+    assert reconcile(spark, bronze, windows, corrections) == [] and files_of(corrections) == made and files_of(windows) == kept
+
+
+def test_open_windows_are_left_to_the_stream(spark, tmp_path):
+    bronze, windows, corrections = _late_stream(spark, tmp_path)
+    before = F.lit("2024-01-01 23:57:30").cast("timestamp")
+    reconcile(spark, bronze, windows, corrections, closed_before=before)
+    wanted = windowed_gold(spark.read.parquet(bronze), minor_units=100).where(F.col("window_end") <= before)
+    assert same(as_gold(stored_statistics(spark, windows, corrections)), wanted)
+
+
+def test_newest_windows_read_the_newest_folders(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    gold = windowed_gold(rows_of(spark, 900, days=20), "1 hour", minor_units=100)
+    write_by_date(gold, path)
+    write_by_date(gold.orderBy(F.desc("window_start")).limit(2), path)
+    rows = latest(spark, path, GOLD, 12)
+    read = {f.split(f"{DATE}=")[1][:10] for f in rows.inputFiles()}
+    assert read == {"2024-01-20"} and len(dates_of(spark, path)) == 20
+    assert same(recent_windows(one_per_window(rows)), recent_windows(gold))
+    # More than one date holds: as many as are needed.
+    assert {f.split(f"{DATE}=")[1][:10] for f in latest(spark, path, GOLD, 60).inputFiles()} == {f"2024-01-{d}" for d in range(17, 21)}
+    assert latest(spark, path, GOLD, 10**6).select("window_start").distinct().count() == gold.count()
+    assert latest(spark, str(tmp_path / "none"), GOLD, 12).isEmpty()
+
+
+def test_exports_rewrite_what_changed(spark, tmp_path):
+    gold_dir, out = str(tmp_path / "gold"), str(tmp_path / "out")
+    with pytest.raises(ValueError, match="run the stream first"):
+        export_changed(spark, gold_dir, out)
+    gold = windowed_gold(rows_of(spark, 400, days=4), "1 hour", minor_units=100)
+    write_by_date(gold, gold_dir)
+    assert export_changed(spark, gold_dir, out) == [f"2024-01-0{d}" for d in (1, 2, 3, 4)]
+    assert export_changed(spark, gold_dir, out) == []
+    before = files_of(out)
+    # One more batch: a window again and a new one, of one date.
+    again = gold.where(F.to_date("window_start") == "2024-01-03").limit(1)
+    new = again.withColumns({"window_start": F.lit("2024-01-03 23:59:00").cast("timestamp"), "window_end": F.lit("2024-01-04").cast("timestamp")})
+    write_by_date(again.unionAll(new), gold_dir)
+    assert export_changed(spark, gold_dir, out) == ["2024-01-03"]
+    after = files_of(out)
+    kept = {f for f in before if f"{DATE}=2024-01-03" not in f}
+    assert kept and all(after[f] == before[f] for f in kept)
+    export_snapshot(spark, gold_dir, str(tmp_path / "full"))
+    assert same(load_gold(spark, str(tmp_path / "no"), out), load_gold(spark, str(tmp_path / "no"), str(tmp_path / "full")))
+
+
+def test_panels_answer_from_the_table_as_it_is(spark, tmp_path):
+    """A table that is written anew within the session changes the answer."""
+    table = read_events(spark, f"{TESTDATA}/sf0.001")
+    for part in (table, table.where("event_id < 10")):
+        part.write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+        wanted = windowed_gold(as_transactions(spark.read.schema(EVENTS_TABLE).parquet(str(tmp_path / "events.parquet"))), minor_units=100)
+        assert catalog.kpi_summary(spark, str(tmp_path)).first() == kpi_summary(wanted, minor_units=100).first()

@@ -14,6 +14,7 @@ from cardtide.sources.events import as_transactions, read_events, stage_batches,
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource, KafkaSource, read_transactions
 from cardtide.streaming.pipeline import run_pipeline
+from cardtide.streaming.accounts import accounts, counting_in, counting_out
 from cardtide.streaming.sinks import append_to_table, finish, publish, start_console, start_gold
 from tests.conftest import TESTDATA
 from tests.helpers import at, drop_file, event, utc
@@ -276,3 +277,52 @@ def test_console_needs_no_checkpoint(spark, tmp_path):
         query = start_console(windowed_gold(with_watermark(rows)), available_now=True, state_partitions=2)
         finish(query)
         assert given_out(query) == 1
+
+
+def test_a_card_with_thousands_of_cities(spark, tmp_path):
+    """No list of cities: what is held of a card and slice has the same size for 20,000 cities as for two."""
+    begin = 1_704_067_200
+    for name, cities in (("few", 2), ("many", 20_000)):
+        rows = spark.range(20_000, numPartitions=1).select(
+            F.col("id").cast("string").alias("transaction_id"), F.lit("card_0001").alias("card_id"),
+            F.concat(F.lit("c"), (F.col("id") % cities).cast("string")).alias("city"),
+            F.timestamp_micros(F.lit(begin * 10**6) + F.col("id") * 20_000).alias("event_time"),
+        )
+        rows.unionAll(rows.limit(1).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY"))).write.parquet(str(tmp_path / name))
+        stream = with_watermark(spark.readStream.schema(rows.schema).parquet(str(tmp_path / name)))
+        found = detectors.impossible_travel(stream, within_seconds=600)
+        finish(append_to_table(found, str(tmp_path / f"{name}-t"), str(tmp_path / f"{name}-cp"), name, available_now=True, state_partitions=2))
+        out = spark.read.schema(found.schema).parquet(str(tmp_path / f"{name}-t"))
+        assert out.count() == detectors.impossible_travel(rows, within_seconds=600).count() == 19_999
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "collect" not in plan and plan.count("Aggregate [card_id") == 2
+
+
+def test_accounts_of_batches(spark, tmp_path):
+    for i, lines in enumerate([["00:00:10", "00:05:00"], ["00:09:00"], ["00:00:30", "00:20:00"]]):
+        drop_file(tmp_path / "log", i, [event(t) for t in lines] + [event("00:00:00", timestamp="?"), "{"][: i])
+    rows = counting_in(decode_payload(read_transactions(spark, FolderSource(str(tmp_path / "log"), "text", {"maxFilesPerTrigger": "1"}))))
+    gold = counting_out(windowed_gold(with_watermark(rows)))
+    query = append_to_table(gold, str(tmp_path / "t"), str(tmp_path / "cp"), "told", available_now=True, state_partitions=2)
+    finish(query)
+    told = accounts(spark, query).orderBy("batch_id")
+    found = [(r.rows_in, r.rejected) for r in told.where("rows_in > 0").collect()]
+    assert found == [(2, 0), (2, 1), (4, 2)]
+    total = told.agg(F.sum("windows_out"), F.sum("rows_out"), F.max("state_rows")).first()
+    stored = spark.read.schema(gold.schema).parquet(str(tmp_path / "t"))
+    assert (total[0], total[1]) == (stored.count(), stored.agg(F.sum("tx_count")).first()[0]) == (3, 3) and total[2] >= 2
+    assert {r.query for r in told.collect()} == {"told"} and told.where("watermark is not null").count() > 0
+
+
+def test_staged_files_follow_time(spark, tmp_path):
+    """Written once, as many files as cores would take, each a stretch of time."""
+    table = read_events(spark, f"{TESTDATA}/sf0.001")
+    assert stage_batches(table, str(tmp_path / "a"), rows_per_file=100) == min(4, spark.sparkContext.defaultParallelism, 1000 // 4 // 100)
+    assert stage_batches(table, str(tmp_path / "b"), rows_per_batch=100, rows_per_file=10) == 4
+    for folder, n in (("a", 8), ("b", 40)):
+        stored = spark.read.schema(EVENTS_TABLE).parquet(str(tmp_path / folder / "backlog"))
+        by_age = stored.groupBy("_metadata.file_path", "_metadata.file_modification_time").agg(F.min("ts"), F.max("ts")).collect()
+        by_age = sorted(by_age, key=lambda r: r[1])
+        assert stored.count() == 1000 and len(by_age) == n
+        assert all(a[3] <= b[2] for a, b in zip(by_age, by_age[1:]))
+    assert stage_batches(table.limit(0), str(tmp_path / "c")) == 1
