@@ -164,21 +164,26 @@ def _reaching(rows: DataFrame, key: list[str], min_count: int, seconds: int) ->
 
 def testing_verdicts(rows: DataFrame, min_count: int, seconds: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their slice, and per card and slice what decides about its rows."""
-    key = ["card_id", "_slice"]
     instant = F.col("event_time")
     sliced = rows.withColumn("_slice", F.window("event_time", f"{int(seconds)} seconds")["start"])
     # Each instant counts among the first of its own slice, and among the last for the next one.
     never = F.lit(None).cast(sliced.schema["event_time"].dataType)
     own = F.struct("_slice", instant.alias("early"), never.alias("late"))
     past = F.struct((F.col("_slice") + _seconds(seconds)).alias("_slice"), never.alias("early"), instant.alias("late"))
-    points = sliced.select("card_id", F.inline(F.array(own, past)))
+    return sliced, _verdicts(sliced.select("card_id", F.inline(F.array(own, past))), min_count, seconds)
+
+
+def _verdicts(points: DataFrame, min_count: int, seconds: int) -> DataFrame:
+    """Verdicts per card and slice from its instants (``early``) and those of the slice before (``late``)."""
+    key = ["card_id", "_slice"]
     from_ends = Window.partitionBy(*key, F.col("early").isNull()).orderBy("early", F.desc("late"))
     edges = (
         points.withColumn("rank", F.row_number().over(from_ends))
         .where(F.col("rank") <= min_count)
         .select(*key, F.coalesce("early", "late").alias("event_time"), F.when(F.col("early").isNotNull(), F.col("rank")).alias("rank"))
     )
-    verdicts = (
+    instant = F.col("event_time")
+    return (
         _reaching(edges, key, min_count, seconds)
         .where(F.col("rank").isNotNull())
         .groupBy(*key)
@@ -188,7 +193,66 @@ def testing_verdicts(rows: DataFrame, min_count: int, seconds: int) -> tuple[Dat
             F.collect_set(F.when(F.col("rank") < min_count, instant)).alias("_single"),
         )
     )
-    return sliced, verdicts
+
+
+#: (card, begin of the slice, first and last instants in it), all instants in microseconds.
+_EDGES = "card_id string, slice_at long, firsts array<long>, lasts array<long>"
+
+
+def probe_edges(charges: DataFrame, *, min_count: int = 3, within_seconds: int = 60, copies: int = 8) -> DataFrame:
+    """A stream of the first and last ``min_count`` instants of small charges per card and slice, given out when the slice has closed.
+
+    This is all that ``card_testing`` needs to know of a slice, so no row is ever held: the state of a card and slice is
+    ``copies`` times twice ``min_count`` numbers, whatever happens on the card. A hot card is spread over ``copies`` states, which are
+    put together by ``card_testing_from``. ``charges`` are small charges with a watermark.
+    """
+    n, micros = int(min_count), int(within_seconds) * 1_000_000
+
+    def kept(key, frames, state):
+        import pandas as pd
+
+        card, begin = key[0], int(key[1])
+        firsts, lasts = ([], []) if not state.exists else map(list, state.get)
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame({"card_id": [card], "slice_at": [begin], "firsts": [firsts], "lasts": [lasts]})
+            return
+        for frame in frames:
+            at = sorted(frame["at"].tolist())
+            firsts, lasts = sorted(firsts + at[:n])[:n], sorted(lasts + at[-n:])[-n:]
+        state.update((firsts, lasts))
+        state.setTimeoutTimestamp((begin + micros) // 1000)
+
+    at = F.unix_micros("event_time")
+    slice_at = F.unix_micros(F.window("event_time", f"{int(within_seconds)} seconds")["start"])
+    copy = F.pmod(F.xxhash64(*_SPREAD), F.lit(copies)).cast("int")
+    keyed = charges.where(F.col("card_id").isNotNull()).select("card_id", slice_at.alias("slice_at"), copy.alias("copy"), at.alias("at"), "event_time")
+    grouped = keyed.groupBy("card_id", "slice_at", "copy")
+    return grouped.applyInPandasWithState(kept, _EDGES, "firsts array<long>, lasts array<long>", "append", "EventTimeTimeout")
+
+
+def card_testing_from(
+    transactions: DataFrame, edges: DataFrame, *, max_amount: float = 5.0, min_count: int = 3, within_seconds: int = 60
+) -> DataFrame:
+    """``card_testing`` of stored transactions by the ``edges`` a stream has given out: the flagged rows of closed slices.
+
+    ``edges`` have the parameters of this call. Slices they do not hold, as they are still open, have no flagged rows yet. Transactions of other times
+    than the edges' may be left out.
+    """
+    kind = transactions.schema["event_time"].dataType
+
+    def points(field: str, shift: int, early: bool) -> DataFrame:
+        instant, never = F.timestamp_micros("at").cast(kind), F.lit(None).cast(kind)
+        slices = edges.select("card_id", (F.col("slice_at") + shift).alias("slice_at"), F.explode(field).alias("at"))
+        return slices.select(
+            "card_id", F.timestamp_micros("slice_at").cast(kind).alias("_slice"), (instant if early else never).alias("early"), (never if early else instant).alias("late")
+        )
+
+    both = points("firsts", 0, True).unionAll(points("lasts", int(within_seconds) * 1_000_000, False))
+    verdicts = _verdicts(both, min_count, within_seconds)
+    placed = small_charges(transactions, max_amount).where(F.col("card_id").isNotNull() & F.col("event_time").isNotNull())
+    sliced = placed.withColumn("_slice", F.window("event_time", f"{int(within_seconds)} seconds")["start"])
+    return join_spread(sliced, verdicts, ["card_id", "_slice"], _SPREAD).where(tested()).select(*transactions.columns)
 
 
 def small_charges(transactions: DataFrame, max_amount: float = 5.0) -> DataFrame:

@@ -397,6 +397,25 @@ def stream_probe_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sessions, "stream_probe_sessions")
 
 
+def stream_card_testing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows land in Bronze, the stream keeps the edges of slices alone, and closed slices meet their rows again."""
+    root = scratch_dir(spark, "card-testing")
+    configure(spark)
+    files = stage_batches(read_events(spark, sf_dir), root)
+    transactions = as_transactions(stream_batches(spark, root, files))
+    charges = detectors.small_charges(with_watermark(transactions))
+    edges = detectors.probe_edges(charges, **CARD_TESTING)
+    finish(
+        start_bronze(transactions, f"{root}/bronze", f"{root}/checkpoints/bronze", available_now=True, by_date=True),
+        append_to_table(
+            edges, f"{root}/edges", f"{root}/checkpoints/edges", "stream_card_testing", available_now=True, state_partitions=_state_partitions(spark)
+        ),
+    )
+    landed_rows = spark.read.schema(transactions.schema).parquet(f"{root}/bronze")
+    stored = spark.read.schema(edges.schema).parquet(f"{root}/edges")
+    return _plain(detectors.card_testing_from(landed_rows, stored, **CARD_TESTING).select(*DETECTED))
+
+
 def stream_impossible_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = detectors.impossible_travel(with_watermark(_stream(spark, sf_dir)), **TRAVEL)
     # This state holds rows until their slice closes, so it has to be able to leave the heap.
@@ -436,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_amount_thresholds": high_amount_thresholds,
     "detect_card_testing": detect_card_testing,
     "stream_probe_sessions": stream_probe_sessions,
+    "stream_card_testing": stream_card_testing,
     "detect_impossible_travel": detect_impossible_travel,
     "stream_impossible_travel": stream_impossible_travel,
     "stream_high_amount": stream_high_amount,

@@ -254,6 +254,10 @@ ORACLE: dict[str, str] = {
     "stream_probe_sessions": f"""WITH {TX}, {_SESSIONS}
         SELECT * FROM sessions
         WHERE n_charges >= 2 AND session_end <= (SELECT max(event_time) FROM small) - INTERVAL 2 MINUTE""",
+    # A slice is given out when it has closed.
+    "stream_card_testing": f"""WITH {TX}, {_TESTING}
+        SELECT {_DETECTED} FROM card_testing
+        WHERE time_bucket(INTERVAL 1 DAY, event_time) + INTERVAL 1 DAY <= (SELECT max(event_time) FROM tx) - INTERVAL 2 MINUTE""",
     "detect_impossible_travel": f"WITH {TX}, {_TRAVEL} SELECT {_DETECTED} FROM impossible_travel",
     # A flagged row comes out when its two-hour slice has closed.
     "stream_impossible_travel": f"""WITH {TX}, {_TRAVEL}

@@ -79,6 +79,31 @@ def test_impossible_travel_against_brute_force(spark, seed, n, cards, cities, se
         assert ids(found) == brute_travel(rows, within), within
 
 
+@pytest.mark.parametrize("min_count, within, copies", [(1, 60, 3), (2, 60, 1), (3, 60, 4), (5, 120, 2)])
+def test_card_testing_on_a_stream_against_brute_force(spark, tmp_path, min_count, within, copies):
+    """Three files in the order of time, one card with half of the rows; state is the edges of open slices alone."""
+    rows = sorted(random_rows(9, 400, 3, 2, 4000, 0.5), key=lambda r: r["event_time"])
+    frame = transactions(spark, [*rows, {**rows[0], "card_id": None}])
+    for i in range(3):
+        frame.where((F.col("transaction_id").cast("int") * 3 / 401).cast("int") == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    edges = detectors.probe_edges(detectors.small_charges(with_watermark(stream)), min_count=min_count, within_seconds=within, copies=copies)
+    query = append_to_table(edges, str(tmp_path / "t"), str(tmp_path / "cp"), "edges", available_now=True, state_partitions=3)
+    finish(query)
+    stored = spark.read.schema(edges.schema).parquet(str(tmp_path / "t"))
+    assert stored.where(f"size(firsts) > {min_count} or size(lasts) > {min_count}").isEmpty()
+    found = detectors.card_testing_from(frame, stored, min_count=min_count, within_seconds=within)
+    newest = max(r["event_time"] for r in rows) - timedelta(minutes=2)
+
+    def closes(instant):
+        seconds = int(instant.timestamp())
+        return seconds - seconds % within + within
+
+    closed = {i for i in brute_card_testing(rows, 5.0, min_count, within) if closes(rows[i]["event_time"]) <= newest.timestamp()}
+    assert ids(found) == closed and closed
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 3 * copies * (120 // within + 2)
+
+
 def test_travel_on_a_stream_against_brute_force(spark, tmp_path):
     rows = random_rows(7, 300, 4, 3, 2500, 0.3)
     frame = transactions(spark, rows)
