@@ -238,6 +238,11 @@ def simhash_groups(
     rows stay and share a group. An empty table gives an empty one. The rows are written once, as are
     the rounds of the component search; equal fingerprints are one node, so copies cost nothing there.
     """
+    return join_spread(*_grouped(docs, id_col, text_col, shingle, distance, seed), [FINGERPRINT], [ROW], 8)
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with FINGERPRINT and ROW, written; and (FINGERPRINT, GROUP) for each different fingerprint."""
     schema = StructType([*docs.schema.fields, StructField(FINGERPRINT, LongType())])
     at = docs.columns.index(text_col)
 
@@ -258,18 +263,20 @@ def simhash_groups(
         F.col("code").alias(FINGERPRINT),
         F.when(F.col("group_least").isNull(), F.col("least")).otherwise(F.col("group_least")).alias(GROUP),
     )
-    return join_spread(rows, named, [FINGERPRINT], [ROW], 8)
+    return rows, named
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """The columns of ``docs`` for one row of each group of ``simhash_groups``: the one with the smallest id.
 
-    Among rows with that same id the first written stays. Cases are those of ``simhash_groups``.
+    Among rows with that same id the first written stays. Cases are those of ``simhash_groups``. Groups are found without the other columns: of
+    whole rows there is one shuffle, to the numbers of the rows that stay.
     """
-    rows = simhash_groups(docs, id_col, text_col, shingle, distance)
+    rows, named = _grouped(docs, id_col, text_col, shingle, distance)
+    members = join_spread(rows.select(F.col(id_col).alias("id"), FINGERPRINT, ROW), named, [FINGERPRINT], [ROW], 8)
     kept = (
-        rows.groupBy(GROUP, F.when(F.col(GROUP).isNull(), F.col(FINGERPRINT)).alias("apart"))
-        .agg(F.min(F.struct(F.col(id_col).isNull(), id_col, ROW)).getField(ROW).alias(ROW))
+        members.groupBy(GROUP, F.when(F.col(GROUP).isNull(), F.col(FINGERPRINT)).alias("apart"))
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", ROW)).getField(ROW).alias(ROW))
         .select(ROW)
     )
     return rows.join(kept, ROW, "left_semi").select(*docs.columns)
