@@ -15,6 +15,7 @@ from cardtide.llm.repeats import KEPT, N_REMOVED, repeated_bytes
 from cardtide.llm.sentencepieces import IDS, encoded, read_model
 from cardtide.llm.simhash import simhash_dedup
 from cardtide.llm.subwords import classified
+from cardtide.session import discard, scratch_made
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -75,8 +76,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; each stage's rows are written and read again by the next.
+
+    Once a stage's rows are written, nothing reads what it wrote on the way, nor the rows of the stage before: both go.
+    """
+    docs, kept = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_made() as made:
+            docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(spark, [*kept, *made[:-1]])
+        kept = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
