@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cardtide.functions.money import money_sum
 from cardtide.operators.asof import as_of
 from cardtide.operators.skew import join_spread
+from cardtide.sources.dated import landed
 
 _CENTS = 100
 _SPREAD = ("transaction_id", "event_time")
@@ -432,6 +433,32 @@ def card_home_city(transactions: DataFrame) -> DataFrame:
     return best.select("card_id", F.col("best.city").alias("home_city"), (-F.col("best.less")).alias("n"))
 
 
+def card_home_city_of_many(transactions: DataFrame, buckets: int = 64) -> DataFrame:
+    """``card_home_city`` where cities are free text: the same rows, without a count for each city that a card was ever seen in.
+
+    A card's cities are dealt into ``buckets`` by hash, and a first pass counts those alone: a summary of fixed size that adds up. The cities of the
+    fullest bucket are counted exactly; the best of them bounds the home city from below, and a bucket that holds fewer rows cannot
+    have a better or an equal one. Only cities of the buckets that are left are counted too. So ties are kept exactly, and what is
+    counted city by city is a small part of a card, unless it has no usual city at all. Three scans, of the card and the city.
+    """
+    known = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
+    bucket = F.pmod(F.xxhash64("city"), F.lit(buckets)).cast("int")
+    placed = known.select("card_id", "city", bucket.alias("_bucket"), *[c for c in _SPREAD if c in known.columns])
+    sizes = landed(placed.groupBy("card_id", "_bucket").agg(F.count(F.lit(1)).alias("rows")), "city-buckets")
+    fullest = sizes.groupBy("card_id").agg(F.max(F.struct("rows", "_bucket")).getField("_bucket").alias("_bucket"))
+
+    def best(candidates: DataFrame) -> DataFrame:
+        met = join_spread(placed, candidates, ["card_id", "_bucket"], _SPREAD)
+        counts = met.groupBy("card_id", "city").agg(F.count(F.lit(1)).alias("n"))
+        return counts.groupBy("card_id").agg(F.min(F.struct((-F.col("n")).alias("less"), "city")).alias("best"))
+
+    first = landed(best(fullest).join(fullest.withColumnRenamed("_bucket", "_full"), "card_id"), "fullest-buckets")
+    left = sizes.join(first, "card_id").where((F.col("rows") >= -F.col("best.less")) & (F.col("_bucket") != F.col("_full")))
+    both = first.select("card_id", "best").unionAll(best(left.select("card_id", "_bucket")))
+    found = both.groupBy("card_id").agg(F.min("best").alias("best"))
+    return found.select("card_id", F.col("best.city").alias("home_city"), (-F.col("best.less")).alias("n"))
+
+
 def detector_flags(
     transactions: DataFrame,
     norms: DataFrame,

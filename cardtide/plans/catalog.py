@@ -370,6 +370,10 @@ def card_home_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detectors.card_home_city(_transactions(spark, sf_dir))
 
 
+def card_home_city_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detectors.card_home_city_of_many(_transactions(spark, sf_dir))
+
+
 def detector_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = _transactions(spark, sf_dir)
     flagged = detectors.detector_flags(
@@ -460,5 +464,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_impossible_travel": stream_impossible_travel,
     "stream_high_amount": stream_high_amount,
     "card_home_city": card_home_city,
+    "card_home_city_of_many": card_home_city_of_many,
     "detector_confusion": detector_confusion,
 }

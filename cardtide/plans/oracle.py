@@ -172,6 +172,11 @@ _LATE = f"""
     {_gold("minute").replace("FROM tx", "FROM kept")},
     closed AS (SELECT * FROM gold WHERE window_end <= (SELECT max(event_time) FROM kept) - INTERVAL 2 MINUTE)"""
 
+_HOME = f"""WITH {TX},
+    counts AS (SELECT card_id, city, COUNT(*) AS n FROM tx GROUP BY card_id, city)
+    SELECT card_id, city AS home_city, n FROM counts
+    QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY n DESC, city) = 1"""
+
 ORACLE: dict[str, str] = {
     "decode_payload": _DECODED,
     "encode_payload": f"""WITH {TX}
@@ -265,10 +270,8 @@ ORACLE: dict[str, str] = {
         WHERE time_bucket(INTERVAL 2 HOUR, event_time) + INTERVAL 2 HOUR
               <= (SELECT max(event_time) FROM tx) - INTERVAL 2 MINUTE""",
     "stream_high_amount": f"WITH {TX}, {_HIGH} SELECT {_DETECTED} FROM high_amount",
-    "card_home_city": f"""WITH {TX},
-        counts AS (SELECT card_id, city, COUNT(*) AS n FROM tx GROUP BY card_id, city)
-        SELECT card_id, city AS home_city, n FROM counts
-        QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY n DESC, city) = 1""",
+    "card_home_city": _HOME,
+    "card_home_city_of_many": _HOME,
     "detector_confusion": f"WITH {TX}, {_HIGH}, {_TESTING}, {_TRAVEL} "
     + " UNION ALL ".join(
         _CONFUSION_ROW.format(name=name) for name in ("high_amount", "card_testing", "impossible_travel")

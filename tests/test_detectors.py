@@ -285,3 +285,16 @@ def test_confusion(spark):
         "detector": "impossible_travel", "tp": 0, "fp": 0, "fn": 0, "tn": 6,
         "any_tp": 0, "any_fp": 0, "any_fn": 3, "any_tn": 3,
     }
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 64])
+def test_home_city_of_many_cities(spark, buckets):
+    """Free-text cities, a hot card, cards without a usual city, ties within and across buckets."""
+    rng = random.Random(buckets)
+    rows = [{"card_id": "hot", "city": f"typo {rng.randrange(3000)}" if rng.random() < 0.7 else "Manaus", "event_time": DAY} for _ in range(4000)]
+    rows += [{"card_id": f"c{rng.randrange(20)}", "city": f"x{rng.randrange(12)}", "event_time": DAY} for _ in range(600)]
+    rows += [{"card_id": "tie", "city": c, "event_time": None} for c in "dcbadcba"] + [{"card_id": "one", "city": "z"}, {"card_id": None, "city": "z"}, {"card_id": "none"}]
+    frame = transactions(spark, rows)
+    found = {(r.card_id, r.home_city, r.n) for r in detectors.card_home_city_of_many(frame, buckets).collect()}
+    assert found == {(r.card_id, r.home_city, r.n) for r in detectors.card_home_city(frame).collect()}
+    assert ("tie", "a", 2) in found
