@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +12,25 @@ from pyspark.sql import functions as F
 
 from cardtide.llm.common import hashed_sample, landed, releasing
 
-_INDEX = "block long, cell int, low double, high double, ids binary, radii binary, vectors binary"
-_QUERIES = "part long, cell int, low double, high double, body binary"
-_HITS = "query_id long, vec_id long, score long"
+_INDEX = "block long, cell int, low double, high double, ids binary, radii binary, box binary, vectors binary"
+_QUERIES = "part long, cell int, low double, high double, near double, far double, body binary"
+_HITS = "part long, query_id long, vec_id long, score long, place binary"
 
+#: Annuli that a block of queries opens in the first round; each round takes so many times as many.
+_FIRST, _MORE = 4, 4
 
-def scaled(ids: pa.Array, vectors: pa.Array, width: int, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and floor(scale * x) of the rows that take part, shorter vectors filled up with zeros."""
+#: Below this squared length every inner product, and every part of its sum, is a whole number that a double holds.
+_EXACT = 2.0**53
+#: What one rounding may add to a number, as a share of it.
+_ROUNDING = 2.0**-52
+
+
+def scaled(ids: pa.Array, vectors: pa.Array, width: int, scale: float, shift: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and floor(scale * x) of the rows that take part, shorter vectors filled up with zeros.
+
+    With a ``shift`` the whole numbers come divided by scale and by 2^shift, which is exact too as scale is a power of two: so no number is too
+    large, and none loses a bit.
+    """
     lists = vectors.cast(pa.large_list(pa.float64()))
     n = len(lists)
     offsets = np.zeros(n + 1, np.int64) if n == 0 else lists.offsets.to_numpy()
@@ -30,8 +43,36 @@ def scaled(ids: pa.Array, vectors: pa.Array, width: int, scale: float) -> tuple[
     out = np.zeros((n, width))
     out[row, column] = values[np.repeat(offsets[:-1], sizes) + column] if len(row) else 0.0
     good = ~missing & np.isfinite(out).all(1)
+    out = out[good]
+    if shift is None:
+        with np.errstate(over="ignore"):
+            out = np.floor(scale * out)
+    else:
+        # From 2^52 on a double is a whole number.
+        small = np.abs(out) < 2.0**52
+        out = np.ldexp(np.where(small, np.floor(np.where(small, out, 0.0) * scale) / scale, out), -shift)
     # Adding 0 makes -0 and 0 the same bytes.
-    return ids.fill_null(0).to_numpy(zero_copy_only=False)[good].astype(np.int64), np.floor(scale * out[good]) + 0.0
+    return ids.fill_null(0).to_numpy(zero_copy_only=False)[good].astype(np.int64), out + 0.0
+
+
+def _whole(vector: np.ndarray, shift: int, scale: float) -> list[int]:
+    """The whole numbers of a vector that was scaled with a ``shift``."""
+    found = []
+    for x in vector.tolist():
+        share, power = math.frexp(x)
+        # 53 bits of the number, moved to their place.
+        move = power - 53 + shift + int(math.log2(scale))
+        bits = int(math.ldexp(share, 53))
+        found.append(bits << move if move >= 0 else bits >> -move)
+    return found
+
+
+def _place(score: int) -> bytes:
+    """Bytes in the order of whole numbers of up to 65,535 bytes."""
+    body = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    if score >= 0:
+        return b"\1" + len(body).to_bytes(2, "big") + body
+    return b"\0" + (65_535 - len(body)).to_bytes(2, "big") + bytes(255 - b for b in body)
 
 
 def _pivots(sample: np.ndarray, most: float, count: int) -> np.ndarray:
@@ -70,14 +111,18 @@ def nearest(
     """(query_id, rank, vec_id, score): the ``k`` best rows for each row whose id is divisible by ``every``.
 
     Components become floor(scale * x); the score is the inner product, ties go to the smaller id, and a
-    query's own id is no candidate. Scores are exact while they stay below 2^53.
+    query's own id is no candidate. Scores are exact, whatever finite components there are: while all vectors are shorter than 2^26.5, doubles
+    hold every sum; beyond, they only choose candidates, with a margin for their rounding, and whole numbers of any size
+    rank these. A score that no long holds is ranked by its value and given as the long next to it. ``scale`` is a power of two.
 
     * One more component makes all vectors equally long, so that the highest inner product is the
       least distance. ``pivots`` are fitted on at most ``sample`` rows (by hash of the id); every row is
       indexed by its nearest pivot and its distance to it, in sorted blocks of at most ``block`` rows.
     * A query first looks at the block it lives in. Its k-th score there gives a distance that no result
       exceeds; by the triangle inequality only the annuli [d - that, d + that] around the pivots can
-      hold results, and only their blocks are opened, a block of queries at a time.
+      hold results. A block of queries opens them nearest first, a few and then more from round to round; after each round the
+      k-th scores so far make the distances shorter, and it ends when no annulus within them is left. A query passes over an
+      opened block that one of all its pivot distances rules out.
 
     Rows whose id or vector is null, or that hold a null or non-finite component, take no part. Shorter vectors count
     as filled up with zeros. Equal rows count once; of an id with several vectors the best scores count. With
@@ -89,24 +134,41 @@ def nearest(
     if width <= 0:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
-    def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, vectors = scaled(batch.column(0), batch.column(1), width, scale)
-            if len(vectors):
-                yield pa.RecordBatch.from_arrays([pa.array([(vectors**2).sum(1).max()])], ["most"])
+    if math.frexp(scale)[0] != 0.5:
+        raise ValueError("scale must be a power of two")
+
+    def longest(shift: int | None) -> tuple[float | None, float | None]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                _, vectors = scaled(batch.column(0), batch.column(1), width, scale, shift)
+                if len(vectors):
+                    # Where the floor of a component is no double, the component itself is near the largest one.
+                    with np.errstate(over="ignore"):
+                        square, peak = (vectors**2).sum(1).max(), min(np.abs(vectors).max(), np.finfo(float).max)
+                    yield pa.RecordBatch.from_arrays([pa.array([square]), pa.array([peak])], ["most", "peak"])
 
-    most = base.mapInArrow(releasing(squares), "most double").agg(F.max("most")).first()[0]
+        return base.mapInArrow(releasing(run), "most double, peak double").agg(F.max("most"), F.max("peak")).first()
+
+    most, peak = longest(None)
     if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    shift = None
+    if not most < _EXACT:
+        shift = math.frexp(peak)[1]
+        most, _ = longest(shift)
+    # Twice what a score may be off by, per unit of the query's length.
+    margin = 0.0 if shift is None else 4 * (width + 2) * _ROUNDING * math.sqrt(most)
+    # Squared distances are sums of squares that cancel: what is left of them is off by this much at most.
+    slack = max(1e-3, 4 * math.sqrt((width + 4) * _ROUNDING * most))
     some = hashed_sample(base, F.col("id"), "pivots", sample).select("id", "vector").toArrow().combine_chunks()
-    _, fitted = scaled(some.column(0).combine_chunks(), some.column(1).combine_chunks(), width, scale)
+    _, fitted = scaled(some.column(0).combine_chunks(), some.column(1).combine_chunks(), width, scale, shift)
     centres = _pivots(fitted if len(fitted) else np.zeros((1, width)), most, pivots)
 
     def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, block):
                 part = batch.slice(at, block)
-                ids, vectors = scaled(part.column(0), part.column(1), width, scale)
+                ids, vectors = scaled(part.column(0), part.column(1), width, scale, shift)
                 raw = vectors.astype("<f8").tobytes()
                 size = 8 * width
                 yield pa.RecordBatch.from_arrays(
@@ -125,6 +187,9 @@ def nearest(
                     ["cell", "radius", "id", "vector"],
                 )
 
+    def distances(body: bytes) -> np.ndarray:
+        return _gaps(_lifted(np.frombuffer(body, "<f8").reshape(-1, width), most), centres)
+
     def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -135,17 +200,17 @@ def nearest(
             begin = 0
             while begin < batch.num_rows:
                 if held and held[0].column("cell")[0].as_py() != cells[begin]:
-                    yield _block(held, number)
+                    yield _block(held, number, distances)
                     held, number = [], number + 1
                 room = block - sum(h.num_rows for h in held)
                 end = min(begin + room, int(np.searchsorted(cells, cells[begin], "right")))
                 held.append(batch.slice(begin, end - begin))
                 begin = end
                 if sum(h.num_rows for h in held) >= block:
-                    yield _block(held, number)
+                    yield _block(held, number, distances)
                     held, number = [], number + 1
         if held:
-            yield _block(held, number)
+            yield _block(held, number, distances)
 
     index = landed(
         base.mapInArrow(releasing(floored), "id long, vector binary").distinct()
@@ -169,7 +234,11 @@ def nearest(
                     continue
                 scores = vectors[mine] @ vectors.T
                 scores[ids[mine][:, None] == ids] = -np.inf
-                held.append((ids[mine], vectors[mine], _bounds(scores, ids, k)))
+                if shift is None:
+                    bound = _bounds(scores, ids, k)
+                else:
+                    bound = np.array([_by_id(x, ids, k) for x in scores]) - margin * np.sqrt((vectors[mine] ** 2).sum(1))
+                held.append((ids[mine], vectors[mine], bound))
                 if sum(len(h[0]) for h in held) >= 256:
                     yield needs(held, number)
                     held, number = [], number + 1
@@ -179,7 +248,7 @@ def nearest(
     def needs(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], number: int) -> pa.RecordBatch:
         ids, vectors, bound = (np.concatenate(x) for x in zip(*held, strict=True))
         gaps = _gaps(np.concatenate([vectors, np.zeros((len(ids), 1))], 1), centres)
-        reach = _reach(vectors, bound, most)
+        reach = _reach(vectors, bound, most, slack)
         body = b"".join(x.astype("<f8" if x.dtype.kind == "f" else "<i8").tobytes() for x in (ids, bound, reach, vectors))
         low, high = (gaps - reach[:, None]).min(0), (gaps + reach[:, None]).max(0)
         # The queries themselves travel once, with a cell that no block has.
@@ -187,11 +256,13 @@ def nearest(
             [
                 pa.array(np.full(len(centres) + 1, number)),
                 pa.array(np.arange(-1, len(centres)), pa.int32()),
-                pa.array(np.concatenate([[0], low])),
-                pa.array(np.concatenate([[0], high])),
+                pa.array(np.concatenate([[reach.max()], low])),
+                pa.array(np.concatenate([[reach.max()], high])),
+                pa.array(np.concatenate([[0], gaps.min(0)])),
+                pa.array(np.concatenate([[0], gaps.max(0)])),
                 pa.array([body, *[None] * len(centres)], pa.binary()),
             ],
-            ["part", "cell", "low", "high", "body"],
+            ["part", "cell", "low", "high", "near", "far", "body"],
         )
 
     queries = landed(index.select("ids", "vectors").mapInArrow(releasing(asked), _QUERIES), "pivot-queries")
@@ -199,24 +270,55 @@ def nearest(
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hits = _hits(row, width, centres, k)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in hits], ["query_id", "vec_id", "score"])
+                *hits, places = _hits(row, width, centres, k, margin, shift, scale)
+                parts = pa.array([row["part"]] * len(places), pa.int64())
+                yield pa.RecordBatch.from_arrays([parts, *map(pa.array, hits), pa.array(places, pa.binary())], ["part", "query_id", "vec_id", "score", "place"])
+
+    def tightened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = len(row["body"]) // (8 * (width + 3))
+                ids = np.frombuffer(row["body"], "<i8", n)
+                bound, reach = np.frombuffer(row["body"], "<f8", 2 * n, 8 * n).reshape(2, n).copy()
+                points = np.frombuffer(row["body"], "<f8", n * width, 24 * n).reshape(n, width)
+                known = {q["query_id"]: q["least"] for q in row["found"] or []}
+                bound = np.maximum(bound, [known.get(i, -np.inf) for i in ids.tolist()])
+                reach = np.minimum(reach, _reach(points, bound, most, slack))
+                body = b"".join([row["body"][: 8 * n], bound.tobytes(), reach.tobytes(), row["body"][24 * n :]])
+                yield pa.RecordBatch.from_arrays([pa.array([row["part"]]), pa.array([reach.max()]), pa.array([body], pa.binary())], ["part", "reach", "body"])
 
     blocks = index.select("block", "cell", "low", "high")
-    rings = queries.where("cell >= 0").select("part", "cell", F.col("low").alias("from"), F.col("high").alias("to"))
-    pairs = blocks.join(rings, (blocks["cell"] == rings["cell"]) & (F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")))
-    hits = (
-        pairs.select("block", "part")
-        .join(queries.where("cell < 0").select("part", "body"), "part")
-        .join(index.select("block", "cell", "ids", "radii", "vectors"), "block")
-        .select("cell", "ids", "radii", "vectors", "body")
-        .mapInArrow(releasing(opened), _HITS)
-    )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        hits.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    rings = queries.where("cell >= 0").select("part", "cell", "near", "far", F.col("low").alias("from"), F.col("high").alias("to"))
+    met = blocks.join(rings, (blocks["cell"] == rings["cell"]) & (F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")))
+    gap = F.greatest(F.lit(0.0), F.col("low") - F.col("far"), F.col("near") - F.col("high"))
+    nearest_first = Window.partitionBy("part").orderBy("gap", "block")
+    # One row for each annulus that a block of queries may have to open.
+    annuli = landed(met.select("part", "block", gap.alias("gap")).withColumn("nth", F.row_number().over(nearest_first)), "pivot-annuli")
+
+    best = Window.partitionBy("query_id").orderBy(F.desc("place"), F.desc("score"), "vec_id")
+    bodies = queries.where("cell < 0").select("part", F.col("low").alias("reach"), "body")
+    found, begin, end = spark.createDataFrame([], f"{_HITS}, rank int"), 0, _FIRST
+    while True:
+        due = annuli.where((F.col("nth") > begin) & (F.col("nth") <= end)).join(bodies, "part").where(F.col("gap") <= F.col("reach"))
+        hits = (
+            due.select("block", "part", "body")
+            .join(index.select("block", "cell", "ids", "radii", "box", "vectors"), "block")
+            .select("part", "cell", "ids", "radii", "box", "vectors", "body")
+            .mapInArrow(releasing(opened), _HITS)
+        )
+        # An id with several vectors may be asked for in several blocks of queries.
+        once = found.drop("rank").unionByName(hits).groupBy("query_id", "vec_id", "score", "place").agg(F.min("part").alias("part"))
+        ranked = once.withColumn("rank", F.row_number().over(best))
+        found = landed(ranked.where(F.col("rank") <= k), "pivot-found")
+        left = annuli.where(F.col("nth") > end)
+        if shift is None:
+            # Of each query the k-th score: as many as a block has queries.
+            least = found.where(F.col("rank") == k).groupBy("part").agg(F.collect_list(F.struct("query_id", F.col("score").cast("double").alias("least"))).alias("found"))
+            bodies = landed(bodies.join(least, "part", "left").select("part", "body", "found").mapInArrow(releasing(tightened), "part long, reach double, body binary"), "pivot-bodies")
+        if left.join(bodies.select("part", "reach"), "part").where(F.col("gap") <= F.col("reach")).isEmpty():
+            break
+        begin, end = end, end * _MORE
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def _bounds(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -238,15 +340,25 @@ def _bounds(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return bound
 
 
-def _reach(queries: np.ndarray, bound: np.ndarray, most: float) -> np.ndarray:
+def _by_id(scores: np.ndarray, ids: np.ndarray, k: int) -> float:
+    """The ``k``-th best of the best scores of the ids: rounded scores do not tell whether two of one id are equal."""
+    order = np.argsort(-scores, kind="stable")
+    _, first = np.unique(ids[order], return_index=True)
+    best = -np.sort(-scores[order][first])
+    return float(best[k - 1]) if len(best) >= k else -np.inf
+
+
+def _reach(queries: np.ndarray, bound: np.ndarray, most: float, slack: float) -> np.ndarray:
     """The distance in the lifted space at which the inner product is ``bound``, rounded up."""
     square = (queries**2).sum(1) + most - 2 * bound
-    return np.where(np.isfinite(bound), np.sqrt(np.maximum(square, 0)) * (1 + 1e-9) + 1e-3, np.inf)
+    return np.where(np.isfinite(bound), np.sqrt(np.maximum(square, 0)) * (1 + 1e-9) + 2 * slack, np.inf)
 
 
-def _block(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+def _block(held: list[pa.RecordBatch], number: int, distances: Callable[[bytes], np.ndarray]) -> pa.RecordBatch:
     rows = pa.Table.from_batches(held)
     radii = rows.column("radius").to_numpy()
+    body = b"".join(rows.column("vector").to_pylist())
+    gaps = distances(body)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([number], pa.int64()),
@@ -255,13 +367,14 @@ def _block(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
             pa.array([radii[-1]]),
             pa.array([rows.column("id").to_numpy().astype("<i8").tobytes()], pa.binary()),
             pa.array([radii.astype("<f8").tobytes()], pa.binary()),
-            pa.array([b"".join(rows.column("vector").to_pylist())], pa.binary()),
+            pa.array([np.stack([gaps.min(0), gaps.max(0)]).astype("<f8").tobytes()], pa.binary()),
+            pa.array([body], pa.binary()),
         ],
-        ["block", "cell", "low", "high", "ids", "radii", "vectors"],
+        ["block", "cell", "low", "high", "ids", "radii", "box", "vectors"],
     )
 
 
-def _hits(row: dict, width: int, centres: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hits(row: dict, width: int, centres: np.ndarray, k: int, margin: float, shift: int | None, scale: float) -> tuple:
     """Per query of a block of queries the best ``k`` different (id, score) of one block of the index that reach its bound."""
     ids, radii = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["radii"], "<f8")
     vectors = np.frombuffer(row["vectors"], "<f8").reshape(-1, width)
@@ -269,14 +382,18 @@ def _hits(row: dict, width: int, centres: np.ndarray, k: int) -> tuple[np.ndarra
     asked = np.frombuffer(row["body"], "<i8", n)
     bound, reach = np.frombuffer(row["body"], "<f8", 2 * n, 8 * n).reshape(2, n)
     points = np.frombuffer(row["body"], "<f8", n * width, 24 * n).reshape(n, width)
-    gaps = _gaps(np.concatenate([points, np.zeros((n, 1))], 1), centres[row["cell"] : row["cell"] + 1])[:, 0]
-    open_ = np.flatnonzero((gaps - reach <= radii[-1]) & (gaps + reach >= radii[0]))
+    every = _gaps(np.concatenate([points, np.zeros((n, 1))], 1), centres)
+    gaps = every[:, row["cell"]]
+    low, high = np.frombuffer(row["box"], "<f8").reshape(2, -1)
+    open_ = np.flatnonzero((np.maximum(low - every, every - high).max(1) <= reach) & (gaps - reach <= radii[-1]) & (gaps + reach >= radii[0]))
     if not len(open_):
-        return (np.zeros(0, np.int64),) * 3
+        return *(np.zeros(0, np.int64),) * 3, []
     begin = int(np.searchsorted(radii, (gaps - reach)[open_].min()))
     end = int(np.searchsorted(radii, (gaps + reach)[open_].max(), "right"))
     scores = points[open_] @ vectors[begin:end].T
     kept = (scores >= bound[open_][:, None]) & (asked[open_][:, None] != ids[begin:end])
+    if shift is not None:
+        return _ranked(asked[open_], points[open_], ids[begin:end], vectors[begin:end], scores, kept, k, margin, shift, scale)
     query, place = np.nonzero(kept)
     score, found = scores[query, place], ids[begin:end][place]
     order = np.lexsort((found, -score, query))
@@ -287,4 +404,26 @@ def _hits(row: dict, width: int, centres: np.ndarray, k: int) -> tuple[np.ndarra
     query = query[order]
     rank = np.arange(len(query)) - np.searchsorted(query, query)
     order = order[rank < k]
-    return asked[open_][query[rank < k]], found[order], score[order].astype(np.int64)
+    return asked[open_][query[rank < k]], found[order], score[order].astype(np.int64), [None] * len(order)
+
+
+def _ranked(asked, points, ids, vectors, scores, kept, k, margin, shift, scale) -> tuple:
+    """The same by whole numbers, of the candidates whose rounded scores do not rule them out."""
+    out: list[tuple[int, int, int, bytes]] = []
+    known: dict[int, list[int]] = {}
+    for q in np.flatnonzero(kept.any(1)).tolist():
+        mine = np.flatnonzero(kept[q])
+        least = _by_id(scores[q, mine], ids[mine], k)
+        mine = mine[scores[q, mine] >= least - margin * math.sqrt((points[q] ** 2).sum())]
+        point = _whole(points[q], shift, scale)
+        exact = set()
+        for i in mine.tolist():
+            if i not in known:
+                known[i] = _whole(vectors[i], shift, scale)
+            exact.add((-sum(a * b for a, b in zip(point, known[i], strict=True)), int(ids[i])))
+        for score, i in sorted(exact)[:k]:
+            out.append((int(asked[q]), i, max(-(1 << 63), min((1 << 63) - 1, -score)), _place(-score)))
+    if not out:
+        return *(np.zeros(0, np.int64),) * 3, []
+    query, found, score, place = zip(*out, strict=True)
+    return np.array(query, np.int64), np.array(found, np.int64), np.array(score, np.int64), list(place)
