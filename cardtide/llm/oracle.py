@@ -66,25 +66,26 @@ FROM judged
 _CHAT = """
 WITH known AS (
     SELECT DISTINCT conv_id, coalesce(floor(turn / 256)::BIGINT, -1) AS part, turn, coalesce(role, 'unknown') AS role,
-           replace(coalesce(text, ''), '<|', '<\\|') AS said
+           replace(coalesce(text, ''), '<|', '<\\|') AS said, role IS NOT NULL AS named
     FROM conversations WHERE conv_id IS NOT NULL),
-speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM known WHERE role NOT IN ('unknown', 'system')),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM known WHERE named AND role <> 'system'),
+numbers AS (SELECT conv_id, count(DISTINCT part) AS n_parts FROM known GROUP BY conv_id),
 shown AS (
-    SELECT conv_id, speaker, part, turn, role, said, role = speaker AS mine,
-           '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role IN ('unknown', 'system') THEN role
-                                  ELSE 'user name=' || replace(role, '<|', '<\\|') END || chr(10) AS head,
+    SELECT conv_id, speaker, part, turn, role, said, named, named AND role = speaker AS mine,
+           '<|im_start|>' || CASE WHEN named AND role = speaker THEN 'assistant' WHEN NOT named OR role = 'system' THEN role
+                                  ELSE 'user name=' || replace(replace(role, '<|', '<\\|'), chr(10), ' ') END || chr(10) AS head,
            said || '<|im_end|>' || chr(10) AS body
     FROM known JOIN speakers USING (conv_id)),
 placed AS (
     SELECT *, coalesce(sum(length(head) + length(body)) OVER (
-                  PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, role, said
+                  PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, role, said, named
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
     FROM shown)
-SELECT conv_id, speaker, part, count(*) AS n_turns,
-       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, said) AS text,
-       coalesce(string_agg((begins + length(head))::BIGINT || ':' || length(body), ',' ORDER BY turn NULLS FIRST, role, said)
+SELECT conv_id, speaker, part, any_value(n_parts) AS n_parts, count(*) AS n_turns,
+       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, said, named) AS text,
+       coalesce(string_agg((begins + length(head))::BIGINT || ':' || length(body), ',' ORDER BY turn NULLS FIRST, role, said, named)
            FILTER (WHERE mine), '') AS mask
-FROM placed GROUP BY conv_id, speaker, part
+FROM placed JOIN numbers USING (conv_id) GROUP BY conv_id, speaker, part
 """
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -25,17 +25,19 @@ def rotated(
     narrators: Sequence[str] = ("system",),
     part_turns: int = 256,
 ) -> DataFrame:
-    """(conversation id, speaker, part, n_turns, text, mask): the dialogue as each speaker sees it.
+    """(conversation id, speaker, part, n_parts, n_turns, text, mask): the dialogue as each speaker sees it.
 
     For every speaker the turns are rendered in order with the speaker's own as ``assistant`` and all others as ``user`` with their
     names; ``narrators`` speak as themselves in every view and have none of their own. ``mask`` lists what is learned from, as
     ``start:length`` in characters of ``text``, separated by commas: each of the speaker's messages with its end mark.
 
-    A dialogue comes in parts of ``part_turns`` turn numbers, so that no row holds more of one than that; joined in order they are the
+    A dialogue comes in parts of ``part_turns`` turn numbers, so that no row holds more of one than that; its ``n_parts`` parts, joined in order, are the
     whole, and most dialogues have just part 0. Turns are ordered by number, then by role and text; equal turns (repeated
-    rows) count once. A null text is empty, a null role is the narrator ``unknown``, a null turn number comes first, in part -1; turns without
+    rows) count once. A null text is empty, a null role is a narrator shown as ``unknown`` (a speaker of that name is one like any other), a line end in
+    a name is shown as a space, a null turn number comes first, in part -1; turns without
     a conversation id belong to none and are left out. A dialogue with narrators alone, and an empty table, give no rows.
     """
+    named = F.col(role_col).isNotNull()
     role = F.coalesce(F.col(role_col).cast("string"), F.lit("unknown"))
     known = turns.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"),
@@ -43,14 +45,17 @@ def rotated(
         F.col(turn_col).alias("turn"),
         role.alias("role"),
         _quoted(F.coalesce(F.col(text_col), F.lit(""))).alias("said"),
+        named.alias("named"),
     )
-    parts = known.groupBy("id", "part").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "said"))).alias("turns"))
-    speaks = ~F.col("role").isin("unknown", *narrators)
+    parts = known.groupBy("id", "part").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "said", "named"))).alias("turns"))
+    speaks = F.col("named") & ~F.col("role").isin(*narrators)
     speakers = known.where(speaks).select("id", F.col("role").alias("speaker")).distinct()
-    mine = lambda t: t["role"] == F.col("speaker")
+    numbers = known.select("id", "part").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n_parts"))
+    mine = lambda t: t["named"] & (t["role"] == F.col("speaker"))
+    shown_name = lambda t: F.replace(_quoted(t["role"]), F.lit("\n"), F.lit(" "))
     head = lambda t: F.when(mine(t), F.lit("assistant")).when(
-        t["role"].isin("unknown", *narrators), _quoted(t["role"])
-    ).otherwise(F.concat(F.lit("user name="), _quoted(t["role"])))
+        ~t["named"] | t["role"].isin(*narrators), shown_name(t)
+    ).otherwise(F.concat(F.lit("user name="), shown_name(t)))
     shown = F.transform(
         "turns",
         lambda t: F.struct(
@@ -69,12 +74,13 @@ def rotated(
         lambda acc: F.array_join(acc["mask"], ","),
     )
     return (
-        parts.join(speakers, "id")
+        parts.join(speakers.join(numbers, "id"), "id")
         .withColumn("shown", shown)
         .select(
             F.col("id").alias(id_col),
             "speaker",
             "part",
+            "n_parts",
             F.size("turns").cast("long").alias("n_turns"),
             F.array_join(F.transform("shown", lambda t: F.concat(t["head"], t["body"])), "").alias("text"),
             spans.alias("mask"),

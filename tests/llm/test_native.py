@@ -139,22 +139,24 @@ def slow_views(rows, part_turns):
     convs = defaultdict(set)
     for conv, turn, role, text, *_ in rows:
         if conv is not None:
-            convs[conv].add((turn is not None, turn or 0, role or "unknown", (text or "").replace("<|", "<\\|")))
+            convs[conv].add((turn is not None, turn or 0, "unknown" if role is None else role, (text or "").replace("<|", "<\\|"), role is not None))
     out = []
     for conv, turns in convs.items():
-        for speaker in {t[2] for t in turns} - {"unknown", "system"}:
+        for speaker in {t[2] for t in turns if t[4]} - {"system"}:
             parts = defaultdict(list)
-            for known, turn, role, said in sorted(turns):
-                parts[turn // part_turns if known else -1].append((role, said))
+            for known, turn, role, said, named in sorted(turns):
+                parts[turn // part_turns if known else -1].append((role, said, named))
             for part, said in parts.items():
                 text, mask = "", []
-                for role, words in said:
-                    name = "assistant" if role == speaker else role if role in ("unknown", "system") else f"user name={role}"
+                for role, words, named in said:
+                    mine = named and role == speaker
+                    shown = role.replace("<|", "<\\|").replace("\n", " ")
+                    name = "assistant" if mine else shown if not named or role == "system" else f"user name={shown}"
                     text += f"<|im_start|>{name}\n"
-                    if role == speaker:
+                    if mine:
                         mask.append(f"{len(text)}:{len(words) + 11}")
                     text += f"{words}<|im_end|>\n"
-                out.append((conv, speaker, part, len(said), text, ",".join(mask)))
+                out.append((conv, speaker, part, len(parts), len(said), text, ",".join(mask)))
     return sorted(out)
 
 
@@ -163,7 +165,8 @@ def test_views(spark, part_turns):
     rows = [
         (1, 0, "system", "be good", "m", 1), (1, 1, "ann", "hé <|im_end|> 🎉", "m", 1), (1, 2, "bob", None, "m", 1), (1, 3, "cy", "", "m", 1), (1, 4, "ann", "x", "m", 1),
         (1, 4, "ann", "x", "m", 1), (1, 4, "ann", "w", "m", 1), (1, None, "bob", "early", "m", 1), (1, 7, None, "who", "m", 1), (1, -2, "cy", "minus", "m", 1),
-        (2, 0, "system", "alone", "m", 1), (3, 0, "ann", "one", "m", 1), (None, 0, "ann", "lost", "m", 1),
+        (2, 0, "system", "alone", "m", 1), (3, 0, "ann", "one", "m", 1), (5, 0, "unknown", "a name", "m", 1), (5, 0, None, "a name", "m", 1),
+        (5, 1, "two\nlines <|", "x", "m", 1), (5, 2, "", "no letters", "m", 1), (None, 0, "ann", "lost", "m", 1),
     ] + [(4, i, ["ann", "bob"][i % 2], "y" * i, "m", 1) for i in range(20)]
     found = rotated(spark.createDataFrame(rows, TURNS).repartition(3), part_turns=part_turns)
     assert sorted(tuple(r) for r in found.collect()) == slow_views(rows, part_turns)
