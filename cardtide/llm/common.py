@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -92,6 +93,32 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator
         yield _joined(held)
 
 
+def laid_out(docs: DataFrame, text_col: str, shard_bytes: int, level: int) -> DataFrame:
+    """Whole rows in shards: a number, bytes of text, and the rows as one compressed Arrow stream (``row_table`` reads it)."""
+
+    def layer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        codec = pa.Codec("zstd", compression_level=level)
+        for number, batch in enumerate(pieces(batches, text_col, shard_bytes)):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
+                out.write_batch(batch)
+            size = int(packed_text(batch.column(text_col))[1][-1])
+            payload = sink.getvalue().to_pybytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([(part << 32) + number]), pa.array([size]), pa.array([payload], pa.binary())],
+                ["shard", "n_bytes", "payload"],
+            )
+
+    return docs.mapInArrow(releasing(layer), "shard long, n_bytes long, payload binary")
+
+
+def row_table(payload: bytes) -> pa.Table:
+    return pa.ipc.open_stream(payload).read_all()
+
+
 def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run`` over a partition, and its memory given back when the partition is done."""
 
@@ -111,6 +138,12 @@ def release_memory() -> None:
         pass  # another C library: nothing to call
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the shuffle files of jobs that have ended go: they stay until the driver's JVM finds that nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     if len(held) == 1:
         return held[0]

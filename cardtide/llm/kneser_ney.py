@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, landed, packed_text, pieces, releasing
+from cardtide.llm.common import HIDDEN, laid_out, landed, packed_text, pieces, release_memory, release_shuffles, releasing, row_table
 
 TOXICITY = f"{HIDDEN}toxicity"
 
@@ -24,28 +24,25 @@ _SHARED = 3
 _PASSAGE = 16
 #: Spreads the bytes before a byte over the model's order, 2^24 places.
 _SPREAD = 0x9E3779B1
-#: Keys that the driver fetches at a time.
-_FETCHED = 1 << 20
 
 
 def sequences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The key of the last ``_ORDER`` bytes at every byte, and offsets; zeros stand before each text, A-Z are a-z."""
-    n = len(offsets) - 1
-    sizes = np.diff(offsets)
-    lead = _ORDER - 1
-    padded = np.zeros(len(data) + lead * (n + 1), np.uint8)
-    shift = np.repeat(np.arange(1, n + 1, dtype=np.int64) * lead, sizes)
-    place = np.arange(len(data)) + shift
-    lower = data.copy()
-    lower[(data >= 65) & (data <= 90)] += 32
-    padded[place] = lower
-    key = np.zeros(len(data), np.int64)
-    for back in range(lead, -1, -1):
-        key <<= 8
-        key |= padded[place - back]
+    n = len(data)
+    padded = np.zeros(n + _ORDER + 7, np.uint8)
+    padded[_ORDER - 1 : _ORDER - 1 + n] = _LOWER[data]
+    # Eight bytes from every place on, of which the first six, read from the left, are the key.
+    key = (np.ndarray(n, "<u8", padded, 0, (1,)).byteswap() >> np.uint64(64 - 8 * _ORDER)).view(np.int64)
+    begins, sizes = offsets[:-1], np.diff(offsets)
+    for place in range(_ORDER - 1):
+        key[begins[sizes > place] + place] &= (1 << (8 * (place + 1))) - 1
     return key, offsets
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 def counted(rows: DataFrame, text: str, positive: str, batch_bytes: int = 1 << 20) -> DataFrame:
     """(key, hot, cold: long): how often each sequence of ``_ORDER`` bytes is in texts where ``positive`` is true, and else."""
 
@@ -55,8 +52,8 @@ def counted(rows: DataFrame, text: str, positive: str, batch_bytes: int = 1 << 2
             data, offsets = packed_text(batch.column(text))
             if not len(data):
                 continue
-            hot = np.repeat(np.asarray(batch.column(positive).fill_null(False)).astype(bool), np.diff(offsets))
-            held.append(_summed(sequences(data, offsets)[0], np.stack([hot, ~hot], 1).astype(np.int32)))
+            hot = np.repeat(np.asarray(batch.column(positive).fill_null(False)).astype(np.uint64), np.diff(offsets))
+            held.append(_tallied(sequences(data, offsets)[0], hot))
             if sum(len(keys) for keys, _ in held) > 1 << 21:
                 held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
                 if len(held[0][0]) > 1 << 20:
@@ -68,6 +65,19 @@ def counted(rows: DataFrame, text: str, positive: str, batch_bytes: int = 1 << 2
     return found.groupBy("key").agg(F.sum("hot").alias("hot"), F.sum("cold").alias("cold"))
 
 
+def _tallied(keys: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and how often each occurs where ``hot`` is 1 and where it is 0."""
+    both = np.sort((keys.view(np.uint64) << np.uint64(1)) | hot)
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    number = np.diff(np.append(first, len(both))).astype(np.int32)
+    both = both[first]
+    is_hot = (both & np.uint64(1)).astype(bool)
+    times = np.stack([np.where(is_hot, number, 0), np.where(is_hot, 0, number)], 1).astype(np.int32)
+    keys = (both >> np.uint64(1)).view(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(times, first, axis=0)
+
+
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     by = np.argsort(keys)
     keys = keys[by]
@@ -167,12 +177,11 @@ def _places(key: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Gains:
-    """Log ratios of sequences and contexts, one block of them in a table of slots, and the calibration."""
+    """Log ratios of sequences and contexts, one block of them, in a table of slots."""
 
     checks: np.ndarray
     gains: np.ndarray
     bits: int
-    calibration: tuple[float, ...] = ()
 
     def _found(self, key: np.ndarray, length: int, context: bool) -> tuple[np.ndarray, np.ndarray]:
         slot, check = _slot(key, length, context, self.bits)
@@ -190,11 +199,6 @@ class Gains:
             left = left[taken & ~same]
         return known, gain
 
-    def _gains(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """The log ratio of the classes' probabilities of every byte, given the bytes before it."""
-        key, _ = sequences(data, offsets)
-        return self.of_keys(key)
-
     def of_keys(self, key: np.ndarray) -> np.ndarray:
         total = np.zeros(len(key), np.float32)
         left = np.arange(len(key))
@@ -213,59 +217,39 @@ class Gains:
 
 @dataclass(frozen=True)
 class Model:
-    """All gains, in blocks by place, each of which a task holds at a time; the places at which blocks after the first begin; the calibration."""
+    """The gains as a table (whole key, place, gain), the number of blocks that its places are dealt into, and the calibration."""
 
-    blocks: list[Broadcast[tuple]]
-    begins: np.ndarray
+    gains: DataFrame
+    blocks: int
     calibration: tuple[float, ...] = ()
 
-    def gains(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        key, _ = sequences(data, offsets)
-        if len(self.blocks) == 1:
-            return Gains(*self.blocks[0].value).of_keys(key)
-        total = np.zeros(len(key), np.float32)
-        block = np.searchsorted(self.begins, _places(key), "right").astype(np.int32)
-        by = np.argsort(block, kind="stable")
-        edges = np.searchsorted(block[by], np.arange(len(self.blocks) + 1))
-        for one, begin, end in zip(self.blocks, edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if begin < end:
-                mine = by[begin:end]
-                total[mine] = Gains(*one.value).of_keys(key[mine])
-                # The next use reads the block's file again: a task holds one block, however many there are.
-                vars(one).pop("_value", None)
-        return total
+    def scores(self, signs: np.ndarray) -> np.ndarray:
+        bias, *weights = self.calibration
+        return 1 / (1 + np.exp(-np.clip(bias + signs @ np.array(weights), -30, 30)))
 
-    def batch_bytes(self, least: int) -> int:
-        """Larger pieces of text where many blocks are read for each."""
-        return least * min(4, max(1, len(self.blocks) // 4))
-
-    def signs(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """What the calibration weighs of each text: its log likelihood as toxic less that as ordinary, normalised.
-
-        Per 100 bytes and per root of bytes (what a text is like, and how sure that is), the highest sum of a passage
-        of ``_PASSAGE`` bytes (short expressions in a long text), and the log of the length, with which that highest sum grows.
-        """
-        sizes = np.diff(offsets)
-        out = np.zeros((len(sizes), 4))
-        size = np.maximum(sizes, 1)
-        out[:, 3] = np.log(size)
-        some = np.flatnonzero(sizes)
-        if not len(some):
-            return out
-        total = self.gains(data, offsets)
-        edges = np.stack([offsets[some], offsets[some + 1]], 1).ravel()
-        ratio = np.add.reduceat(np.append(total, 0), edges, dtype=np.float64)[::2]
-        out[some, 0], out[some, 1] = 100 * ratio / size[some], ratio / np.sqrt(size[some])
-        upto = np.concatenate([[0], np.cumsum(total, dtype=np.float64), np.zeros(_PASSAGE)])
-        passage = upto[_PASSAGE:] - upto[:-_PASSAGE]
-        edges = np.stack([offsets[some], offsets[some] + np.maximum(sizes[some] - _PASSAGE + 1, 1)], 1).ravel()
-        best = np.maximum.reduceat(passage, edges)[::2]
-        out[some, 2] = np.where(sizes[some] < _PASSAGE, ratio, best)
-        return out
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        bias, *weights = self.calibration
-        return 1 / (1 + np.exp(-np.clip(bias + self.signs(data, offsets) @ np.array(weights), -30, 30)))
+def signs_of(total: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """What the calibration weighs of each text, from the gain of every byte: its log likelihood as toxic less that as ordinary, normalised.
+
+    Per 100 bytes and per root of bytes (what a text is like, and how sure that is), the highest sum of a passage
+    of ``_PASSAGE`` bytes (short expressions in a long text), and the log of the length, with which that highest sum grows.
+    """
+    sizes = np.diff(offsets)
+    out = np.zeros((len(sizes), 4))
+    size = np.maximum(sizes, 1)
+    out[:, 3] = np.log(size)
+    some = np.flatnonzero(sizes)
+    if not len(some):
+        return out
+    edges = np.stack([offsets[some], offsets[some + 1]], 1).ravel()
+    ratio = np.add.reduceat(np.append(total, 0), edges, dtype=np.float64)[::2]
+    out[some, 0], out[some, 1] = 100 * ratio / size[some], ratio / np.sqrt(size[some])
+    upto = np.concatenate([[0], np.cumsum(total, dtype=np.float64), np.zeros(_PASSAGE)])
+    passage = upto[_PASSAGE:] - upto[:-_PASSAGE]
+    edges = np.stack([offsets[some], offsets[some] + np.maximum(sizes[some] - _PASSAGE + 1, 1)], 1).ravel()
+    best = np.maximum.reduceat(passage, edges)[::2]
+    out[some, 2] = np.where(sizes[some] < _PASSAGE, ratio, best)
+    return out
 
 
 def learned(
@@ -274,38 +258,40 @@ def learned(
     positive: str,
     order: Column,
     discount: float = 0.75,
-    bits: int = 22,
+    block_keys: int = 1 << 19,
     calibration_rows: int = 4000,
 ) -> Model:
     """The two models, from all labelled rows, and their calibration, from a bounded sample.
 
     Counts cover every row of ``rows`` whose ``positive`` (boolean) is not null, but for those that the calibration reads: about
-    ``calibration_rows`` by hash of ``order``, and an eighth at most. All sequences and contexts that were counted are kept, with their whole keys: the model is cut into blocks of
-    at most 2^(bits - 2) of them, as many as it takes, and a scoring task holds one block at a time.
-    Calibration is a logistic regression on the length-normalised ratios of the rows kept back.
+    ``calibration_rows`` by hash of ``order`` and the text (a row that is there many times counts as one), and an eighth at most. All sequences and
+    contexts that were counted are kept, with their whole keys, in a table; it is dealt into as many blocks as it takes for
+    about ``block_keys`` each. The driver sees their number alone. Calibration is a logistic regression on the length-normalised ratios of the
+    rows kept back.
     """
     usable = rows.where(F.col(positive).isNotNull() & F.col(text).isNotNull())
     n = usable.select(positive).count()
     share = min(1 / 8, calibration_rows / n) if n else 1 / 8
     # Null ids have a hash too.
-    kept_back = F.pmod(F.xxhash64(order, F.lit("calibration")), F.lit(1 << 30)) < int(share * (1 << 30))
+    place = F.xxhash64(order, F.col(text), F.lit("calibration"))
+    kept_back = F.pmod(place, F.lit(1 << 30)) < int(share * (1 << 30))
     counts = landed(counted(usable.where(~kept_back), text, positive), "sequence-counts")
-    blocks, begins = _blocks(*model_rows(counts, discount), 1 << max(0, bits - 2))
+    gains = gain_table(*model_rows(counts, discount))
+    model = Model(gains, max(1, -(-gains.count() // block_keys)))
 
-    def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(blocks, begins)
-        for batch in pieces(batches, text, model.batch_bytes(1 << 20)):
-            found = model.signs(*packed_text(batch.column(text)))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, found.T.copy()), batch.column(positive)], [*"abcd", "label"])
+    def signs(texts: pa.Table, found: np.ndarray) -> pa.Table:
+        return pa.table([*map(pa.array, found.T.copy()), texts.column("label")], [*"abcd", "label"])
 
-    table = usable.where(kept_back).select(text, positive).mapInArrow(releasing(signs), "a double, b double, c double, d double, label boolean").orderBy(*"abcd").toArrow()
+    sample = usable.where(kept_back).select(F.col(text).alias("text"), F.col(positive).alias("label"), place.alias("place")).dropDuplicates(["place"])
+    schema = "a double, b double, c double, d double, label boolean"
+    table = _with_signs(sample.select("text", "label"), "text", model, signs, schema).orderBy(*"abcd").toArrow()
     x = np.stack([table.column(c).to_numpy() for c in "abcd"], 1)
-    return Model(blocks, begins, _logistic(x, np.asarray(table.column("label")).astype(float)))
+    release_shuffles(gains.sparkSession)
+    return Model(gains, model.blocks, _logistic(x, np.asarray(table.column("label")).astype(float)))
 
 
-def _blocks(seen: DataFrame, contexts: DataFrame, most: int) -> tuple[list[Broadcast[tuple]], np.ndarray]:
-    """The gains in blocks of at most ``most`` keys (or of one place), and the places at which blocks after the first begin."""
-    spark = seen.sparkSession
+def gain_table(seen: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(place, whole, gain) of all sequences and contexts, written: where a byte's lookups are, the key with its kind, the log ratio."""
 
     def entries(part: DataFrame, context: int) -> DataFrame:
         before = part["key"] if context else F.shiftright("key", 8)
@@ -313,32 +299,142 @@ def _blocks(seen: DataFrame, contexts: DataFrame, most: int) -> tuple[list[Broad
         kind = F.shiftleft((2 * F.col("length") + context).cast("long"), 56)
         return part.select(place.cast("int").alias("place"), F.col("key").bitwiseOR(kind).alias("whole"), F.col("gain").cast("float").alias("gain"))
 
-    gains = landed(entries(seen, 0).unionAll(entries(contexts, 1)), "gains")
-    fetches = max(1, -(-gains.count() // _FETCHED))
-    if fetches > 1:
-        gains = landed(gains.repartitionByRange("place"), "gains-by-place")
-    blocks, begins = [], []
-    # Plain arrays: executors need not have this package to read a broadcast.
-    for i in range(fetches):
-        begin, end = (j * (1 << 24) // fetches for j in (i, i + 1))
-        found = (gains.where((F.col("place") >= begin) & (F.col("place") < end)) if fetches > 1 else gains).toArrow()
-        places, whole, gain = (found.column(c).to_numpy() for c in ("place", "whole", "gain"))
-        del found
-        by = np.argsort(places, kind="stable")
-        places, whole, gain = places[by], whole[by], gain[by]
-        at = 0
-        while at < len(places):
-            to = min(at + most, len(places))
-            if to < len(places):
-                whole_places = int(np.searchsorted(places, places[to]))
-                to = whole_places if whole_places > at else int(np.searchsorted(places, places[at], "right"))
-            if blocks:
-                begins.append(int(places[at]))
-            blocks.append(spark.sparkContext.broadcast(_tabled(whole[at:to], gain[at:to])))
-            at = to
-    if not blocks:
-        blocks.append(spark.sparkContext.broadcast(_tabled(np.zeros(0, np.int64), np.zeros(0, np.float32))))
-    return blocks, np.array(begins, np.int64)
+    return landed(entries(seen, 0).unionAll(entries(contexts, 1)), "gains")
+
+
+#: Bytes of text whose keys one cell of the lookup takes in, about.
+_CELL = 64 << 20
+_LEVEL = 3
+
+
+#: Bytes of a shard that are gone through at a time, at most: a key and a place among them fit into 64 bits.
+_STRETCH = 1 << 16
+
+
+def _stretches(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Stretch by stretch of a shard where it begins, its different keys in order, how often each occurs, and the places of all, key by key."""
+    at = 0
+    while at < len(data):
+        # Whole texts, but of a very long one some of its bytes and the few before them.
+        row = int(np.searchsorted(offsets, at, "right")) - 1
+        if offsets[row + 1] - at > _STRETCH:
+            end, begin = at + _STRETCH, max(int(offsets[row]), at - _ORDER)
+            key = sequences(data[begin:end], np.array([0, end - begin]))[0][at - begin :]
+        else:
+            last = int(np.searchsorted(offsets, at + _STRETCH, "right")) - 1
+            end = int(offsets[last])
+            inner = offsets[row : last + 1].copy()
+            inner[0] = max(inner[0], at - _ORDER)
+            key = sequences(data[inner[0] : end], inner - inner[0])[0][at - inner[0] :]
+        both = np.sort((key.view(np.uint64) << np.uint64(16)) | np.arange(len(key), dtype=np.uint64))
+        key = (both >> np.uint64(16)).view(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        yield at, key[first], np.diff(np.append(first, len(key))), (both & np.uint64(0xFFFF)).astype(np.int64)
+        at = end
+
+
+def _distinct(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The different keys of a shard, in order."""
+    held: list[np.ndarray] = []
+    for _, different, _, _ in _stretches(data, offsets):
+        held.append(different)
+        if sum(map(len, held)) > 1 << 22:
+            held = [_merged(held)]
+    return _merged(held)
+
+
+def _merged(held: list[np.ndarray]) -> np.ndarray:
+    keys = np.sort(np.concatenate(held)) if held else np.zeros(0, np.int64)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def _by_block(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by block of keys that are in order, the blocks there are, and where they begin and end in it."""
+    block = (_places(keys) * blocks) >> 24
+    order = np.argsort(block, kind="stable")
+    some, first = np.unique(block[order], return_index=True)
+    return order, some, np.append(first, len(keys))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, compressed; keys in order as steps."""
+    if values.dtype == np.int64:
+        values = np.diff(values, prepend=0)
+    return zstandard.ZstdCompressor(_LEVEL).compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes())
+
+
+def _unpacked(value: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values) if kind is np.int64 else values
+
+
+_FOUND = pa.schema([("shard", pa.int64()), ("block", pa.int32()), ("found", pa.binary())])
+
+
+def _with_signs(
+    docs: DataFrame, text_col: str, model: Model, made: Callable[[pa.Table, np.ndarray], pa.Table], schema: StructType | str, shard_bytes: int = 1 << 24
+) -> DataFrame:
+    """What ``made`` makes of the rows of each shard of texts and their signs (texts x 4).
+
+    Texts are dealt into shards. A shard asks for each different sequence in it once: its keys go, in order and packed, to the blocks of
+    the model by their places, and come back with their gains. A block meets the keys of about ``_CELL`` bytes of text at a time, its rows being
+    sent to as many such cells as the texts take. So no task holds more than one shard, or one block of the
+    model and the keys of one cell, and the model never leaves the executors.
+    """
+    blocks = model.blocks
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    cells = total // (blocks * _CELL) + 1
+    shards = laid_out(docs, text_col, shard_bytes, _LEVEL).select("shard", "payload").repartition("shard")
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload"), strict=True):
+                data, offsets = packed_text(row_table(payload.as_buffer()).column(text_col))
+                if not len(data):
+                    continue
+                keys = _distinct(data, offsets)
+                order, some, edges = _by_block(keys, blocks)
+                bodies = [_packed(keys[order[i:j]]) for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([hash(shard) % cells] * n, pa.int32()), pa.array([shard] * n), pa.array(bodies, pa.binary())],
+                    ["block", "cell", "shard", "keys"],
+                )
+
+    def looked_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        gains = Gains(*_tabled(right.column("whole").to_numpy(), right.column("gain").to_numpy()))
+        found = [_packed(gains.of_keys(_unpacked(keys.as_py(), np.int64))) for keys in left.column("keys")]
+        return pa.table([left.column("shard"), left.column("block"), pa.array(found, pa.binary())], schema=_FOUND)
+
+    def answered(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        for payload in left.column("payload"):
+            texts = row_table(payload.as_buffer())
+            data, offsets = packed_text(texts.column(text_col))
+            gain = np.zeros(len(data), np.float32)
+            if len(data):
+                keys = _distinct(data, offsets)
+                order, some, edges = _by_block(keys, blocks)
+                place = {block: (i, j) for block, i, j in zip(some.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)}
+                of_key = np.full(len(keys), np.nan, np.float32)
+                for block, found in zip(right.column("block").to_pylist(), right.column("found"), strict=True):
+                    i, j = place[block]
+                    of_key[order[i:j]] = _unpacked(found.as_py(), np.float32)
+                for at, different, times, place in _stretches(data, offsets):
+                    gain[at + place] = np.repeat(of_key[np.searchsorted(keys, different)], times)
+            parts.append(made(texts, signs_of(gain, offsets)).cast(arrow))
+        release_memory()
+        return pa.concat_tables(parts) if parts else arrow.empty_table()
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    keys = shards.mapInArrow(releasing(asked), "block int, cell int, shard long, keys binary")
+    block = F.shiftright(F.col("place").cast("long") * blocks, 24).cast("int")
+    rows = model.gains.select(block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"), "whole", "gain")
+    found = keys.groupBy("block", "cell").cogroup(rows.groupBy("block", "cell")).applyInArrow(looked_up, "shard long, block int, found binary")
+    return shards.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(answered, schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> tuple[float, ...]:
@@ -361,18 +457,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 5
     return tuple(float(v) for v in w / scale)
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
+def scored(docs: DataFrame, model: Model, text_col: str = "text", shard_bytes: int = 1 << 24) -> DataFrame:
     """All rows and columns of ``docs`` with TOXICITY, from 0 to 1; whole texts are read.
 
-    A null text counts as empty; an empty text has the score of the calibration's bias. Repeated rows score alike;
-    an empty table stays empty.
+    Rows are put into shards of about ``shard_bytes`` of text, and at least one row. A null text counts as empty; an empty text has the score of the
+    calibration's bias. Repeated rows score alike; an empty table stays empty.
     """
-    schema = StructType([*docs.schema.fields, StructField(TOXICITY, DoubleType())])
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text_col, model.batch_bytes(batch_bytes)):
-            data, offsets = packed_text(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(data, offsets))], schema.names)
+    # Without the table, which is no value that tasks could take along.
+    calibration = Model(None, model.blocks, model.calibration)
 
-    return docs.mapInArrow(releasing(run), schema)
+    def made(texts: pa.Table, signs: np.ndarray) -> pa.Table:
+        return texts.append_column(TOXICITY, pa.array(calibration.scores(signs)))
+
+    schema = StructType([*docs.schema.fields, StructField(TOXICITY, DoubleType())])
+    return _with_signs(docs, text_col, model, made, schema, shard_bytes)

@@ -104,6 +104,8 @@ def learned_toxicity(spark: SparkSession, sf_dir: str) -> Model:
     """The toxicity model of the queries: texts with a label, of rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").where(not_held_out(F.col("doc_id")))
     labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
+    # Written, they have a size: texts are shuffled to them only where they are too many to be sent around.
+    labels = landed(labels, "toxic-labels")
     return learned(docs.join(labels, "doc_id"), "text", "toxic", F.col("doc_id"))
 
 

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, landed, packed_text, pieces, release_memory, releasing
+from cardtide.llm.common import HIDDEN, laid_out, landed, packed_text, release_memory, releasing, row_table
 from cardtide.llm.suffix import least_owner, words_at
 
 N_BYTES, N_REMOVED, N_SPANS, KEPT = (f"{HIDDEN}{x}" for x in ("n_bytes", "n_removed", "n_spans", "kept"))
 
 _LAST = np.iinfo(np.int64).max
 _KEY_BITS = 48
+#: Shards are written once and shuffled twice: worth more than the fastest compression.
 _LEVEL = 5
 
 
@@ -31,10 +32,6 @@ def _unpacked(value: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(value))
 
 
-def _row_table(payload: bytes) -> pa.Table:
-    return pa.ipc.open_stream(payload).read_all()
-
-
 def _owners(column: pa.ChunkedArray) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(_LAST).to_numpy()
 
@@ -136,7 +133,7 @@ def repeated_bytes(
     other. Texts shorter than ``length``, and empty tables, come back whole.
     """
     spark = docs.sparkSession
-    shards = landed(_laid_out(docs, text_col, shard_bytes), "shards")
+    shards = landed(laid_out(docs, text_col, shard_bytes, _LEVEL), "shards")
     total = shards.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = total // (16 << 20) + 1
     targets = total // (2 << 20) + 1
@@ -144,7 +141,7 @@ def repeated_bytes(
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload"), strict=True):
-                data, offsets = packed_text(_row_table(payload.as_buffer()).column(text_col))
+                data, offsets = packed_text(row_table(payload.as_buffer()).column(text_col))
                 _, _, doc, key = runs_by_anchor(data, offsets, length, gram)
                 if not len(key):
                     continue
@@ -192,7 +189,7 @@ def repeated_bytes(
         rows: list[tuple] = []
         for shard, payload in zip(left.column("shard").to_pylist(), left.column("payload"), strict=True):
             if right.num_rows:
-                texts = _row_table(payload.as_buffer())
+                texts = row_table(payload.as_buffer())
                 rows += _dealt(shard, texts, text_col, _owners(texts.column(id_col)), right, length, gram, ranges, targets)
         columns = zip(*rows, strict=True) if rows else [[], [], []]
         release_memory()
@@ -209,7 +206,7 @@ def repeated_bytes(
     )
 
     def cleaned(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [_cleaned(_row_table(p.as_buffer()), text_col, right, length, as_text) for p in left.column("payload")]
+        parts = [_cleaned(row_table(p.as_buffer()), text_col, right, length, as_text) for p in left.column("payload")]
         if not parts:
             return pa.table([pa.array([], f.type) for f in empty], [f.name for f in empty])
         return pa.concat_tables(parts)
@@ -235,29 +232,6 @@ _SENT = pa.schema([("target", pa.int64()), ("shard", pa.int64()), ("runs", pa.bi
 _FLAGS = pa.schema([("shard", pa.int64()), ("windows", pa.binary())])
 
 
-def _laid_out(docs: DataFrame, text_col: str, shard_bytes: int) -> DataFrame:
-    """Whole rows in shards: a number, bytes of text, and the rows as one compressed Arrow stream."""
-
-    def layer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        # Written once and shuffled twice: worth more than the fastest compression.
-        codec = pa.Codec("zstd", compression_level=_LEVEL)
-        for number, batch in enumerate(pieces(batches, text_col, shard_bytes)):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
-                out.write_batch(batch)
-            size = int(packed_text(batch.column(text_col))[1][-1])
-            payload = sink.getvalue().to_pybytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + number]), pa.array([size]), pa.array([payload], pa.binary())],
-                ["shard", "n_bytes", "payload"],
-            )
-
-    return docs.mapInArrow(releasing(layer), "shard long, n_bytes long, payload binary")
-
-
 def _dealt(
     shard: int,
     texts: pa.Table,
