@@ -5,13 +5,15 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cardtide.operators import panels
-from cardtide.schema import GOLD_DIR, SAMPLE_DIR, TOPIC, WATERMARK, WINDOW
+from cardtide.schema import BRONZE_DIR, CORRECTIONS_DIR, GOLD_DIR, SAMPLE_DIR, TOPIC, WATERMARK, WINDOW, WINDOWS_DIR
 from cardtide.session import configure
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource, KafkaSource
 from cardtide.streaming.pipeline import run_pipeline
+from cardtide.streaming.reconcile import reconcile
 from cardtide.streaming.sinks import export_snapshot, finish
 
 
@@ -38,6 +40,7 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         console=args.console,
         available_now=args.once,
         bronze_by_date=args.bronze_by_date,
+        windows_by_date=args.windows_by_date,
         rocksdb=args.rocksdb,
         minor_units=args.minor_units,
     )
@@ -55,6 +58,16 @@ def export(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"{report['windows']} windows, {report['bytes'] / 1024:.1f} KB in {sample}")
 
 
+def correct(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Put stored windows right with rows that came too late (needs --bronze-by-date and --windows-by-date)."""
+    root = args.data_dir.rstrip("/")
+    before = None if args.closed_before is None else F.lit(args.closed_before).cast("timestamp")
+    dates = reconcile(
+        spark, f"{root}/{BRONZE_DIR}", f"{root}/{WINDOWS_DIR}", f"{root}/{CORRECTIONS_DIR}", duration=args.window, closed_before=before
+    )
+    print(f"{len(dates)} dates corrected: {', '.join(dates)}" if dates else "nothing was late")
+
+
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Headline figures, latest windows and their alert levels."""
     root = args.data_dir.rstrip("/")
@@ -83,14 +96,17 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--console", action="store_true", help="echo closed windows")
     run.add_argument("--once", action="store_true", help="read what is there now, then end")
     run.add_argument("--bronze-by-date", action="store_true")
+    run.add_argument("--windows-by-date", action="store_true", help="land statistics that can be corrected and rolled up")
     run.add_argument("--rocksdb", action="store_true")
     run.add_argument("--minor-units", type=int, metavar="N", help="add amounts exactly, in N parts of the unit (100: cents)")
     run.add_argument("--batch-limit", metavar="N", help="most that one micro-batch reads: offsets of a topic, or bytes of files")
     run.set_defaults(run=stream)
 
-    for action in (export, report):
+    for action in (export, correct, report):
         commands.add_parser(action.__name__, help=action.__doc__).set_defaults(run=action)
     commands.choices["export"].add_argument("--files", type=int, help="number of files; left to Spark by default")
+    commands.choices["correct"].add_argument("--window", default=WINDOW)
+    commands.choices["correct"].add_argument("--closed-before", metavar="INSTANT", help="the watermark, where the stream goes on")
     commands.choices["report"].add_argument("--minor-units", type=int, metavar="N")
     for command in commands.choices.values():
         command.add_argument("--data-dir", required=True)

@@ -87,6 +87,11 @@ SAMPLE_DIR = "gold_sample"
 
 # ---- End of fixed values ----
 
+# Statistics of windows by date, and the corrections to them.
+WINDOWS_QUERY = "window_statistics"
+WINDOWS_DIR = "windows"
+CORRECTIONS_DIR = "corrections"
+
 # Bronze keeps the payload as sent and adds the parsed instant.
 BRONZE = StructType([*PAYLOAD.fields]).add("event_time", TimestampType())
 
