@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +21,26 @@ _PATIENCE = 10
 #: A guard against rounding that neither settles nor stalls; what is left then is told like any residual.
 _PASSES = 500
 
+#: A step: what each domain's excess costs a rate, and how far the next step leaps ahead. None starts without a leap again.
+_Step = tuple[np.ndarray, float] | None
 
-def _replayed(chance: np.ndarray, history: list[np.ndarray], step: float, pull: float, least: float) -> np.ndarray:
-    """The rates after the steps so far: each step is a function of the rate before and of a few numbers."""
+
+def _replayed(chance: np.ndarray, history: list[_Step], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after the steps so far, and the point ahead of them at which the next gradient is taken.
+
+    Each step is a function of the rate before and of a few numbers, so rates are never stored.
+    """
     rate = np.full(len(chance), max(1.0, least))
-    for error in history:
-        rate = np.maximum(rate - step * (chance @ error + pull * (rate - 1)), least)
-    return rate
+    ahead = rate
+    for step in history:
+        if step is None:
+            ahead = rate
+            continue
+        cost, leap = step
+        after = np.maximum(ahead - chance @ cost, least)
+        ahead = after + leap * (after - rate)
+        rate = after
+    return rate, ahead
 
 
 def _arrays(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -43,33 +56,9 @@ def targets_for(shares: np.ndarray, weights: Mapping[str, float] | None, labels:
     return wanted / wanted.sum()
 
 
-def _priced(
-    sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, float]], goal: np.ndarray, scale: np.ndarray, pull: float, tolerance: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Prices at which the totals are ``goal``, or as near as they come, and the totals."""
-    price = np.zeros(len(goal))
-    now, gram, dual = sums(price)
-    best, errors = (price, now), []
-    while True:
-        errors.append(float(np.abs((now - goal) / scale).max()))
-        if errors[-1] <= min(errors):
-            best = price, now
-        if errors[-1] <= tolerance or len(errors) >= _PASSES:
-            return best
-        falling = errors[int(np.argmax(errors)) :]
-        if len(falling) >= 2 * _PATIENCE and min(falling[-_PATIENCE:]) >= 0.99 * min(falling[-2 * _PATIENCE : -_PATIENCE]):
-            return best
-        pull = max(pull / 10, 1e-9)
-        move = np.linalg.solve(gram + np.diag(pull * scale), now - goal)
-        slope, size = float((goal - now) @ move), 1.0
-        value = dual + float(goal @ price)
-        while True:
-            at = price + size * move
-            now, gram, dual = sums(at)
-            if dual + float(goal @ at) <= value + 1e-4 * size * slope + 1e-12 * abs(value) or size < 1e-4:
-                break
-            size /= 4
-        price = at
+def _stalled(errors: list[float]) -> bool:
+    falling = errors[int(np.argmax(errors)) :]
+    return len(falling) >= 2 * _PATIENCE and min(falling[-_PATIENCE:]) >= 0.99 * min(falling[-2 * _PATIENCE : -_PATIENCE])
 
 
 def mixed_rates(
@@ -78,84 +67,85 @@ def mixed_rates(
     weights: Mapping[str, float] | None = None,
     power: float = 0.7,
     least: float = 0.0,
-    pull: float = 1e-3,
     tolerance: float = 1e-3,
-    steps: int | None = None,
+    steps: int = _PASSES,
 ) -> DataFrame:
     """All rows and columns with RATE: how often a row is to be taken, ``least`` or more.
 
-    ``rows`` carry POSTERIOR (one probability per label) and TOKENS, and are read once per pass: pass a written table. The rates
-    are those nearest to 1 (squares weighed by tokens) at which the expected tokens (rate x tokens x posterior) of the domains are
-    their target totals. Such rates are max(least, 1 - posterior . price) for one price per domain, found by Newton's
-    method on the dual problem: a pass sums the domains' totals, and their products over the rows that ``least``
-    does not hold, where the rows are, and no rate is gathered or stored. ``pull`` times the targets, less from pass to pass, is added to
-    the products' diagonal, so that a domain that other domains contain has a step too. It ends when all totals are within ``tolerance`` of their
-    targets, or when the residual falls no further: then the targets are out of reach. With ``steps``, instead, so many
-    projected gradient steps are taken at most, with ``pull`` drawing rates towards 1.
-
-    RATE's metadata give what is left: ``residuals`` by label, relative to the target (to all tokens where that is 0), and
-    ``reached``. Where that is false a warning says so.
-
-    Targets are ``weights`` by label (0 for others), or the present shares to ``power``. They add up to the present tokens,
-    and with a ``least`` of 1 or more to the smallest total that leaves no domain with less than ``least`` times its present one.
-    Rows without tokens weigh nothing and keep a rate by their posteriors; without any tokens all rates are max(1, least).
+    ``rows`` carry POSTERIOR (one probability per label) and TOKENS, and are read once per pass: pass a written table.
+    Rates are fitted by projected gradient descent on the squared misses of the domains' expected tokens (rate x
+    tokens x posterior): from the rate 1, each step moves a rate against the misses of its domains, and no further
+    down than ``least``. A domain's miss is weighed by the inverse of its diagonal element in the products of the
+    posteriors, so rare domains move as fast as common ones, and each gradient is taken ahead of the rates by a
+    growing leap, which starts again when the misses have grown. A pass adds up the domains' totals where the rows
+    are; no rate is gathered or stored, as it follows from the steps so far, a few numbers each. It ends when all
+    totals are within ``tolerance`` of their targets, when they come no nearer, or after ``steps``.
+
+    RATE's metadata give what is left: ``residuals`` by label, relative to the target (to all tokens where that is 0),
+    and ``reached``. Where that is false a warning says so.
+
+    Targets are ``weights`` by label (0 for others), or the present shares to ``power``, of the present tokens. With a
+    ``least`` of 1 or more, tokens can only grow: each domain gets a factor that would bring its share there, the
+    smallest being ``least``, and the target totals are those of rows taken as often as the factors of their domains
+    say, weighed by their posteriors; so they are within reach. Rows without tokens weigh nothing and keep a rate by
+    their posteriors; without any tokens all rates are max(1, least).
     """
     k = len(labels)
 
-    def rates(chance: np.ndarray, history: list[np.ndarray], step: float, price: np.ndarray | None) -> np.ndarray:
-        if price is None:
-            return _replayed(chance, history, step, pull, least)
-        return np.maximum(1 - chance @ price, least)
-
-    def sums(history: list[np.ndarray], step: float, price: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
-        """Totals of the domains; their products, at a price without the rows that ``least`` holds; the dual's sum over the rows."""
+    def sums(history: list[_Step]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Totals of the domains at the rates and ahead of them; and the products of the posteriors."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, gram, dual = np.zeros(k), np.zeros((k, k)), 0.0
+            out = np.zeros((2 + k, k))
             for batch in batches:
                 chance, tokens = _arrays(batch, k)
-                rate = rates(chance, history, step, price)
-                total += (rate * tokens) @ chance
-                if price is not None:
-                    # Its derivative by chance @ price is -rate.
-                    dual += tokens @ np.where(rate > least, rate**2 / 2, least * (1 - chance @ price) - least**2 / 2)
+                for i, rate in enumerate(_replayed(chance, history, least)):
+                    out[i] += (rate * tokens) @ chance
                 if not history:
-                    active = tokens if price is None else tokens * (1 - chance @ price >= least)
-                    gram += (chance * active[:, None]).T @ chance
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(k + k * k + 1), pa.int32()), pa.array(np.concatenate([total, gram.ravel(), [dual]]))], ["i", "x"]
-            )
+                    out[2:] += (chance * tokens[:, None]).T @ chance
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size), pa.int32()), pa.array(out.ravel())], ["i", "x"])
 
         found = rows.select(POSTERIOR, TOKENS).mapInArrow(releasing(run), "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
-        out = np.zeros(k + k * k + 1)
+        out = np.zeros((2 + k) * k)
         for i, x in found.collect():
             out[i] = x
-        return out[:k], out[k:-1].reshape(k, k), float(out[-1])
+        out = out.reshape(2 + k, k)
+        return out[0], out[1], out[2:]
 
-    start = max(1.0, least)
-    now, gram, _ = sums([], 0.0)
-    present = now / start
-    history: list[np.ndarray] = []
-    step, price = 0.0, None
+    now, ahead, gram = sums([])
+    present = now / max(1.0, least)
+    history: list[_Step] = []
     left, reached = dict.fromkeys(labels, 0.0), True
     if now.sum() > 0:
         share = targets_for(present / present.sum(), weights, labels, power)
-        total = present.sum()
+        goal = present.sum() * share
         if least >= 1:
-            asked = share > 0
-            total = (least * present[asked] / share[asked]).max()
-        goal = total * share
-        scale = np.where(goal > 0, goal, total)
-        if steps is None:
-            price, now = _priced(lambda at: sums([], 0.0, at), goal, scale, pull, tolerance)
-        else:
-            step = 1 / (np.abs(np.linalg.eigvals(gram / scale[:, None])).max() + pull)
-            for _ in range(steps):
-                error = (now - goal) / scale
-                if np.abs(error).max() <= tolerance:
-                    break
-                history.append(error)
-                now = sums(history, step)[0]
+            factor = np.where(present > 0, share / np.maximum(present, 1e-300), np.inf)
+            factor = np.where(share > 0, factor, 0.0)
+            wanted = factor[(share > 0) & (present > 0)]
+            factor = np.where(np.isinf(factor), least, np.maximum(factor * least / wanted.min(), least)) if len(wanted) else np.full(k, least)
+            goal = gram @ factor
+        scale = np.where(goal > 0, goal, present.sum())
+        weight = 1 / np.maximum(np.diag(gram), 1e-300)
+        root = np.sqrt(np.where(np.diag(gram) > 0, weight, 0.0))
+        bound = np.abs(np.linalg.eigvalsh(root[:, None] * gram * root)).max()
+        errors, best, miss, pace = [], (np.inf, now, 0), np.inf, 1.0
+        while True:
+            errors.append(float(np.abs((now - goal) / scale).max()))
+            if errors[-1] < best[0]:
+                best = errors[-1], now, len(history)
+            if errors[-1] <= tolerance or len(errors) > steps or _stalled(errors):
+                break
+            before, miss = miss, float((root**2 * (now - goal) ** 2).sum())
+            if miss > before:
+                history.append(None)
+                ahead, pace = now, 1.0
+            faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+            history.append((root**2 * (ahead - goal) / bound, (pace - 1) / faster))
+            pace = faster
+            now, ahead, _ = sums(history)
+        _, now, n = best
+        history = history[:n]
         left = dict(zip(labels, ((now - goal) / scale).tolist(), strict=True))
         worst = max(left, key=lambda label: abs(left[label]))
         reached = abs(left[worst]) <= tolerance
@@ -165,7 +155,7 @@ def mixed_rates(
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate = rates(_arrays(batch, k)[0], history, step, price)
+            rate, _ = _replayed(_arrays(batch, k)[0], history, least)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], schema.names)
 
     return rows.mapInArrow(releasing(rated), schema)
