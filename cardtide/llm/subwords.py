@@ -82,7 +82,7 @@ def fitted(
     label: str,
     order: Column,
     per_label: int = 1000,
-    max_bytes: int = 20_000,
+    max_entries: int = 3 << 22,
     count: int = 1 << 16,
     width: int = 16,
     epochs: int = 4,
@@ -91,39 +91,71 @@ def fitted(
 ) -> Subwords:
     """A classifier learned from a bounded sample of the labelled rows.
 
-    The bound: about ``per_label`` rows of each label, chosen by hash of ``order`` (the same rows on every run), of
-    texts up to ``max_bytes``; more than ``max_labels`` labels are an error. Four fifths are learned from by stochastic gradient
-    descent; on the others the temperature is fitted by likelihood, and the least score above which the accepted are
-    right with ``precision``. Null labels and null texts are left out; without any label everything is UNDETERMINED.
+    Labels are those of all rows with a label and a text, however long; more than ``max_labels`` are an error. The
+    bound: of each label about ``per_label`` rows, fewer where their texts are long, so that all of them together have
+    about ``max_entries`` different subwords at most, counted text by text; and one row of each label at least. Rows
+    are chosen by a hash of ``order`` and the text (the same rows on every run), so null and repeated ids choose
+    nothing, and a row that is there many times counts as one. Texts are taken whole: executors reduce them to counts
+    of subwords, at most ``count`` of each, and the driver gets those.
+
+    Four fifths are learned from by stochastic gradient descent; on the others the temperature is fitted by
+    likelihood, and the least score above which the accepted are right with ``precision``. Null labels and null texts
+    are left out; without any label everything is UNDETERMINED.
     """
-    usable = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.octet_length(text) <= max_bytes))
-    sizes = {r[0]: r[1] for r in usable.groupBy(F.col(label).cast("string")).count().limit(max_labels + 1).collect()}
-    if len(sizes) > max_labels:
+    place = F.xxhash64(order, F.col(text), F.lit("sample"))
+    usable = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(text).alias("text"), F.col(label).cast("string").alias("label"), place.alias("place")
+    )
+    entries = F.least(F.octet_length("text").cast("long") * len(_ORDERS), F.lit(count)) + 1
+    found = usable.groupBy("label").agg(F.count(F.lit(1)), F.sum(entries), F.min("place")).limit(max_labels + 1).collect()
+    if len(found) > max_labels:
         raise ValueError(f"more than {max_labels} labels")
-    labels = sorted(sizes)
-    if not labels:
+    if not found:
         return Subwords([UNDETERMINED], np.zeros((1, 1)), np.zeros((1, 1)), np.zeros(1), 1.0, 1.0)
-    shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_label / n))])
-    place = F.xxhash64(order, F.lit("sample"))
-    unit = F.pmod(place, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = usable.where(unit < shares[F.col(label).cast("string")]).select(
-        F.col(text).alias("text"), F.col(label).cast("string").alias("label"), place.alias("place")
-    ).toArrow().sort_by([("place", "ascending"), ("text", "ascending")])
-    return train(sample, labels, count, width, epochs, precision)
+    each = max_entries / len(found)
+    shares = F.create_map(*[F.lit(x) for name, n, size, _ in found for x in (name, min(1.0, per_label / n, each / size))])
+    least = F.create_map(*[F.lit(x) for name, _, _, first in found for x in (name, first)])
+    unit = F.pmod("place", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = usable.where((unit < shares[F.col("label")]) | (F.col("place") == least[F.col("label")])).dropDuplicates(["label", "place"])
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = packed_text(batch.column("text"))
+            held = [bag(data[i:j], count) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            kinds, times = (pa.array([x[i] for x in held], pa.list_(pa.int32())) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), kinds, times], ["label", "place", "kinds", "times"])
+
+    sample = chosen.mapInArrow(releasing(bags), "label string, place long, kinds array<int>, times array<int>").toArrow()
+    sample = sample.sort_by([("place", "ascending"), ("label", "ascending")]).combine_chunks()
+    return train(sample, sorted(r[0] for r in found), count, width, epochs, precision)
+
+
+def bag(data: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text's subwords and how often each occurs."""
+    total = np.zeros(0, np.int32)
+    for at in range(0, max(len(data), 1), 1 << 22):
+        # Subwords that begin in this stretch.
+        piece = data[at : at + (1 << 22) + max(_ORDERS)]
+        parts = [bucket[: max(0, min(len(piece) - order + 1, 1 << 22))] for order, bucket in buckets(piece, count)]
+        here = np.bincount(np.concatenate(parts), minlength=count)
+        total = here if not len(total) else total + here
+    kinds = np.flatnonzero(total)
+    return kinds.astype(np.int32), np.minimum(total[kinds], (1 << 31) - 1).astype(np.int32)
 
 
 def train(sample: pa.Table, labels: list[str], count: int, width: int, epochs: int, precision: float) -> Subwords:
-    """Stochastic gradient descent over the rows (text, label, place) of ``sample``, one text a step."""
+    """Stochastic gradient descent over the rows (label, place, kinds, times) of ``sample``, one text a step."""
     rng = np.random.default_rng(7)
-    data, offsets = packed_text(sample.column("text"))
     wanted = np.searchsorted(labels, sample.column("label").to_pylist())
     check = np.abs(sample.column("place").to_numpy()) % 5 == 4
-    # What the driver holds: a few bytes for each different subword of each text of the bounded sample.
+    # A label whose few rows would all be kept back is learned from them.
+    check &= np.isin(wanted, wanted[~check])
     bags = []
-    for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        parts = [bucket[: max(0, j - i - order + 1)] for order, bucket in buckets(data[i:j], count)]
-        bucket, times = np.unique(np.concatenate(parts), return_counts=True)
-        bags.append((bucket.astype(np.int32), (times / max(times.sum(), 1)).astype(np.float32)))
+    for chunk in zip(sample.column("kinds").chunks, sample.column("times").chunks, strict=True):
+        edges = chunk[0].offsets.to_numpy()
+        kinds, times = (x.values.to_numpy() for x in chunk)
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            bags.append((kinds[i:j], (times[i:j] / max(times[i:j].sum(), 1)).astype(np.float32)))
     embeddings = rng.uniform(-1 / width, 1 / width, (count, width)).astype(np.float32)
     weights, bias = np.zeros((width, len(labels))), np.zeros(len(labels))
     learn = np.flatnonzero(~check)
@@ -147,7 +179,7 @@ def train(sample: pa.Table, labels: list[str], count: int, width: int, epochs: i
     held = np.flatnonzero(check)
     if not len(held):
         return model
-    logits = np.log(np.stack([model.posteriors(data[offsets[i] : offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]))[0] for i in held]) + 1e-300)
+    logits = np.stack([(bags[i][1].astype(np.float64) @ embeddings[bags[i][0]]) @ weights + bias for i in held])
     true = wanted[held]
     grid = np.geomspace(0.25, 8, 41)
     losses = [-np.log(_softmax(logits / t)[np.arange(len(held)), true] + 1e-300).mean() for t in grid]
@@ -163,9 +195,9 @@ def train(sample: pa.Table, labels: list[str], count: int, width: int, epochs: i
 def classified(docs: DataFrame, model: Subwords, text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
     """All rows and columns of ``docs`` with LABEL, SCORE, ACCEPTED, POSTERIOR and TOKENS.
 
-    The label is the likeliest one and the score its calibrated probability; it is accepted from the model's threshold on. A
-    text that is null or has no letter is UNDETERMINED with score 0, not accepted, and with equal posteriors. Texts are
-    read whole; TOKENS counts their runs without ASCII white space. An empty table stays empty.
+    The label is the likeliest one and the score its calibrated probability; it is accepted from the model's threshold
+    on. A text that is null or has no letter is UNDETERMINED with score 0, not accepted, and with equal posteriors.
+    Texts are read whole; TOKENS counts their runs without ASCII white space. An empty table stays empty.
     """
     schema = StructType(
         [

@@ -10,6 +10,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cardtide.llm import kneser_ney as kn
@@ -17,7 +19,7 @@ from cardtide.llm.common import not_held_out, packed_text
 from cardtide.llm.kneser_ney import TOXICITY, Gains, counted, learned, model_rows, scored
 from cardtide.llm.mixing import COPIES, RATE, mixed_rates, repeated
 from cardtide.llm.queries import op2_language_id, op5_toxicity, op7_source_mixing
-from cardtide.llm.subwords import ACCEPTED, LABEL, POSTERIOR, SCORE, TOKENS, UNDETERMINED, classified, fitted
+from cardtide.llm.subwords import ACCEPTED, LABEL, POSTERIOR, SCORE, TOKENS, UNDETERMINED, bag, classified, fitted
 from tests.conftest import TESTDATA
 from tests.llm.helpers import messy_docs, messy_texts, prose, words
 
@@ -53,6 +55,43 @@ def test_languages_are_learned(spark):
     assert all(abs(sum(r[POSTERIOR]) - 1) < 1e-9 and r[TOKENS] == 30 for r in found)
 
 
+def test_labels_of_long_texts_alone(spark):
+    """A language all of whose texts are long is learned from whole texts, and no label is lost."""
+    rows = _two_languages(spark, 100)
+    long = spark.createDataFrame([(1000 + i, "qoq uquq quq " * 20_000 + "q" * i, "qq") for i in range(30)], "doc_id long, text string, lang string")
+    one = spark.createDataFrame([(2000, "wvw vwv wwv", "single")], long.schema)
+    model = fitted(rows.unionAll(long).unionAll(one), "text", "lang", F.col("doc_id"))
+    assert model.labels == ["ab", "qq", "single", "xy"]
+    few = fitted(rows.unionAll(long).unionAll(one), "text", "lang", F.col("doc_id"), max_entries=4)
+    assert few.labels == model.labels and few.embeddings.shape == model.embeddings.shape
+    texts = spark.createDataFrame([(1, "quq qoq uquq quq qoq"), (2, "xoxo yuyu xylzi")], "doc_id long, text string")
+    assert {r["doc_id"]: r[LABEL] for r in classified(texts, model).collect()} == {1: "qq", 2: "xy"}
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_ids_choose_nothing(spark, doc_id):
+    """300 rows without ids, or all of one id: the sample is as large as ever; and copies of a row count as one."""
+    rows = _two_languages(spark).withColumn("doc_id", F.lit(doc_id).cast("long"))
+    model = fitted(rows, "text", "lang", F.col("doc_id"), per_label=50)
+    found = classified(_two_languages(spark, 40), model).collect()
+    assert model.labels == ["ab", "xy"] and all(r[LABEL] == r["lang"] for r in found)
+    copies = rows.limit(2).crossJoin(spark.range(2_000)).drop("id")
+    assert fitted(copies.unionAll(rows), "text", "lang", F.col("doc_id"), per_label=50).labels == ["ab", "xy"]
+
+
+@given(st.binary(max_size=60), st.integers(1, 50))
+@settings(max_examples=50, deadline=None)
+def test_bags_count_subwords(data, count):
+    kinds, times = bag(np.frombuffer(data, np.uint8), count)
+    plain = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in data)
+    wanted = Counter()
+    for order in (2, 3, 4):
+        for i in range(len(plain) - order + 1):
+            key = int.from_bytes(plain[i : i + order], "little") * 0x9E3779B97F4A7C15 % 2**64
+            wanted[(key >> 40) % count] += 1
+    assert dict(zip(kinds.tolist(), times.tolist())) == dict(wanted)
+
+
 def test_batches_do_not_matter(spark):
     rows = _two_languages(spark).unionByName(messy_docs(spark).select("doc_id", "text", "lang"))
     model = fitted(rows, "text", "lang", F.col("doc_id"))
@@ -108,33 +147,51 @@ def _totals(rows, column):
     return np.sum([np.array(r[POSTERIOR]) * (r[TOKENS] or 0) * r[column] for r in rows], 0)
 
 
-@pytest.mark.parametrize("least", [0.0, 1.0])
-def test_rates_reach_their_targets(spark, least):
-    rows = _mix_rows(spark)
-    found = mixed_rates(rows, ["a", "b", "c"], {"a": 1, "b": 1, "c": 2}, least=least, steps=200).collect()
-    assert len(found) == rows.count() and min(r[RATE] for r in found) >= least
-    present = _totals([r.asDict() | {"one": 1.0} for r in found], "one")
-    share = np.array([0.25, 0.25, 0.5])
-    total = present.sum() if not least else (least * present / share).max()
-    # With a least rate the targets may be out of reach: what the rates of other domains bring along cannot be undone.
-    assert np.allclose(_totals(found, RATE), total * share, rtol=0.08 if least else 0.02)
-
-
-def test_steps_are_those_of_projected_gradient(spark):
-    """The distributed steps against the same recursion on whole arrays."""
-    rows = _mix_rows(spark)
-    plain = rows.collect()
-    chance, tokens = np.array([r[POSTERIOR] for r in plain]), np.array([r[TOKENS] or 0 for r in plain], float)
+def _goal(chance, tokens, least, weights=None, labels="abc"):
+    """Target totals, domain by domain."""
     present = tokens @ chance
-    share = (present / present.sum()) ** 0.7
-    goal = present.sum() * share / share.sum()
-    step = 1 / (np.abs(np.linalg.eigvals(((chance * tokens[:, None]).T @ chance) / goal[:, None])).max() + 1e-3)
-    rate = np.ones(len(plain))
-    for _ in range(4):
-        error = ((rate * tokens) @ chance - goal) / goal
-        rate = np.maximum(rate - step * (chance @ error + 1e-3 * (rate - 1)), 0)
-    found = {(r["doc_id"], tuple(r[POSTERIOR])): r[RATE] for r in mixed_rates(rows, ["a", "b", "c"], tolerance=0.0, steps=4).collect()}
-    assert np.allclose([found[r["doc_id"], tuple(r[POSTERIOR])] for r in plain], rate)
+    wanted = np.array([float(weights.get(x, 0.0)) for x in labels]) if weights else (present / present.sum()) ** 0.7
+    wanted = wanted / wanted.sum()
+    if not least:
+        return present.sum() * wanted
+    factor = wanted / present
+    factor = np.maximum(factor / factor[wanted > 0].min(), 1) * least
+    return sum(t * p * (p @ factor) for t, p in zip(tokens, chance, strict=True))
+
+
+def slow_rates(chance, tokens, goal, least, tolerance=1e-3, most=500):
+    """The same descent on whole arrays, written out step by step."""
+    gram = sum(t * np.outer(p, p) for t, p in zip(tokens, chance, strict=True))
+    weight = 1 / np.diag(gram)
+    longest = np.abs(np.linalg.eigvals(gram * weight[:, None])).max()
+    rate = ahead = np.full(len(tokens), max(1.0, least))
+    pace, last = 1.0, np.inf
+    for _ in range(most):
+        miss = (rate * tokens) @ chance - goal
+        if (np.abs(miss) <= tolerance * goal).all():
+            return rate
+        if (weight * miss**2).sum() > last:
+            ahead, pace = rate, 1.0
+        last = (weight * miss**2).sum()
+        gradient = chance @ (weight * ((ahead * tokens) @ chance - goal))
+        after = np.maximum(ahead - gradient / longest, least)
+        faster = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+        ahead, rate, pace = after + (pace - 1) / faster * (after - rate), after, faster
+    raise AssertionError("not reached")
+
+
+@pytest.mark.parametrize("least", [0.0, 1.0, 2.5])
+@pytest.mark.parametrize("weights", [None, {"a": 1, "b": 1, "c": 2}])
+def test_rates_are_those_of_projected_gradient(spark, least, weights):
+    """The default path: every rate as on whole arrays, and the targets met."""
+    rows = _mix_rows(spark)
+    rated = mixed_rates(rows, ["a", "b", "c"], weights, least=least)
+    found = rated.collect()
+    assert len(found) == rows.count() and rated.schema[RATE].metadata["reached"]
+    chance, tokens = np.array([r[POSTERIOR] for r in found]), np.array([r[TOKENS] or 0 for r in found], float)
+    goal = _goal(chance, tokens, least, weights)
+    assert np.allclose([r[RATE] for r in found], slow_rates(chance, tokens, goal, least), rtol=1e-6)
+    assert min(r[RATE] for r in found) >= least and np.allclose(_totals(found, RATE), goal, rtol=1e-3)
 
 
 @pytest.mark.parametrize(("share", "weights", "least"), [(0.01, {"a": 1, "b": 1}, 0.0), (1e-4, None, 0.0), (0.01, {"a": 1, "b": 1}, 1.0), (0.3, {"a": 1, "b": 9}, 0.0)])
@@ -143,23 +200,16 @@ def test_skewed_domains_reach_their_targets(spark, share, weights, least):
     rng = np.random.default_rng(2)
     n = 20_000
     rare = np.arange(n) < share * n
-    sure = rng.uniform(0.9999, 1, n) if least else rng.uniform(0.98, 1, n)
+    sure = rng.uniform(0.98, 1, n) if share >= 0.01 else np.ones(n)
     chance = np.stack([np.where(rare, 1 - sure, sure), np.where(rare, sure, 1 - sure)], 1)
-    if share < 0.01:
-        chance = np.stack([~rare, rare], 1).astype(float)
     rows = spark.createDataFrame([(100, [float(x) for x in p]) for p in chance], f"{TOKENS} long, {POSTERIOR} array<double>").repartition(3)
     rated = mixed_rates(rows, ["a", "b"], weights, least=least)
     found = rated.collect()
-    present = 100 * chance.sum(0)
-    wanted = np.array([float(weights.get(x, 0.0)) for x in "ab"]) if weights else (present / present.sum()) ** 0.7
-    wanted = wanted / wanted.sum()
-    goal = wanted * ((least * present / wanted).max() if least else present.sum())
-    left = (_totals([r.asDict() | {TOKENS: r[TOKENS]} for r in found], RATE) - goal) / np.where(goal > 0, goal, present.sum())
+    goal = _goal(chance, np.full(n, 100.0), least, weights, "ab")
+    left = (_totals(found, RATE) - goal) / goal
     told = rated.schema[RATE].metadata
-    assert np.allclose([told["residuals"][x] for x in "ab"], left, atol=1e-9) and told["reached"] == (abs(left).max() <= 1e-3)
-    assert min(r[RATE] for r in found) >= least
-    # A least rate of 1 keeps the common domain where it is, and what rare rows hold of it comes on top.
-    assert abs(left).max() <= (5e-3 if least else 1e-3)
+    assert np.allclose([told["residuals"][x] for x in "ab"], left, atol=1e-9) and told["reached"]
+    assert min(r[RATE] for r in found) >= least and abs(left).max() <= 1e-3
 
 
 def test_unreachable_targets_are_told(spark):
@@ -245,10 +295,10 @@ def test_log_ratios_are_kneser_ney(spark):
         for r in part.collect():
             slot, check = kn._slot(np.array([r["key"]]), r["length"], context, bits)
             checks[slot], gains[slot] = check, r["gain"]
-    model = Gains(checks, gains, bits, (0.0, 1.0, 0.0, 0.0, 0.0))
+    model = Gains(checks, gains, bits)
     for text in ["ab c", "cab ba", "É", "zzz ab", "baab cÉb a"]:
         data, offsets = packed_text(pa.array([text]))
-        found = model._gains(data, offsets)
+        found = model.of_keys(kn.sequences(data, offsets)[0])
         padded = b"\0" * 5 + text.encode()
         expected = [math.log(chance(padded[i : i + 6], 0) / chance(padded[i : i + 6], 1)) for i in range(len(text.encode()))]
         assert np.allclose(found, expected, atol=0.02)
@@ -268,39 +318,85 @@ def _insults(spark, n=600):
 
 def test_insults_are_learned(spark):
     rows = _insults(spark)
-    model = learned(rows.where("doc_id < 400"), "text", "bad", F.col("doc_id"), bits=20)
+    model = learned(rows.where("doc_id < 400"), "text", "bad", F.col("doc_id"))
     held = scored(rows.where("doc_id >= 400"), model).collect()
     right = [(r[TOXICITY] >= 0.3) == r["bad"] for r in held]
     assert sum(right) > 0.9 * len(right)
     docs = messy_docs(spark)
-    one, two = ([round(r[TOXICITY], 6) for r in scored(docs.orderBy("doc_id", "text"), model, batch_bytes=b).collect()] for b in (50, 1 << 22))
+    one, two = ([round(r[TOXICITY], 6) for r in scored(docs, model, shard_bytes=b).orderBy("doc_id", "text").collect()] for b in (50, 1 << 22))
     assert one == two and all(0 <= x <= 1 for x in one) and len(one) == len(messy_texts()) + 2
     assert scored(messy_docs(spark, []), model).count() == 0
 
 
-def test_a_full_table_backs_off(spark):
-    rows = _insults(spark, 200)
-    model = learned(rows, "text", "bad", F.col("doc_id"), bits=8)
-    assert all(0 <= r[TOXICITY] <= 1 for r in scored(rows, model).collect())
+def _slow_score(text, chance, calibration):
+    """The score of one text by dictionaries and loops."""
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    padded = b"\0" * (kn._ORDER - 1) + data
+    ratios = [math.log(chance(padded[i : i + kn._ORDER], 0) / chance(padded[i : i + kn._ORDER], 1)) for i in range(len(data))]
+    n, whole = len(data), sum(ratios)
+    best = max((sum(ratios[i : i + 16]) for i in range(n - 15)), default=whole)
+    signs = [100 * whole / n, whole / math.sqrt(n), best, math.log(n)] if n else [0.0] * 4
+    bias, *weights = calibration
+    return 1 / (1 + math.exp(-max(-30, min(30, bias + sum(w * s for w, s in zip(weights, signs, strict=True))))))
+
+
+def test_scores_against_dictionaries(spark):
+    """Whole scores: counts, gains, passages, normalisation and calibration; the model in many blocks, the texts in many shards."""
+    rows = _insults(spark, 60)
+    model = learned(rows, "text", "bad", F.col("doc_id"), block_keys=500, calibration_rows=0)
+    model = kn.Model(model.gains, model.blocks, (-1.0, 0.02, 0.3, 0.1, -0.2))
+    assert model.blocks > 8
+    chance = _slow_chances([(r["text"], r["bad"]) for r in rows.collect()], 0.75)
+    docs = messy_docs(spark, [t for t in messy_texts() if len(t or "") < 3000] + [r["text"].upper() for r in rows.limit(5).collect()])
+    for r in scored(docs, model, shard_bytes=300).collect():
+        assert abs(r[TOXICITY] - _slow_score(r["text"], chance, model.calibration)) < 1e-4, r["text"]
+
+
+@pytest.mark.parametrize("stretch", [1, 5, 64, 1 << 16])
+def test_stretches_are_the_whole_shard(stretch, monkeypatch):
+    monkeypatch.setattr(kn, "_STRETCH", stretch)
+    texts = ["", "ab", None, "A longer text that goes over several stretches é" * 3, "", "x" * 40, "last"]
+    data, offsets = packed_text(pa.array(texts))
+    found = np.zeros(len(data), np.int64)
+    for at, different, times, place in kn._stretches(data, offsets):
+        found[at + place] = np.repeat(different, times)
+    assert (found == kn.sequences(data, offsets)[0]).all()
+    assert (kn._distinct(data, offsets) == np.unique(found)).all()
+    assert (kn._unpacked(kn._packed(np.unique(found)), np.int64) == np.unique(found)).all()
+    gain = np.arange(len(data), dtype=np.float32) % 7 - 3
+    assert np.allclose(kn._signs_by_rows(gain, offsets, stretch), kn.signs_of(gain, offsets))
 
 
 def test_every_sequence_keeps_its_gain(spark):
-    """However small the blocks, each counted sequence and context is found with its own gain, and no other is."""
+    """However many blocks, the same scores; and each counted sequence and context stands in the table with its own gain."""
     rows = _insults(spark, 100)
     seen, contexts = model_rows(counted(rows, "text", "bad"), 0.75)
-    blocks, begins = kn._blocks(seen, contexts, 1 << 10)
-    assert len(blocks) > 4 and len(begins) == len(blocks) - 1
-    entries = [(r["key"], r["length"], context, r["gain"]) for part, context in ((seen, False), (contexts, True)) for r in part.collect()]
-    assert sum((~np.isnan(b.value[1])).sum() for b in blocks) == len(entries)
-    for key, length, context, gain in entries:
-        key = np.array([key])
-        block = int(np.searchsorted(begins, kn._places(key << 8 if context else key), "right")[0])
-        known, found = Gains(*blocks[block].value)._found(key, length, context)
-        assert known[0] and abs(found[0] - gain) < 1e-5
-    one, two = ([r[TOXICITY] for r in scored(rows.orderBy("doc_id"), learned(rows, "text", "bad", F.col("doc_id"), bits=b)).collect()] for b in (12, 22))
+    table = kn.gain_table(seen, contexts)
+    entries = {(r["key"] | (2 * r["length"] + c) << 56): r["gain"] for part, c in ((seen, 0), (contexts, 1)) for r in part.collect()}
+    assert {r["whole"]: r["gain"] for r in table.collect()} == pytest.approx(entries, abs=1e-5)
+    one, two = ([r[TOXICITY] for r in scored(rows, learned(rows, "text", "bad", F.col("doc_id"), block_keys=n)).orderBy("doc_id").collect()] for n in (1 << 10, 1 << 22))
     assert np.allclose(one, two, atol=1e-6)
 
 
+def test_millions_of_keys_stay_on_the_executors(spark, monkeypatch):
+    """More keys than fit into one block, from random texts; what reaches the driver are numbers and the calibration sample."""
+    rows = spark.range(420, numPartitions=6).select(
+        F.col("id").alias("doc_id"), F.concat(*[F.sha2(F.concat("id", F.lit(f" {i}")), 512) for i in range(50)]).alias("text"), (F.col("id") % 4 == 0).alias("bad")
+    )
+    sizes, plain = [], type(rows).toArrow
+    monkeypatch.setattr(type(rows), "toArrow", lambda frame: sizes.append((table := plain(frame)).num_rows) or table)
+    model = learned(rows, "text", "bad", F.col("doc_id"), calibration_rows=20)
+    assert model.gains.count() > 1 << 22 and model.blocks > 8
+    found = scored(rows, model).select(TOXICITY).collect()
+    assert len(found) == 420 and all(0 <= r[0] <= 1 for r in found) and max(sizes) <= 100
+
+
+def test_repeated_rows_do_not_fill_the_calibration(spark):
+    rows = _insults(spark, 40).withColumn("doc_id", F.lit(None).cast("long"))
+    copies = rows.limit(1).crossJoin(spark.range(3_000)).drop("id").unionAll(rows)
+    assert all(0 <= r[TOXICITY] <= 1 for r in scored(rows, learned(copies, "text", "bad", F.col("doc_id"))).collect())
+
+
 def test_only_the_calibration_sample_is_kept_back(spark, monkeypatch):
     rows, read = _insults(spark), []
     monkeypatch.setattr(kn, "counted", lambda some, *a: read.append(some.count()) or counted(some, *a))
@@ -312,7 +408,7 @@ def test_only_the_calibration_sample_is_kept_back(spark, monkeypatch):
 def test_one_class_or_none(spark):
     rows = _insults(spark, 100)
     for some in (rows.where("bad"), rows.where("not bad"), rows.limit(0), rows.withColumn("bad", F.lit(None).cast("boolean"))):
-        assert all(0 <= r[TOXICITY] <= 1 for r in scored(rows.limit(5), learned(some, "text", "bad", F.col("doc_id"), bits=12)).collect())
+        assert all(0 <= r[TOXICITY] <= 1 for r in scored(rows.limit(5), learned(some, "text", "bad", F.col("doc_id"), block_keys=100)).collect())
 
 
 def test_toxicity_query(spark):
