@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardtide.llm.common import landed, prepared, table
+from cardtide.llm.common import landed, prepared, release_shuffles, table
 from cardtide.llm.kneser_ney import TOXICITY, scored
 from cardtide.llm.mixing import COPIES, mixed_rates, repeated
 from cardtide.llm.queries import TOXIC_FROM, learned_language, learned_toxicity
@@ -20,15 +20,21 @@ from cardtide.session import discard, scratch_made
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def begun(spark: SparkSession) -> None:
+    """What every stage starts with: its settings, and the room that the shuffles of the stage before took up."""
+    prepared(spark)
+    release_shuffles(spark)
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from the labels table, does not reject."""
-    prepared(spark)
+    begun(spark)
     return scored(docs, learned_toxicity(spark, sf_dir)).where(F.col(TOXICITY) < TOXIC_FROM).select(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: 3-word shingles, 3 differing bits."""
-    prepared(spark)
+    begun(spark)
     return simhash_dedup(docs)
 
 
@@ -38,7 +44,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Where a cut goes through a character, the rest of that character goes as well. A null text stays null, and a
     document stays even where nothing of its text does.
     """
-    prepared(spark)
+    begun(spark)
     cut = F.col(N_REMOVED) > 0
     return (
         repeated_bytes(docs, as_text=True)
@@ -50,7 +56,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated until the languages' shares of words are their present ones to the power 0.7; none goes."""
-    prepared(spark)
+    begun(spark)
     model = learned_language(docs)
     rows = landed(classified(docs, model), "posteriors")
     rates = repeated(mixed_rates(rows, model.labels, least=1.0), "doc_id")
@@ -59,7 +65,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their texts."""
-    prepared(spark)
+    begun(spark)
     return encoded(docs, read_model()).select(*docs.columns, F.col(IDS).alias("token_ids"), F.size(IDS).cast("long").alias("n_tokens"))
 
 
