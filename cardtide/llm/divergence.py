@@ -26,7 +26,8 @@ _PARTIAL = "lang string, source string, item string, value long"
 def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str, batch_bytes: int = 1 << 22) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of each term and rows that hold it; and one row of a null term per group.
 
-    A term is a longest run of ASCII letters and characters beyond ASCII, with A-Z in lower case. Null values are empty ones.
+    A term is a longest run of ASCII letters and characters beyond ASCII, with A-Z in lower case. Null values are
+    empty ones.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +123,8 @@ def _cell(table: pa.Table) -> pa.Table:
             out[1].extend([source[i]] * len(other))
             out[2].extend(back.tolist())
     names = ["lang", "source", "item", "value"]
-    return pa.table([pa.array([lang] * len(out[0]), pa.string()), pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], names)
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+    return pa.table([pa.array(x, kind) for x, kind in zip(([lang] * len(out[0]), *out), kinds, strict=True)], names)
 
 
 def divergences(
@@ -137,27 +139,26 @@ def divergences(
 ) -> DataFrame:
     """How far the sources of each language are from each other, and what terms set them apart: (lang, source, part, item, value, rank).
 
-    A language keeps the terms that ``min_docs`` of its rows hold. Each source of it, and the language as a whole, gives each
-    kept term a smoothed probability in whole billionths, and p diverges from q by the sum of floor((p - q)^2 / q), all in whole
-    numbers. Part ``pair``: for every other source of the language, as q, the sum over all kept terms. Part ``term``: the
-    kept terms that a source has and that are likelier there than in the language, with their values, to rank ``top``. Ranks
-    go by value downwards, then by item in the order of its bytes.
+    A language keeps the terms that ``min_docs`` of its rows hold. Each source of it, and the language as a whole,
+    gives each kept term a smoothed probability in whole billionths, and p diverges from q by the sum of floor((p -
+    q)^2 / q), all in whole numbers. Part ``pair``: for every other source of the language, as q, the sum over all
+    kept terms. Part ``term``: the kept terms that a source has and that are likelier there than in the language, with
+    their values, to rank ``top``. Ranks go by value downwards, then by item in the order of its bytes.
 
-    Pairs are summed over a cube: terms are dealt by hash into blocks of about ``term_block``, sources into blocks of about
-    ``source_block``, and a task owns cells (block of sources, block of sources, block of terms). The numbers
-    of a source in a block of terms are one row, sent to each cell that it has a part in; a cell's size does not grow with the table.
-    The cells' sums are then added up along the terms.
+    Pairs are summed over a cube: terms are dealt by hash into blocks of about ``term_block``, sources into blocks of
+    about ``source_block``, and a task owns cells (block of sources, block of sources, block of terms). The numbers of
+    a source in a block of terms are one row, sent to each cell that it has a part in; a cell's size does not grow
+    with the table. The cells' sums are then added up along the terms.
 
-    Null texts, languages and sources count as empty ones. A group without terms is compared like any other; a language without
-    kept terms has pairs of value 0; one with a single source has none. Repeated rows count as often as they are there. An
-    empty table gives no rows.
+    Null texts, languages and sources count as empty ones. A group without terms is compared like any other; a
+    language without kept terms has pairs of value 0; one with a single source has none. Repeated rows count as often
+    as they are there. An empty table gives no rows.
     """
     counts = landed(term_counts(docs, lang_col, source_col, text_col), "term-counts")
     groups = counts.where("term is null").select("lang", "source")
     seen = counts.where("term is not null")
-    kept = landed(
-        seen.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= min_docs).drop("docs"), "kept-terms"
-    )
+    kept = seen.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
+    kept = landed(kept.where(F.col("docs") >= min_docs).drop("docs"), "kept-terms")
     sizes = (
         groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
         .join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"), F.sum("lang_n").alias("lang_total")), "lang", "left")
@@ -173,9 +174,8 @@ def divergences(
     # Terms by block, numbered within it: a block has about as many terms whatever the table.
     block = Window.partitionBy("lang", "term_at")
     dealt = kept.join(sizes.select("lang", "term_blocks"), "lang").withColumn("term_at", F.pmod(F.xxhash64("term"), "term_blocks").cast("int"))
-    dealt = landed(
-        dealt.drop("term_blocks").withColumns({"place": F.row_number().over(block.orderBy("term")) - 1, "width": F.count(F.lit(1)).over(block)}), "dealt-terms"
-    )
+    numbers = {"place": F.row_number().over(block.orderBy("term")) - 1, "width": F.count(F.lit(1)).over(block)}
+    dealt = landed(dealt.drop("term_blocks").withColumns(numbers), "dealt-terms")
     mine = landed(seen.select("lang", "source", "term", "n").join(dealt, ["lang", "term"]), "kept-counts")
     totals = (
         groups.join(mine.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").na.fill(0, ["total"])

@@ -231,8 +231,9 @@ class Model:
 def signs_of(total: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """What the calibration weighs of each text, from the gain of every byte: its log likelihood as toxic less that as ordinary, normalised.
 
-    Per 100 bytes and per root of bytes (what a text is like, and how sure that is), the highest sum of a passage
-    of ``_PASSAGE`` bytes (short expressions in a long text), and the log of the length, with which that highest sum grows.
+    Per 100 bytes and per root of bytes (what a text is like, and how sure that is), the highest sum of a passage of
+    ``_PASSAGE`` bytes (short expressions in a long text), and the log of the length, with which that highest sum
+    grows.
     """
     sizes = np.diff(offsets)
     out = np.zeros((len(sizes), 4))
@@ -252,6 +253,16 @@ def signs_of(total: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def _signs_by_rows(total: np.ndarray, offsets: np.ndarray, limit: int = 1 << 21) -> np.ndarray:
+    """``signs_of`` of about ``limit`` bytes of texts at a time: sums of a whole shard would be the largest part of a task."""
+    out, i, n = [np.zeros((0, 4))], 0, len(offsets) - 1
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+        out.append(signs_of(total[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+        i = j
+    return np.concatenate(out)
+
+
 def learned(
     rows: DataFrame,
     text: str,
@@ -263,11 +274,11 @@ def learned(
 ) -> Model:
     """The two models, from all labelled rows, and their calibration, from a bounded sample.
 
-    Counts cover every row of ``rows`` whose ``positive`` (boolean) is not null, but for those that the calibration reads: about
-    ``calibration_rows`` by hash of ``order`` and the text (a row that is there many times counts as one), and an eighth at most. All sequences and
-    contexts that were counted are kept, with their whole keys, in a table; it is dealt into as many blocks as it takes for
-    about ``block_keys`` each. The driver sees their number alone. Calibration is a logistic regression on the length-normalised ratios of the
-    rows kept back.
+    Counts cover every row of ``rows`` whose ``positive`` (boolean) is not null, but for those that the calibration
+    reads: about ``calibration_rows`` by hash of ``order`` and the text (a row that is there many times counts as
+    one), and an eighth at most. All sequences and contexts that were counted are kept, with their whole keys, in a
+    table; it is dealt into as many blocks as it takes for about ``block_keys`` each. The driver sees their number
+    alone. Calibration is a logistic regression on the length-normalised ratios of the rows kept back.
     """
     usable = rows.where(F.col(positive).isNotNull() & F.col(text).isNotNull())
     n = usable.select(positive).count()
@@ -373,14 +384,20 @@ _FOUND = pa.schema([("shard", pa.int64()), ("block", pa.int32()), ("found", pa.b
 
 
 def _with_signs(
-    docs: DataFrame, text_col: str, model: Model, made: Callable[[pa.Table, np.ndarray], pa.Table], schema: StructType | str, shard_bytes: int = 1 << 24
+    docs: DataFrame,
+    text_col: str,
+    model: Model,
+    made: Callable[[pa.Table, np.ndarray], pa.Table],
+    schema: StructType | str,
+    shard_bytes: int = 1 << 24,
 ) -> DataFrame:
     """What ``made`` makes of the rows of each shard of texts and their signs (texts x 4).
 
-    Texts are dealt into shards. A shard asks for each different sequence in it once: its keys go, in order and packed, to the blocks of
-    the model by their places, and come back with their gains. A block meets the keys of about ``_CELL`` bytes of text at a time, its rows being
-    sent to as many such cells as the texts take. So no task holds more than one shard, or one block of the
-    model and the keys of one cell, and the model never leaves the executors.
+    Texts are dealt into shards. A shard asks for each different sequence in it once: its keys go, in order and
+    packed, to the blocks of the model by their places, and come back with their gains. A block meets the keys of
+    about ``_CELL`` bytes of text at a time, its rows being sent to as many such cells as the texts take. So no task
+    holds more than one shard, or one block of the model and the keys of one cell, and the model never leaves the
+    executors.
     """
     blocks = model.blocks
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
@@ -397,8 +414,9 @@ def _with_signs(
                 order, some, edges = _by_block(keys, blocks)
                 bodies = [_packed(keys[order[i:j]]) for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
                 n = len(some)
+                cell = pa.array([shard % cells] * n, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([hash(shard) % cells] * n, pa.int32()), pa.array([shard] * n), pa.array(bodies, pa.binary())],
+                    [pa.array(some, pa.int32()), cell, pa.array([shard] * n), pa.array(bodies, pa.binary())],
                     ["block", "cell", "shard", "keys"],
                 )
 
@@ -423,7 +441,7 @@ def _with_signs(
                     of_key[order[i:j]] = _unpacked(found.as_py(), np.float32)
                 for at, different, times, place in _stretches(data, offsets):
                     gain[at + place] = np.repeat(of_key[np.searchsorted(keys, different)], times)
-            parts.append(made(texts, signs_of(gain, offsets)).cast(arrow))
+            parts.append(made(texts, _signs_by_rows(gain, offsets)).cast(arrow))
         release_memory()
         return pa.concat_tables(parts) if parts else arrow.empty_table()
 
@@ -460,8 +478,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 5
 def scored(docs: DataFrame, model: Model, text_col: str = "text", shard_bytes: int = 1 << 24) -> DataFrame:
     """All rows and columns of ``docs`` with TOXICITY, from 0 to 1; whole texts are read.
 
-    Rows are put into shards of about ``shard_bytes`` of text, and at least one row. A null text counts as empty; an empty text has the score of the
-    calibration's bias. Repeated rows score alike; an empty table stays empty.
+    Rows are put into shards of about ``shard_bytes`` of text, and at least one row. A null text counts as empty; an
+    empty text has the score of the calibration's bias. Repeated rows score alike; an empty table stays empty.
     """
 
     # Without the table, which is no value that tasks could take along.

@@ -43,8 +43,8 @@ def folded(start: Column, proof: Column) -> Column:
 def _placed(rows: DataFrame, key: str, by: Sequence[str], purpose: str) -> DataFrame:
     """``rows`` with ``place``, their number from 0 among those of their ``key`` in the order of ``by``, and ``width``, the number of those.
 
-    Ranges of the order are numbered each by itself; only the ranges' sizes, of which a key has as many as there are ranges at most, are
-    added up. So a key of any size is numbered by many tasks.
+    Ranges of the order are numbered each by itself; only the ranges' sizes, of which a key has as many as there are
+    ranges at most, are added up. So a key of any size is numbered by many tasks.
     """
     ranged = rows.repartitionByRange(key, *by).sortWithinPartitions(key, *by).withColumn("at", F.monotonically_increasing_id())
     ranged = landed(ranged, purpose).withColumn("part", F.shiftright("at", 33))
@@ -67,8 +67,9 @@ def _siblings(hashes: Column, place: Column) -> Column:
 def _climbed(runs: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame, int]:
     """All nodes above the leaves from runs of leaves (tree, idx, hashes, width).
 
-    Gives (tree, level, idx, up_level, up_idx, step) of every node that has a parent in its tree; (tree, level, hash) of the trees' last
-    nodes; and the number of levels. Each level is a grouping of the one below by runs, a sixteenth of its size. A tree of a single leaf has that leaf for its node of level 1.
+    Gives (tree, level, idx, up_level, up_idx, step) of every node that has a parent in its tree; (tree, level, hash)
+    of the trees' last nodes; and the number of levels. Each level is a grouping of the one below by runs, a sixteenth
+    of its size. A tree of a single leaf has that leaf for its node of level 1.
     """
     whole = F.when(F.col("width") > 1, F.sha2(F.concat_ws("", "hashes"), 256)).otherwise(F.col("hashes")[0])
     nodes = runs.select("tree", "idx", "width", whole.alias("hash"))
@@ -104,15 +105,17 @@ def _climbed(runs: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame, int]:
 def manifest(docs: DataFrame, fields: Sequence[str], id_col: str = "doc_id", group_col: str = "source", altered: Column | None = None) -> DataFrame:
     """Every row's proof: ID, GROUP, LEAF, ALTERED, SUBROOT, ROOT and PROOF (array of siblings before and after, from the leaf up).
 
-    A leaf is the hash of a row's ``fields`` (``leaf_hash``). In a group the leaves stand by ``id_col``; rows of one id, null ids first, by their
-    hash. As long as there are several nodes, every 16 in a row, and what is left at the end, become the hash of
-    their hashes; the last is the group's SUBROOT. The subroots, of the null group first and then by the bytes of the names, are
-    put together likewise and give ROOT. ALTERED is ``altered`` (a leaf made of other values, or null), passed on.
+    A leaf is the hash of a row's ``fields`` (``leaf_hash``). In a group the leaves stand by ``id_col``; rows of one
+    id, null ids first, by their hash. As long as there are several nodes, every 16 in a row, and what is left at the
+    end, become the hash of their hashes; the last is the group's SUBROOT. The subroots, of the null group first and
+    then by the bytes of the names, are put together likewise and give ROOT. ALTERED is ``altered`` (a leaf made of
+    other values, or null), passed on.
 
-    Proofs are made by pointer jumping. Every node above the leaves points to its parent and holds the step past its siblings; in each round it takes over
-    the pointer of the node it points to, and that one's steps behind its own, so distances double and the rounds grow with the logarithm of
-    the height. A leaf, as a member of its run, then puts its own step before those of the run's node: proofs of whole rows are made
-    where they are given out, and never shuffled. Rows alone of what is put in are shuffled: ids and hashes, no texts.
+    Proofs are made by pointer jumping. Every node above the leaves points to its parent and holds the step past its
+    siblings; in each round it takes over the pointer of the node it points to, and that one's steps behind its own,
+    so distances double and the rounds grow with the logarithm of the height. A leaf, as a member of its run, then
+    puts its own step before those of the run's node: proofs of whole rows are made where they are given out, and
+    never shuffled. Rows alone of what is put in are shuffled: ids and hashes, no texts.
 
     Repeated rows are leaves each. An empty table has no rows.
     """
@@ -148,12 +151,9 @@ def manifest(docs: DataFrame, fields: Sequence[str], id_col: str = "doc_id", gro
     pointers = links.unionAll(top_links).select(*_NODE, *same)
     if n_groups > 1:
         member = top_runs.select("idx", "hashes", F.posexplode("members").alias("place", "member"))
-        pointers = pointers.unionAll(
-            member.select(
-                F.col("member.tree").alias("tree"), F.col("member.level").alias("level"), F.lit(0).cast("long").alias("idx"),
-                F.lit(_TOP).alias("up_tree"), F.lit(1).alias("up_level"), F.col("idx").alias("up_idx"), F.array(_siblings(F.col("hashes"), F.col("place"))).alias("path"),
-            )
-        )
+        own = [F.col("member.tree").alias("tree"), F.col("member.level").alias("level"), F.lit(0).cast("long").alias("idx")]
+        up = [F.lit(_TOP).alias("up_tree"), F.lit(1).alias("up_level"), F.col("idx").alias("up_idx")]
+        pointers = pointers.unionAll(member.select(*own, *up, F.array(_siblings(F.col("hashes"), F.col("place"))).alias("path")))
     last = top.select("tree", "level") if n_groups > 1 else subroots.select("tree", "level")
     none = {c: F.lit(None).cast(t) for c, t in (("up_tree", "string"), ("up_level", "int"), ("up_idx", "long"), ("path", f"array<{_STEP}>"))}
     ends = last.select("tree", "level", F.lit(0).cast("long").alias("idx"), *[v.alias(c) for c, v in none.items()])
@@ -187,7 +187,8 @@ def _jumped(pointers: DataFrame) -> DataFrame:
     over = ["up_tree", "up_level", "up_idx"]
     # Nodes of level 1 are above leaves only.
     passed = pointers.where((F.col("level") > 1) | (F.col("tree") == _TOP))
-    passed = passed.select(*[F.col(c).alias(u) for c, u in zip(_NODE, over, strict=True)], *[F.col(u).alias(f"next_{u}") for u in over], F.col("path").alias("next_path"))
+    named = [F.col(c).alias(u) for c, u in zip(_NODE, over, strict=True)]
+    passed = passed.select(*named, *[F.col(u).alias(f"next_{u}") for u in over], F.col("path").alias("next_path"))
     under_way = join_spread(pointers.where("up_level is not null"), passed, over, _NODE)
     moved = under_way.select(*_NODE, *[F.col(f"next_{u}").alias(u) for u in over], F.concat("path", "next_path").alias("path"))
     return pointers.where("up_level is null").unionAll(moved)

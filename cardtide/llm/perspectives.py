@@ -27,15 +27,17 @@ def rotated(
 ) -> DataFrame:
     """(conversation id, speaker, part, n_parts, n_turns, text, mask): the dialogue as each speaker sees it.
 
-    For every speaker the turns are rendered in order with the speaker's own as ``assistant`` and all others as ``user`` with their
-    names; ``narrators`` speak as themselves in every view and have none of their own. ``mask`` lists what is learned from, as
-    ``start:length`` in characters of ``text``, separated by commas: each of the speaker's messages with its end mark.
+    For every speaker the turns are rendered in order with the speaker's own as ``assistant`` and all others as
+    ``user`` with their names; ``narrators`` speak as themselves in every view and have none of their own. ``mask``
+    lists what is learned from, as ``start:length`` in characters of ``text``, separated by commas: each of the
+    speaker's messages with its end mark.
 
-    A dialogue comes in parts of ``part_turns`` turn numbers, so that no row holds more of one than that; its ``n_parts`` parts, joined in order, are the
-    whole, and most dialogues have just part 0. Turns are ordered by number, then by role and text; equal turns (repeated
-    rows) count once. A null text is empty, a null role is a narrator shown as ``unknown`` (a speaker of that name is one like any other), a line end in
-    a name is shown as a space, a null turn number comes first, in part -1; turns without
-    a conversation id belong to none and are left out. A dialogue with narrators alone, and an empty table, give no rows.
+    A dialogue comes in parts of ``part_turns`` turn numbers, so that no row holds more of one than that; its
+    ``n_parts`` parts, joined in order, are the whole, and most dialogues have just part 0. Turns are ordered by
+    number, then by role and text; equal turns (repeated rows) count once. A null text is empty, a null role is a
+    narrator shown as ``unknown`` (a speaker of that name is one like any other), a line end in a name is shown as a
+    space, a null turn number comes first, in part -1; turns without a conversation id belong to none and are left
+    out. A dialogue with narrators alone, and an empty table, give no rows.
     """
     named = F.col(role_col).isNotNull()
     role = F.coalesce(F.col(role_col).cast("string"), F.lit("unknown"))

@@ -28,8 +28,8 @@ _ROUNDING = 2.0**-52
 def scaled(ids: pa.Array, vectors: pa.Array, width: int, scale: float, shift: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids and floor(scale * x) of the rows that take part, shorter vectors filled up with zeros.
 
-    With a ``shift`` the whole numbers come divided by scale and by 2^shift, which is exact too as scale is a power of two: so no number is too
-    large, and none loses a bit.
+    With a ``shift`` the whole numbers come divided by scale and by 2^shift, which is exact too as scale is a power of
+    two: so no number is too large, and none loses a bit.
     """
     lists = vectors.cast(pa.large_list(pa.float64()))
     n = len(lists)
@@ -110,23 +110,24 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows for each row whose id is divisible by ``every``.
 
-    Components become floor(scale * x); the score is the inner product, ties go to the smaller id, and a
-    query's own id is no candidate. Scores are exact, whatever finite components there are: while all vectors are shorter than 2^26.5, doubles
-    hold every sum; beyond, they only choose candidates, with a margin for their rounding, and whole numbers of any size
-    rank these. A score that no long holds is ranked by its value and given as the long next to it. ``scale`` is a power of two.
-
-    * One more component makes all vectors equally long, so that the highest inner product is the
-      least distance. ``pivots`` are fitted on at most ``sample`` rows (by hash of the id); every row is
-      indexed by its nearest pivot and its distance to it, in sorted blocks of at most ``block`` rows.
-    * A query first looks at the block it lives in. Its k-th score there gives a distance that no result
-      exceeds; by the triangle inequality only the annuli [d - that, d + that] around the pivots can
-      hold results. A block of queries opens them nearest first, a few and then more from round to round; after each round the
-      k-th scores so far make the distances shorter, and it ends when no annulus within them is left. A query passes over an
-      opened block that one of all its pivot distances rules out.
+    Components become floor(scale * x); the score is the inner product, ties go to the smaller id, and a query's own
+    id is no candidate. Scores are exact, whatever finite components there are: while all vectors are shorter than
+    2^26.5, doubles hold every sum; beyond, they only choose candidates, with a margin for their rounding, and whole
+    numbers of any size rank these. A score that no long holds is ranked by its value and given as the long next to
+    it. ``scale`` is a power of two.
+
+    * One more component makes all vectors equally long, so that the highest inner product is the least distance.
+      ``pivots`` are fitted on at most ``sample`` rows (by hash of the id); every row is indexed by its nearest pivot
+      and its distance to it, in sorted blocks of at most ``block`` rows.
+    * A query first looks at the block it lives in. Its k-th score there gives a distance that no result exceeds; by
+      the triangle inequality only the annuli [d - that, d + that] around the pivots can hold results. A block of
+      queries opens them nearest first, a few and then more from round to round; after each round the k-th scores so
+      far make the distances shorter, and it ends when no annulus within them is left. A query passes over an opened
+      block that one of all its pivot distances rules out.
 
     Rows whose id or vector is null, or that hold a null or non-finite component, take no part. Shorter vectors count
-    as filled up with zeros. Equal rows count once; of an id with several vectors the best scores count. With
-    fewer than ``k`` candidates all are given; an empty table gives no rows.
+    as filled up with zeros. Equal rows count once; of an id with several vectors the best scores count. With fewer
+    than ``k`` candidates all are given; an empty table gives no rows.
     """
     spark = rows.sparkSession
     base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
@@ -272,7 +273,8 @@ def nearest(
             for row in batch.to_pylist():
                 *hits, places = _hits(row, width, centres, k, margin, shift, scale)
                 parts = pa.array([row["part"]] * len(places), pa.int64())
-                yield pa.RecordBatch.from_arrays([parts, *map(pa.array, hits), pa.array(places, pa.binary())], ["part", "query_id", "vec_id", "score", "place"])
+                names = ["part", "query_id", "vec_id", "score", "place"]
+                yield pa.RecordBatch.from_arrays([parts, *map(pa.array, hits), pa.array(places, pa.binary())], names)
 
     def tightened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,7 +287,8 @@ def nearest(
                 bound = np.maximum(bound, [known.get(i, -np.inf) for i in ids.tolist()])
                 reach = np.minimum(reach, _reach(points, bound, most, slack))
                 body = b"".join([row["body"][: 8 * n], bound.tobytes(), reach.tobytes(), row["body"][24 * n :]])
-                yield pa.RecordBatch.from_arrays([pa.array([row["part"]]), pa.array([reach.max()]), pa.array([body], pa.binary())], ["part", "reach", "body"])
+                columns = [pa.array([row["part"]]), pa.array([reach.max()]), pa.array([body], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "reach", "body"])
 
     blocks = index.select("block", "cell", "low", "high")
     rings = queries.where("cell >= 0").select("part", "cell", "near", "far", F.col("low").alias("from"), F.col("high").alias("to"))
@@ -313,8 +316,10 @@ def nearest(
         left = annuli.where(F.col("nth") > end)
         if shift is None:
             # Of each query the k-th score: as many as a block has queries.
-            least = found.where(F.col("rank") == k).groupBy("part").agg(F.collect_list(F.struct("query_id", F.col("score").cast("double").alias("least"))).alias("found"))
-            bodies = landed(bodies.join(least, "part", "left").select("part", "body", "found").mapInArrow(releasing(tightened), "part long, reach double, body binary"), "pivot-bodies")
+            last = F.struct("query_id", F.col("score").cast("double").alias("least"))
+            least = found.where(F.col("rank") == k).groupBy("part").agg(F.collect_list(last).alias("found"))
+            asking = bodies.join(least, "part", "left").select("part", "body", "found")
+            bodies = landed(asking.mapInArrow(releasing(tightened), "part long, reach double, body binary"), "pivot-bodies")
         if left.join(bodies.select("part", "reach"), "part").where(F.col("gap") <= F.col("reach")).isEmpty():
             break
         begin, end = end, end * _MORE

@@ -54,11 +54,11 @@ class _Chunk:
 class Resync:
     """A byte-level BPE tokenizer whose words are found by one scan from left to right.
 
-    Such a scan goes on from a place by what follows it alone. If a chunk's scan stands at a place where the scan of the whole text
-    stands too, both agree from there on, up to where the chunk's end comes into sight. So a place is stable if both the chunk before,
-    from a stable place of its own and away from its end, and the chunk after stop there: the tokens before it
-    are taken from the one and those behind it from the other. Added tokens are matched before the scan; a place in one of
-    them is no stop of a chunk that sees the whole of it.
+    Such a scan goes on from a place by what follows it alone. If a chunk's scan stands at a place where the scan of
+    the whole text stands too, both agree from there on, up to where the chunk's end comes into sight. So a place is
+    stable if both the chunk before, from a stable place of its own and away from its end, and the chunk after stop
+    there: the tokens before it are taken from the one and those behind it from the other. Added tokens are matched
+    before the scan; a place in one of them is no stop of a chunk that sees the whole of it.
     """
 
     def __init__(self, tokenizer: str, chunk: int = 1 << 15, overlap: int = 256, memory: int = 1 << 19) -> None:
@@ -161,9 +161,10 @@ class Resync:
 def segment_begins(data: np.ndarray, offsets: np.ndarray, free: np.ndarray) -> np.ndarray:
     """Places at which a text, or a segment of it, begins, where its first byte (or the line end before it) is ``free``.
 
-    These are places where the scan of words stops whatever is around: before a space behind a visible ASCII character, before an ASCII
-    character behind an ASCII letter unless it is a letter too, and between a line end, alone behind a visible character, and a
-    letter. What a segment ends in has the same words with the text's end behind it.
+    These are places where the scan of words stops whatever is around: before a space behind a visible ASCII
+    character, before an ASCII character behind an ASCII letter unless it is a letter too, and between a line end,
+    alone behind a visible character, and a letter. What a segment ends in has the same words with the text's end
+    behind it.
     """
     begin = np.zeros(len(data), bool)
     visible = (data > 32) & (data < 127)
@@ -188,10 +189,10 @@ def token_counts(
 
     The count is that of the library over the whole text, without special tokens being added; their strings in a text
     are treated as the tokenizer says. Texts of over ``chunk`` bytes go through chunks of so many characters and
-    ``overlap`` more, others through their segments, of which each different one is encoded once as long as it is remembered. What a
-    task holds at a time is a batch of about ``batch_bytes`` and at least one row, and the tokens of a few chunks; where a
-    run of one kind of characters is longer than an overlap, the chunk grows as far as that run. A null text counts
-    as empty, an empty one has no tokens; repeated rows stay; an empty table stays empty.
+    ``overlap`` more, others through their segments, of which each different one is encoded once as long as it is
+    remembered. What a task holds at a time is a batch of about ``batch_bytes`` and at least one row, and the tokens
+    of a few chunks; where a run of one kind of characters is longer than an overlap, the chunk grows as far as that
+    run. A null text counts as empty, an empty one has no tokens; repeated rows stay; an empty table stays empty.
     """
     schema = StructType([*docs.schema.fields, StructField(N_BYTES, LongType()), StructField(N_TOKENS, LongType())])
     at = docs.columns.index(text_col)
