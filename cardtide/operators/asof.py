@@ -11,17 +11,23 @@ _SLICE, _FROM, _UNTIL = "_slice", "_from", "_until"
 
 
 def as_of(
-    rows: DataFrame, versions: DataFrame, keys: Sequence[str], *, time: str = "event_time", valid_from: str = "valid_from", slice_seconds: int = 86_400
+    rows: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    *,
+    time: str = "event_time",
+    valid_from: str = "valid_from",
+    slice_seconds: int = 86_400,
 ) -> DataFrame:
     """All rows and columns of ``rows`` with the columns of the version of their ``keys`` that is the last at or before their time.
 
-    Rows before the first version, without a time, or with a null key have nulls there. Of several versions of one key and instant the greatest
-    (column by column) counts.
+    Rows before the first version, without a time, or with a null key have nulls there. Of several versions of one key
+    and instant the greatest (column by column) counts.
 
-    A version is in force until the next one of its key. It is sent to each time slice in which that is so, and rows meet the versions of their
-    key and slice in a plain join, with the exact times as its condition. So no key is a task: a key's rows are
-    dealt by slice, and adaptive execution splits what is still large, as both sides are exchanged for the join alone. Choose slices no
-    shorter than versions last, else each is sent many times.
+    A version is in force until the next one of its key. It is sent to each time slice in which that is so, and rows
+    meet the versions of their key and slice in a plain join, with the exact times as its condition. So no key is a
+    task: a key's rows are dealt by slice, and adaptive execution splits what is still large, as both sides are
+    exchanged for the join alone. Choose slices no shorter than versions last, else each is sent many times.
     """
     values = [c for c in versions.columns if c not in keys and c != valid_from]
 

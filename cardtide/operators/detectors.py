@@ -203,9 +203,10 @@ _EDGES = "card_id string, slice_at long, firsts array<long>, lasts array<long>"
 def probe_edges(charges: DataFrame, *, min_count: int = 3, within_seconds: int = 60, copies: int = 8) -> DataFrame:
     """A stream of the first and last ``min_count`` instants of small charges per card and slice, given out when the slice has closed.
 
-    This is all that ``card_testing`` needs to know of a slice, so no row is ever held: the state of a card and slice is
-    ``copies`` times twice ``min_count`` numbers, whatever happens on the card. A hot card is spread over ``copies`` states, which are
-    put together by ``card_testing_from``. ``charges`` are small charges with a watermark.
+    This is all that ``card_testing`` needs to know of a slice, so no row is ever held: the state of a card and slice
+    is ``copies`` times twice ``min_count`` numbers, whatever happens on the card. A hot card is spread over
+    ``copies`` states, which are put together by ``card_testing_from``. ``charges`` are small charges with a
+    watermark.
     """
     n, micros = int(min_count), int(within_seconds) * 1_000_000
 
@@ -227,7 +228,8 @@ def probe_edges(charges: DataFrame, *, min_count: int = 3, within_seconds: int =
     at = F.unix_micros("event_time")
     slice_at = F.unix_micros(F.window("event_time", f"{int(within_seconds)} seconds")["start"])
     copy = F.pmod(F.xxhash64(*_SPREAD), F.lit(copies)).cast("int")
-    keyed = charges.where(F.col("card_id").isNotNull()).select("card_id", slice_at.alias("slice_at"), copy.alias("copy"), at.alias("at"), "event_time")
+    known = charges.where(F.col("card_id").isNotNull())
+    keyed = known.select("card_id", slice_at.alias("slice_at"), copy.alias("copy"), at.alias("at"), "event_time")
     grouped = keyed.groupBy("card_id", "slice_at", "copy")
     return grouped.applyInPandasWithState(kept, _EDGES, "firsts array<long>, lasts array<long>", "append", "EventTimeTimeout")
 
@@ -237,16 +239,17 @@ def card_testing_from(
 ) -> DataFrame:
     """``card_testing`` of stored transactions by the ``edges`` a stream has given out: the flagged rows of closed slices.
 
-    ``edges`` have the parameters of this call. Slices they do not hold, as they are still open, have no flagged rows yet. Transactions of other times
-    than the edges' may be left out.
+    ``edges`` have the parameters of this call. Slices they do not hold, as they are still open, have no flagged rows
+    yet. Transactions of other times than the edges' may be left out.
     """
     kind = transactions.schema["event_time"].dataType
 
     def points(field: str, shift: int, early: bool) -> DataFrame:
         instant, never = F.timestamp_micros("at").cast(kind), F.lit(None).cast(kind)
         slices = edges.select("card_id", (F.col("slice_at") + shift).alias("slice_at"), F.explode(field).alias("at"))
+        ends = (instant, never) if early else (never, instant)
         return slices.select(
-            "card_id", F.timestamp_micros("slice_at").cast(kind).alias("_slice"), (instant if early else never).alias("early"), (never if early else instant).alias("late")
+            "card_id", F.timestamp_micros("slice_at").cast(kind).alias("_slice"), ends[0].alias("early"), ends[1].alias("late")
         )
 
     both = points("firsts", 0, True).unionAll(points("lasts", int(within_seconds) * 1_000_000, False))
@@ -289,13 +292,13 @@ def impossible_travel(
 ) -> DataFrame:
     """Transactions preceded, on the same card and within the interval, by one in a different city.
 
-    ``copies`` is the number of sub-keys over which the rows of one card, slice and city (on a stream, of one card and slice) are spread
-    in a join (by default 4, and 16 on a stream). In batch adaptive execution splits a sub-key that is still too large; on a stream nothing does,
-    so choose it by the share of rows the busiest card has there.
+    ``copies`` is the number of sub-keys over which the rows of one card, slice and city (on a stream, of one card and
+    slice) are spread in a join (by default 4, and 16 on a stream). In batch adaptive execution splits a sub-key that
+    is still too large; on a stream nothing does, so choose it by the share of rows the busiest card has there.
 
-    A stream needs a watermark on ``event_time``; there, a flagged row comes out when the time slice
-    it is in has closed, and rows are held until then. What it holds at once therefore depends on how far one
-    micro-batch reaches ahead: limit the batches of a backlog, and read it in the order of time.
+    A stream needs a watermark on ``event_time``; there, a flagged row comes out when the time slice it is in has
+    closed, and rows are held until then. What it holds at once therefore depends on how far one micro-batch reaches
+    ahead: limit the batches of a backlog, and read it in the order of time.
     """
     seconds = int(within_seconds)
     complete = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
@@ -382,10 +385,11 @@ def _batch_bounds(transactions: DataFrame, seconds: int) -> tuple[DataFrame, Dat
 def _streamed_travel(transactions: DataFrame, seconds: int, copies: int) -> DataFrame:
     """The same for a stream, where a watermark has to reach every step and no step may hold more than a few values per card and slice.
 
-    A sliding window of two slices pairs each slice (its second half) with the one before. Per card and window the first row of the
-    slice and the last of the slice before are the best of all cities. The best of all other cities cannot be found in the same pass,
-    as it depends on which city that is; so rows of windows with several cities meet those first two, and what is left of
-    them is reduced to the best once more. All four are values of fixed size, however many cities a card has.
+    A sliding window of two slices pairs each slice (its second half) with the one before. Per card and window the
+    first row of the slice and the last of the slice before are the best of all cities. The best of all other cities
+    cannot be found in the same pass, as it depends on which city that is; so rows of windows with several cities meet
+    those first two, and what is left of them is reduced to the best once more. All four are values of fixed size,
+    however many cities a card has.
     """
     instant, city = F.col("event_time"), F.col("city")
     key = ["card_id", "span"]
@@ -436,10 +440,11 @@ def card_home_city(transactions: DataFrame) -> DataFrame:
 def card_home_city_of_many(transactions: DataFrame, buckets: int = 64) -> DataFrame:
     """``card_home_city`` where cities are free text: the same rows, without a count for each city that a card was ever seen in.
 
-    A card's cities are dealt into ``buckets`` by hash, and a first pass counts those alone: a summary of fixed size that adds up. The cities of the
-    fullest bucket are counted exactly; the best of them bounds the home city from below, and a bucket that holds fewer rows cannot
-    have a better or an equal one. Only cities of the buckets that are left are counted too. So ties are kept exactly, and what is
-    counted city by city is a small part of a card, unless it has no usual city at all. Three scans, of the card and the city.
+    A card's cities are dealt into ``buckets`` by hash, and a first pass counts those alone: a summary of fixed size
+    that adds up. The cities of the fullest bucket are counted exactly; the best of them bounds the home city from
+    below, and a bucket that holds fewer rows cannot have a better or an equal one. Only cities of the buckets that
+    are left are counted too. So ties are kept exactly, and what is counted city by city is a small part of a card,
+    unless it has no usual city at all. Three scans, of the card and the city.
     """
     known = transactions.where(F.col("card_id").isNotNull() & F.col("city").isNotNull())
     bucket = F.pmod(F.xxhash64("city"), F.lit(buckets)).cast("int")
@@ -497,8 +502,8 @@ def detector_flags(
 def detector_confusion(flagged: DataFrame, detectors: Sequence[str]) -> DataFrame:
     """Score detectors against the labels: one row for each of ``detectors``, in one pass over the rows.
 
-    ``flagged`` are transactions with a BOOLEAN column per detector, named like the fraud type it looks for. ``tp`` … ``tn``
-    compare with that very ``fraud_type``, ``any_tp`` … ``any_tn`` with ``is_fraud``.
+    ``flagged`` are transactions with a BOOLEAN column per detector, named like the fraud type it looks for. ``tp`` …
+    ``tn`` compare with that very ``fraud_type``, ``any_tp`` … ``any_tn`` with ``is_fraud``.
     """
     def cells(hit: Column, true: Column, prefix: str) -> list[Column]:
         return [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Width of a sketch; its error is stated for this one.
@@ -16,8 +16,8 @@ RANK_ERROR = 0.005
 def quantile_sketches(transactions: DataFrame, min_amount: float = 5.0, k: int = SKETCH_K) -> DataFrame:
     """(category, day, n, sketch) of the amounts above ``min_amount``: a few kilobytes however many rows a day has.
 
-    Sketches are made before the shuffle and merged behind it, so a hot category costs one sketch per task. Amounts that are
-    no numbers, or infinite, stay out, as do rows without a time.
+    Sketches are made before the shuffle and merged behind it, so a hot category costs one sketch per task. Amounts
+    that are no numbers, or infinite, stay out, as do rows without a time.
     """
     amount = F.col("amount")
     usual = transactions.where((amount > min_amount) & (amount < float("inf")) & F.col("event_time").isNotNull())
@@ -29,8 +29,12 @@ def quantile_sketches(transactions: DataFrame, min_amount: float = 5.0, k: int =
 def quantile_norms(sketches: DataFrame, quantiles: Sequence[float], k: int = SKETCH_K) -> DataFrame:
     """(category, n, quantile, amount) over all days given: select days first for a period."""
     merged = sketches.groupBy("category").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
-    found = [F.struct(F.lit(float(q)).alias("quantile"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))).alias("amount")) for q in quantiles]
-    return merged.select("category", "n", F.inline(F.array(*found)))
+
+    def found(q: float) -> Column:
+        share = F.lit(float(q))
+        return F.struct(share.alias("quantile"), F.kll_sketch_get_quantile_double("sketch", share).alias("amount"))
+
+    return merged.select("category", "n", F.inline(F.array(*map(found, quantiles))))
 
 
 def rank_errors(transactions: DataFrame, norms: DataFrame, min_amount: float = 5.0) -> DataFrame:

@@ -17,8 +17,9 @@ def roll_up(spark: SparkSession, fine_dir: str, coarse_dir: str, duration: str)
 def refresh(spark: SparkSession, fine_dir: str, coarse_dir: str, duration: str, changed: DataFrame) -> list[str]:
     """Bring coarse windows up to date after finer windows (``window_start`` of ``changed``) have changed; returns the dates touched.
 
-    Only dates of changed windows are read and written, and of those only changed coarse windows are added up again; the
-    others of a touched date are taken over as they are. Rows behind the windows are never read. It may be repeated after a failure.
+    Only dates of changed windows are read and written, and of those only changed coarse windows are added up again;
+    the others of a touched date are taken over as they are. Rows behind the windows are never read. It may be
+    repeated after a failure.
     """
     stale = landed(changed.select(F.window("window_start", duration)["start"].alias("window_start")).distinct(), "stale-windows")
     # One value per date of the table at most.

@@ -59,8 +59,8 @@ def as_gold(statistics: DataFrame, minor_units: int = CENTS) -> DataFrame:
 def differences(fresh: DataFrame, stored: DataFrame) -> DataFrame:
     """What has to be added to ``stored`` so that its windows are those of ``fresh``; windows without a difference are left out.
 
-    Only windows that ``fresh`` counts more rows in are put right: rows are added to a log and never taken away. Amounts that do not fit
-    are compared as they were added, as doubles.
+    Only windows that ``fresh`` counts more rows in are put right: rows are added to a log and never taken away.
+    Amounts that do not fit are compared as they were added, as doubles.
     """
     old = stored.select(*_KEY, *[F.col(f.name).alias(f"_{f.name}") for f in STATISTICS if f.name not in _KEY])
     both = fresh.join(old, _KEY, "left").where(F.col("tx_count") > F.coalesce("_tx_count", F.lit(0)))

@@ -13,8 +13,9 @@ from cardtide.session import scratch_dir
 def prefix_sums(rows: DataFrame, order: Sequence[Column], sums: Sequence[str]) -> DataFrame:
     """``rows`` with ``upto_<name>`` for each of ``sums``: the sum over all rows up to and including theirs in a total ``order``.
 
-    Rows are dealt into ranges of the order, each range adds up its own, and only one row per range takes part in the sums over
-    ranges. So no window covers the table: its widest one holds one range, whose size adaptive execution bounds.
+    Rows are dealt into ranges of the order, each range adds up its own, and only one row per range takes part in the
+    sums over ranges. So no window covers the table: its widest one holds one range, whose size adaptive execution
+    bounds.
     """
     spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, "ranges")
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
@@ -32,8 +33,8 @@ def prefix_sums(rows: DataFrame, order: Sequence[Column], sums: Sequence[str]) -
 def scores_by_threshold(scored: DataFrame, score: str, positive: str) -> DataFrame:
     """For every different ``score``, the verdicts of a detector that flags rows of that score and above.
 
-    ``n_flagged`` and ``n_hits`` of them, ``precision`` and ``recall`` (null without any positive row). Rows without a score are never
-    flagged, but count as missed where they are positive.
+    ``n_flagged`` and ``n_hits`` of them, ``precision`` and ``recall`` (null without any positive row). Rows without a
+    score are never flagged, but count as missed where they are positive.
     """
     truth = F.coalesce(F.col(positive), F.lit(False))
     by_score = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(

@@ -20,8 +20,8 @@ def with_date(rows: DataFrame) -> DataFrame:
 def write_by_date(rows: DataFrame, path: str, *, replace: bool = False) -> None:
     """Append windows to their dates' folders; with ``replace``, put them in the place of all that those dates hold.
 
-    Files are ranges of windows in order. Replacing dates is one commit for all of them, and may be repeated after a failure; rows that come from
-    the same table are written elsewhere first (``landed``).
+    Files are ranges of windows in order. Replacing dates is one commit for all of them, and may be repeated after a
+    failure; rows that come from the same table are written elsewhere first (``landed``).
     """
     ranged = with_date(rows).repartitionByRange(DATE, "window_start").sortWithinPartitions(DATE, "window_start")
     writer = ranged.write.partitionBy(DATE)
@@ -64,8 +64,8 @@ def read_dates(spark: SparkSession, path: str, schema: StructType, dates: Sequen
 def latest(spark: SparkSession, path: str, schema: StructType, n: int) -> DataFrame:
     """The rows of the newest dates that together hold at least ``n`` different windows, or of all dates.
 
-    Folders are tried from the newest on, twice as many each time, so what is read depends on ``n`` and on how full a date is, and not
-    on the age of the table.
+    Folders are tried from the newest on, twice as many each time, so what is read depends on ``n`` and on how full a
+    date is, and not on the age of the table.
     """
     known, take = dates_of(spark, path)[::-1], 1
     while True:

@@ -63,13 +63,14 @@ def stage_batches(
 ) -> int:
     """Lay a table out as a stream's backlog in files that follow time, written once; returns files per batch.
 
-    A file stream takes files by age and a watermark moves between batches only, so a backlog has to be read in batches that follow
-    time: else all of it is one batch, and all its windows and rows are state at once. Every file is a stretch
-    of time of its own and is dated by it, so files may be taken in any number at a time. By default there are 4 batches, and more from
-    ``rows_per_batch`` rows each on, so the state of a batch does not grow with the table; and a batch has as many files as the
-    session has cores, fewer where they would hold less than ``rows_per_file`` rows. All rows go out, those without a time in the first stretch;
-    rows where ``late`` is true make one more batch at the end. ``then`` is applied to rows on their way into the files. The
-    folder has to be on a file system that keeps modification times.
+    A file stream takes files by age and a watermark moves between batches only, so a backlog has to be read in
+    batches that follow time: else all of it is one batch, and all its windows and rows are state at once. Every file
+    is a stretch of time of its own and is dated by it, so files may be taken in any number at a time. By default
+    there are 4 batches, and more from ``rows_per_batch`` rows each on, so the state of a batch does not grow with the
+    table; and a batch has as many files as the session has cores, fewer where they would hold less than
+    ``rows_per_file`` rows. All rows go out, those without a time in the first stretch; rows where ``late`` is true
+    make one more batch at the end. ``then`` is applied to rows on their way into the files. The folder has to be on a
+    file system that keeps modification times.
     """
     spark = events.sparkSession
     micros = F.unix_micros(F.col(time).cast("timestamp"))

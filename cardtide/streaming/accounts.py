@@ -32,10 +32,11 @@ def counting_out(gold: DataFrame) -> DataFrame:
 def accounts(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The batches that a query still reports, oldest first, as rows of ``ACCOUNTS``.
 
-    The observations are made in the batches themselves, so they cost no second pass. Rows that came in, were not rejected and are in no
-    window that went out are late, or in windows still open. A query reports its last ``spark.sql.streaming.numRecentProgressUpdates`` batches: append
-    this table somewhere at least that often, and keep one row per ``run_id`` and ``batch_id`` on reading. A batch without data counts too
-    (a watermark that moves closes windows); the observations of a batch that was repeated are those of its last run.
+    The observations are made in the batches themselves, so they cost no second pass. Rows that came in, were not
+    rejected and are in no window that went out are late, or in windows still open. A query reports its last
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches: append this table somewhere at least that often, and
+    keep one row per ``run_id`` and ``batch_id`` on reading. A batch without data counts too (a watermark that moves
+    closes windows); the observations of a batch that was repeated are those of its last run.
     """
     rows = []
     for progress in query.recentProgress:
@@ -45,7 +46,8 @@ def accounts(spark: SparkSession, query: StreamingQuery) -> DataFrame:
         state = told.get("stateOperators") or []
         rows.append(
             (
-                told.get("name"), told["runId"], told["batchId"], into.get("rows", 0), into.get("rejected", 0), out.get("windows", 0), out.get("rows", 0),
+                told.get("name"), told["runId"], told["batchId"],
+                into.get("rows", 0), into.get("rejected", 0), out.get("windows", 0), out.get("rows", 0),
                 sum(s.get("numRowsTotal", 0) for s in state), sum(s.get("memoryUsedBytes", 0) for s in state),
                 (told.get("eventTime") or {}).get("watermark"), (told.get("durationMs") or {}).get("triggerExecution"),
             )

@@ -32,10 +32,11 @@ def run_pipeline(
 ) -> list[StreamingQuery]:
     """Start the queries and return them; ``spark.streams.awaitAnyTermination()`` waits for the first end.
 
-    ``windows_by_date`` lands the additive statistics of the windows too, by date: what ``reconcile`` and ``roll_up`` work on.
+    ``windows_by_date`` lands the additive statistics of the windows too, by date: what ``reconcile`` and ``roll_up``
+    work on.
 
-    Bronze and Gold have their own checkpoints, so each recovers on its own. Gold state is one row
-    per open window, which is why few state partitions do; size them once, before the first start.
+    Bronze and Gold have their own checkpoints, so each recovers on its own. Gold state is one row per open window,
+    which is why few state partitions do; size them once, before the first start.
     """
     configure(spark)
     events = read_transactions(spark, source)

@@ -35,13 +35,14 @@ def reconcile(
 ) -> list[str]:
     """Append to ``corrections_dir`` what Bronze holds more of than the stored windows; returns the dates touched.
 
-    The stream leaves out rows behind its watermark, while Bronze (landed ``by_date``) keeps them. A date is touched if Bronze has more rows of it than
-    the windows count, which the row counts of Bronze's files tell; only touched dates are then read. Their windows are added up again, and
-    the differences to what is stored, sums and counts alike, become new rows: stored rows are never rewritten, and a
-    run without anything late writes nothing. A run that failed is simply repeated.
-
-    Windows still open in the stream would be given out by it once more: where it goes on, pass ``closed_before``, its watermark. Bronze has
-    to have landed what the stream has read; windows that it has fewer rows of are left alone.
+    The stream leaves out rows behind its watermark, while Bronze (landed ``by_date``) keeps them. A date is touched
+    if Bronze has more rows of it than the windows count, which the row counts of Bronze's files tell; only touched
+    dates are then read. Their windows are added up again, and the differences to what is stored, sums and counts
+    alike, become new rows: stored rows are never rewritten, and a run without anything late writes nothing. A run
+    that failed is simply repeated.
+
+    Windows still open in the stream would be given out by it once more: where it goes on, pass ``closed_before``, its
+    watermark. Bronze has to have landed what the stream has read; windows that it has fewer rows of are left alone.
     """
     bronze = spark.read.schema(_dated(BRONZE, "event_date")).parquet(bronze_dir)
     landed_rows = bronze.where("event_date is not null").groupBy(F.col("event_date").alias(DATE)).agg(F.count(F.lit(1)).alias("rows"))

@@ -148,9 +148,10 @@ def export_snapshot(
 ) -> dict[str, int]:
     """Consolidate Gold into compact sorted Parquet; returns ``windows`` and ``bytes``.
 
-    An empty Gold or an unreadable file is an error here. The files are ranges of windows in order: one file for as long as
-    adaptive execution holds that one task can take it all (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), then
-    more. ``files`` asks for a number instead; 1 makes one task sort and write all of Gold.
+    An empty Gold or an unreadable file is an error here. The files are ranges of windows in order: one file for as
+    long as adaptive execution holds that one task can take it all
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), then more. ``files`` asks for a number instead; 1 makes one
+    task sort and write all of Gold.
     """
     gold = scan_gold(spark, gold_dir)
     if gold is None:
@@ -168,10 +169,11 @@ def export_snapshot(
 def export_changed(spark: SparkSession, gold_dir: str, out_dir: str) -> list[str]:
     """Bring a snapshot laid out by date up to date with a Gold folder laid out by date; returns the dates rewritten.
 
-    Which dates have changed is told by the listing of Gold alone: the names, sizes and times of a date's files, against what the last export has noted
-    of them. Only changed dates are read, consolidated and written, in the place of what the snapshot held of them; dates that Gold lost
-    are emptied. What was seen is noted last, so an export that failed does its dates again. The first export writes all.
-    An empty Gold is an error, as is an unreadable file of a date that is read.
+    Which dates have changed is told by the listing of Gold alone: the names, sizes and times of a date's files,
+    against what the last export has noted of them. Only changed dates are read, consolidated and written, in the
+    place of what the snapshot held of them; dates that Gold lost are emptied. What was seen is noted last, so an
+    export that failed does its dates again. The first export writes all. An empty Gold is an error, as is an
+    unreadable file of a date that is read.
     """
     if not dates_of(spark, gold_dir):
         raise ValueError(f"no Gold data files in {gold_dir}: run the stream first")
@@ -179,7 +181,8 @@ def export_changed(spark: SparkSession, gold_dir: str, out_dir: str) -> list[str
     file = F.concat_ws("|", F.element_at(F.split("path", "/"), -1), "length", F.unix_micros("modificationTime"))
     dated = listing.select(F.regexp_extract("path", f"/{DATE}=([^/]+)/", 1).alias("date"), F.xxhash64(file).cast("decimal(38,0)").alias("mark"))
     # The sum does not depend on the order of files.
-    seen = landed(dated.where("date <> ''").groupBy("date").agg(F.count(F.lit(1)).alias("files"), F.sum("mark").cast("string").alias("mark")), "listing")
+    marks = [F.count(F.lit(1)).alias("files"), F.sum("mark").cast("string").alias("mark")]
+    seen = landed(dated.where("date <> ''").groupBy("date").agg(*marks), "listing")
     notes = f"{out_dir}{_NOTES}"
     before = spark.createDataFrame([], seen.schema)
     if dates_of(spark, out_dir):
