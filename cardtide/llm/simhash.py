@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +19,14 @@ FINGERPRINT = f"{HIDDEN}fingerprint"
 GROUP = f"{HIDDEN}group"
 ROW = f"{HIDDEN}row"
 
-#: Bits that a pair shares in each table: one block of 16 and one of the 4 blocks of 12 in the rest.
-_SHARED = 28
-#: Bits of each level of nodes below the shared ones, as shifts of the permuted fingerprint.
-_SHIFTS = (36, 24, 12, 0)
+#: Bits below those that a pair shares: at first one block of 16 and one of the 4 blocks of 12 in the rest, and in
+#: groups that are dealt once more, one of 4 blocks of the bits left.
+_FREE = (36, 27, 21, 16, 12, 9, 7, 6, 5, 4)
 _PAIRS = 1 << 20
+#: A group of about so many codes is dealt once more.
+_CROWD = 4096
+#: Codes that group sizes are estimated from, one of so many.
+_EVERY = 16
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -58,6 +61,14 @@ def restored(values: np.ndarray, kind: int) -> np.ndarray:
     return _rotated((values ^ low) | _rotated(low, 48 - 12 * sub, 48), 64 - 16 * block, 64)
 
 
+def turned(values: np.ndarray, depth: int, sub: int, back: bool = False) -> np.ndarray:
+    """The free bits of a depth turned so that their block ``sub`` of the next depth comes first, or turned back."""
+    free = _FREE[depth]
+    low = values & np.uint64((1 << free) - 1)
+    by = sub * (free - _FREE[depth + 1])
+    return (values ^ low) | _rotated(low, free - by if back else by, free)
+
+
 def _rotated(values: np.ndarray, by: int, width: int) -> np.ndarray:
     by %= width
     if not by:
@@ -95,7 +106,7 @@ class _Labels:
                 self.of = up
 
 
-def forest(kinds: np.ndarray, ranks: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(kinds: np.ndarray, ranks: np.ndarray, distance: int, free: int = _FREE[0]) -> tuple[np.ndarray, np.ndarray]:
     """Edges (as places in the input) that connect all pairs of a group within ``distance`` bits.
 
     The input is sorted by kind and Gray rank and holds whole groups: equal kind and equal shared
@@ -107,7 +118,8 @@ def forest(kinds: np.ndarray, ranks: np.ndarray, distance: int) -> tuple[np.ndar
     n = len(codes)
     labels = _Labels(n)
     levels = []
-    for shift in _SHIFTS:
+    shifts = (free, 2 * free // 3, free // 3, 0)
+    for shift in shifts:
         key = codes >> np.uint64(shift)
         levels.append(np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (kinds[1:] != kinds[:-1])])))
     ends = [np.concatenate([x[1:], [n]]) for x in levels]
@@ -133,7 +145,7 @@ def forest(kinds: np.ndarray, ranks: np.ndarray, distance: int) -> tuple[np.ndar
             continue
         for x, y, sums in _crossed(a, b, d, first, last, sizes):
             starts = levels[level + 1]
-            fresh = np.uint64(((1 << (_SHIFTS[level] - _SHIFTS[level + 1])) - 1) << _SHIFTS[level + 1])
+            fresh = np.uint64(((1 << (shifts[level] - shifts[level + 1])) - 1) << shifts[level + 1])
             sums = sums + np.bitwise_count((codes[starts[x]] ^ codes[starts[y]]) & fresh)
             kept = (sums <= distance) & (x <= y)
             x, y, sums = x[kept], y[kept], sums[kept]
@@ -169,29 +181,86 @@ def _crossed(a, b, d, first, last, sizes) -> Iterator[tuple[np.ndarray, np.ndarr
 def near_pairs(codes: DataFrame, distance: int = 3) -> DataFrame:
     """Edges (a, b) between different codes (column ``code``: long) that connect what ``distance`` bits link.
 
-    Within 3 bits a pair agrees in one of 4 blocks of 16 bits, and then in one of 4 blocks of 12 of the
-    other bits: 16 tables, in each of which groups share 28 bits. Groups are joined with themselves over
-    the index of ``forest``; a group gives fewer edges than it has members, however many pairs it has.
+    Within 3 bits a pair agrees in one of 4 blocks of 16 bits, and then in one of 4 blocks of 12 of the other bits: 16
+    tables, in each of which groups share 28 bits. Groups are joined with themselves over the index of ``forest``; a
+    group gives fewer edges than it has members, however many pairs it has.
+
+    A crowded group (over about ``_CROWD`` codes, by an estimate) is not one task's work: its codes are dealt once
+    more, by each of 4 blocks of the bits that the group leaves free, in one of which each of its pairs agrees too;
+    and so on with what is still crowded. That changes what tasks get, not what is found.
     """
     if not 0 <= distance <= 3:
         raise ValueError("distance must be from 0 to 3: the blocks find pairs of up to 3 differing bits")
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codes, edges, depth = landed(codes.select("code"), "codes"), None, 0
+    rows = codes.mapInArrow(releasing(_dealt), "kind int, place long")
+    some = codes.where(F.pmod(F.xxhash64("code"), F.lit(_EVERY)) == 0).mapInArrow(releasing(_dealt), "kind int, place long")
+    while depth + 1 < len(_FREE):
+        group = F.shiftrightunsigned("place", _FREE[depth]).alias("group")
+        sizes = some.groupBy("kind", group).count().where(F.col("count") > _CROWD // _EVERY)
+        crowded = landed(sizes.select("kind", "group"), "crowded")
+        if crowded.isEmpty():
+            break
+        keyed, key = rows.withColumn("group", group), ["kind", "group"]
+        found = _group_pairs(keyed.join(crowded, key, "left_anti").drop("group"), depth, distance)
+        edges = found if edges is None else edges.unionAll(found)
+        again = releasing(_dealt_again(depth))
+        rows, some = (
+            x.withColumn("group", group).join(crowded, key, "left_semi").mapInArrow(again, "kind int, place long") for x in (rows, some)
+        )
+        depth += 1
+    found = _group_pairs(rows, depth, distance)
+    return found if edges is None else edges.unionAll(found)
+
+
+#: Ranks are unsigned; as longs they are kept in the same order.
+_SIGN = np.uint64(1 << 63)
+
+
+def _batch(kind: np.ndarray, ranks: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array((ranks ^ _SIGN).view(np.int64))], ["kind", "place"])
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = batch.column("code").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for kind in range(16):
+            yield _batch(np.full(len(values), kind), gray_rank(permuted(values, kind)))
+
+
+def _dealt_again(depth: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column("code").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for kind in range(16):
-                ranks = gray_rank(permuted(values, kind))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ranks), kind, np.int8)), pa.array((ranks ^ np.uint64(1 << 63)).view(np.int64))],
-                    ["kind", "place"],
-                )
+            ranks = batch.column("place").to_numpy().view(np.uint64) ^ _SIGN
+            values, kind = ranks ^ (ranks >> np.uint64(1)), batch.column("kind").to_numpy()
+            for sub in range(4):
+                yield _batch(4 * kind + sub, gray_rank(turned(values, depth, sub)))
+
+    return run
+
+
+def _code(values: np.ndarray, kinds: np.ndarray, depth: int) -> np.ndarray:
+    """The codes that stand in tables ``kinds`` of a depth as ``values``."""
+    out = np.zeros(len(values), np.uint64)
+    for kind in np.unique(kinds).tolist():
+        mine = kinds == kind
+        found = values[mine]
+        for d in range(depth - 1, -1, -1):
+            kind, sub = divmod(kind, 4)
+            found = turned(found, d, sub, back=True)
+        out[mine] = restored(found, kind)
+    return out
+
+
+def _group_pairs(rows: DataFrame, depth: int, distance: int) -> DataFrame:
+    """Edges within the groups of equal kind and shared bits of (kind, place)."""
+    free = _FREE[depth]
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, ranks = np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        kinds, ranks = np.zeros(0, np.int32), np.zeros(0, np.uint64)
         for batch in batches:
             kinds = np.concatenate([kinds, batch.column("kind").to_numpy()])
-            ranks = np.concatenate([ranks, batch.column("place").to_numpy().view(np.uint64) ^ np.uint64(1 << 63)])
-            group = ranks >> np.uint64(64 - _SHARED)
+            ranks = np.concatenate([ranks, batch.column("place").to_numpy().view(np.uint64) ^ _SIGN])
+            group = ranks >> np.uint64(free)
             changes = np.flatnonzero((kinds[1:] != kinds[:-1]) | (group[1:] != group[:-1]))
             whole = int(changes[-1]) + 1 if len(changes) else 0
             if whole:
@@ -201,30 +270,17 @@ def near_pairs(codes: DataFrame, distance: int = 3) -> DataFrame:
             yield edges(kinds, ranks)
 
     def edges(kinds: np.ndarray, ranks: np.ndarray) -> pa.RecordBatch:
-        group = ranks >> np.uint64(64 - _SHARED)
+        group = ranks >> np.uint64(free)
         same = np.concatenate([[False], (kinds[1:] == kinds[:-1]) & (group[1:] == group[:-1]), [False]])
         several = same[1:] | same[:-1]
         kinds, ranks = kinds[several], ranks[several]
         x = y = np.zeros(0, np.int64)
         if len(kinds):
-            x, y = forest(kinds, ranks, distance)
-        ends = []
-        for place in (x, y):
-            code = ranks[place] ^ (ranks[place] >> np.uint64(1))
-            out = np.zeros(len(code), np.uint64)
-            for kind in range(16):
-                mine = kinds[place] == kind
-                out[mine] = restored(code[mine], kind)
-            ends.append(out.view(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in ends], ["a", "b"])
-
-    return (
-        codes.select("code")
-        .mapInArrow(releasing(dealt), "kind byte, place long")
-        .repartition("kind", F.shiftrightunsigned("place", 64 - _SHARED))
-        .sortWithinPartitions("kind", "place")
-        .mapInArrow(releasing(joined), EDGE)
-    )
+            x, y = forest(kinds, ranks, distance, free)
+        codes = _code(ranks ^ (ranks >> np.uint64(1)), kinds, depth)
+        return pa.RecordBatch.from_arrays([pa.array(codes[place].view(np.int64)) for place in (x, y)], ["a", "b"])
+
+    return rows.repartition("kind", F.shiftrightunsigned("place", free)).sortWithinPartitions("kind", "place").mapInArrow(releasing(joined), EDGE)
 
 
 def simhash_groups(
@@ -269,8 +325,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """The columns of ``docs`` for one row of each group of ``simhash_groups``: the one with the smallest id.
 
-    Among rows with that same id the first written stays. Cases are those of ``simhash_groups``. Groups are found without the other columns: of
-    whole rows there is one shuffle, to the numbers of the rows that stay.
+    Among rows with that same id the first written stays. Cases are those of ``simhash_groups``. Groups are found
+    without the other columns: of whole rows there is one shuffle, to the numbers of the rows that stay.
     """
     rows, named = _grouped(docs, id_col, text_col, shingle, distance)
     members = join_spread(rows.select(F.col(id_col).alias("id"), FINGERPRINT, ROW), named, [FINGERPRINT], [ROW], 8)

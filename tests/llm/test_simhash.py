@@ -78,6 +78,40 @@ def test_components_of_near_pairs(spark, distance, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize("depth", range(len(simhash._FREE) - 1))
+def test_turned_bits_come_back(depth):
+    values = np.random.default_rng(depth).integers(0, 1 << 63, 50, dtype=np.uint64)
+    blocks = []
+    for sub in range(4):
+        moved = simhash.turned(values, depth, sub)
+        assert (simhash.turned(moved, depth, sub, back=True) == values).all()
+        blocks.append(simhash.turned(np.array([1 << i for i in range(64)], np.uint64), depth, sub))
+    # The bits that come first, behind those shared already, are other ones in each of the four.
+    first = [{i for i in range(64) if simhash._FREE[depth + 1] <= int(b[i]).bit_length() - 1 < simhash._FREE[depth]} for b in blocks]
+    assert sum(map(len, first)) == len(set.union(*first)) == 4 * (simhash._FREE[depth] - simhash._FREE[depth + 1])
+
+
+@pytest.mark.parametrize("crowd", [16, 64])
+def test_crowded_groups_are_dealt_again(spark, crowd, monkeypatch):
+    """Codes that share most of their bits, dealt several times over: the same components, and no group that stays large."""
+    monkeypatch.setattr(simhash, "_CROWD", crowd)
+    monkeypatch.setattr(simhash, "_EVERY", 1)
+    rng = np.random.default_rng(crowd)
+    base = int(rng.integers(0, 1 << 63))
+    codes = {base ^ int(x) for x in rng.integers(0, 1 << 16, 500)} | {base ^ (int(x) << 48) for x in rng.integers(0, 1 << 12, 200)} | set(_clustered(3, 200))
+    signed = [c - (1 << 64) if c >> 63 else c for c in sorted(codes)]
+    rows = spark.createDataFrame([(c,) for c in signed], "code long").repartition(3)
+    pairs = near_pairs(rows)
+    assert pairs._jdf.queryExecution().analyzed().toString().count("LeftAnti") >= 1
+    found = {r["node"]: r["root"] for r in components(pairs).collect()}
+    roots = slow_roots(sorted(codes))
+    expected, groups = {}, {}
+    for c, r in zip(signed, roots, strict=True):
+        expected.setdefault(r, set()).add(c)
+        groups.setdefault(found.get(c, c), set()).add(c)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_one_hot_ball_gives_few_edges(spark):
     """All codes within a few bits of each other: nearly all pairs are near, but edges stay below the codes times the tables."""
     rng = np.random.default_rng(0)
