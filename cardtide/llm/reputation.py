@@ -102,12 +102,12 @@ def host_reputation(outcomes: DataFrame, prior: float = 0.5, z: float = 1.645, d
             "weight", F.col("n") + strength
         )
 
+    # A level's strength reads all of the level above: written, each is worked out once.
     totals = [F.sum("good").alias("good"), F.sum("n").alias("n")]
-    suffixes = shrunk(hosts.groupBy("suffix").agg(*totals).withColumn("prior", overall))
-    domains = shrunk(
-        hosts.groupBy("domain", "suffix").agg(*totals).join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix")
-    )
-    found = shrunk(hosts.join(domains.select("domain", "suffix", F.col("mean").alias("prior")), ["domain", "suffix"]))
+    suffixes = landed(shrunk(hosts.groupBy("suffix").agg(*totals).withColumn("prior", overall)), "suffixes")
+    domains = hosts.groupBy("domain", "suffix").agg(*totals).join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix")
+    domains = landed(shrunk(landed(domains, "domain-priors")), "domains")
+    found = shrunk(landed(hosts.join(domains.select("domain", "suffix", F.col("mean").alias("prior")), ["domain", "suffix"]), "host-priors"))
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return found.select("host", "mean", (F.col("mean") + z * deviation).alias("bound"))
 
