@@ -200,38 +200,63 @@ def _verdicts(points: DataFrame, min_count: int, seconds: int) -> DataFrame:
 _EDGES = "card_id string, slice_at long, firsts array<long>, lasts array<long>"
 
 
-def probe_edges(charges: DataFrame, *, min_count: int = 3, within_seconds: int = 60, copies: int = 8) -> DataFrame:
+def probe_edges(
+    charges: DataFrame, *, min_count: int = 3, within_seconds: int = 60, copies: int = 8, buckets: int = 256
+) -> DataFrame:
     """A stream of the first and last ``min_count`` instants of small charges per card and slice, given out when the slice has closed.
 
     This is all that ``card_testing`` needs to know of a slice, so no row is ever held: the state of a card and slice
-    is ``copies`` times twice ``min_count`` numbers, whatever happens on the card. A hot card is spread over
-    ``copies`` states, which are put together by ``card_testing_from``. ``charges`` are small charges with a
+    is ``copies`` times twice ``min_count`` numbers at most, whatever happens on the card. A hot card is spread over
+    ``copies`` parts, which are put together by ``card_testing_from``. ``charges`` are small charges with a
     watermark.
+
+    A call of Python costs as much as thousands of rows, so cards are dealt into ``buckets`` by hash, and one call
+    brings a slice of a bucket up to date for all cards at once: there are at most ``buckets`` calls per slice and
+    batch, however many cards there are.
     """
     n, micros = int(min_count), int(within_seconds) * 1_000_000
 
+    def ends(rows):
+        rows = rows.sort_values(["card_id", "at"])
+        of_card = rows.groupby("card_id", sort=False)
+        return rows[(of_card.cumcount() < n) | (of_card.cumcount(ascending=False) < n)]
+
     def kept(key, frames, state):
         import pandas as pd
 
-        card, begin = key[0], int(key[1])
-        firsts, lasts = ([], []) if not state.exists else map(list, state.get)
+        begin = int(key[0])
+        cards, instants = state.get if state.exists else ([], [])
+        held = pd.DataFrame({"card_id": pd.Series(cards, dtype=object), "at": pd.Series(instants, dtype="int64")})
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame({"card_id": [card], "slice_at": [begin], "firsts": [firsts], "lasts": [lasts]})
+            instants_of = held.groupby("card_id", sort=False)["at"].agg(list)
+            yield pd.DataFrame(
+                {
+                    "card_id": instants_of.index,
+                    "slice_at": begin,
+                    "firsts": [at[:n] for at in instants_of],
+                    "lasts": [at[-n:] for at in instants_of],
+                }
+            )
             return
+        # Many rows at a time are put in order, so that no more is held and each is sorted a few times at most.
+        parts, fresh = [held], 0
         for frame in frames:
-            at = sorted(frame["at"].tolist())
-            firsts, lasts = sorted(firsts + at[:n])[:n], sorted(lasts + at[-n:])[-n:]
-        state.update((firsts, lasts))
+            parts, fresh = [*parts, frame[["card_id", "at"]]], fresh + len(frame)
+            if fresh > len(parts[0]) + 100_000:
+                parts, fresh = [ends(pd.concat(parts))], 0
+        held = ends(pd.concat(parts))
+        state.update((held["card_id"].tolist(), held["at"].tolist()))
         state.setTimeoutTimestamp((begin + micros) // 1000)
 
     at = F.unix_micros("event_time")
     slice_at = F.unix_micros(F.window("event_time", f"{int(within_seconds)} seconds")["start"])
-    copy = F.pmod(F.xxhash64(*_SPREAD), F.lit(copies)).cast("int")
+    copy = F.pmod(F.xxhash64(*_SPREAD), F.lit(copies))
+    bucket = F.pmod(F.xxhash64("card_id", copy), F.lit(buckets)).cast("int")
     known = charges.where(F.col("card_id").isNotNull())
-    keyed = known.select("card_id", slice_at.alias("slice_at"), copy.alias("copy"), at.alias("at"), "event_time")
-    grouped = keyed.groupBy("card_id", "slice_at", "copy")
-    return grouped.applyInPandasWithState(kept, _EDGES, "firsts array<long>, lasts array<long>", "append", "EventTimeTimeout")
+    keyed = known.select(slice_at.alias("slice_at"), bucket.alias("bucket"), "card_id", at.alias("at"), "event_time")
+    grouped = keyed.groupBy("slice_at", "bucket")
+    return grouped.applyInPandasWithState(kept, _EDGES, "cards array<string>, instants array<long>", "append", "EventTimeTimeout")
 
 
 def card_testing_from(

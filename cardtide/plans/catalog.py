@@ -62,8 +62,11 @@ def _plain(rows: DataFrame) -> DataFrame:
 
 
 def _state_partitions(spark: SparkSession) -> int:
-    """State of the registered streams is fixed for their one run: as many partitions as the session shuffles to."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """State of the registered streams is fixed for their one run: as many partitions as the session shuffles to.
+
+    But no more than two for each core, as every batch opens and commits all stores of every partition.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
 def _streamed(spark: SparkSession, rows: DataFrame, name: str, rocksdb: bool = False) -> DataFrame:

@@ -104,6 +104,26 @@ def test_card_testing_on_a_stream_against_brute_force(spark, tmp_path, min_count
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 3 * copies * (120 // within + 2)
 
 
+def test_edges_of_many_cards_are_kept_together(spark, tmp_path):
+    """What is called and stored for a slice are buckets of cards: 256 of them, for 2,000 cards as for any number."""
+    rows = spark.range(6000, numPartitions=1).select(
+        F.col("id").cast("string").alias("transaction_id"), F.concat(F.lit("card_"), F.col("id") % 2000).alias("card_id"),
+        F.lit(1.0).alias("amount"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3).alias("event_time"),
+    )
+    later = rows.limit(1).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 2 DAYS"))
+    for part in (rows.where("transaction_id < 3500"), rows.where("transaction_id >= 3500"), later):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    edges = detectors.probe_edges(with_watermark(stream), min_count=2, within_seconds=86_400)
+    query = append_to_table(edges, str(tmp_path / "t"), str(tmp_path / "cp"), "buckets", available_now=True, state_partitions=3)
+    finish(query)
+    held = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(held) <= 257
+    stored = spark.read.schema(edges.schema).parquet(str(tmp_path / "t"))
+    found = detectors.card_testing_from(rows, stored, min_count=2, within_seconds=86_400)
+    assert ids(found) == ids(detectors.card_testing(rows, min_count=2, within_seconds=86_400)) == set(range(2000, 6000))
+
+
 def test_travel_on_a_stream_against_brute_force(spark, tmp_path):
     rows = random_rows(7, 300, 4, 3, 2500, 0.3)
     frame = transactions(spark, rows)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from cardtide.functions.codec import decode_payload
 from cardtide.operators import detectors
 from cardtide.operators.gold import windowed_gold, with_watermark
+from cardtide.plans import catalog
 from cardtide.schema import BRONZE, GOLD, EVENTS_TABLE
+from cardtide.session import settings
 from cardtide.sources.events import as_transactions, read_events, stage_batches, stream_batches, stream_events
 from cardtide.sources.gold import load_gold
 from cardtide.sources.transactions import FolderSource, KafkaSource, read_transactions
@@ -326,3 +328,10 @@ def test_staged_files_follow_time(spark, tmp_path):
         assert stored.count() == 1000 and len(by_age) == n
         assert all(a[3] <= b[2] for a, b in zip(by_age, by_age[1:]))
     assert stage_batches(table.limit(0), str(tmp_path / "c")) == 1
+
+
+def test_state_has_no_more_partitions_than_cores_can_use(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for asked, given in (("200", 2 * cores), ("3", 3)):
+        with settings(spark, {"spark.sql.shuffle.partitions": asked}):
+            assert catalog._state_partitions(spark) == given
