@@ -30,6 +30,8 @@ CENTS = 100
 HIGH_AMOUNT = {"min_amount": 0.0, "factor": 5.0}
 CARD_TESTING = {"min_count": 2, "within_seconds": 86_400}
 TRAVEL = {"within_seconds": 7_200}
+# A row is held three times, in some 600 bytes each, and in two versions: 400 MB a core with the rows of open slices.
+TRAVEL_ROWS_PER_CORE = 100_000
 QUANTILES = (0.5, 0.9, 0.99)
 
 DETECTED = ("transaction_id", "card_id", "event_time", "amount", "category", "city")
@@ -39,14 +41,14 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(read_events(configure(spark), sf_dir))
 
 
-def _stream(spark: SparkSession, sf_dir: str, late: Column | None = None) -> DataFrame:
-    """The table as a stream of several micro-batches, each of a stretch of time (see ``stage_batches``).
+def _stream(spark: SparkSession, sf_dir: str, late: Column | None = None, **staging: int) -> DataFrame:
+    """The table as a stream of several micro-batches, each of a stretch of time (see ``stage_batches``, which takes ``staging``).
 
     With late rows there are 4 batches and the late one, on which what is too late depends.
     """
     configure(spark)
     folder = scratch_dir(spark, "batches")
-    files = stage_batches(read_events(spark, sf_dir), folder, late=late, batches=None if late is None else 4)
+    files = stage_batches(read_events(spark, sf_dir), folder, late=late, batches=None if late is None else 4, **staging)
     return as_transactions(stream_batches(spark, folder, files))
 
 
@@ -69,6 +71,12 @@ def _state_partitions(spark: SparkSession) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
+def _slices_fit(events: DataFrame, seconds: int, rows: int) -> bool:
+    """Whether two slices, as many as can be open behind a batch, hold no more than ``rows`` rows wherever they lie."""
+    busiest = events.groupBy(F.window("ts", f"{seconds} seconds")).count().agg(F.max("count")).first()[0]
+    return 2 * (busiest or 0) <= rows
+
+
 def _streamed(spark: SparkSession, rows: DataFrame, name: str, rocksdb: bool = False) -> DataFrame:
     """Run a bounded stream into a table of its own and read the table."""
     root = scratch_dir(spark, name)
@@ -424,9 +432,13 @@ def stream_card_testing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_impossible_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = detectors.impossible_travel(with_watermark(_stream(spark, sf_dir)), **TRAVEL)
-    # This state holds rows until their slice closes, so it has to be able to leave the heap.
-    return _streamed(spark, rows.select(*DETECTED), "stream_impossible_travel", rocksdb=True)
+    """State holds the rows of a batch and of open slices. The first are limited here, so that they fit into the heap; the others need not."""
+    in_batch = TRAVEL_ROWS_PER_CORE * spark.sparkContext.defaultParallelism
+    stream = _stream(spark, sf_dir, rows_per_batch=in_batch)
+    rows = detectors.impossible_travel(with_watermark(stream), **TRAVEL)
+    # Where slices outgrow the batches, state has to be able to leave the heap, which costs several times as much a row.
+    rocksdb = not _slices_fit(read_events(spark, sf_dir), TRAVEL["within_seconds"], in_batch)
+    return _streamed(spark, rows.select(*DETECTED), "stream_impossible_travel", rocksdb=rocksdb)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

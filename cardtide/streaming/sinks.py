@@ -33,6 +33,8 @@ def _started(
         values["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
         # Write the changes of a batch, not a copy of the whole state.
         values["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+        # One store for a join and partition, not four.
+        values["spark.sql.streaming.join.stateFormatVersion"] = "3"
     if available_now:
         writer = writer.trigger(availableNow=True)
     with settings(spark, values):

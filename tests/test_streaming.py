@@ -335,3 +335,20 @@ def test_state_has_no_more_partitions_than_cores_can_use(spark):
     for asked, given in (("200", 2 * cores), ("3", 3)):
         with settings(spark, {"spark.sql.shuffle.partitions": asked}):
             assert catalog._state_partitions(spark) == given
+
+
+def test_the_travel_stream_leaves_the_heap_only_where_slices_outgrow_batches(spark, monkeypatch):
+    sf_dir, started = f"{TESTDATA}/sf0.001", []
+    landing = catalog.append_to_table
+    monkeypatch.setattr(catalog, "append_to_table", lambda *a, **k: started.append(k["rocksdb"]) or landing(*a, **k))
+    found = [sorted(map(str, catalog.stream_impossible_travel(spark, sf_dir).collect()))]
+    monkeypatch.setattr(catalog, "_slices_fit", lambda *a: False)
+    found.append(sorted(map(str, catalog.stream_impossible_travel(spark, sf_dir).collect())))
+    assert started == [False, True] and found[0] == found[1]
+
+
+def test_crowded_slices_are_told(spark):
+    times = [at("00:10:00"), at("01:20:00"), at("01:59:59"), at("02:00:00"), None]
+    events = spark.createDataFrame([(t,) for t in times], "ts timestamp")
+    assert catalog._slices_fit(events, 7200, 6) and not catalog._slices_fit(events, 7200, 5)
+    assert catalog._slices_fit(events.limit(0), 7200, 0)
