@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -139,9 +140,18 @@ def release_memory() -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let the shuffle files of jobs that have ended go: they stay until the driver's JVM finds that nothing refers to them."""
+    """Let the shuffle files of jobs that have ended go: they stay until the driver's JVM finds that nothing refers to them.
+
+    What Python lets go reaches the JVM from a thread that looks for it now and then, and what the job that ended last has
+    left goes only some collections after that.
+    """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    gone, until = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None), time.monotonic() + 2
+    while gone and time.monotonic() < until:
+        time.sleep(0.05)
+    for _ in range(3):
+        time.sleep(0.4)
+        spark.sparkContext._jvm.System.gc()
 
 
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -5,15 +5,16 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from cardtide.llm.common import HIDDEN, laid_out, landed, packed_text, release_memory, releasing, row_table
+from cardtide.llm.common import HIDDEN, laid_out, landed, packed_text, release_memory, release_shuffles, releasing, row_table
 from cardtide.llm.suffix import least_owner, words_at
 
 N_BYTES, N_REMOVED, N_SPANS, KEPT = (f"{HIDDEN}{x}" for x in ("n_bytes", "n_removed", "n_spans", "kept"))
@@ -22,6 +23,10 @@ _LAST = np.iinfo(np.int64).max
 _KEY_BITS = 48
 #: Shards are written once and shuffled twice: worth more than the fastest compression.
 _LEVEL = 5
+#: A bundle has so many shards at most, and fewer while there would be less than so many bundles.
+_BUNDLE, _BUNDLES = 4, 96
+#: Bytes of runs that are packed together at most, but for those of one shard; rows that go to the JVM at once.
+_HELD, _ROWS = 32 << 20, 256
 
 
 def _packed(value: object) -> bytes:
@@ -32,6 +37,26 @@ def _unpacked(value: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(value))
 
 
+def bundle_of(shard: Column, shards: int, parts: int, most: int = _BUNDLE) -> Column:
+    """A number for each bundle of shards: neighbours of a part, and of several parts where these have few shards.
+
+    What is sent between bundles and content shards is one row for each pair. Pairs of shards would be more
+    and smaller as the square of the input.
+    """
+    size = min(most, max(1, shards // _BUNDLES))
+    together = max(1, size * parts // max(shards, 1))
+    part, number = F.shiftright(shard, 32), shard.bitwiseAND((1 << 32) - 1)
+    return F.shiftleft(F.floor(part / together), 32) + F.floor(number / size)
+
+
+def _in_order(bundle: pa.Table) -> Iterator[tuple[int, int, pa.Table]]:
+    """Of each shard of a bundle its number, the place of its first byte among those of the bundle, and its rows."""
+    base = 0
+    for shard, size, payload in sorted(zip(*(bundle.column(c).to_pylist() for c in ("shard", "n_bytes", "payload")), strict=True)):
+        yield shard, base, row_table(payload)
+        base += size + 1
+
+
 def _owners(column: pa.ChunkedArray) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(_LAST).to_numpy()
 
@@ -134,7 +159,9 @@ def repeated_bytes(
     """
     spark = docs.sparkSession
     shards = landed(laid_out(docs, text_col, shard_bytes, _LEVEL), "shards")
-    total = shards.agg(F.sum("n_bytes")).first()[0] or 0
+    total, count, parts = shards.agg(F.sum("n_bytes"), F.count("*"), F.countDistinct(F.shiftright("shard", 32))).first()
+    total = total or 0
+    bundle = bundle_of(F.col("shard"), count, parts)
     ranges = total // (16 << 20) + 1
     targets = total // (2 << 20) + 1
 
@@ -186,17 +213,29 @@ def repeated_bytes(
         return pa.table([part.column("shard"), part.column("range"), pa.array(out, pa.binary())], _BITS.names)
 
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows: list[tuple] = []
-        for shard, payload in zip(left.column("shard").to_pylist(), left.column("payload"), strict=True):
-            if right.num_rows:
-                texts = row_table(payload.as_buffer())
-                rows += _dealt(shard, texts, text_col, _owners(texts.column(id_col)), right, length, gram, ranges, targets)
-        columns = zip(*rows, strict=True) if rows else [[], [], []]
+        answers: dict[int, list[tuple[int, pa.BinaryScalar]]] = {}
+        for shard, part, value in zip(right.column("shard").to_pylist(), right.column("range").to_pylist(), right.column("bits"), strict=True):
+            answers.setdefault(shard, []).append((part, value))
+        rows: list[tuple[int, int, bytes]] = []
+        held: list[_Dealt] = []
+        number = left.column("bundle")[0].as_py() if left.num_rows else 0
+        for shard, base, texts in _in_order(left):
+            if shard in answers:
+                held.append(_dealt(texts, text_col, _owners(texts.column(id_col)), answers.pop(shard), base, length, gram, ranges, targets))
+            if sum(len(x.body) + x.first.nbytes + x.unit.nbytes + x.owner.nbytes for x in held) > _HELD:
+                rows += _by_target(held, number)
+                held.clear()
+        rows += _by_target(held, number)
+        held.clear()
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + _ROWS], strict=True), _SENT.types, strict=True)], schema=_SENT)
+            for i in range(0, len(rows), _ROWS)
+        ]
         release_memory()
-        return pa.table([pa.array(c, t) for c, t in zip(columns, _SENT.types, strict=True)], _SENT.names)
+        return pa.Table.from_batches(batches, _SENT)
 
     def decided(part: pa.Table) -> pa.Table:
-        found = _flagged(part.column("shard").to_pylist(), part.column("runs"), length, shard_bytes)
+        found = _flagged(part.column("bundle").to_pylist(), part.column("runs"), length, shard_bytes)
         columns = zip(*found, strict=True) if found else [[], []]
         release_memory()
         return pa.table([pa.array(c, t) for c, t in zip(columns, _FLAGS.types, strict=True)], _FLAGS.names)
@@ -206,7 +245,15 @@ def repeated_bytes(
     )
 
     def cleaned(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [_cleaned(row_table(p.as_buffer()), text_col, right, length, as_text) for p in left.column("payload")]
+        first, size = (np.concatenate(x) for x in zip((_NONE, _NONE), *(_unpacked(v.as_py()) for v in right.column("windows")), strict=True))
+        by = np.argsort(first)
+        first, size = first[by], size[by]
+        parts = []
+        for _, base, texts in _in_order(left):
+            data, offsets = packed_text(texts.column(text_col))
+            i, j = np.searchsorted(first, [base, base + len(data) + 1])
+            parts.append(_cleaned(texts, data, offsets, first[i:j] - base, size[i:j], length, as_text))
+        release_memory()
         if not parts:
             return pa.table([pa.array([], f.type) for f in empty], [f.name for f in empty])
         return pa.concat_tables(parts)
@@ -216,34 +263,56 @@ def repeated_bytes(
     empty = to_arrow_schema(schema)
     keys = shards.select("shard", "payload").mapInArrow(releasing(keys_of), "range long, shard long, keys binary, weights binary")
     bits = keys.groupBy("range").applyInArrow(met, "shard long, range long, bits binary")
+    # What is written here needs no shuffle of before any more.
+    bits = landed(bits, "anchors").withColumn("bundle", bundle)
+    del keys
+    release_shuffles(spark)
+    shards = shards.withColumn("bundle", bundle)
     runs = (
-        shards.groupBy("shard").cogroup(bits.groupBy("shard"))
-        .applyInArrow(sent, "target long, shard long, runs binary")
+        shards.groupBy("bundle").cogroup(bits.groupBy("bundle"))
+        .applyInArrow(sent, "target long, bundle long, runs binary")
     )
     flags = landed(
-        runs.groupBy("target").applyInArrow(decided, "shard long, windows binary"), "repeats"
+        runs.groupBy("target").applyInArrow(decided, "bundle long, windows binary"), "repeats"
     )
-    return shards.groupBy("shard").cogroup(flags.groupBy("shard")).applyInArrow(cleaned, schema)
+    del bits, runs
+    release_shuffles(spark)
+    return shards.groupBy("bundle").cogroup(flags.groupBy("bundle")).applyInArrow(cleaned, schema)
 
 
 _KEYS = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
 _BITS = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("bits", pa.binary())])
-_SENT = pa.schema([("target", pa.int64()), ("shard", pa.int64()), ("runs", pa.binary())])
-_FLAGS = pa.schema([("shard", pa.int64()), ("windows", pa.binary())])
+_SENT = pa.schema([("target", pa.int64()), ("bundle", pa.int64()), ("runs", pa.binary())])
+_FLAGS = pa.schema([("bundle", pa.int64()), ("windows", pa.binary())])
+_NONE = np.zeros(0, np.int64)
+
+
+class _Dealt(NamedTuple):
+    """The runs of a shard by target: where each has its first window, its owner and unit; and the different units."""
+
+    target: np.ndarray
+    first: np.ndarray
+    owner: np.ndarray
+    unit: np.ndarray
+    #: Of each unit its target, its windows, and the place of its bytes in ``body``, with one more at the end.
+    unit_target: np.ndarray
+    number: np.ndarray
+    begin: np.ndarray
+    body: bytes
 
 
 def _dealt(
-    shard: int,
     texts: pa.Table,
     text_col: str,
     ids: np.ndarray,
-    bits: pa.Table,
+    answers: list[tuple[int, pa.BinaryScalar]],
+    base: int,
     length: int,
     gram: int,
     ranges: int,
     targets: int,
-) -> list[tuple[int, int, bytes]]:
-    """The runs of one shard at shared anchors, per content shard, equal ones together."""
+) -> _Dealt:
+    """The runs of one shard at shared anchors by content shard, equal ones as one unit; ``base`` is added to places."""
     data, offsets = packed_text(texts.column(text_col))
     first, number, doc, key = runs_by_anchor(data, offsets, length, gram)
     by = np.argsort(key)
@@ -253,47 +322,77 @@ def _dealt(
     kind[by] = np.cumsum(new) - 1
     kinds = kinds[new]
     shared, heavy = np.zeros((2, len(kinds)), bool)
-    for part, value in zip(bits.column("range").to_pylist(), bits.column("bits"), strict=True):
+    for part, value in answers:
         i, j = np.searchsorted(kinds, [(part << _KEY_BITS) // ranges, ((part + 1) << _KEY_BITS) // ranges])
         both = np.unpackbits(np.frombuffer(value.as_buffer(), np.uint8)).astype(bool)
         shared[i:j], heavy[i:j] = both[: j - i], both[j - i : 2 * (j - i)]
     kept = shared[kind]
     first, number, doc, key, heavy = first[kept], number[kept], doc[kept], key[kept], heavy[kind[kept]]
-    # Hot runs become single windows.
-    times = np.where(heavy, number, 1)
-    place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    first = np.repeat(first, times) + place
-    number = np.where(np.repeat(heavy, times), 1, np.repeat(number, times))
-    doc, key, heavy = np.repeat(doc, times), np.repeat(key, times), np.repeat(heavy, times)
     raw = data.tobytes()
     seen: dict[bytes, int] = {}
     ends = (first + number + (length - 1)).tolist()
     unit = np.array([seen.setdefault(raw[i:j], len(seen)) for i, j in zip(first.tolist(), ends, strict=True)], np.int64)
     strings = list(seen)
     target = (key % np.uint64(targets)).astype(np.int64)
-    if heavy.any():
-        by_content = np.array([zlib.crc32(strings[u]) % targets for u in unit[heavy].tolist()], np.int64)
-        target[heavy] = by_content
+    # Hot runs become single windows; those of equal runs are told apart once.
+    hot = np.unique(unit[heavy])
+    window: dict[bytes, int] = {}
+    cut = [strings[u] for u in hot.tolist()]
+    windows = np.array([window.setdefault(s[p : p + length], len(window)) for s in cut for p in range(len(s) - length + 1)], np.int64)
+    begin = np.zeros(len(strings), np.int64)
+    begin[hot] = np.cumsum([0, *(len(s) - length + 1 for s in cut)])[:-1]
+    times = np.where(heavy, number, 1)
+    place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    heavy = np.repeat(heavy, times)
+    first = np.repeat(first, times) + place
+    owner, unit, target = np.repeat(ids[doc], times), np.repeat(unit, times), np.repeat(target, times)
+    at = windows[begin[unit[heavy]] + place[heavy]]
+    target[heavy] = np.array([zlib.crc32(w) % targets for w in window], np.int64)[at]
+    unit[heavy] = at + len(strings)
+    strings += window
     order = np.lexsort((unit, target))
-    first, number, unit, target, owner = first[order], number[order], unit[order], target[order], ids[doc[order]]
-    cuts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1], [True]])[: len(target) + 1])
-    cuts = cuts if len(target) else cuts[:0]
+    first, unit, target, owner = first[order] + base, unit[order], target[order], owner[order]
+    fresh = np.concatenate([[True], unit[1:] != unit[:-1]])[: len(unit)]
+    units = [strings[u] for u in unit[fresh].tolist()]
+    sizes = np.array([len(s) for s in units], np.int64)
+    return _Dealt(
+        target, first, owner, (np.cumsum(fresh) - 1).astype(np.int32),
+        target[fresh], (sizes - (length - 1)).astype(np.int32), np.cumsum([0, *sizes]), b"".join(units),
+    )
+
+
+def _by_target(shards: list[_Dealt], bundle: int) -> list[tuple[int, int, bytes]]:
+    """The runs of some shards of a bundle, one packed value for each target."""
+    if not shards:
+        return []
+    wanted = np.unique(np.concatenate([x.unit_target for x in shards]))
+    cuts = [
+        (x, *(np.searchsorted(c, wanted, side).tolist() for c in (x.target, x.unit_target) for side in ("left", "right")))
+        for x in shards
+    ]
+    compressor = zstandard.ZstdCompressor(_LEVEL)
     out = []
-    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        fresh = np.concatenate([[True], unit[i + 1 : j] != unit[i : j - 1]])
-        body = b"".join([strings[u] for u in unit[i:j][fresh].tolist()])
-        local = (np.cumsum(fresh) - 1).astype(np.int32)
-        value = (body, number[i:j][fresh].astype(np.int32), local, first[i:j].astype(np.int32), owner[i:j])
-        out.append((int(target[i]), shard, _packed(value)))
+    for k, target in enumerate(wanted.tolist()):
+        bodies, columns, units = [], [], 0
+        for x, begins, ends, unit_begins, unit_ends in cuts:
+            (i, j), (a, b) = (begins[k], ends[k]), (unit_begins[k], unit_ends[k])
+            if j > i:
+                bodies.append(x.body[x.begin[a] : x.begin[b]])
+                columns.append((x.number[a:b], x.unit[i:j] + np.int32(units - a), x.first[i:j], x.owner[i:j]))
+                units += b - a
+        number, unit, first, owner = (np.concatenate(c) for c in zip(*columns, strict=True))
+        if first.max() < 1 << 31:
+            first = first.astype(np.int32)
+        out.append((target, bundle, compressor.compress(pickle.dumps((b"".join(bodies), number, unit, first, owner), 5))))
     return out
 
 
-def _flagged(shards: list[int], values: pa.ChunkedArray, length: int, shard_bytes: int) -> list[tuple[int, bytes]]:
-    """For one content shard: per shard of texts, the first places of windows that start in a smaller document."""
+def _flagged(bundles: list[int], values: pa.ChunkedArray, length: int, shard_bytes: int) -> list[tuple[int, bytes]]:
+    """For one content shard: per value of a bundle, the first places of windows that start in a smaller document."""
     seen: dict[bytes, int] = {}
     number: list[int] = []
-    shard, place, owner, unit = [], [], [], []
-    for i, value in enumerate(values):
+    place, owner, unit = [], [], []
+    for value in values:
         body, sizes, local, first, owners = _unpacked(value.as_py())
         ends = np.cumsum(sizes + (length - 1))
         begins = (ends - sizes - (length - 1)).tolist()
@@ -301,13 +400,13 @@ def _flagged(shards: list[int], values: pa.ChunkedArray, length: int, shard_byte
         for u, size in zip(mine.tolist(), sizes.tolist(), strict=True):
             if u == len(number):
                 number.append(size)
-        shard.append(np.full(len(first), i))
         place.append(first.astype(np.int64))
         owner.append(owners)
         unit.append(mine[local])
     data = np.frombuffer(b"".join(seen), np.uint8)
     sizes = np.array(number, np.int64)
-    shard, place, owner, unit = (np.concatenate(x) for x in (shard, place, owner, unit))
+    counts = [len(x) for x in place]
+    place, owner, unit = (np.concatenate(x) for x in (place, owner, unit))
     low = np.full(len(sizes), _LAST)
     np.minimum.at(low, unit, owner)
     first = np.cumsum(sizes + (length - 1)) - sizes - (length - 1)
@@ -318,26 +417,28 @@ def _flagged(shards: list[int], values: pa.ChunkedArray, length: int, shard_byte
     step = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
     hit = least[window_of[unit[row]] + step] < owner[row]
     row, step = row[hit], step[hit]
+    at = place[row] + step
+    # Rows ascend, and so each value has a stretch of them.
+    cuts = np.searchsorted(row, np.cumsum([0, *counts])).tolist()
     out = []
-    for i, number_of_shard in enumerate(shards):
-        mine = shard[row] == i if len(shards) > 1 else slice(None)
-        at = np.sort(place[row[mine]] + step[mine])
-        if len(at):
-            begin = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
-            size = np.diff(np.concatenate([begin, [len(at)]]))
-            out.append((number_of_shard, _packed((at[begin].astype(np.int32), size.astype(np.int32)))))
+    for bundle, i, j in zip(bundles, cuts[:-1], cuts[1:], strict=True):
+        if j > i:
+            mine = np.sort(at[i:j])
+            begin = np.flatnonzero(np.concatenate([[True], np.diff(mine) > 1]))
+            size = np.diff(np.concatenate([begin, [len(mine)]]))
+            first = mine[begin]
+            out.append((bundle, _packed((first.astype(np.int32) if first[-1] < 1 << 31 else first, size.astype(np.int32)))))
     return out
 
 
-def _cleaned(texts: pa.Table, text_col: str, flags: pa.Table, length: int, as_text: bool) -> pa.Table:
-    data, offsets = packed_text(texts.column(text_col))
+def _cleaned(
+    texts: pa.Table, data: np.ndarray, offsets: np.ndarray, first: np.ndarray, size: np.ndarray, length: int, as_text: bool
+) -> pa.Table:
     n = len(data)
     change = np.zeros(n + 1, np.int64)
-    for value in flags.column("windows"):
-        first, size = _unpacked(value.as_py())
-        # Runs of windows overlap, and so the strings that they cover are counted.
-        np.add.at(change, first, 1)
-        np.add.at(change, first.astype(np.int64) + size + (length - 1), -1)
+    # Runs of windows overlap, and so the strings that they cover are counted.
+    np.add.at(change, first, 1)
+    np.add.at(change, first + size + (length - 1), -1)
     gone = np.cumsum(change[:n]) > 0
     sizes = np.diff(offsets)
     total = np.concatenate([[0], np.cumsum(gone)])

@@ -1,13 +1,19 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from cardtide.llm import repeats
 from cardtide.llm.repeats import KEPT, N_BYTES, N_REMOVED, N_SPANS, repeated_bytes, runs_by_anchor
 from cardtide.llm.suffix import least_owner, suffix_array, words_at
 from tests.llm.helpers import messy_docs, prose
@@ -128,3 +134,47 @@ def test_anchor_keys_spread_evenly():
     key = runs_by_anchor(data, np.array([0, len(data)]), 50, 24)[3]
     tenths = np.bincount((key >> np.uint64(38)).astype(np.int64) * 10 >> 10, minlength=10) / len(key)
     assert 0.09 < tenths.min() and tenths.max() < 0.11
+
+
+@pytest.mark.parametrize("parts, of_each", [(400, 7), (2800, 1), (30, 93), (5, 3)])
+def test_bundles_are_few_and_bounded(spark, parts, of_each):
+    """What is sent between bundles and content shards is one row for each pair, so there must not be a bundle for each shard."""
+    n = parts * of_each
+    shard = F.shiftleft(F.floor(F.col("id") / of_each), 32) + F.col("id") % of_each
+    bundles = spark.range(n).groupBy(repeats.bundle_of(shard, n, parts)).count().collect()
+    assert max(r["count"] for r in bundles) <= 4
+    assert len(bundles) <= max(n / 3, 96)
+
+
+@pytest.mark.parametrize("held", [1, 32 << 20])
+def test_bundles_of_several_shards(spark, monkeypatch, held):
+    monkeypatch.setattr(repeats, "_BUNDLES", 1)
+    monkeypatch.setattr(repeats, "_HELD", held)
+    docs = messy_docs(spark)
+    expected = slow([(r["doc_id"], r["text"]) for r in docs.collect()], 50)
+    assert fast(docs, shard_bytes=700, hot=3, gram=16) == expected
+    assert fast(docs.coalesce(1), shard_bytes=2000) == expected
+
+
+def test_deciding_takes_time_by_windows_and_not_by_senders():
+    """The same runs from two senders and from 3,000: the time per sender must not be that of all windows."""
+    data = np.random.default_rng(1).integers(0, 256, 60_000 * 63, dtype=np.uint8)
+
+    def decided(senders):
+        values = [(data.tobytes(), np.full(60_000, 14, np.int32), np.arange(60_000, dtype=np.int32), np.arange(60_000) * 63, np.zeros(60_000, np.int64))]
+        for some in np.array_split(np.arange(60_000, dtype=np.int32), senders):
+            body = data.reshape(-1, 63)[some].tobytes()
+            values.append((body, np.full(len(some), 14, np.int32), np.arange(len(some), dtype=np.int32), some.astype(np.int64) * 63, np.ones(len(some), np.int64)))
+        packed = pa.chunked_array([pa.array([zstandard.ZstdCompressor(1).compress(pickle.dumps(v, 5)) for v in values], pa.binary())])
+        took = []
+        for _ in range(2):
+            began = time.process_time()
+            found = repeats._flagged(list(range(senders + 1)), packed, 50, 4 << 20)
+            took.append(time.process_time() - began)
+        spans = [x for _, v in found for x in zip(*(a.tolist() for a in repeats._unpacked(v)))]
+        return sorted(spans), [i for i, _ in found], min(took)
+
+    few, _, base = decided(1)
+    many, senders, time_of_many = decided(3000)
+    assert many == few == [(63 * i, 14) for i in range(60_000)] and senders == list(range(1, 3001))
+    assert time_of_many < 3 * base
